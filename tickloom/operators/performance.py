@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.core import UNB, full, series_window, td
@@ -76,15 +76,15 @@ def performance_core(bt: DataFrame, key: str = "portfolio_id", v0: float = 10000
     )
 
 
-def performance_advanced(bt: DataFrame, key: str = "portfolio_id", rf: float = 0.0) -> DataFrame:
-    """Sortino, Calmar (report convention: drawdown is negative), skewness
-    and excess kurtosis (bias-corrected, as pandas)."""
+def performance_advanced(series: DataFrame, key: str = "portfolio_id", rf: float = 0.0) -> DataFrame:
+    """E6 over ``drawdown_series`` output: Sortino, Calmar (report convention:
+    drawdown ≤ 0), skewness and excess kurtosis (bias-corrected, as pandas)."""
     r = F.col("ret")
     down = F.when(r < rf, r)
     ann_raw = F.pow(1 + F.avg(r), 252) - 1
-    dd_pct = F.min("report_drawdown") * 100
+    dd_pct = F.min("drawdown") * 100
     sd_down = F.stddev_pop(down)
-    g = bt.groupBy(key).agg(
+    g = series.groupBy(key).agg(
         F.when((F.count(down) > 0) & (sd_down > 0), (ann_raw - rf) / (sd_down * SQRT252))
         .otherwise(F.lit(0.0)).alias("sortino"),
         F.when(dd_pct != 0, -ann_raw / (dd_pct / 100)).otherwise(F.lit(0.0)).alias("calmar"),
@@ -106,3 +106,46 @@ def drawdown_series(bt: DataFrame, key: str = "portfolio_id", order: str = "step
     return df.select(key, order, "ret", (F.col("wealth") - 1).alias("cumulative_return"),
                      td(F.col("wealth") - peak, peak).alias("drawdown"))
 
+
+
+def benchmark_compare(model: DataFrame, bench: DataFrame, key: str = "portfolio_id",
+                      v0: float = 10000.0) -> DataFrame:
+    """E7 (+D6): each model series against the benchmark series.
+
+    The benchmark's summary is attached to each of its step rows with a
+    whole-series window (one calendar-bounded series), then equi-joined to the
+    model rows on ``step`` — no pairing of tables."""
+    whole = Window.partitionBy(key)
+    b = bench.select(
+        "step",
+        ((F.max_by("value", "step").over(whole) / v0 - 1) * 100).alias("bench_total_return"),
+        ((F.pow(1 + F.avg("ret").over(whole), 252) - 1) * 100).alias("bench_annual_return"),
+        (F.stddev_pop("ret").over(whole) * SQRT252 * 100).alias("bench_volatility"),
+        F.max_by("value", "step").over(whole).alias("bench_final_value"))
+    j = model.join(F.broadcast(b), "step", "left")
+    g = j.groupBy(key).agg(
+        ((F.max_by("value", "step") / v0 - 1) * 100).alias("total_return"),
+        F.max_by("value", "step").alias("final_value"),
+        F.first("bench_total_return", ignorenulls=True).alias("bench_total_return"),
+        F.first("bench_annual_return", ignorenulls=True).alias("bench_annual_return"),
+        F.first("bench_volatility", ignorenulls=True).alias("bench_volatility"),
+        F.first("bench_final_value", ignorenulls=True).alias("bench_final_value"))
+    bsh = F.when(F.col("bench_volatility") > 0,
+                 F.col("bench_annual_return") / F.col("bench_volatility")).otherwise(F.lit(0.0))
+    return g.select("*", bsh.alias("bench_sharpe"),
+                    (F.col("total_return") - F.col("bench_total_return")).alias("outperformance"),
+                    td("final_value", "bench_final_value").alias("value_ratio"))
+
+
+def quick_eval(bt: DataFrame, key: str = "portfolio_id", max_steps: int = 100) -> DataFrame:
+    """The first ``max_steps`` steps: mean reward, total return from the
+    FIRST step's value, volatility = std_pop·100, sharpe = mean/max(std, 1e-6)."""
+    w = Window.partitionBy(key).orderBy("step")
+    head = bt.withColumn("_i", F.row_number().over(w)).filter(F.col("_i") <= max_steps)
+    sd = F.stddev_pop("ret")
+    return head.groupBy(key).agg(
+        F.avg("reward").alias("mean_reward"),
+        ((F.max_by("value", "step") / F.min_by("value", "step") - 1) * 100).alias("total_return"),
+        F.max_by("value", "step").alias("final_value"),
+        (sd * 100).alias("volatility"),
+        (F.avg("ret") / F.greatest(sd, F.lit(1e-6))).alias("sharpe_ratio"))

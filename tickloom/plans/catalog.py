@@ -57,3 +57,87 @@ _RAW = {
 }
 
 QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
+
+
+# ---------------------------------------------------------------- brand panel, back-test
+from tickloom.operators import backtest as G  # noqa: E402
+from tickloom.operators import clean as C  # noqa: E402
+from tickloom.operators import quality as Q  # noqa: E402
+from tickloom.plans import market as M  # noqa: E402
+
+
+def _bt_inputs(spark, sf_dir):
+    panel = M.price_panel(spark, sf_dir)
+    return panel, M.portfolio_actions(spark, sf_dir)
+
+
+def q_brand_weekly_bars(spark, sf_dir):
+    return M.brand_bars(spark, sf_dir)
+
+
+def q_price_panel(spark, sf_dir):
+    return M.price_panel(spark, sf_dir).select("ticker", "date", "step", "open", "high", "low",
+                                               "close", "volume")
+
+
+def q_price_relatives(spark, sf_dir):
+    return G.price_relatives(M.price_panel(spark, sf_dir))
+
+
+def q_portfolio_weights(spark, sf_dir):
+    return G.weights_report(M.portfolio_actions(spark, sf_dir))
+
+
+def q_backtest(spark, sf_dir):
+    return G.backtest(*_bt_inputs(spark, sf_dir))
+
+
+def q_equal_weight_benchmark(spark, sf_dir):
+    return G.equal_weight_benchmark(M.price_panel(spark, sf_dir))
+
+
+def q_performance_core(spark, sf_dir):
+    return PERF.performance_core(G.backtest(*_bt_inputs(spark, sf_dir)))
+
+
+def q_drawdown_report(spark, sf_dir):
+    return PERF.drawdown_series(G.backtest(*_bt_inputs(spark, sf_dir)))
+
+
+def q_performance_advanced(spark, sf_dir):
+    return PERF.performance_advanced(PERF.drawdown_series(G.backtest(*_bt_inputs(spark, sf_dir))))
+
+
+def q_benchmark_compare(spark, sf_dir):
+    panel, acts = _bt_inputs(spark, sf_dir)
+    return PERF.benchmark_compare(G.backtest(panel, acts), G.equal_weight_benchmark(panel))
+
+
+def q_quick_eval(spark, sf_dir):
+    return PERF.quick_eval(G.backtest(*_bt_inputs(spark, sf_dir)))
+
+
+def q_model_gate(spark, sf_dir):
+    core = PERF.performance_core(G.backtest(*_bt_inputs(spark, sf_dir)))
+    m = core.select("portfolio_id", "mean_reward", "total_return", "sharpe",
+                    (F.col("max_drawdown") / 100).alias("max_drawdown"))
+    return Q.quality_gate_model(m)
+
+
+from pyspark.sql import functions as F  # noqa: E402
+
+_RAW.update({
+    "brand_weekly_bars": q_brand_weekly_bars,
+    "price_panel": q_price_panel,
+    "price_relatives": q_price_relatives,
+    "portfolio_weights": q_portfolio_weights,
+    "backtest": q_backtest,
+    "equal_weight_benchmark": q_equal_weight_benchmark,
+    "performance_core": q_performance_core,
+    "drawdown_report": q_drawdown_report,
+    "performance_advanced": q_performance_advanced,
+    "benchmark_compare": q_benchmark_compare,
+    "quick_eval": q_quick_eval,
+    "model_gate": q_model_gate,
+})
+QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}

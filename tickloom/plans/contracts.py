@@ -19,3 +19,15 @@ DIGITS: dict[str, dict[str, int]] = {
 
 def digits(name: str) -> dict[str, int]:
     return DIGITS.get(name, {})
+
+DIGITS.update({
+    "brand_weekly_bars": dict(BAR_DIG),
+    "price_panel": dict(BAR_DIG),
+    "backtest": {"value": 4, "cost": 4, "max_value": 4},
+    "equal_weight_benchmark": {"value": 4, "cost": 4, "max_value": 4},
+    "performance_core": {"final_value": 4, "total_return": 4, "avg_cost": 4},
+    "benchmark_compare": {"final_value": 4, "bench_final_value": 4, "total_return": 4,
+                          "bench_total_return": 4, "outperformance": 4},
+    "quick_eval": {"final_value": 4, "total_return": 4},
+    "model_gate": {"total_return": 4},
+})

@@ -185,4 +185,6 @@ ORACLE = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: f() for k, f in ORACLE.items()}
+    from tickloom.plans import oracle_market
+    allq = {**ORACLE, **oracle_market.ORACLE}
+    return {k: f() for k, f in allq.items()}

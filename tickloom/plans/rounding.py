@@ -1,8 +1,12 @@
 """Shared output-rounding policy for registered queries and their SQL oracles.
 
-Doubles are rounded in both engines to the same number of decimals so that
-order-of-summation noise (≈1e-13 relative) never flips a value-hash; price
-levels keep 3–4 decimals, ratios 6.
+Doubles are rounded in both engines the same way so that order-of-summation
+noise (≈1e-13 relative) never flips a value-hash:
+
+* |x| < 1e6: x + 10^-(d+3), its shortest decimal representation rounded
+  half-up to d decimals (Spark's ``round``; the SQL side casts through VARCHAR
+  and DECIMAL to do the same);
+* |x| ≥ 1e6: ten significant digits, via ``%.9e`` formatting and back.
 """
 
 from __future__ import annotations
@@ -10,18 +14,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BIG = 1e6
+
+
+def nudge(d: int) -> float:
+    """A constant far below the rounding grid but far above summation noise:
+    exact decimal ties (common with 'nice' prices) then break the same way in
+    both engines even when they reach the tie from opposite sides by 1 ulp."""
+    return 10.0 ** -(d + 3)
+
+
+def round_col(c: str, d: int):
+    x = F.col(c)
+    return F.when(F.abs(x) >= BIG, F.format_string("%.9e", x).cast("double")) \
+        .otherwise(F.round(x + F.lit(nudge(d)), d)).alias(c)
+
 
 def round_df(df: DataFrame, digits: dict | None = None, default: int = 6) -> DataFrame:
     digits = digits or {}
     out = []
     for f in df.schema.fields:
         if f.dataType.typeName() in ("double", "float"):
-            out.append(F.round(F.col(f.name), digits.get(f.name, default)).alias(f.name))
+            out.append(round_col(f.name, digits.get(f.name, default)))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
 
 
+def round_expr_sql(q: str, d: int) -> str:
+    x = f"CAST({q} AS DOUBLE)"
+    return (f"CASE WHEN abs({x}) >= {BIG!r} THEN CAST(printf('%.9e', {x}) AS DOUBLE) "
+            f"ELSE CAST(ROUND(CAST(CAST({x} + {nudge(d)!r} AS VARCHAR) AS DECIMAL(38, 15)), {d}) "
+            f"AS DOUBLE) END")
+
+
 def round_sql(inner: str, columns: list[str], doubles: set[str], digits: dict | None = None,
               default: int = 6) -> str:
     """Wrap ``inner`` so the listed double columns are rounded like ``round_df``."""
@@ -29,10 +55,5 @@ def round_sql(inner: str, columns: list[str], doubles: set[str], digits: dict |
     sel = []
     for c in columns:
         q = f'"{c}"'
-        if c in doubles:
-            # Round the shortest decimal representation half-up, as Spark does.
-            sel.append(f"CAST(ROUND(CAST(CAST(CAST({q} AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 15)), "
-                       f"{digits.get(c, default)}) AS DOUBLE) AS {q}")
-        else:
-            sel.append(q)
+        sel.append(f"{round_expr_sql(q, digits.get(c, default))} AS {q}" if c in doubles else q)
     return f"SELECT {', '.join(sel)} FROM ({inner}) AS _r"
