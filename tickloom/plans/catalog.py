@@ -141,3 +141,64 @@ _RAW.update({
     "model_gate": q_model_gate,
 })
 QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
+
+
+# ---------------------------------------------------------------- event bars, cleaning, quality
+HOUR_ORDER = ["date", "hour"]
+
+
+def hourly_event_bars(spark, sf_dir):
+    return B.ohlcv_bars(AD.tick_stream(spark, sf_dir), "hour")
+
+
+def q_hourly_event_bars(spark, sf_dir):
+    return hourly_event_bars(spark, sf_dir)
+
+
+def q_clean_event_bars(spark, sf_dir):
+    return C.clean_bars(hourly_event_bars(spark, sf_dir), order=HOUR_ORDER)
+
+
+def q_normalized_event_bars(spark, sf_dir):
+    cleaned = C.clean_bars(hourly_event_bars(spark, sf_dir), order=HOUR_ORDER)
+    return C.normalize_bars(cleaned, order=HOUR_ORDER)
+
+
+def q_chrono_split(spark, sf_dir):
+    return C.chrono_split(daily_bars(spark, sf_dir), ratio=0.7)
+
+
+def q_interpolated_panel(spark, sf_dir):
+    bb = M.brand_bars(spark, sf_dir)
+    panel = C.dense_panel(bb, step="7 days")
+    return C.interpolate_edges(panel)
+
+
+def q_latest_window(spark, sf_dir):
+    return C.latest_window(daily_bars(spark, sf_dir), n=30)
+
+
+def q_ingest_summary(spark, sf_dir):
+    return Q.ingest_summary(daily_bars(spark, sf_dir))
+
+
+def q_validate_dataset(spark, sf_dir):
+    return Q.validate_dataset(daily_bars(spark, sf_dir))
+
+
+def q_data_quality_gate(spark, sf_dir):
+    return Q.quality_gate_data(M.price_panel(spark, sf_dir))
+
+
+_RAW.update({
+    "hourly_event_bars": q_hourly_event_bars,
+    "clean_event_bars": q_clean_event_bars,
+    "normalized_event_bars": q_normalized_event_bars,
+    "chrono_split": q_chrono_split,
+    "interpolated_panel": q_interpolated_panel,
+    "latest_window": q_latest_window,
+    "ingest_summary": q_ingest_summary,
+    "validate_dataset": q_validate_dataset,
+    "data_quality_gate": q_data_quality_gate,
+})
+QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}

@@ -31,3 +31,11 @@ DIGITS.update({
     "quick_eval": {"final_value": 4, "total_return": 4},
     "model_gate": {"total_return": 4},
 })
+
+DIGITS.update({
+    "hourly_event_bars": dict(BAR_DIG),
+    "clean_event_bars": dict(BAR_DIG),
+    "chrono_split": dict(BAR_DIG),
+    "interpolated_panel": dict(BAR_DIG),
+    "latest_window": dict(BAR_DIG),
+})
