@@ -130,3 +130,84 @@ def add_volume_features(bars: DataFrame, windows=(5, 10, 20, 60), backfill: bool
     df = df.select(*ratios)
     return backfill_all(df, new, key, order) if backfill else df
 
+
+
+# ---------------------------------------------------------------- F-C cross-asset
+def _pair_moments(x, y, w, n):
+    """Rolling sample covariance / correlation over rows where both are
+    present; NULL until the frame holds n such rows (pandas pairwise rolling).
+    ``corr`` is NOT used: it raises on a constant frame under ANSI."""
+    both = x.isNotNull() & y.isNotNull()
+    xb, yb = F.when(both, x), F.when(both, y)
+    fr = w.rowsBetween(-(n - 1), 0)
+    ok = F.count(xb).over(fr) == n
+    cov = F.covar_samp(xb, yb).over(fr)
+    den = F.stddev_samp(xb).over(fr) * F.stddev_samp(yb).over(fr)
+    return F.when(ok, cov), F.when(ok, td(cov, den))
+
+
+def add_correlation_features(panel: DataFrame, windows=(10, 20, 60), backfill: bool = True,
+                             value: str = "close", others: DataFrame | None = None) -> DataFrame:
+    """rolling correlation of price LEVELS for every ordered pair, long
+    form (ticker, other, date, Corr_{n}d).  Computed once per unordered pair
+    and mirrored (correlation is symmetric)."""
+    from tickloom.operators.joins import mirror_pairs, pair_align
+    a = panel.select("ticker", "date", F.col(value).alias("x"))
+    if others is None:
+        b = panel.select(F.col("ticker").alias("other"), "date", F.col(value).alias("y"))
+        pairs = a.join(b, "date").filter(F.col("ticker") < F.col("other"))
+    else:
+        pairs = pair_align(panel, value, others=others)
+    w = series_window(["ticker", "other"], "date")
+    cols = ["ticker", "other", "date"]
+    out = [F.col(c) for c in cols]
+    names = []
+    for n in windows:
+        out.append(_pair_moments(F.col("x"), F.col("y"), w, n)[1].alias(f"Corr_{n}d"))
+        names.append(f"Corr_{n}d")
+    res = pairs.select(*out)
+    if backfill:
+        res = backfill_all(res, names, ["ticker", "other"], "date")
+    return res if others is not None else mirror_pairs(res)
+
+
+# ---------------------------------------------------------------- F-M market
+RF_DAILY = 0.01 / 252  # Fixed value: 1 % a year, daily.
+
+
+def add_market_features(bars: DataFrame, market: DataFrame, windows=(5, 10, 20, 60),
+                        backfill: bool = True, rf: float = RF_DAILY) -> DataFrame:
+    """F29–F32 against a market series ``market(date, close)`` aligned to each
+    bar date by a backward as-of join (D1): Beta, Alpha, Market_Corr and
+    Rel_Strength per window.  Market returns are taken on the ALIGNED series
+    (previous bar date's market level), as the reference does."""
+    from tickloom.operators.joins import asof_join
+    m = market.select("date", F.col("close").alias("m_close"))
+    df = asof_join(bars, m, on="date")
+    w = series_window("ticker", "date")
+    c, mc = F.col("close"), F.col("m_close")
+    df = df.select("*", (td(c, F.lag(c).over(w)) - 1).alias("_rs"),
+                   (td(mc, F.lag(mc).over(w)) - 1).alias("_rm"))
+    rs, rm = F.col("_rs"), F.col("_rm")
+    out = [F.col(x) for x in df.columns]
+    names = []
+    for n in windows:
+        cov, corr = _pair_moments(rs, rm, w, n)
+        var = full(F.var_samp(rm), rm, w, n)
+        beta = td(cov, var)
+        alpha = full(F.avg(rs), rs, w, n) - rf - beta * (full(F.avg(rm), rm, w, n) - rf)
+        rel = td(td(c, F.lag(c, n).over(w)), td(mc, F.lag(mc, n).over(w)))
+        out += [beta.alias(f"Beta_{n}d"), alpha.alias(f"Alpha_{n}d"),
+                corr.alias(f"Market_Corr_{n}d"), rel.alias(f"Rel_Strength_{n}d")]
+        names += [f"Beta_{n}d", f"Alpha_{n}d", f"Market_Corr_{n}d", f"Rel_Strength_{n}d"]
+    res = df.select(*out).drop("_rs", "_rm")
+    return backfill_all(res, names) if backfill else res
+
+
+# ---------------------------------------------------------------- F33
+def feature_stack(bars: DataFrame, backfill: bool = True) -> DataFrame:
+    """technical → price → volume stages on one bar table (the
+    cross-asset stage is long-form and joins on (ticker, date) on request)."""
+    t = add_technical_indicators(bars, backfill=backfill)
+    p = add_price_features(t, backfill=backfill)
+    return add_volume_features(p, backfill=backfill)

@@ -202,3 +202,29 @@ _RAW.update({
     "data_quality_gate": q_data_quality_gate,
 })
 QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
+
+
+# ---------------------------------------------------------------- cross-asset
+from tickloom.operators import joins as D  # noqa: E402
+
+
+def q_asof_market(spark, sf_dir):
+    m = M.market_index(spark, sf_dir).withColumnRenamed("close", "m_close")
+    return D.asof_join(M.brand_bars(spark, sf_dir), m, on="date")
+
+
+def q_pair_correlations(spark, sf_dir):
+    panel = C.dense_panel(M.brand_bars(spark, sf_dir), step="7 days")
+    return IND.add_correlation_features(panel)
+
+
+def q_market_features(spark, sf_dir):
+    return IND.add_market_features(M.brand_bars(spark, sf_dir), M.market_index(spark, sf_dir))
+
+
+_RAW.update({
+    "asof_market": q_asof_market,
+    "pair_correlations": q_pair_correlations,
+    "market_features": q_market_features,
+})
+QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}

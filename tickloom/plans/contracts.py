@@ -39,3 +39,8 @@ DIGITS.update({
     "interpolated_panel": dict(BAR_DIG),
     "latest_window": dict(BAR_DIG),
 })
+
+DIGITS.update({
+    "asof_market": {**BAR_DIG, "m_close": 4},
+    "market_features": {**BAR_DIG, "m_close": 4},
+})

@@ -41,3 +41,12 @@ def portfolio_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = bt.groupBy(F.col("supplier").cast("string").alias("portfolio_id"), "date", "ticker") \
         .agg(F.sum("volume").alias("raw"))
     return a.join(cal, "date").select("portfolio_id", "step", "ticker", "raw")
+
+
+def market_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(date, close): daily volume-weighted price over all line items — the
+    market series the weekly brand bars are as-of aligned to."""
+    from tickloom.sources.tables import table
+    li = table(spark, sf_dir, "lineitem")
+    return li.groupBy(F.to_date("l_shipdate").alias("date")).agg(
+        (F.sum("l_extendedprice") / F.sum("l_quantity")).alias("close"))

@@ -185,6 +185,6 @@ ORACLE = {
 
 
 def oracle_sql() -> dict[str, str]:
-    from tickloom.plans import oracle_clean, oracle_market
-    allq = {**ORACLE, **oracle_market.ORACLE, **oracle_clean.ORACLE}
+    from tickloom.plans import oracle_clean, oracle_cross, oracle_market
+    allq = {**ORACLE, **oracle_market.ORACLE, **oracle_clean.ORACLE, **oracle_cross.ORACLE}
     return {k: f() for k, f in allq.items()}
