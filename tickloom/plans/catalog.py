@@ -228,3 +228,62 @@ _RAW.update({
     "market_features": q_market_features,
 })
 QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
+
+
+# ---------------------------------------------------------------- monitoring
+from tickloom.operators import monitoring as J  # noqa: E402
+
+
+def q_api_counters(spark, sf_dir):
+    return J.counters(AD.api_log(spark, sf_dir))
+
+
+def q_latency_histogram(spark, sf_dir):
+    return J.histogram(AD.api_log(spark, sf_dir))
+
+
+def q_request_rates(spark, sf_dir):
+    return J.sliding_rates(AD.api_log(spark, sf_dir))
+
+
+def q_error_ratio(spark, sf_dir):
+    return J.error_ratio(AD.api_log(spark, sf_dir))
+
+
+def q_gauges(spark, sf_dir):
+    return J.gauges(AD.api_log(spark, sf_dir))
+
+
+def q_model_health(spark, sf_dir):
+    return J.model_health(AD.api_log(spark, sf_dir))
+
+
+def q_average_gauge(spark, sf_dir):
+    return J.average_gauge(AD.api_log(spark, sf_dir))
+
+
+def q_metrics_summary(spark, sf_dir):
+    return J.metrics_summary(AD.api_log(spark, sf_dir))
+
+
+def q_api_alerts(spark, sf_dir):
+    return J.api_alerts(AD.api_log(spark, sf_dir), spark)
+
+
+def q_up_down(spark, sf_dir):
+    return J.up_down(AD.api_log(spark, sf_dir), max_gap_seconds=3600)
+
+
+_RAW.update({
+    "api_counters": q_api_counters,
+    "latency_histogram": q_latency_histogram,
+    "request_rates": q_request_rates,
+    "error_ratio": q_error_ratio,
+    "gauges": q_gauges,
+    "model_health": q_model_health,
+    "average_gauge": q_average_gauge,
+    "metrics_summary": q_metrics_summary,
+    "api_alerts": q_api_alerts,
+    "up_down": q_up_down,
+})
+QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}

@@ -185,6 +185,7 @@ ORACLE = {
 
 
 def oracle_sql() -> dict[str, str]:
-    from tickloom.plans import oracle_clean, oracle_cross, oracle_market
-    allq = {**ORACLE, **oracle_market.ORACLE, **oracle_clean.ORACLE, **oracle_cross.ORACLE}
+    from tickloom.plans import oracle_clean, oracle_cross, oracle_market, oracle_monitoring
+    allq = {**ORACLE, **oracle_market.ORACLE, **oracle_clean.ORACLE, **oracle_cross.ORACLE,
+            **oracle_monitoring.ORACLE}
     return {k: f() for k, f in allq.items()}
