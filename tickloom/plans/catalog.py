@@ -287,3 +287,85 @@ _RAW.update({
     "up_down": q_up_down,
 })
 QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
+
+
+# ---------------------------------------------------------------- training log, registry
+from tickloom.operators import store as H  # noqa: E402
+from tickloom.operators import training_log as L  # noqa: E402
+
+# Check cadence scaled to the size of the per-user traces in the test data.
+TL = {"every": 10, "n": 5, "patience": 2, "min_step": 20}
+
+
+def _progress(spark, sf_dir):
+    return L.training_progress(AD.training_log(spark, sf_dir), TL["every"], TL["n"])
+
+
+def q_training_progress(spark, sf_dir):
+    return _progress(spark, sf_dir)
+
+
+def q_best_checkpoints(spark, sf_dir):
+    return L.best_checkpoints(_progress(spark, sf_dir))
+
+
+def q_early_stop(spark, sf_dir):
+    return L.early_stop(AD.training_log(spark, sf_dir), _progress(spark, sf_dir),
+                        TL["patience"], TL["min_step"])
+
+
+def q_training_summary(spark, sf_dir):
+    return L.training_summary(AD.training_log(spark, sf_dir), _progress(spark, sf_dir))
+
+
+def q_failure_ratio(spark, sf_dir):
+    return L.failure_ratio(AD.training_log(spark, sf_dir))
+
+
+def q_latest_model(spark, sf_dir):
+    return H.latest_model(AD.registry(spark, sf_dir))
+
+
+def q_latest_by_stage(spark, sf_dir):
+    return H.latest_by_stage(AD.registry(spark, sf_dir))
+
+
+def q_best_model(spark, sf_dir):
+    return H.best_model(AD.registry(spark, sf_dir))
+
+
+def q_registry_counts(spark, sf_dir):
+    return H.registry_counts(AD.registry(spark, sf_dir))
+
+
+def q_retain_latest(spark, sf_dir):
+    return H.retain_latest(AD.registry(spark, sf_dir), k=5)
+
+
+def q_feature_ids(spark, sf_dir):
+    """H1 over the feature catalog of every brand: one id per (brand, stage)."""
+    brands = M.brand_bars(spark, sf_dir).select("ticker").distinct()
+    stages = F.array(*[F.struct(F.lit(s).alias("category"), F.lit(w).alias("window"))
+                       for s, w in (("technical", "14"), ("price", "20"), ("volume", "20"),
+                                    ("correlation", "60"))])
+    cat = brands.select("ticker", F.explode(stages).alias("_s")).select(
+        "ticker", "_s.category", F.concat_ws("_", "ticker", "_s.category").alias("name"),
+        F.lit("v1").alias("version"), F.create_map(F.lit("window"), F.col("_s.window")).alias("params"))
+    return cat.select("ticker", "category", "name", "version",
+                      H.feature_id(F.col("name"), F.col("version"), F.col("params")).alias("id"))
+
+
+_RAW.update({
+    "training_progress": q_training_progress,
+    "best_checkpoints": q_best_checkpoints,
+    "early_stop": q_early_stop,
+    "training_summary": q_training_summary,
+    "failure_ratio": q_failure_ratio,
+    "latest_model": q_latest_model,
+    "latest_by_stage": q_latest_by_stage,
+    "best_model": q_best_model,
+    "registry_counts": q_registry_counts,
+    "retain_latest": q_retain_latest,
+    "feature_ids": q_feature_ids,
+})
+QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}

@@ -44,3 +44,8 @@ DIGITS.update({
     "asof_market": {**BAR_DIG, "m_close": 4},
     "market_features": {**BAR_DIG, "m_close": 4},
 })
+
+DIGITS.update({
+    "latest_model": {"metric": 2},
+    "best_model": {"metric": 2},
+})

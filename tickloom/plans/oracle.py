@@ -185,7 +185,8 @@ ORACLE = {
 
 
 def oracle_sql() -> dict[str, str]:
-    from tickloom.plans import oracle_clean, oracle_cross, oracle_market, oracle_monitoring
+    from tickloom.plans import (oracle_clean, oracle_cross, oracle_market, oracle_monitoring,
+                                oracle_ops)
     allq = {**ORACLE, **oracle_market.ORACLE, **oracle_clean.ORACLE, **oracle_cross.ORACLE,
-            **oracle_monitoring.ORACLE}
+            **oracle_monitoring.ORACLE, **oracle_ops.ORACLE}
     return {k: f() for k, f in allq.items()}
