@@ -369,3 +369,40 @@ _RAW.update({
     "feature_ids": q_feature_ids,
 })
 QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
+
+
+# ---------------------------------------------------------------- scoring
+from tickloom.operators import scoring as I  # noqa: E402
+
+
+def _scored(spark, sf_dir):
+    panel = M.price_panel(spark, sf_dir)
+    vol = I.asset_volatility(G.price_relatives(panel))
+    cur = I.current_weights(G.normalize_weights(M.portfolio_actions(spark, sf_dir)))
+    return I.score_portfolios(cur, vol, policy="inverse_vol")
+
+
+def q_window_stats(spark, sf_dir):
+    return I.window_stats(M.price_panel(spark, sf_dir), n=30)
+
+
+def q_score_allocations(spark, sf_dir):
+    return _scored(spark, sf_dir)
+
+
+def q_rebalance_decisions(spark, sf_dir):
+    return I.rebalance_decisions(_scored(spark, sf_dir))
+
+
+def q_weight_validation(spark, sf_dir):
+    cur = I.current_weights(G.normalize_weights(M.portfolio_actions(spark, sf_dir)))
+    return Q.validate_weights(cur)
+
+
+_RAW.update({
+    "window_stats": q_window_stats,
+    "score_allocations": q_score_allocations,
+    "rebalance_decisions": q_rebalance_decisions,
+    "weight_validation": q_weight_validation,
+})
+QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}

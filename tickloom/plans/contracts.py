@@ -49,3 +49,5 @@ DIGITS.update({
     "latest_model": {"metric": 2},
     "best_model": {"metric": 2},
 })
+
+DIGITS.update({"window_stats": {"mean": 4, "std": 4, "last": 4}})

@@ -186,7 +186,7 @@ ORACLE = {
 
 def oracle_sql() -> dict[str, str]:
     from tickloom.plans import (oracle_clean, oracle_cross, oracle_market, oracle_monitoring,
-                                oracle_ops)
+                                oracle_ops, oracle_scoring)
     allq = {**ORACLE, **oracle_market.ORACLE, **oracle_clean.ORACLE, **oracle_cross.ORACLE,
-            **oracle_monitoring.ORACLE, **oracle_ops.ORACLE}
+            **oracle_monitoring.ORACLE, **oracle_ops.ORACLE, **oracle_scoring.ORACLE}
     return {k: f() for k, f in allq.items()}
