@@ -149,3 +149,50 @@ def quick_eval(bt: DataFrame, key: str = "portfolio_id", max_steps: int = 100) -
         F.max_by("value", "step").alias("final_value"),
         (sd * 100).alias("volatility"),
         (F.avg("ret") / F.greatest(sd, F.lit(1e-6))).alias("sharpe_ratio"))
+
+
+def rolling_report(bt: DataFrame, key: str = "portfolio_id", order: str = "step") -> DataFrame:
+    """rolling annualised return (n = min(252, N//2), only when
+    N > n) and rolling volatility (n = min(30, N//4)), N = series length.
+
+    The frame length depends on the series, so each row carries its last 252
+    returns (a bounded frame) and the statistic is taken over the trailing
+    n of them."""
+    w = Window.partitionBy(key).orderBy(order)
+    whole = Window.partitionBy(key)
+    df = bt.select(key, order, "ret",
+                   F.count(F.lit(1)).over(whole).alias("n_total"),
+                   F.row_number().over(w).alias("_rn"),
+                   F.collect_list("ret").over(w.rowsBetween(-251, 0)).alias("_h"))
+    na = F.least(F.lit(252), F.floor(F.col("n_total") / 2).cast("int"))
+    nv = F.least(F.lit(30), F.floor(F.col("n_total") / 4).cast("int"))
+
+    def tail(n):
+        return F.slice("_h", -n, n)
+
+    def mean_of(a, n):
+        return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x) / n
+
+    a_ok = (F.col("n_total") > na) & (na > 0) & (F.col("_rn") >= na)
+    v_ok = (nv > 1) & (F.col("_rn") >= nv)
+    ta, tv = tail(na), tail(nv)
+    mv = mean_of(tv, nv)
+    var = F.aggregate(tv, F.lit(0.0), lambda acc, x: acc + (x - mv) * (x - mv)) / (nv - 1)
+    return df.select(key, order, "ret", na.alias("annual_window"), nv.alias("vol_window"),
+                     F.when(a_ok, mean_of(ta, na) * 252 * 100).alias("rolling_annual_return"),
+                     F.when(v_ok, F.sqrt(var) * SQRT252 * 100).alias("rolling_volatility"))
+
+
+def return_histogram(bt: DataFrame, bins: int = 50, lo: float | None = None,
+                     hi: float | None = None) -> DataFrame:
+    """distribution of returns in % over ``bins`` equal-width bins
+    between the observed min and max (two scalars from one aggregate)."""
+    r = F.col("ret") * 100
+    if lo is None or hi is None:
+        lo, hi = bt.agg(F.min(r), F.max(r)).first()
+    width = (hi - lo) / bins if hi > lo else 1.0
+    b = F.least(F.floor((r - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1))
+    g = bt.filter(F.col("ret").isNotNull()).groupBy(b.alias("bin")).agg(
+        F.count(F.lit(1)).alias("count"))
+    return g.select("bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lower"),
+                    (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("upper"), "count")

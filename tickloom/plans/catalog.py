@@ -406,3 +406,48 @@ _RAW.update({
     "weight_validation": q_weight_validation,
 })
 QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
+
+
+# ---------------------------------------------------------------- statistics, reports, feature sets
+from tickloom.operators import describe as E  # noqa: E402
+
+TENSOR_FEATURES = ("Open", "High", "Low", "Close", "Volume", "SMA", "EMA", "RSI", "BB_Width",
+                   "Volatility", "Volume_Change", "Daily_Return")
+
+
+def q_describe_bars(spark, sf_dir):
+    return E.describe(daily_bars(spark, sf_dir), ["open", "high", "low", "close", "volume", "n_ticks"])
+
+
+def q_array_stats_panel(spark, sf_dir):
+    return E.array_stats(M.price_panel(spark, sf_dir), ["open", "high", "low", "close", "volume"])
+
+
+def q_rolling_report(spark, sf_dir):
+    return PERF.rolling_report(G.backtest(*_bt_inputs(spark, sf_dir)))
+
+
+def q_return_histogram(spark, sf_dir):
+    return PERF.return_histogram(G.backtest(*_bt_inputs(spark, sf_dir)), bins=50)
+
+
+def q_feature_tensor(spark, sf_dir):
+    t = IND.add_technical_indicators(M.brand_bars(spark, sf_dir))
+    named = t.select("ticker", "date", *[F.col(c.lower()).alias(c) for c in TENSOR_FEATURES[:5]],
+                     *TENSOR_FEATURES[5:11], F.col("Returns").alias("Daily_Return"))
+    return C.feature_tensor(named, TENSOR_FEATURES, lookback=30)
+
+
+def q_feature_stack(spark, sf_dir):
+    return IND.feature_stack(daily_bars(spark, sf_dir))
+
+
+_RAW.update({
+    "describe_bars": q_describe_bars,
+    "array_stats_panel": q_array_stats_panel,
+    "rolling_report": q_rolling_report,
+    "return_histogram": q_return_histogram,
+    "feature_tensor": q_feature_tensor,
+    "feature_stack": q_feature_stack,
+})
+QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}

@@ -51,3 +51,12 @@ DIGITS.update({
 })
 
 DIGITS.update({"window_stats": {"mean": 4, "std": 4, "last": 4}})
+
+DIGITS.update({
+    "describe_bars": {"mean": 4, "std": 4, "min": 4, "max": 4, "p25": 4, "p50": 4, "p75": 4},
+    "array_stats_panel": {"mean": 4, "std": 4, "min": 4, "max": 4},
+    "rolling_report": {"rolling_annual_return": 4, "rolling_volatility": 4},
+    "feature_tensor": {"value": 4},
+    "feature_stack": {**DIGITS["technical_indicators"], **DIGITS["price_features"],
+                      **DIGITS["volume_features"]},
+})

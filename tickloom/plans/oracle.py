@@ -92,9 +92,10 @@ TECH_COLS = ["SMA", "EMA", "MACD", "MACD_Signal", "MACD_Diff", "RSI", "Stoch", "
              "BB_High", "BB_Low", "BB_Width", "Returns", "Volatility", "Volume_SMA", "Volume_Change"]
 
 
-def q_technical_indicators() -> str:
+def tech_inner(prefix: str = BARS) -> str:
+    """Technical stage over a ``bars`` CTE defined by ``prefix``."""
     bc = ", ".join(BAR_COLS)
-    inner = f"""WITH {BARS},
+    return f"""WITH {prefix},
 t0 AS (SELECT *, row_number() {over()} - 1 AS rn, lag(close) {over()} AS prev_c,
               lag(volume) {over()} AS prev_v FROM bars),
 t1 AS (SELECT *, CASE WHEN rn = 0 THEN 0.0 ELSE greatest(close - prev_c, 0.0) END AS up,
@@ -123,11 +124,15 @@ t6 AS (SELECT *, MACD - MACD_Signal AS MACD_Diff, SMA + 2 * sd14 AS BB_High, SMA
   FROM t5),
 t7 AS (SELECT *, {div('BB_High - BB_Low', 'close')} AS BB_Width FROM t6)
 SELECT {bc}, {', '.join(f'{bfill(c)} AS "{c}"' for c in TECH_COLS)} FROM t7"""
+
+
+def q_technical_indicators() -> str:
+    inner = tech_inner()
     cols = BAR_COLS + TECH_COLS
     return round_sql(inner, cols, BAR_DBL | set(TECH_COLS), digits("technical_indicators"))
 
 
-def q_price_features() -> str:
+def price_inner() -> tuple[str, list[str]]:
     bc = ", ".join(BAR_COLS)
     per = []
     for n in WINDOWS:
@@ -155,10 +160,15 @@ p1 AS (SELECT *, {div('close', 'prev_c')} - 1 AS Daily_Return, {', '.join(per)},
 p2 AS (SELECT *, greatest(High_Low, High_PrevClose, Low_PrevClose) AS True_Range FROM p1),
 p3 AS (SELECT *, {', '.join(per2)} FROM p2)
 SELECT {bc}, {', '.join(f'{bfill(c)} AS "{c}"' for c in new)} FROM p3"""
+    return inner, new
+
+
+def q_price_features() -> str:
+    inner, new = price_inner()
     return round_sql(inner, BAR_COLS + new, BAR_DBL | set(new), digits("price_features"))
 
 
-def q_volume_features() -> str:
+def volume_inner() -> tuple[str, list[str]]:
     bc = ", ".join(BAR_COLS)
     mf = f"{div('(close - low) - (high - close)', 'high - low')} * volume"
     new = ["Volume_Change"] + [f"Volume_MA_{n}d" for n in WINDOWS] + ["OBV"] + \
@@ -172,6 +182,11 @@ v1 AS (SELECT *, {div('volume', 'prev_v')} - 1 AS Volume_Change,
   FROM v0),
 v2 AS (SELECT *, {', '.join(f"{div('volume', f'Volume_MA_{n}d')} AS Volume_Ratio_{n}d" for n in WINDOWS)} FROM v1)
 SELECT {bc}, {', '.join(f'{bfill(c)} AS "{c}"' for c in new)} FROM v2"""
+    return inner, new
+
+
+def q_volume_features() -> str:
+    inner, new = volume_inner()
     return round_sql(inner, BAR_COLS + new, BAR_DBL | set(new), digits("volume_features"))
 
 
@@ -186,7 +201,8 @@ ORACLE = {
 
 def oracle_sql() -> dict[str, str]:
     from tickloom.plans import (oracle_clean, oracle_cross, oracle_market, oracle_monitoring,
-                                oracle_ops, oracle_scoring)
+                                oracle_ops, oracle_reports, oracle_scoring)
     allq = {**ORACLE, **oracle_market.ORACLE, **oracle_clean.ORACLE, **oracle_cross.ORACLE,
-            **oracle_monitoring.ORACLE, **oracle_ops.ORACLE, **oracle_scoring.ORACLE}
+            **oracle_monitoring.ORACLE, **oracle_ops.ORACLE, **oracle_scoring.ORACLE,
+            **oracle_reports.ORACLE}
     return {k: f() for k, f in allq.items()}
