@@ -451,3 +451,30 @@ _RAW.update({
     "feature_stack": q_feature_stack,
 })
 QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
+
+
+# ---------------------------------------------------------------- streaming
+import uuid  # noqa: E402
+
+from tickloom.session import scratch_path  # noqa: E402
+from tickloom.sources.tables import table  # noqa: E402
+from tickloom.streaming import ticks as K  # noqa: E402
+
+
+def q_stream_hourly_bars(spark, sf_dir):
+    """K1→K4→K3: the events table replayed as a file stream, hourly bars with
+    a 10-minute watermark in append mode, drained with ``availableNow`` into
+    a fresh folder under the shared checkpoint location."""
+    sch = table(spark, sf_dir, "events").schema
+    ev = K.read_ticks_stream(spark, sf_dir, "parquet", sch, glob="events.parquet")
+    ticks = ev.select(F.col("event_type").alias("ticker"), F.col("ts").cast("timestamp").alias("ts"),
+                      F.col("value").alias("price"),
+                      F.get_json_object("props", "$.k").cast("double").alias("volume"),
+                      F.struct(F.col("event_id").alias("k1")).alias("seq"))
+    base = scratch_path(spark, f"stream_hourly_bars/{uuid.uuid4().hex}")
+    K.drain(K.bars_stream(ticks, "1 hour", "10 minutes"), base + "/out", base + "/checkpoint")
+    return spark.read.parquet(base + "/out")
+
+
+_RAW.update({"stream_hourly_bars": q_stream_hourly_bars})
+QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}

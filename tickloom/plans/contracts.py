@@ -60,3 +60,5 @@ DIGITS.update({
     "feature_stack": {**DIGITS["technical_indicators"], **DIGITS["price_features"],
                       **DIGITS["volume_features"]},
 })
+
+DIGITS.update({"stream_hourly_bars": dict(BAR_DIG)})
