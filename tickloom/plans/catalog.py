@@ -478,3 +478,22 @@ def q_stream_hourly_bars(spark, sf_dir):
 
 _RAW.update({"stream_hourly_bars": q_stream_hourly_bars})
 QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
+
+
+# ---------------------------------------------------------------- sources
+from tickloom.sources import files as A  # noqa: E402
+
+
+def q_normalized_tickers(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("ticker"))
+    return A.normalize_tickers(part)
+
+
+def q_dataset_inventory(spark, sf_dir):
+    names = ("lineitem", "orders", "part", "events")
+    inv = A.dataset_inventory(spark, [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names])
+    return inv.select(F.element_at(F.split("file_path", "/"), -1).alias("file_name"), "n_rows")
+
+
+_RAW.update({"normalized_tickers": q_normalized_tickers, "dataset_inventory": q_dataset_inventory})
+QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}

@@ -106,7 +106,21 @@ SELECT ticker, category, name, version, md5(name || '_' || version || '_' || '{{
     return round_sql(inner, ["ticker", "category", "name", "version", "id"], set())
 
 
+def q_normalized_tickers():
+    inner = """SELECT p_partkey, upper(trim(p_brand)) AS ticker FROM part
+WHERE p_brand IS NOT NULL AND length(trim(p_brand)) > 0"""
+    return round_sql(inner, ["p_partkey", "ticker"], set())
+
+
+def q_dataset_inventory():
+    inner = " UNION ALL ".join(f"SELECT '{n}.parquet' AS file_name, count(*) AS n_rows FROM {n}"
+                               for n in ("lineitem", "orders", "part", "events"))
+    return round_sql(inner, ["file_name", "n_rows"], set())
+
+
 ORACLE = {
+    "normalized_tickers": q_normalized_tickers,
+    "dataset_inventory": q_dataset_inventory,
     "training_progress": q_training_progress,
     "best_checkpoints": q_best_checkpoints,
     "early_stop": q_early_stop,
