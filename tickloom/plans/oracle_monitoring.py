@@ -107,7 +107,7 @@ def q_metrics_summary():
     inner = f"""WITH {LOG} SELECT count(*) AS total_requests,
   CAST(sum(CASE WHEN status >= 500 THEN 1 ELSE 0 END) AS BIGINT) AS total_errors, avg(duration) AS avg_duration,
   count(DISTINCT endpoint) AS n_endpoints, count(DISTINCT portfolio_id) AS n_portfolios,
-  CAST(epoch(max(ts)) AS BIGINT) - CAST(epoch(min(ts)) AS BIGINT) AS uptime_seconds FROM log"""
+  CAST(floor(epoch(max(ts))) AS BIGINT) - CAST(floor(epoch(min(ts))) AS BIGINT) AS uptime_seconds FROM log"""
     return round_sql(inner, ["total_requests", "total_errors", "avg_duration", "n_endpoints", "n_portfolios",
                              "uptime_seconds"], {"avg_duration"})
 
@@ -129,8 +129,8 @@ ga AS (SELECT alert, endpoint, island, min(ts) AS since, max(ts) AS until, count
              max(value) AS peak_value, first(severity) AS severity, first(for_seconds) AS for_seconds
       FROM i GROUP BY alert, endpoint, island)
 SELECT alert, endpoint, since, until, evaluations, peak_value, severity,
-  CAST(epoch(until) - epoch(since) AS BIGINT) AS held_seconds,
-  CASE WHEN epoch(until) - epoch(since) >= for_seconds THEN 'firing' ELSE 'pending' END AS state
+  CAST(floor(epoch(until)) - floor(epoch(since)) AS BIGINT) AS held_seconds,
+  CASE WHEN floor(epoch(until)) - floor(epoch(since)) >= for_seconds THEN 'firing' ELSE 'pending' END AS state
 FROM ga"""
     cols = ["alert", "endpoint", "since", "until", "evaluations", "peak_value", "severity", "held_seconds", "state"]
     return round_sql(inner, cols, {"peak_value"})
