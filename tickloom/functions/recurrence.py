@@ -43,16 +43,25 @@ def ema_frame(close: pd.Series, window: int = 14, fast: int = 12, slow: int = 26
 
 
 def ema_columns(bars: DataFrame, window: int = 14, key: str = "ticker", order: str = "date",
-                close: str = "close") -> DataFrame:
-    """Append EMA, MACD, MACD_Signal, MACD_Diff and RSI per ``key`` series."""
+                close: str = "close", backfill_cols=()) -> DataFrame:
+    """Append EMA, MACD, MACD_Signal, MACD_Diff and RSI per ``key`` series and,
+    in the same pass, back-fill ``backfill_cols`` (next valid value).
+
+    Run it after the window stages: its grouping key is the attribute those
+    stages already partitioned on, so no further exchange is planned."""
     fields = list(bars.schema.fields) + [T.StructField(c, T.DoubleType(), True) for c in EMA_COLS]
     schema = T.StructType(fields)
+    names = {f.name for f in fields}
+    fill = list(dict.fromkeys(c for c in [*backfill_cols, *EMA_COLS] if c in names)) \
+        if backfill_cols else []
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        out = ema_frame(pdf[close].astype("float64"), window=window)
-        return pd.concat([pdf, out], axis=1)
+        out = pd.concat([pdf, ema_frame(pdf[close].astype("float64"), window=window)], axis=1)
+        if fill:
+            out[fill] = out[fill].bfill()
+        return out
 
     res = bars.groupBy(key).applyInPandas(per_series, schema=schema)
-    return res.select(*[nan_to_null(c).alias(c) if c in EMA_COLS else F.col(c)
+    return res.select(*[nan_to_null(c).alias(c) if c in EMA_COLS or c in fill else F.col(c)
                         for c in res.columns])

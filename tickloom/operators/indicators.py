@@ -33,17 +33,30 @@ def add_technical_indicators(bars: DataFrame, window: int = 14, vol_window: int
     The recursive EMA family (EMA, MACD, signal, RSI) comes from one grouped
     pandas pass per ticker (``ema_columns``); everything else is JVM windows.
     """
+    df = technical_windows(bars, window, vol_window, key, order)
+    new = [c for c in TECH_COLS if c not in bars.columns or c == "Volume_Change"]
+    df = ema_columns(df, window=window, key=key, order=order,
+                     backfill_cols=new if backfill else ())
+    return df.select(*bars.columns, *[c for c in TECH_COLS if c not in bars.columns])
+
+
+TECH_COLS = ["SMA", "EMA", "MACD", "MACD_Signal", "MACD_Diff", "RSI", "Stoch", "Stoch_Signal",
+             "BB_High", "BB_Low", "BB_Width", "Returns", "Volatility", "Volume_SMA", "Volume_Change"]
+
+
+def technical_windows(bars: DataFrame, window: int = 14, vol_window: int = 30,
+                      key: str = "ticker", order: str = "date") -> DataFrame:
+    """The JVM part of the technical stage (everything but the EMA family)."""
     w = series_window(key, order)
-    base = list(bars.columns)
     c, h, lo, v = F.col("close"), F.col("high"), F.col("low"), F.col("volume")
-    df = ema_columns(bars, window=window, key=key, order=order)
     prev_c = F.lag(c).over(w)
     sma = full(F.avg(c), c, w, window)
     sd = full(F.stddev_pop(c), c, w, window)
     lowest = full(F.min(lo), lo, w, window)
     highest = full(F.max(h), h, w, window)
-    df = df.select(
-        "*",
+    keep = [F.col(x) for x in bars.columns if x != "Volume_Change"]
+    df = bars.select(
+        *keep,
         sma.alias("SMA"),
         (sma + 2 * sd).alias("BB_High"),
         (sma - 2 * sd).alias("BB_Low"),
@@ -52,17 +65,12 @@ def add_technical_indicators(bars: DataFrame, window: int = 14, vol_window: int
         full(F.avg(v), v, w, window).alias("Volume_SMA"),
         (td(v, F.lag(v).over(w)) - 1).alias("Volume_Change"),
     )
-    df = df.select(
+    return df.select(
         "*",
         td(F.col("BB_High") - F.col("BB_Low"), c).alias("BB_Width"),
         full(F.avg("Stoch"), "Stoch", w, 3).alias("Stoch_Signal"),
         (full(F.stddev_samp("Returns"), "Returns", w, vol_window) * SQRT252).alias("Volatility"),
     )
-    cols = base + ["SMA", "EMA", "MACD", "MACD_Signal", "MACD_Diff", "RSI", "Stoch",
-                   "Stoch_Signal", "BB_High", "BB_Low", "BB_Width", "Returns", "Volatility",
-                   "Volume_SMA", "Volume_Change"]
-    df = df.select(*cols)
-    return backfill_all(df, cols[len(base):], key, order) if backfill else df
 
 
 # ---------------------------------------------------------------- F-P price
@@ -208,6 +216,11 @@ def add_market_features(bars: DataFrame, market: DataFrame, windows=(5, 10, 20,
 def feature_stack(bars: DataFrame, backfill: bool = True) -> DataFrame:
     """technical → price → volume stages on one bar table (the
     cross-asset stage is long-form and joins on (ticker, date) on request)."""
-    t = add_technical_indicators(bars, backfill=backfill)
-    p = add_price_features(t, backfill=backfill)
-    return add_volume_features(p, backfill=backfill)
+    base = list(bars.columns)
+    p = add_price_features(bars, backfill=False)
+    v = add_volume_features(p, backfill=False)
+    t = technical_windows(v)
+    new = [c for c in t.columns if c not in base]
+    out = ema_columns(t, backfill_cols=new if backfill else ())
+    return out.select(*base, *[c for c in TECH_COLS if c != "Volume_Change"],
+                      *[c for c in new if c not in TECH_COLS], "Volume_Change")
