@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.core import UNB, td
+from tickloom.functions.sequence import next_row, sequence_number
 
 # Histogram bucket upper bounds (seconds / score), in order.
 API_LATENCY_BUCKETS = (0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0)
@@ -215,10 +216,10 @@ def api_alerts(log: DataFrame, spark) -> DataFrame:
 
 def up_down(log: DataFrame, key: str = "endpoint", max_gap_seconds: int = 120) -> DataFrame:
     """Silences — consecutive events of a target further apart than
-    ``max_gap_seconds`` (target considered down in between)."""
-    w = Window.partitionBy(key).orderBy("ts", "event_id")
-    nxt = F.lead("ts").over(w)
-    df = log.select(key, "ts", nxt.alias("next_ts"))
+    ``max_gap_seconds`` (target considered down in between).  "Next event"
+    is a sequence-number equi-join, not a window over a target's whole log."""
+    seq = sequence_number(log.select(key, "ts", "event_id"), [key], ["ts", "event_id"])
+    df = next_row(seq, [key], ["ts"])
     gap = F.unix_timestamp("next_ts") - F.unix_timestamp("ts")
     return df.filter(gap > max_gap_seconds).select(
         key, F.col("ts").alias("down_from"), F.col("next_ts").alias("down_until"),

@@ -12,25 +12,34 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.core import UNB
+from tickloom.functions.sequence import sequence_number
 
 
 def with_steps(log: DataFrame, key: str = "run_id") -> DataFrame:
-    w = Window.partitionBy(key).orderBy("ts", "event_id")
-    return log.withColumn("step", F.row_number().over(w))
+    """step = position in the run by (ts, event_id), numbered without a
+    per-run window (a hot run is spread over many tasks)."""
+    return sequence_number(log, [key], ["ts", "event_id"], name="step")
 
 
 def training_progress(log: DataFrame, every: int = 1000, n: int = 100,
                       key: str = "run_id") -> DataFrame:
     """L1: at each check step (step % every == 0) once more than ``n`` rows
-    exist: mean / population std of the last ``n`` rewards and the last one."""
+    exist: mean / population std of the last ``n`` rewards and the last one.
+
+    Each row is routed to the check step(s) whose trailing n rows contain it
+    (at most ⌈n/every⌉ of them), and every check is one ``groupBy`` group —
+    partial aggregation, no window over a whole run."""
     df = with_steps(log, key)
-    w = Window.partitionBy(key).orderBy("step")
-    fr = w.rowsBetween(-(n - 1), 0)
-    df = df.select(key, "step", "reward",
-                   F.avg("reward").over(fr).alias("mean_reward"),
-                   F.stddev_pop("reward").over(fr).alias("std_reward"))
-    return df.filter(((F.col("step") % every) == 0) & (F.col("step") > n)) \
-        .select(key, "step", "mean_reward", "std_reward", F.col("reward").alias("last_reward"))
+    k = (n + every - 1) // every
+    first = F.ceil(F.col("step") / every) * every
+    checks = F.array(*[first + j * every for j in range(k)])
+    routed = df.select(key, "step", "reward", F.explode(checks).alias("check"))
+    routed = routed.filter((F.col("check") - F.col("step") < n) & (F.col("check") > n))
+    g = routed.groupBy(key, F.col("check").cast("long").alias("step")).agg(
+        F.avg("reward").alias("mean_reward"), F.stddev_pop("reward").alias("std_reward"),
+        F.max_by("reward", "step").alias("last_reward"), F.max("step").alias("_last"))
+    # A check exists only if the run reached that step.
+    return g.filter(F.col("_last") == F.col("step")).drop("_last")
 
 
 def _improvements(progress: DataFrame, key: str) -> DataFrame:
