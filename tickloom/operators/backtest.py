@@ -52,7 +52,7 @@ def price_relatives(prices: DataFrame, clip=(0.1, 10.0)) -> DataFrame:
     return prices.select("ticker", "step", rel.alias("rel"))
 
 
-def normalize_weights(actions: DataFrame) -> DataFrame:
+def normalize_weights(actions: DataFrame, min_total: float = 1e-8) -> DataFrame:
     """G1 (sparse): per (portfolio, step) any NaN/inf → equal weights; negatives
     → 0; Σ > 1e-8 → raw/Σ, else equal.  Returns only the explicit (positive)
     weights; an absent (portfolio, step) means equal weights."""
@@ -64,7 +64,7 @@ def normalize_weights(actions: DataFrame) -> DataFrame:
     total = F.sum(pos).over(g)
     df = actions.select("portfolio_id", "step", "ticker", pos.alias("pos"),
                         bad.alias("_bad"), total.alias("_tot"))
-    return df.filter((F.col("_bad") == 0) & (F.col("_tot") > 1e-8) & (F.col("pos") > 0)) \
+    return df.filter((F.col("_bad") == 0) & (F.col("_tot") > min_total) & (F.col("pos") > 0)) \
         .select("portfolio_id", "step", "ticker", (F.col("pos") / F.col("_tot")).alias("weight"))
 
 
@@ -125,7 +125,7 @@ def backtest(prices: DataFrame, actions: DataFrame, params: BacktestParams = Bac
 
 
 def value_path(growth: DataFrame, p: BacktestParams = BacktestParams(),
-               key: str = "portfolio_id") -> DataFrame:
+               key: str = "portfolio_id", mode: str = "close_hold") -> DataFrame:
     """G4/G6/G7 from per-step growth factors: running product, risk columns,
     reward and the stop rule.  Windows are per series over its steps."""
     w = Window.partitionBy(key).orderBy("step")
@@ -141,11 +141,15 @@ def value_path(growth: DataFrame, p: BacktestParams = BacktestParams(),
                    F.greatest(F.max("value").over(u), F.lit(v0)).alias("max_value"))
     dd = (F.col("max_value") - F.col("value")) / F.col("max_value")
     df = df.withColumn("drawdown", dd)
-    raw = p.reward_scaling * (F.col("ret") - p.return_rate - F.col("cost") / F.col("value")
-                              - p.risk_penalty * F.col("volatility") - 0.5 * F.col("drawdown"))
+    if mode == "close_hold":
+        raw = p.reward_scaling * (F.col("ret") - p.return_rate - F.col("cost") / F.col("value")
+                                  - p.risk_penalty * F.col("volatility") - 0.5 * F.col("drawdown"))
+        stop = F.col("value") <= p.stop_fraction * v0
+    else:  # open_drift: return·scale − 0.5·drawdown, stop below half the start
+        raw = F.col("ret") * p.reward_scaling - 0.5 * F.col("drawdown")
+        stop = F.col("value") < 0.5 * v0
     df = df.withColumn("reward", F.least(F.greatest(raw, F.lit(p.reward_min)), F.lit(p.reward_max)))
-    hit = F.max(F.when(F.col("value") <= p.stop_fraction * v0, 1).otherwise(0)) \
-        .over(w.rowsBetween(UNB, -1))
+    hit = F.max(F.when(stop, 1).otherwise(0)).over(w.rowsBetween(UNB, -1))
     df = df.withColumn("_ended", F.coalesce(hit, F.lit(0))).filter(F.col("_ended") == 0)
     return df.select(key, (F.col("step") + 1).alias("step"), "value", "ret", "cost", "volatility",
                      "max_value", "drawdown", "reward", "turnover")
@@ -169,3 +173,75 @@ def weights_report(actions: DataFrame) -> DataFrame:
     """Explicit weights over time per asset in long form (steps without
     rows hold equal weights)."""
     return normalize_weights(actions).select("portfolio_id", "step", "ticker", "weight")
+
+
+def open_relatives(prices: DataFrame) -> DataFrame:
+    """G2 (older variant): next/current OPEN, both floored at 1e-8, no clip;
+    the last step → 1."""
+    w = Window.partitionBy("ticker").orderBy("step")
+    nxt = F.lead("open").over(w)
+    rel = F.when(nxt.isNull(), F.lit(1.0)).otherwise(
+        F.greatest(nxt, F.lit(1e-8)) / F.greatest(F.col("open"), F.lit(1e-8)))
+    return prices.select("ticker", "step", rel.alias("rel"))
+
+
+def backtest_open_drift(prices: DataFrame, actions: DataFrame,
+                        params: BacktestParams = BacktestParams(),
+                        n_steps: int | None = None, n_assets: int | None = None) -> DataFrame:
+    """The older simulator.  NEW weights earn the open-to-open move, the
+    held weights then drift to a·p/Σa·p, and the turnover (capped at 2) is
+    measured against the drifted previous weights; stop below 0.5·V0.
+
+    The drifted weights depend only on step s−1, so the value path keeps its
+    closed form.  Equal-weight steps drift to p/Σp — one vector per step
+    (calendar × universe), joined where needed; explicit weights stay sparse."""
+    p = params
+    if n_steps is None or n_assets is None:
+        t, n = prices.agg(F.countDistinct("step"), F.countDistinct("ticker")).first()
+        n_steps = t if n_steps is None else n_steps
+        n_assets = n if n_assets is None else n_assets
+    first, last = step_range(n_steps, p.window)
+    inv_n = 1.0 / n_assets
+    rel = open_relatives(prices).filter(F.col("step").between(first, last))
+    per_step = Window.partitionBy("step")
+    # Equal weights after drift at step s, used as the "previous" weights at s+1.
+    e = rel.select("ticker", (F.col("step") + 1).alias("step"),
+                   (F.col("rel") / F.sum("rel").over(per_step)).alias("e"))
+    eq_turn = e.groupBy("step").agg(F.sum(F.abs(F.lit(inv_n) - F.col("e"))).alias("eq_turn"))
+    m_eq = rel.groupBy("step").agg(F.avg("rel").alias("m_eq"))
+
+    a = normalize_weights(actions, min_total=0.0).filter(F.col("step").between(first, last))
+    ar = a.join(rel, ["ticker", "step"])
+    grp = Window.partitionBy("portfolio_id", "step")
+    drift = ar.select("portfolio_id", (F.col("step") + 1).alias("step"), "ticker",
+                      (F.col("weight") * F.col("rel") / F.sum(F.col("weight") * F.col("rel")).over(grp))
+                      .alias("d")).filter(F.col("step") <= last)
+    m_sp = ar.groupBy("portfolio_id", "step").agg(F.sum(F.col("weight") * F.col("rel")).alias("m_sp"))
+    cur = a.select("portfolio_id", "step", "ticker", F.col("weight").alias("a"))
+    both = cur.join(drift, ["portfolio_id", "step", "ticker"], "full").join(e, ["ticker", "step"], "left")
+    av, dv, ev = F.col("a"), F.col("d"), F.col("e")
+    turn = both.groupBy("portfolio_id", "step").agg(
+        F.sum(F.abs(F.coalesce(av, F.lit(0.0)) - F.coalesce(dv, F.lit(0.0)))).alias("s_ad"),
+        F.sum(F.abs(av - inv_n)).alias("s_a_eq"),
+        F.sum(F.when(av.isNotNull(), F.abs(av - ev) - ev)).alias("s_a_e"),
+        F.sum(F.abs(F.lit(inv_n) - dv)).alias("s_d_eq"),
+        F.count(av).alias("kc"), F.count(dv).alias("kd"))
+    grid = actions.select("portfolio_id").distinct().select(
+        "portfolio_id", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("step"))
+    g = (grid.join(turn, ["portfolio_id", "step"], "left")
+         .join(m_sp, ["portfolio_id", "step"], "left")
+         .join(F.broadcast(m_eq), "step", "left")
+         .join(F.broadcast(eq_turn), "step", "left"))
+    kc, kd = F.coalesce(F.col("kc"), F.lit(0)), F.coalesce(F.col("kd"), F.lit(0))
+    at_start = F.col("step") == first
+    turnover = (F.when((kc > 0) & (kd > 0), F.col("s_ad"))
+                .when((kc > 0) & at_start, F.col("s_a_eq") + (n_assets - kc) * inv_n)
+                .when(kc > 0, F.col("s_a_e") + 1.0)
+                .when(kd > 0, F.col("s_d_eq") + (n_assets - kd) * inv_n)
+                .when(at_start, F.lit(0.0))
+                .otherwise(F.col("eq_turn")))
+    turnover = F.least(turnover, F.lit(2.0))
+    market = F.when(kc > 0, F.col("m_sp")).otherwise(F.col("m_eq"))
+    g = g.select("portfolio_id", "step", turnover.alias("turnover"),
+                 (market - p.cost * turnover).alias("growth"))
+    return value_path(g, p, mode="open_drift")

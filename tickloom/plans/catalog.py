@@ -497,3 +497,11 @@ def q_dataset_inventory(spark, sf_dir):
 
 _RAW.update({"normalized_tickers": q_normalized_tickers, "dataset_inventory": q_dataset_inventory})
 QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
+
+
+def q_backtest_open_drift(spark, sf_dir):
+    return G.backtest_open_drift(*_bt_inputs(spark, sf_dir))
+
+
+_RAW.update({"backtest_open_drift": q_backtest_open_drift})
+QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}

@@ -62,3 +62,5 @@ DIGITS.update({
 })
 
 DIGITS.update({"stream_hourly_bars": dict(BAR_DIG)})
+
+DIGITS.update({"backtest_open_drift": DIGITS["backtest"]})

@@ -241,3 +241,41 @@ ORACLE = {
     "quick_eval": q_quick_eval,
     "model_gate": q_model_gate,
 }
+
+
+DRIFT = """
+relo AS (SELECT ticker, step, CASE WHEN nxt IS NULL THEN 1.0 ELSE greatest(nxt, 1e-8) / greatest(open, 1e-8) END AS rel
+         FROM (SELECT ticker, step, open, lead(open) OVER (PARTITION BY ticker ORDER BY step) AS nxt FROM panel)),
+wz AS (SELECT portfolio_id, step, ticker, weight FROM wts WHERE tot > 0 AND weight > 0),
+hz AS (SELECT DISTINCT portfolio_id, step FROM wz),
+portz AS (SELECT DISTINCT portfolio_id FROM acts),
+tickz AS (SELECT DISTINCT ticker FROM bbars),
+ea AS (SELECT p.portfolio_id, c.step, t.ticker,
+          CASE WHEN h.portfolio_id IS NULL THEN 1.0 / prm.n ELSE coalesce(w.weight, 0.0) END AS a
+       FROM portz p CROSS JOIN cal c CROSS JOIN tickz t CROSS JOIN prm
+       LEFT JOIN hz h ON h.portfolio_id = p.portfolio_id AND h.step = c.step
+       LEFT JOIN wz w ON w.portfolio_id = p.portfolio_id AND w.step = c.step AND w.ticker = t.ticker
+       WHERE c.step BETWEEN prm.first_step AND prm.last_step),
+dr AS (SELECT e.portfolio_id, e.step + 1 AS step, e.ticker,
+          e.a * r.rel / sum(e.a * r.rel) OVER (PARTITION BY e.portfolio_id, e.step) AS d
+       FROM ea e JOIN relo r ON r.ticker = e.ticker AND r.step = e.step),
+st AS (SELECT e.portfolio_id, e.step, sum(e.a * r.rel) AS market,
+          least(sum(abs(e.a - CASE WHEN e.step = prm.first_step THEN 1.0 / prm.n ELSE d.d END)), 2.0) AS turnover
+       FROM ea e CROSS JOIN prm JOIN relo r ON r.ticker = e.ticker AND r.step = e.step
+       LEFT JOIN dr d ON d.portfolio_id = e.portfolio_id AND d.step = e.step AND d.ticker = e.ticker
+       GROUP BY e.portfolio_id, e.step),
+growth AS (SELECT portfolio_id, step, turnover, market - 0.0005 * turnover AS growth FROM st)"""
+
+PATH_DRIFT = PATH.replace(
+    "least(greatest(100.0 * (ret - 0.0001 - cost / value - 0.1 * volatility - 0.5 * (max_value - value) / max_value), -5.0), 5.0) AS reward",
+    "least(greatest(ret * 100.0 - 0.5 * (max_value - value) / max_value, -5.0), 5.0) AS reward").replace(
+    "CASE WHEN value <= 1000.0 THEN 1 ELSE 0 END", "CASE WHEN value < 5000.0 THEN 1 ELSE 0 END")
+
+
+def q_backtest_open_drift() -> str:
+    assert PATH_DRIFT != PATH
+    return round_sql(f"WITH {BRAND},{DRIFT},{PATH_DRIFT} SELECT * FROM res", BT_COLS, DBL_BT,
+                     digits("backtest"))
+
+
+ORACLE["backtest_open_drift"] = q_backtest_open_drift
