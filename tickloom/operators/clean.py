@@ -181,3 +181,44 @@ def feature_tensor(features: DataFrame, names, lookback: int = 30, key="ticker",
                for n in names]
     return kept.select(key, order, F.explode(F.array(*stacked)).alias("_f")).select(
         F.col("_f.feature").alias("feature"), key, order, F.col("_f.value").alias("value"))
+
+
+def observation_windows(panel: DataFrame, n: int = 30, features=("close",), key="ticker",
+                        order="step") -> DataFrame:
+    """The simulator's observation at step s — rows s−n … s−1 (the
+    current row EXCLUDED), left zero-padded when short, then z-scored per
+    feature with the population std of the padded window (std ≤ 1e-8 → 0).
+    Long form ``(ticker, step, feature, lag, value)``; lag 1 is the oldest."""
+    fwd, _, _ = _windows(key, order)
+    frame = fwd.rowsBetween(-n, -1)
+    hist = panel.select(key, order, *[F.collect_list(F.col(f).cast("double")).over(frame)
+                                      .alias(f"_h{i}") for i, f in enumerate(features)])
+    st = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"_h{i}").alias("h"))
+                             for i, f in enumerate(features)])).alias("_f")
+    df = hist.select(key, order, st).select(key, order, "_f.feature", "_f.h")
+    padded = F.concat(F.array_repeat(F.lit(0.0), F.lit(n) - F.size("h")), F.col("h"))
+    df = df.select(key, order, "feature", padded.alias("x"))
+    mean = F.aggregate("x", F.lit(0.0), lambda a, v: a + v) / n
+    df = df.select("*", mean.alias("_m"))
+    var = F.aggregate("x", F.lit(0.0), lambda a, v: a + (v - F.col("_m")) * (v - F.col("_m"))) / n
+    df = df.select("*", F.sqrt(var).alias("_s"))
+    z = F.transform("x", lambda v: F.when(F.col("_s") > 1e-8, (v - F.col("_m")) / F.col("_s"))
+                    .otherwise(F.lit(0.0)))
+    return df.select(key, order, "feature", F.posexplode(z).alias("lag", "value")) \
+        .select(key, order, "feature", (F.col("lag") + 1).alias("lag"), "value")
+
+
+# Substrings selecting each feature category (substring match,
+# so "MA" also takes SMA / EMA / MACD columns, as in the reference).
+CATEGORY_PATTERNS = {
+    "price": ("Open", "High", "Low", "Close", "Return", "MA", "Price"),
+    "volume": ("Volume", "OBV", "CMF"),
+    "technical": ("SMA", "EMA", "MACD", "RSI", "Stoch", "BB", "Volatility"),
+}
+
+
+def project_category(features: DataFrame, category: str, keys=("ticker", "date")) -> DataFrame:
+    """The columns of one feature category (plus the keys)."""
+    pats = CATEGORY_PATTERNS[category]
+    cols = [c for c in features.columns if c not in keys and any(p in c for p in pats)]
+    return features.select(*keys, *cols)

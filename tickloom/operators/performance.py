@@ -196,3 +196,12 @@ def return_histogram(bt: DataFrame, bins: int = 50, lo: float | None = None,
         F.count(F.lit(1)).alias("count"))
     return g.select("bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lower"),
                     (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("upper"), "count")
+
+
+def risk_ratios(core: DataFrame, rf: float = 0.02) -> DataFrame:
+    """The service's ratios on E5 output — Sharpe = (annual return − rf)
+    / volatility and Calmar = annual return / max drawdown (fractions)."""
+    ann, vol, dd = (F.col("annual_return") / 100, F.col("volatility") / 100,
+                    F.col("max_drawdown") / 100)
+    return core.select("portfolio_id", td(ann - rf, vol).alias("sharpe_rf"),
+                       td(ann, dd).alias("calmar_ratio"))

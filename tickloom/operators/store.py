@@ -119,3 +119,34 @@ def upsert_portfolio_weights(current: DataFrame, updates: DataFrame, tol: float
 def get_or_compute(requested: DataFrame, catalog: DataFrame, key: str = "ticker") -> DataFrame:
     """H6: the requested keys that have no stored feature yet (compute those)."""
     return requested.select(key).distinct().join(catalog.select(key), key, "left_anti")
+
+
+FEATURE_REF = "array<struct<id:string,name:string,ticker:string,category:string>>"
+
+
+def feature_set_members(sets: DataFrame, catalog: DataFrame) -> DataFrame:
+    """A feature set's member list (JSON array) exploded and joined
+    to the catalog by id."""
+    refs = sets.select("set_name", F.explode(F.from_json("features", FEATURE_REF)).alias("f"))
+    refs = refs.select("set_name", F.col("f.id").alias("id"), F.col("f.ticker").alias("ticker"),
+                       F.col("f.category").alias("category"))
+    return refs.join(catalog.select("id", "name", "version"), "id", "left")
+
+
+def list_features(catalog: DataFrame, entity_type: str | None = None,
+                  name: str | None = None) -> DataFrame:
+    """H5: optional predicates, newest first (a sort is the requested output)."""
+    df = catalog
+    if entity_type is not None:
+        df = df.filter(F.col("entity_type") == entity_type)
+    if name is not None:
+        df = df.filter(F.col("name") == name)
+    return df.orderBy(F.col("updated_at").desc(), F.col("id"))
+
+
+def run_report(training: DataFrame, evaluation: DataFrame, gate: DataFrame,
+               key: str = "portfolio_id") -> DataFrame:
+    """Training, evaluation and deployment facts joined into one row per
+    run, plus the row as JSON."""
+    j = training.join(evaluation, key, "left").join(gate, key, "left")
+    return j.withColumn("report", F.to_json(F.struct(*[F.col(c) for c in j.columns])))

@@ -505,3 +505,35 @@ def q_backtest_open_drift(spark, sf_dir):
 
 _RAW.update({"backtest_open_drift": q_backtest_open_drift})
 QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
+
+
+def q_observation_windows(spark, sf_dir):
+    return C.observation_windows(M.price_panel(spark, sf_dir), n=10, features=("close",))
+
+
+def q_risk_ratios(spark, sf_dir):
+    return PERF.risk_ratios(PERF.performance_core(G.backtest(*_bt_inputs(spark, sf_dir))))
+
+
+def q_price_category(spark, sf_dir):
+    feats = IND.feature_stack(daily_bars(spark, sf_dir))
+    return C.project_category(feats, "volume")
+
+
+def q_feature_set_members(spark, sf_dir):
+    """One feature set per brand (its four stage features, a list
+    bounded by the stage list) stored as a JSON array, then exploded and
+    joined back to the catalog."""
+    cat = q_feature_ids(spark, sf_dir)
+    sets = cat.groupBy(F.col("ticker").alias("set_name")).agg(
+        F.to_json(F.collect_list(F.struct("id", "name", "ticker", "category"))).alias("features"))
+    return H.feature_set_members(sets, cat.select("id", "name", "version"))
+
+
+_RAW.update({
+    "observation_windows": q_observation_windows,
+    "risk_ratios": q_risk_ratios,
+    "price_category": q_price_category,
+    "feature_set_members": q_feature_set_members,
+})
+QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}

@@ -64,3 +64,5 @@ DIGITS.update({
 DIGITS.update({"stream_hourly_bars": dict(BAR_DIG)})
 
 DIGITS.update({"backtest_open_drift": DIGITS["backtest"]})
+
+DIGITS.update({"price_category": DIGITS["feature_stack"]})

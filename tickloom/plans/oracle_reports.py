@@ -102,3 +102,58 @@ ORACLE = {
     "feature_tensor": q_feature_tensor,
     "feature_stack": q_feature_stack,
 }
+
+
+def q_observation_windows():
+    inner = f"""WITH {BRAND},
+lagk AS (SELECT CAST(range AS INTEGER) AS lag FROM range(1, 11)),
+o AS (SELECT p.ticker, p.step, k.lag, coalesce(q.close, 0.0) AS x
+      FROM panel p CROSS JOIN lagk k
+      LEFT JOIN panel q ON q.ticker = p.ticker AND q.step = p.step - 10 + k.lag - 1),
+s AS (SELECT *, avg(x) OVER (PARTITION BY ticker, step) AS m, stddev_pop(x) OVER (PARTITION BY ticker, step) AS sd FROM o)
+SELECT ticker, step, 'close' AS feature, lag, CASE WHEN sd > 1e-8 THEN (x - m) / sd ELSE 0.0 END AS value FROM s"""
+    return round_sql(inner, ["ticker", "step", "feature", "lag", "value"], {"value"})
+
+
+def q_risk_ratios():
+    from tickloom.plans.oracle_market import CORE
+    body = f""",
+core AS ({CORE})
+SELECT portfolio_id,
+  CASE WHEN volatility / 100 = 0 THEN NULL ELSE (annual_return / 100 - 0.02) / (volatility / 100) END AS sharpe_rf,
+  CASE WHEN max_drawdown / 100 = 0 THEN NULL ELSE (annual_return / 100) / (max_drawdown / 100) END AS calmar_ratio
+FROM core"""
+    return round_sql(_bt(body), ["portfolio_id", "sharpe_rf", "calmar_ratio"], {"sharpe_rf", "calmar_ratio"})
+
+
+def q_price_category():
+    from tickloom.operators.clean import CATEGORY_PATTERNS
+    p_inner, p_new = price_inner()
+    v_inner, v_new = volume_inner()
+    t_cols = [c for c in TECH_COLS if c != "Volume_Change"]
+    allc = t_cols + p_new + v_new
+    pick = [c for c in allc if any(p in c for p in CATEGORY_PATTERNS["volume"])]
+    src = {c: "t" for c in t_cols} | {c: "p" for c in p_new} | {c: "v" for c in v_new}
+    sel = ["t.ticker", "t.date"] + [f'{src[c]}."{c}"' for c in pick]
+    inner = f"""SELECT {', '.join(sel)} FROM ({tech_inner()}) t
+JOIN ({p_inner}) p ON t.ticker = p.ticker AND t.date = p.date
+JOIN ({v_inner}) v ON t.ticker = v.ticker AND t.date = v.date"""
+    return round_sql(inner, ["ticker", "date"] + pick, set(pick), digits("price_category"))
+
+
+def q_feature_set_members():
+    inner = f"""WITH {BRAND},
+st AS (SELECT * FROM (VALUES ('technical', '14'), ('price', '20'), ('volume', '20'), ('correlation', '60')) t(category, w)),
+c AS (SELECT b.ticker, st.category, b.ticker || '_' || st.category AS name, 'v1' AS version, st.w
+      FROM (SELECT DISTINCT ticker FROM bbars) b CROSS JOIN st)
+SELECT md5(name || '_' || version || '_' || '{{"window": ' || w || '}}') AS id, ticker AS set_name, ticker,
+       category, name, version FROM c"""
+    return round_sql(inner, ["id", "set_name", "ticker", "category", "name", "version"], set())
+
+
+ORACLE.update({
+    "observation_windows": q_observation_windows,
+    "risk_ratios": q_risk_ratios,
+    "price_category": q_price_category,
+    "feature_set_members": q_feature_set_members,
+})
