@@ -151,7 +151,7 @@ def value_path(growth: DataFrame, p: BacktestParams = BacktestParams(),
     df = df.withColumn("reward", F.least(F.greatest(raw, F.lit(p.reward_min)), F.lit(p.reward_max)))
     hit = F.max(F.when(stop, 1).otherwise(0)).over(w.rowsBetween(UNB, -1))
     df = df.withColumn("_ended", F.coalesce(hit, F.lit(0))).filter(F.col("_ended") == 0)
-    return df.select(key, (F.col("step") + 1).alias("step"), "value", "ret", "cost", "volatility",
+    return df.select(key, (F.col("step") + 1).cast("long").alias("step"), "value", "ret", "cost", "volatility",
                      "max_value", "drawdown", "reward", "turnover")
 
 

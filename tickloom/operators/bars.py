@@ -27,7 +27,7 @@ def ohlcv_bars(ticks: DataFrame, grain: str = "day", price: str = "price",
     p = F.col(price)
     order = F.when(p.isNotNull(), F.struct(F.col("ts"), F.col("seq")))
     if grain == "hour":
-        keys = [F.col("ticker"), F.to_date("ts").alias("date"), F.hour("ts").alias("hour")]
+        keys = [F.col("ticker"), F.to_date("ts").alias("date"), F.hour("ts").cast("long").alias("hour")]
     elif grain == "week":
         keys = [F.col("ticker"), F.to_date(F.date_trunc("week", "ts")).alias("date")]
     else:

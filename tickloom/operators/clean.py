@@ -102,7 +102,7 @@ def chrono_split(bars: DataFrame, ratio: float = 0.7, clamp: bool = True,
     cal = bars.select(order).distinct()
     # One ordered pass over the calendar (bounded by the number of periods).
     w = Window.orderBy(order)
-    cal = cal.select(order, (F.row_number().over(w) - 1).alias("period"),
+    cal = cal.select(order, (F.row_number().over(w) - 1).cast("long").alias("period"),
                      F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
     cut = F.floor(F.col("_n") * F.lit(ratio)).cast("long")
     if clamp:

@@ -23,7 +23,7 @@ def calendar_steps(bars: DataFrame, order: str = "date") -> DataFrame:
     """(date, step): rank of each period in the distinct calendar (one
     ordered pass over the calendar, bounded by the number of periods)."""
     cal = bars.select(order).distinct()
-    return cal.select(order, (F.row_number().over(Window.orderBy(order)) - 1).alias("step"))
+    return cal.select(order, (F.row_number().over(Window.orderBy(order)) - 1).cast("long").alias("step"))
 
 
 def price_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,7 +111,7 @@ def bars_stream(ticks: DataFrame, width: str = "1 hour", delay: str = "10 minute
         F.max_by(p, order).alias("close"), F.sum(F.col(volume)).alias("volume"),
         F.count(F.lit(1)).alias("n_ticks"))
     start = F.col("w.start")
-    return g.select("ticker", F.to_date(start).alias("date"), F.hour(start).alias("hour"),
+    return g.select("ticker", F.to_date(start).alias("date"), F.hour(start).cast("long").alias("hour"),
                     "open", "high", "low", "close", "volume", "n_ticks")
 
 
