@@ -23,15 +23,19 @@ _NUM = re.compile(r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$")
 
 # ---------------------------------------------------------------- A1 / A2
 def read_ohlcv(spark: SparkSession, path: str, layout: str = "auto") -> DataFrame:
-    """Read a market CSV.  Two header rows (feature, ticker) are used only
-    when the second line is non-numeric (the reference also accepted a
-    one-row header there and ate the first data row).  Wide columns are
+    """Read a market CSV.  Two header rows (feature, ticker) are used when
+    the first line repeats feature names or the second line is non-numeric
+    (the reference also accepted a one-row header there and ate the first
+    data row).  Wide columns are
     named ``Feature__TICKER``; the first column is the date."""
     lines = spark.read.text(path).limit(2).collect()
     first = [c.strip() for c in lines[0].value.split(",")]
     second = [c.strip() for c in lines[1].value.split(",")] if len(lines) > 1 else []
-    two_rows = layout == "wide" or (
-        layout == "auto" and second and not any(_NUM.match(c) for c in second[1:] if c))
+    # A two-level (feature, ticker) header repeats each feature name; failing
+    # that, a non-numeric second line is a header too.
+    repeated = len(set(first[1:])) < len(first[1:])
+    two_rows = layout == "wide" or (layout == "auto" and bool(second) and (
+        repeated or not any(_NUM.match(c) for c in second[1:] if c)))
     if first and first[0].startswith("Unnamed"):
         raise ValueError("level-0 header starts with 'Unnamed'")
     raw = spark.read.option("header", False).option("inferSchema", False).csv(path)
@@ -42,7 +46,7 @@ def read_ohlcv(spark: SparkSession, path: str, layout: str = "auto") -> DataFram
     heads = {first[0]} | ({second[0]} if two_rows else set())
     df = df.filter(~F.coalesce(F.col("date"), F.lit("")).isin(*heads))
     out = [F.to_date(F.col("date")).alias("date")]
-    out += [F.try_cast(F.col(f"`{c}`"), "double").alias(c) for c in names[1:]]
+    out += [F.col(f"`{c}`").try_cast("double").alias(c) for c in names[1:]]
     return df.select(*out)
 
 
