@@ -66,9 +66,20 @@ from tickloom.operators import quality as Q  # noqa: E402
 from tickloom.plans import market as M  # noqa: E402
 
 
+class _Inputs(tuple):
+    """(panel, actions) plus the calendar facts the back-tests need."""
+
+
 def _bt_inputs(spark, sf_dir):
-    panel = M.price_panel(spark, sf_dir)
-    return panel, M.portfolio_actions(spark, sf_dir)
+    panel, acts, t, n = M.backtest_inputs(spark, sf_dir)
+    out = _Inputs((panel, acts))
+    out.n_steps, out.n_assets = t, n
+    return out
+
+
+def _run_bt(spark, sf_dir):
+    i = _bt_inputs(spark, sf_dir)
+    return G.backtest(i[0], i[1], n_steps=i.n_steps, n_assets=i.n_assets)
 
 
 def q_brand_weekly_bars(spark, sf_dir):
@@ -89,7 +100,7 @@ def q_portfolio_weights(spark, sf_dir):
 
 
 def q_backtest(spark, sf_dir):
-    return G.backtest(*_bt_inputs(spark, sf_dir))
+    return _run_bt(spark, sf_dir)
 
 
 def q_equal_weight_benchmark(spark, sf_dir):
@@ -97,28 +108,29 @@ def q_equal_weight_benchmark(spark, sf_dir):
 
 
 def q_performance_core(spark, sf_dir):
-    return PERF.performance_core(G.backtest(*_bt_inputs(spark, sf_dir)))
+    return PERF.performance_core(_run_bt(spark, sf_dir))
 
 
 def q_drawdown_report(spark, sf_dir):
-    return PERF.drawdown_series(G.backtest(*_bt_inputs(spark, sf_dir)))
+    return PERF.drawdown_series(_run_bt(spark, sf_dir))
 
 
 def q_performance_advanced(spark, sf_dir):
-    return PERF.performance_advanced(PERF.drawdown_series(G.backtest(*_bt_inputs(spark, sf_dir))))
+    return PERF.performance_advanced(PERF.drawdown_series(_run_bt(spark, sf_dir)))
 
 
 def q_benchmark_compare(spark, sf_dir):
-    panel, acts = _bt_inputs(spark, sf_dir)
-    return PERF.benchmark_compare(G.backtest(panel, acts), G.equal_weight_benchmark(panel))
+    i = _bt_inputs(spark, sf_dir)
+    return PERF.benchmark_compare(G.backtest(i[0], i[1], n_steps=i.n_steps, n_assets=i.n_assets),
+                                  G.equal_weight_benchmark(i[0], n_steps=i.n_steps))
 
 
 def q_quick_eval(spark, sf_dir):
-    return PERF.quick_eval(G.backtest(*_bt_inputs(spark, sf_dir)))
+    return PERF.quick_eval(_run_bt(spark, sf_dir))
 
 
 def q_model_gate(spark, sf_dir):
-    core = PERF.performance_core(G.backtest(*_bt_inputs(spark, sf_dir)))
+    core = PERF.performance_core(_run_bt(spark, sf_dir))
     m = core.select("portfolio_id", "mean_reward", "total_return", "sharpe",
                     (F.col("max_drawdown") / 100).alias("max_drawdown"))
     return Q.quality_gate_model(m)
@@ -424,11 +436,13 @@ def q_array_stats_panel(spark, sf_dir):
 
 
 def q_rolling_report(spark, sf_dir):
-    return PERF.rolling_report(G.backtest(*_bt_inputs(spark, sf_dir)))
+    return PERF.rolling_report(_run_bt(spark, sf_dir))
 
 
 def q_return_histogram(spark, sf_dir):
-    return PERF.return_histogram(G.backtest(*_bt_inputs(spark, sf_dir)), bins=50)
+    # The bin edges need the return range first: materialise the back-test
+    # once (reliable checkpoint) instead of computing it twice.
+    return PERF.return_histogram(_run_bt(spark, sf_dir).checkpoint(eager=True), bins=50)
 
 
 def q_feature_tensor(spark, sf_dir):
@@ -500,7 +514,8 @@ QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
 
 
 def q_backtest_open_drift(spark, sf_dir):
-    return G.backtest_open_drift(*_bt_inputs(spark, sf_dir))
+    i = _bt_inputs(spark, sf_dir)
+    return G.backtest_open_drift(i[0], i[1], n_steps=i.n_steps, n_assets=i.n_assets)
 
 
 _RAW.update({"backtest_open_drift": q_backtest_open_drift})
@@ -512,7 +527,7 @@ def q_observation_windows(spark, sf_dir):
 
 
 def q_risk_ratios(spark, sf_dir):
-    return PERF.risk_ratios(PERF.performance_core(G.backtest(*_bt_inputs(spark, sf_dir))))
+    return PERF.risk_ratios(PERF.performance_core(_run_bt(spark, sf_dir)))
 
 
 def q_price_category(spark, sf_dir):

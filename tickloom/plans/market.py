@@ -26,23 +26,42 @@ def calendar_steps(bars: DataFrame, order: str = "date") -> DataFrame:
     return cal.select(order, (F.row_number().over(Window.orderBy(order)) - 1).cast("long").alias("step"))
 
 
-def price_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def materialized_brand_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly brand bars written once to the shared checkpoint folder.
+
+    The panel, the calendar and the back-test read a few scalars from them
+    (bounds, number of periods and assets); materialising the small
+    aggregate keeps each of those from re-scanning the line items, and the
+    written copy survives executor loss (reliable checkpoint, not local)."""
+    from tickloom.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return brand_bars(spark, sf_dir).checkpoint(eager=True)
+
+
+def price_panel(spark: SparkSession, sf_dir: str, bb: DataFrame | None = None) -> DataFrame:
     """(ticker, date, step, open, high, low, close, volume), dense and repaired."""
-    bb = brand_bars(spark, sf_dir)
+    bb = bb if bb is not None else materialized_brand_bars(spark, sf_dir)
     panel = C.dense_panel(bb, step="7 days")
     panel = C.repair_prices(C.sanitize(panel))
     return panel.join(calendar_steps(bb), "date")
 
 
-def portfolio_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def portfolio_actions(spark: SparkSession, sf_dir: str, bb: DataFrame | None = None) -> DataFrame:
     """(portfolio_id, step, ticker, raw): supplier × week × brand quantity."""
     bt = AD.brand_ticks(spark, sf_dir)
-    cal = calendar_steps(B.ohlcv_bars(bt, "week"))
+    cal = calendar_steps(bb if bb is not None else B.ohlcv_bars(bt, "week"))
     a = bt.groupBy(F.col("supplier").cast("string").alias("portfolio_id"), "date", "ticker") \
         .agg(F.sum("volume").alias("raw"))
     return a.join(cal, "date").select("portfolio_id", "step", "ticker", "raw")
 
 
+def backtest_inputs(spark: SparkSession, sf_dir: str):
+    """(panel, actions, n_steps, n_assets) from one materialised bar table."""
+    bb = materialized_brand_bars(spark, sf_dir)
+    n_steps, n_assets = bb.agg(F.countDistinct("date"), F.countDistinct("ticker")).first()
+    return price_panel(spark, sf_dir, bb), portfolio_actions(spark, sf_dir, bb), n_steps, n_assets
+
+
 def market_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(date, close): daily volume-weighted price over all line items — the
     market series the weekly brand bars are as-of aligned to."""
