@@ -74,3 +74,41 @@ def rounded(df, digits: int = 6, exclude=()):
         else:
             out.append(F.col(f.name))
     return df.select(*out)
+
+
+class Rolling:
+    """Trailing-frame aggregates computed once per (function, column, n).
+
+    Catalyst evaluates each window expression it is given, including exact
+    repeats; indicator stages reuse the same ``count(c)`` / ``avg(c)`` frames
+    many times, so expressions are registered here, materialised by
+    ``apply`` in one projection (one Window node), then referenced by name."""
+
+    def __init__(self, w: WindowSpec):
+        self.w = w
+        self.exprs: dict[str, Column] = {}
+
+    def agg(self, fn: str, c: str, n: int) -> Column:
+        alias = f"_r_{fn}_{c}_{n}"
+        if alias not in self.exprs:
+            self.exprs[alias] = getattr(F, fn)(F.col(c)).over(trailing(self.w, n))
+        return F.col(alias)
+
+    def full(self, fn: str, c: str, n: int) -> Column:
+        """pandas ``rolling(n).fn()``: NULL until n non-null values."""
+        return F.when(self.agg("count", c, n) == n, self.agg(fn, c, n))
+
+    def lag(self, c: str, k: int = 1) -> Column:
+        alias = f"_r_lag_{c}_{k}"
+        if alias not in self.exprs:
+            self.exprs[alias] = F.lag(F.col(c), k).over(self.w)
+        return F.col(alias)
+
+    def apply(self, df):
+        out = df.select("*", *[e.alias(a) for a, e in self.exprs.items()])
+        self.exprs = {}
+        return out
+
+
+def drop_temp(df):
+    return df.drop(*[c for c in df.columns if c.startswith("_r_")])

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.core import UNB, backfill_all, full, series_window, td
+from tickloom.functions.core import UNB, Rolling, backfill_all, drop_temp, full, series_window, td
 from tickloom.functions.recurrence import ema_columns
 
 SQRT252 = math.sqrt(252.0)
@@ -33,12 +33,13 @@ def add_technical_indicators(bars: DataFrame, window: int = 14, vol_window: int
     The recursive EMA family (EMA, MACD, signal, RSI) comes from one grouped
     pandas pass per ticker (``ema_columns``); everything else is JVM windows.
     """
-    df = technical_windows(bars, window, vol_window, key, order)
+    # The recurrence pass runs first, on the narrow bar table: only ~13
+    # columns cross into Python, the window stage then re-partitions once.
+    df = ema_columns(bars, window=window, key=key, order=order)
+    df = technical_windows(df, window, vol_window, key, order)
+    out = df.select(*bars.columns, *[c for c in TECH_COLS if c not in bars.columns])
     new = [c for c in TECH_COLS if c not in bars.columns or c == "Volume_Change"]
-    df = ema_columns(df, window=window, key=key, order=order,
-                     backfill_cols=new if backfill else ())
-    return df.select(*bars.columns, *[c for c in TECH_COLS if c not in bars.columns])
-
+    return backfill_all(out, new, key, order) if backfill else out
 
 TECH_COLS = ["SMA", "EMA", "MACD", "MACD_Signal", "MACD_Diff", "RSI", "Stoch", "Stoch_Signal",
              "BB_High", "BB_Low", "BB_Width", "Returns", "Volatility", "Volume_SMA", "Volume_Change"]
@@ -47,40 +48,36 @@ TECH_COLS = ["SMA", "EMA", "MACD", "MACD_Signal", "MACD_Diff", "RSI", "Stoch", "
 def technical_windows(bars: DataFrame, window: int = 14, vol_window: int = 30,
                       key: str = "ticker", order: str = "date") -> DataFrame:
     """The JVM part of the technical stage (everything but the EMA family)."""
-    w = series_window(key, order)
-    c, h, lo, v = F.col("close"), F.col("high"), F.col("low"), F.col("volume")
-    prev_c = F.lag(c).over(w)
-    sma = full(F.avg(c), c, w, window)
-    sd = full(F.stddev_pop(c), c, w, window)
-    lowest = full(F.min(lo), lo, w, window)
-    highest = full(F.max(h), h, w, window)
-    keep = [F.col(x) for x in bars.columns if x != "Volume_Change"]
-    df = bars.select(
-        *keep,
-        sma.alias("SMA"),
-        (sma + 2 * sd).alias("BB_High"),
-        (sma - 2 * sd).alias("BB_Low"),
+    r = Rolling(series_window(key, order))
+    c, v = F.col("close"), F.col("volume")
+    n = window
+    sma = r.full("avg", "close", n)
+    sd = r.full("stddev_pop", "close", n)
+    lowest, highest = r.full("min", "low", n), r.full("max", "high", n)
+    prev_c, prev_v = r.lag("close"), r.lag("volume")
+    vsma = r.full("avg", "volume", n)
+    df = r.apply(bars.drop("Volume_Change") if "Volume_Change" in bars.columns else bars)
+    df = df.select(
+        *[x for x in df.columns if not x.startswith("_r_")],
+        sma.alias("SMA"), (sma + 2 * sd).alias("BB_High"), (sma - 2 * sd).alias("BB_Low"),
         (100 * td(c - lowest, highest - lowest)).alias("Stoch"),
-        (td(c, prev_c) - 1).alias("Returns"),
-        full(F.avg(v), v, w, window).alias("Volume_SMA"),
-        (td(v, F.lag(v).over(w)) - 1).alias("Volume_Change"),
-    )
-    return df.select(
-        "*",
-        td(F.col("BB_High") - F.col("BB_Low"), c).alias("BB_Width"),
-        full(F.avg("Stoch"), "Stoch", w, 3).alias("Stoch_Signal"),
-        (full(F.stddev_samp("Returns"), "Returns", w, vol_window) * SQRT252).alias("Volatility"),
-    )
+        (td(c, prev_c) - 1).alias("Returns"), vsma.alias("Volume_SMA"),
+        (td(v, prev_v) - 1).alias("Volume_Change"))
+    stoch_sig = r.full("avg", "Stoch", 3)
+    vol = r.full("stddev_samp", "Returns", vol_window) * SQRT252
+    df = r.apply(df)
+    return drop_temp(df.select(
+        "*", td(F.col("BB_High") - F.col("BB_Low"), c).alias("BB_Width"),
+        stoch_sig.alias("Stoch_Signal"), vol.alias("Volatility")))
 
 
 # ---------------------------------------------------------------- F-P price
 def add_price_features(bars: DataFrame, windows=(5, 10, 20, 60), backfill: bool = True,
                        key: str = "ticker", order: str = "date") -> DataFrame:
-    w = series_window(key, order)
+    r = Rolling(series_window(key, order))
     c, h, lo = F.col("close"), F.col("high"), F.col("low")
-    prev_c = F.lag(c).over(w)
-    out = [F.col(x) for x in bars.columns]
-    new = []
+    prev_c = r.lag("close")
+    new, out = [], []
 
     def add(expr, name):
         out.append(expr.alias(name))
@@ -88,27 +85,26 @@ def add_price_features(bars: DataFrame, windows=(5, 10, 20, 60), backfill: bool
 
     add(td(c, prev_c) - 1, "Daily_Return")
     for n in windows:
-        add(td(c, F.lag(c, n).over(w)) - 1, f"Return_{n}d")
-        add(full(F.avg(c), c, w, n), f"MA_{n}d")
-        add(full(F.stddev_samp(c), c, w, n), f"Std_{n}d")
-        add(full(F.max(c), c, w, n), f"Max_{n}d")
-        add(full(F.min(c), c, w, n), f"Min_{n}d")
-    hl = h - lo
-    hpc = F.abs(h - prev_c)
-    lpc = F.abs(lo - prev_c)
+        add(td(c, r.lag("close", n)) - 1, f"Return_{n}d")
+        add(r.full("avg", "close", n), f"MA_{n}d")
+        add(r.full("stddev_samp", "close", n), f"Std_{n}d")
+        add(r.full("max", "close", n), f"Max_{n}d")
+        add(r.full("min", "close", n), f"Min_{n}d")
+    hl, hpc, lpc = h - lo, F.abs(h - prev_c), F.abs(lo - prev_c)
     add(hl, "High_Low")
     add(hpc, "High_PrevClose")
     add(lpc, "Low_PrevClose")
     add(F.greatest(hl, hpc, lpc), "True_Range")
-    df = bars.select(*out)
-    more = [F.col(x) for x in df.columns]
+    df = r.apply(bars)
+    df = df.select(*bars.columns, *out)
+    more = []
     for n in windows:
         ma = F.col(f"MA_{n}d")
-        more.append(td(c, ma).alias(f"Price_to_MA_{n}d"))
-        more.append((td(c - ma, ma) * 100).alias(f"Price_MA_{n}d_Gap"))
-        more.append(full(F.avg("True_Range"), "True_Range", w, n).alias(f"ATR_{n}d"))
+        more += [td(c, ma).alias(f"Price_to_MA_{n}d"), (td(c - ma, ma) * 100).alias(f"Price_MA_{n}d_Gap"),
+                 r.full("avg", "True_Range", n).alias(f"ATR_{n}d")]
         new += [f"Price_to_MA_{n}d", f"Price_MA_{n}d_Gap", f"ATR_{n}d"]
-    df = df.select(*more)
+    df = r.apply(df)
+    df = df.select(*bars.columns, *[x for x in new if x in df.columns], *more)
     return backfill_all(df, new, key, order) if backfill else df
 
 
@@ -116,30 +112,29 @@ def add_price_features(bars: DataFrame, windows=(5, 10, 20, 60), backfill: bool
 def add_volume_features(bars: DataFrame, windows=(5, 10, 20, 60), backfill: bool = True,
                         key: str = "ticker", order: str = "date") -> DataFrame:
     w = series_window(key, order)
+    r = Rolling(w)
     c, h, lo, v = F.col("close"), F.col("high"), F.col("low"), F.col("volume")
-    out = [F.col(x) for x in bars.columns if x != "Volume_Change"]
+    base = [x for x in bars.columns if x != "Volume_Change"]
+    src = bars.select(*base, (td((c - lo) - (h - c), h - lo) * v).alias("_mf"))
+    out = [(td(v, r.lag("volume")) - 1).alias("Volume_Change")]
     new = ["Volume_Change"]
-    out.append((td(v, F.lag(v).over(w)) - 1).alias("Volume_Change"))
-    mf = td((c - lo) - (h - c), h - lo) * v
     for n in windows:
-        out.append(full(F.avg(v), v, w, n).alias(f"Volume_MA_{n}d"))
+        out.append(r.full("avg", "volume", n).alias(f"Volume_MA_{n}d"))
         new.append(f"Volume_MA_{n}d")
-    step = F.coalesce(F.signum(c - F.lag(c).over(w)) * v, F.lit(0.0))
-    out.append(F.sum(step).over(w.rowsBetween(UNB, 0)).alias("OBV"))
-    new.append("OBV")
+    step = F.coalesce(F.signum(c - r.lag("close")) * v, F.lit(0.0))
     for n in windows:
-        out.append(td(full(F.sum(mf), mf, w, n), full(F.sum(v), v, w, n)).alias(f"CMF_{n}d"))
+        out.append(td(r.full("sum", "_mf", n), r.full("sum", "volume", n)).alias(f"CMF_{n}d"))
         new.append(f"CMF_{n}d")
-    df = bars.select(*out)
-    ratios = [F.col(x) for x in df.columns]
-    for n in windows:
-        ratios.append(td(v, F.col(f"Volume_MA_{n}d")).alias(f"Volume_Ratio_{n}d"))
-        new.append(f"Volume_Ratio_{n}d")
-    df = df.select(*ratios)
+    df = r.apply(src)
+    df = df.select(*base, *out, step.alias("_step"))
+    df = df.select(*base, *new, F.sum("_step").over(w.rowsBetween(UNB, 0)).alias("OBV"))
+    new.append("OBV")
+    ratios = [td(v, F.col(f"Volume_MA_{n}d")).alias(f"Volume_Ratio_{n}d") for n in windows]
+    new += [f"Volume_Ratio_{n}d" for n in windows]
+    df = df.select("*", *ratios)
     return backfill_all(df, new, key, order) if backfill else df
 
 
-
 # ---------------------------------------------------------------- F-C cross-asset
 def _pair_moments(x, y, w, n):
     """Rolling sample covariance / correlation over rows where both are
@@ -217,10 +212,11 @@ def feature_stack(bars: DataFrame, backfill: bool = True) -> DataFrame:
     """technical → price → volume stages on one bar table (the
     cross-asset stage is long-form and joins on (ticker, date) on request)."""
     base = list(bars.columns)
-    p = add_price_features(bars, backfill=False)
+    e = ema_columns(bars)
+    p = add_price_features(e, backfill=False)
     v = add_volume_features(p, backfill=False)
     t = technical_windows(v)
     new = [c for c in t.columns if c not in base]
-    out = ema_columns(t, backfill_cols=new if backfill else ())
-    return out.select(*base, *[c for c in TECH_COLS if c != "Volume_Change"],
-                      *[c for c in new if c not in TECH_COLS], "Volume_Change")
+    out = t.select(*base, *[c for c in TECH_COLS if c != "Volume_Change"],
+                   *[c for c in new if c not in TECH_COLS], "Volume_Change")
+    return backfill_all(out, new) if backfill else out
