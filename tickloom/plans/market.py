@@ -10,13 +10,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.operators import bars as B
 from tickloom.operators import clean as C
-from tickloom.sources import adapters as AD
 
 
 def brand_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.ohlcv_bars(AD.brand_ticks(spark, sf_dir), "week")
+    """Weekly OHLCV bars per brand.
+
+    Line items are first reduced to one partial bar per (part, week) — all
+    bar aggregates are decomposable (open/close keep their ordering key) —
+    so the join to ``part`` sees partials, not line items, and a hot part
+    key has already been combined map-side before any exchange."""
+    from tickloom.sources.tables import table
+    li = table(spark, sf_dir, "lineitem")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    price = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
+    key = F.when(price.isNotNull(), F.struct(F.col("l_shipdate").alias("ts"),
+                                             F.col("l_orderkey").alias("k1"),
+                                             F.col("l_linenumber").alias("k2"),
+                                             F.col("l_partkey").alias("k3")))
+    week = F.to_date(F.date_trunc("week", "l_shipdate")).alias("date")
+    partial = li.groupBy(F.col("l_partkey").alias("p_partkey"), week).agg(
+        F.min_by(price, key).alias("open"), F.min(key).alias("open_key"),
+        F.max_by(price, key).alias("close"), F.max(key).alias("close_key"),
+        F.max(price).alias("high"), F.min(price).alias("low"),
+        F.sum("l_quantity").alias("volume"), F.count(F.lit(1)).alias("n_ticks"))
+    j = partial.join(part, "p_partkey")
+    return j.groupBy(F.col("p_brand").alias("ticker"), "date").agg(
+        F.min_by("open", "open_key").alias("open"), F.max("high").alias("high"),
+        F.min("low").alias("low"), F.max_by("close", "close_key").alias("close"),
+        F.sum("volume").alias("volume"), F.sum("n_ticks").alias("n_ticks"))
 
 
 def calendar_steps(bars: DataFrame, order: str = "date") -> DataFrame:
@@ -47,11 +69,18 @@ def price_panel(spark: SparkSession, sf_dir: str, bb: DataFrame | None = None) -
 
 
 def portfolio_actions(spark: SparkSession, sf_dir: str, bb: DataFrame | None = None) -> DataFrame:
-    """(portfolio_id, step, ticker, raw): supplier × week × brand quantity."""
-    bt = AD.brand_ticks(spark, sf_dir)
-    cal = calendar_steps(bb if bb is not None else B.ohlcv_bars(bt, "week"))
-    a = bt.groupBy(F.col("supplier").cast("string").alias("portfolio_id"), "date", "ticker") \
-        .agg(F.sum("volume").alias("raw"))
+    """(portfolio_id, step, ticker, raw): supplier × week × brand quantity,
+    pre-aggregated per (supplier, part, week) before the join to ``part``."""
+    from tickloom.sources.tables import table
+    li = table(spark, sf_dir, "lineitem")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    cal = calendar_steps(bb if bb is not None else brand_bars(spark, sf_dir))
+    pre = li.groupBy(F.col("l_suppkey").alias("supplier"), F.col("l_partkey").alias("p_partkey"),
+                     F.to_date(F.date_trunc("week", "l_shipdate")).alias("date")) \
+        .agg(F.sum("l_quantity").alias("q"))
+    a = pre.join(part, "p_partkey").groupBy(
+        F.col("supplier").cast("string").alias("portfolio_id"), "date",
+        F.col("p_brand").alias("ticker")).agg(F.sum("q").alias("raw"))
     return a.join(cal, "date").select("portfolio_id", "step", "ticker", "raw")
 
 
