@@ -77,12 +77,24 @@ def step_range(n_steps: int, window: int) -> tuple[int, int]:
     return window, last
 
 
+def _materialize(actions: DataFrame) -> DataFrame:
+    """The action table feeds four branches (current and previous weights,
+    market term, portfolio grid); write it once to the shared checkpoint
+    folder instead of re-deriving it from the sources in every branch."""
+    from tickloom.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(actions.sparkSession)
+    return actions.checkpoint(eager=True)
+
+
 def backtest(prices: DataFrame, actions: DataFrame, params: BacktestParams = BacktestParams(),
-             n_steps: int | None = None, n_assets: int | None = None) -> DataFrame:
+             n_steps: int | None = None, n_assets: int | None = None,
+             materialize: bool = True) -> DataFrame:
     """G4 + G6 + G7: one row per (portfolio, step) with value, return, cost,
     volatility, running max, drawdown and reward; rows after the first step
     with V ≤ stop·V0 are dropped (the episode ended there)."""
     p = params
+    if materialize:
+        actions = _materialize(actions)
     if n_steps is None or n_assets is None:
         t, n = prices.agg(F.countDistinct("step"), F.countDistinct("ticker")).first()
         n_steps = t if n_steps is None else n_steps
@@ -187,7 +199,8 @@ def open_relatives(prices: DataFrame) -> DataFrame:
 
 def backtest_open_drift(prices: DataFrame, actions: DataFrame,
                         params: BacktestParams = BacktestParams(),
-                        n_steps: int | None = None, n_assets: int | None = None) -> DataFrame:
+                        n_steps: int | None = None, n_assets: int | None = None,
+                        materialize: bool = True) -> DataFrame:
     """The older simulator.  NEW weights earn the open-to-open move, the
     held weights then drift to a·p/Σa·p, and the turnover (capped at 2) is
     measured against the drifted previous weights; stop below 0.5·V0.
@@ -196,6 +209,8 @@ def backtest_open_drift(prices: DataFrame, actions: DataFrame,
     closed form.  Equal-weight steps drift to p/Σp — one vector per step
     (calendar × universe), joined where needed; explicit weights stay sparse."""
     p = params
+    if materialize:
+        actions = _materialize(actions)
     if n_steps is None or n_assets is None:
         t, n = prices.agg(F.countDistinct("step"), F.countDistinct("ticker")).first()
         n_steps = t if n_steps is None else n_steps
