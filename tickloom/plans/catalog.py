@@ -181,7 +181,7 @@ def q_chrono_split(spark, sf_dir):
 
 
 def q_interpolated_panel(spark, sf_dir):
-    bb = M.brand_bars(spark, sf_dir)
+    bb = M.materialized_brand_bars(spark, sf_dir)
     panel = C.dense_panel(bb, step="7 days")
     return C.interpolate_edges(panel)
 
@@ -226,7 +226,7 @@ def q_asof_market(spark, sf_dir):
 
 
 def q_pair_correlations(spark, sf_dir):
-    panel = C.dense_panel(M.brand_bars(spark, sf_dir), step="7 days")
+    panel = C.dense_panel(M.materialized_brand_bars(spark, sf_dir), step="7 days")
     return IND.add_correlation_features(panel)
 
 
@@ -388,9 +388,10 @@ from tickloom.operators import scoring as I  # noqa: E402
 
 
 def _scored(spark, sf_dir):
-    panel = M.price_panel(spark, sf_dir)
+    bb = M.materialized_brand_bars(spark, sf_dir)
+    panel = M.price_panel(spark, sf_dir, bb)
     vol = I.asset_volatility(G.price_relatives(panel))
-    cur = I.current_weights(G.normalize_weights(M.portfolio_actions(spark, sf_dir)))
+    cur = I.current_weights(G.normalize_weights(M.portfolio_actions(spark, sf_dir, bb)))
     return I.score_portfolios(cur, vol, policy="inverse_vol")
 
 
