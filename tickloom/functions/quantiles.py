@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 LOW_BITS = (1 << 33) - 1
 
 
-def global_rank(df: DataFrame, key: str, value: str) -> DataFrame:
+def global_rank(df: DataFrame, key: str, value: str, with_counts: bool = False):
     """Add ``_rank`` (0-based position of ``value`` within its ``key``
-    group in ascending order) using a distributed sort."""
+    group in ascending order) using a distributed sort.  With
+    ``with_counts`` also return (key, _n) derived from the same per-partition
+    table (no extra pass over the data)."""
     s = df.select(key, value).filter(F.col(value).isNotNull()) \
         .orderBy(key, value) \
         .withColumn("_id", F.monotonically_increasing_id()) \
@@ -32,15 +34,17 @@ def global_rank(df: DataFrame, key: str, value: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", key, "_p0",
                             F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
-    return s.join(F.broadcast(offsets), ["_pid", key]) \
+    ranked = s.join(F.broadcast(offsets), ["_pid", key]) \
         .select(key, value, (F.col("_off") + F.col("_pos") - F.col("_p0")).alias("_rank"))
+    if not with_counts:
+        return ranked
+    return ranked, counts.groupBy(key).agg(F.sum("_c").alias("_n"))
 
 
 def exact_quantiles(long: DataFrame, qs=(0.25, 0.5, 0.75), key: str = "column",
                     value: str = "value") -> DataFrame:
     """(key, q, quantile) for each group of a long (key, value) table."""
-    ranked = global_rank(long, key, value)
-    n = long.filter(F.col(value).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    ranked, n = global_rank(long, key, value, with_counts=True)
     need = n.select(key, "_n", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
     need = need.select(key, "q", (F.col("q") * (F.col("_n") - 1)).alias("_h"))
     need = need.select(key, "q", "_h", F.floor("_h").cast("long").alias("_lo"),

@@ -81,9 +81,8 @@ def _materialize(actions: DataFrame) -> DataFrame:
     """The action table feeds four branches (current and previous weights,
     market term, portfolio grid); write it once to the shared checkpoint
     folder instead of re-deriving it from the sources in every branch."""
-    from tickloom.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(actions.sparkSession)
-    return actions.checkpoint(eager=True)
+    from tickloom.session import materialize
+    return materialize(actions, "backtest_actions")
 
 
 def backtest(prices: DataFrame, actions: DataFrame, params: BacktestParams = BacktestParams(),

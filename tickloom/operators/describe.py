@@ -23,8 +23,11 @@ def _long(df: DataFrame, cols) -> DataFrame:
 def describe(df: DataFrame, cols=None) -> DataFrame:
     """Per numeric column count, mean, std (ddof 1), min, 25/50/75 %
     (exact, linear interpolation — pandas' definition) and max."""
+    from tickloom.session import materialize
     cols = list(cols or numeric_columns(df))
-    long = _long(df, cols)
+    # The long table feeds a sampled range sort and an aggregate: write it
+    # once instead of deriving it from the sources for each pass.
+    long = materialize(_long(df, cols), "describe_long")
     basic = long.groupBy("column").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),

@@ -443,7 +443,7 @@ def q_rolling_report(spark, sf_dir):
 def q_return_histogram(spark, sf_dir):
     # The bin edges need the return range first: materialise the back-test
     # once (reliable checkpoint) instead of computing it twice.
-    return PERF.return_histogram(_run_bt(spark, sf_dir).checkpoint(eager=True), bins=50)
+    return PERF.return_histogram(materialize(_run_bt(spark, sf_dir), "backtest"), bins=50)
 
 
 def q_feature_tensor(spark, sf_dir):
@@ -471,7 +471,7 @@ QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
 # ---------------------------------------------------------------- streaming
 import uuid  # noqa: E402
 
-from tickloom.session import scratch_path  # noqa: E402
+from tickloom.session import materialize, scratch_path  # noqa: E402
 from tickloom.sources.tables import table  # noqa: E402
 from tickloom.streaming import ticks as K  # noqa: E402
 

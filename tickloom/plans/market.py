@@ -55,9 +55,8 @@ def materialized_brand_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     (bounds, number of periods and assets); materialising the small
     aggregate keeps each of those from re-scanning the line items, and the
     written copy survives executor loss (reliable checkpoint, not local)."""
-    from tickloom.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    return brand_bars(spark, sf_dir).checkpoint(eager=True)
+    from tickloom.session import materialize
+    return materialize(brand_bars(spark, sf_dir), "brand_bars")
 
 
 def price_panel(spark: SparkSession, sf_dir: str, bb: DataFrame | None = None) -> DataFrame:

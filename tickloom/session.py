@@ -68,3 +68,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint location for materialised tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/tables/{name}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    read it back: one computation (``checkpoint()`` without a cache computes
+    its input twice), lineage cut, and the files survive executor loss.
+    Each call takes a fresh folder; nothing is overwritten."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
