@@ -220,3 +220,23 @@ def feature_stack(bars: DataFrame, backfill: bool = True) -> DataFrame:
     out = t.select(*base, *[c for c in TECH_COLS if c != "Volume_Change"],
                    *[c for c in new if c not in TECH_COLS], "Volume_Change")
     return backfill_all(out, new) if backfill else out
+
+
+# Named indicator stages, applied with ``df.transform`` — user stages
+# register the same way (any ``DataFrame -> DataFrame`` on bars).
+STAGES = {
+    "technical": add_technical_indicators,
+    "price": add_price_features,
+    "volume": add_volume_features,
+}
+
+
+def register_stage(name: str, fn) -> None:
+    STAGES[name] = fn
+
+
+def apply_stages(bars: DataFrame, names) -> DataFrame:
+    out = bars
+    for n in names:
+        out = out.transform(STAGES[n])
+    return out

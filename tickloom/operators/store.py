@@ -150,3 +150,48 @@ def run_report(training: DataFrame, evaluation: DataFrame, gate: DataFrame,
     run, plus the row as JSON."""
     j = training.join(evaluation, key, "left").join(gate, key, "left")
     return j.withColumn("report", F.to_json(F.struct(*[F.col(c) for c in j.columns])))
+
+
+def save_feature(df: DataFrame, path: str, catalog_path: str, name: str, version: str,
+                 entity_type: str, params: dict | None = None, description: str = "") -> str:
+    """H2: write a feature's data (Parquet, keys kept as columns) and append
+    its catalog row (H1 id, stats of the numeric columns as JSON).  A
+    re-save of (name, version) appends a newer row; readers take the newest
+    by ``updated_at`` (H3), which is the upsert."""
+    import json
+    spark = df.sparkSession
+    fid_params = {k: json.dumps(v) for k, v in (params or {}).items()}
+    df.write.mode("overwrite").parquet(path)
+    from tickloom.operators.describe import array_stats
+    stats = array_stats(spark.read.parquet(path)).select(F.to_json(F.struct("*")).alias("stats"))
+    pm = F.create_map(*[x for k, v in sorted(fid_params.items()) for x in (F.lit(k), F.lit(v))]) \
+        if fid_params else None
+    row = stats.select(
+        feature_id(F.lit(name), F.lit(version), pm).alias("id"), F.lit(name).alias("name"),
+        F.lit(version).alias("version"), F.lit(entity_type).alias("entity_type"),
+        F.lit(description).alias("description"), F.current_timestamp().alias("created_at"),
+        F.current_timestamp().alias("updated_at"),
+        F.lit(json.dumps(params or {}, sort_keys=True)).alias("parameters"), "stats",
+        F.lit(path).alias("file_path"))
+    row.write.mode("append").parquet(catalog_path)
+    return row.first()["id"]
+
+
+def load_feature(spark, catalog_path: str, name: str, version: str = "latest",
+                 entity_type: str | None = None) -> DataFrame:
+    """H3: the data of ``name`` — the newest row for (name, entity_type)
+    whatever its version when ``version='latest'``, else that exact version."""
+    cat = spark.read.parquet(catalog_path).filter(F.col("name") == name)
+    if entity_type is not None:
+        cat = cat.filter(F.col("entity_type") == entity_type)
+    if version != "latest":
+        cat = cat.filter(F.col("version") == version)
+    row = latest_versions(cat, keys=("name",)).first()
+    if row is None:
+        raise KeyError(f"feature {name!r} ({version}) not found")
+    return spark.read.parquet(row["file_path"])
+
+
+def runs_with_versions(runs: DataFrame, versions: DataFrame, key: str = "run_id") -> DataFrame:
+    """Experiment runs joined to the registered model versions they produced."""
+    return runs.join(versions, key, "inner")
