@@ -29,8 +29,9 @@ def main() -> None:
     from tickloom.session import get_session
 
     spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus))
-    # Warm-up, not timed, on the smallest scale: the first query (JVM, Python
-    # workers) or, with BENCH_WARMUP=all, every headline query.
+    # Warm-up, not timed, on the smallest scale: every headline query (default;
+    # JIT, generated code and Python workers in place) or, with
+    # BENCH_WARMUP=first, only the first one.
     warm = "/root/testdata/sf0.001"
     for name in (HEADLINE if os.environ.get("BENCH_WARMUP", "all") == "all" else HEADLINE[:1]):
         QUERIES[name](spark, warm).write.format("noop").mode("overwrite").save()
