@@ -22,11 +22,14 @@ def global_rank(df: DataFrame, key: str, value: str, with_counts: bool = False):
     group in ascending order) using a distributed sort.  With
     ``with_counts`` also return (key, _n) derived from the same per-partition
     table (no extra pass over the data)."""
-    s = df.select(key, value).filter(F.col(value).isNotNull()) \
-        .orderBy(key, value) \
-        .withColumn("_id", F.monotonically_increasing_id()) \
-        .withColumn("_pid", F.shiftright("_id", 33)) \
-        .withColumn("_pos", F.col("_id").bitwiseAND(F.lit(LOW_BITS)))
+    from tickloom.session import materialize
+    # Stamped once and written: the counts and the rows must see the same
+    # partition ids, which two separate executions of the sort do not promise.
+    s = materialize(df.select(key, value).filter(F.col(value).isNotNull())
+                    .orderBy(key, value)
+                    .withColumn("_id", F.monotonically_increasing_id())
+                    .withColumn("_pid", F.shiftright("_id", 33))
+                    .withColumn("_pos", F.col("_id").bitwiseAND(F.lit(LOW_BITS))), "rank")
     # Rows per (partition, key); offsets are the counts of the same key in
     # earlier partitions.  One row per partition and key: tiny.
     counts = s.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_c"),

@@ -20,11 +20,15 @@ LOW_BITS = (1 << 33) - 1
 def sequence_number(df: DataFrame, keys, order, name: str = "seq") -> DataFrame:
     """Add ``name`` = 1-based position of the row in its ``keys`` group
     ordered by ``order`` (a unique tiebreak must be part of ``order``)."""
+    from tickloom.session import materialize
     keys, order = list(keys), list(order)
-    s = df.orderBy(*keys, *order) \
-        .withColumn("_id", F.monotonically_increasing_id()) \
-        .withColumn("_pid", F.shiftright("_id", 33)) \
-        .withColumn("_pos", F.col("_id").bitwiseAND(F.lit(LOW_BITS)))
+    # The id-stamped sort is read twice (counts and rows).  Two separate
+    # executions may split the range sort differently (AQE coalescing), so
+    # the stamped rows are written once and both uses read the same ids.
+    s = materialize(df.orderBy(*keys, *order)
+                    .withColumn("_id", F.monotonically_increasing_id())
+                    .withColumn("_pid", F.shiftright("_id", 33))
+                    .withColumn("_pos", F.col("_id").bitwiseAND(F.lit(LOW_BITS))), "sequence")
     per = s.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_p0"))
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     off = per.select("_pid", *keys, "_p0", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))

@@ -3,10 +3,12 @@
 Doubles are rounded in both engines the same way so that order-of-summation
 noise (≈1e-13 relative) never flips a value-hash:
 
-* |x| < 1e6: x + 10^-(d+3), its shortest decimal representation rounded
+* |x| < 1e4: x + 10^-(d+3), its shortest decimal representation rounded
   half-up to d decimals (Spark's ``round``; the SQL side casts through VARCHAR
   and DECIMAL to do the same);
-* |x| ≥ 1e6: ten significant digits, via ``%.9e`` formatting and back.
+* |x| ≥ 1e4: x·(1 + 1e-11), eight significant digits via ``%.7e`` formatting
+  and back (compounded values reach 1e30 and carry ~1e-14 relative engine
+  noise; the nudge keeps exact ties of nice prices from splitting).
 """
 
 from __future__ import annotations
@@ -14,7 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BIG = 1e6
+BIG = 1e4
+SIG = "%.7e"  # eight significant digits
+REL = 1.0 + 1e-11  # relative nudge: exact ties (nice prices) break the same way
 
 
 def nudge(d: int) -> float:
@@ -26,7 +30,7 @@ def nudge(d: int) -> float:
 
 def round_col(c: str, d: int):
     x = F.col(c)
-    return F.when(F.abs(x) >= BIG, F.format_string("%.9e", x).cast("double")) \
+    return F.when(F.abs(x) >= BIG, F.format_string(SIG, x * F.lit(REL)).cast("double")) \
         .otherwise(F.round(x + F.lit(nudge(d)), d)).alias(c)
 
 
@@ -43,7 +47,7 @@ def round_df(df: DataFrame, digits: dict | None = None, default: int = 6) -> Dat
 
 def round_expr_sql(q: str, d: int) -> str:
     x = f"CAST({q} AS DOUBLE)"
-    return (f"CASE WHEN abs({x}) >= {BIG!r} THEN CAST(printf('%.9e', {x}) AS DOUBLE) "
+    return (f"CASE WHEN abs({x}) >= {BIG!r} THEN CAST(printf('{SIG}', {x} * {REL!r}) AS DOUBLE) "
             f"ELSE CAST(ROUND(CAST(CAST({x} + {nudge(d)!r} AS VARCHAR) AS DECIMAL(38, 15)), {d}) "
             f"AS DOUBLE) END")
 
