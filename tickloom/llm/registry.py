@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, packing, token_files
+from tickloom.llm import bpe, collision_ann, packing, token_files, url_filter, vafile
 from tickloom.session import scratch_path
 from tickloom.sources.tables import table
 
@@ -16,6 +16,27 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: (host, path prefix, action) of the registered URL query.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
+             ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def every_twentieth(vec_id):
+    return vec_id % 20 == 0
+
+
+def op1_va_file_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(vafile.scaled(table(spark, sf_dir, "embeddings")), every_twentieth, k=20)
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op6_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_ann.search(table(spark, sf_dir, "embeddings"), every_twentieth, k=20)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, f"token_files/{uuid.uuid4().hex}")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"),
@@ -33,8 +54,80 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_va_file_top_k": op1_va_file_top_k,
+    "op3_url_filter": op3_url_filter,
     "op5_token_files": op5_token_files,
+    "op6_collision_ann": op6_collision_ann,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
-ORACLE_SQL: dict[str, str] = {}
+
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, max([floor(64 * x::DOUBLE) FOR x IN embedding]) AS vec FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+  GROUP BY vec_id),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.vec, c.vec)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+OP3_SQL = r"""
+WITH RECURSIVE p AS (
+  SELECT page_id, html,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*[^?#]*(\??[^#]*)', 1), '') AS query
+  FROM pages),
+tags AS (
+  SELECT host, path, query, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM p WHERE host <> ''),
+links AS (
+  SELECT host, path, host || path || query AS a, replace(CASE
+    WHEN regexp_matches(tag, '(?is)\brel\s*=\s*["'']?\s*canonical')
+      THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?\s*([^"''>\s]*)', 1)
+    ELSE regexp_extract(tag, '(?is)\burl\s*=\s*["'']?\s*([^"''>\s;]+)', 1) END, '&amp;', '&') AS link
+  FROM tags WHERE regexp_matches(tag, '(?is)\brel\s*=\s*["'']?\s*canonical|\bhttp-equiv\s*=\s*["'']?\s*refresh')),
+targets AS (
+  SELECT a, CASE WHEN contains(link, '://') THEN link
+    WHEN starts_with(link, '//') THEN 'http:' || link
+    WHEN starts_with(link, '/') THEN 'http://' || host || link
+    ELSE 'http://' || host || CASE WHEN regexp_replace(path, '[^/]*$', '') = '' THEN '/'
+      ELSE regexp_replace(path, '[^/]*$', '') END || link END AS t
+  FROM links WHERE link <> ''),
+edges AS (
+  SELECT a, translate(regexp_extract(t, '(?s)^.*?://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+    || regexp_extract(t, '(?s)^.*?://[^/?#]*([^#]*)', 1) AS b FROM targets),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach(a, b) AS (
+  SELECT a, a FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
+nodes AS (
+  SELECT DISTINCT b, regexp_extract(b, '(?s)^([^/?]*)', 1) AS host, regexp_extract(b, '(?s)^[^/?]*([^?]*)', 1) AS path
+  FROM reach),
+ruled AS (
+  SELECT b, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'allow'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'block'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'allow'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'block' END AS v FROM nodes),
+passed AS (
+  SELECT r.a AS key, CASE WHEN bool_or(v = 'allow') THEN 'allow' WHEN bool_or(v = 'block') THEN 'block' END AS v
+  FROM reach r JOIN ruled n ON r.b = n.b GROUP BY r.a),
+own AS (
+  SELECT page_id, host, path, host || path || query AS key, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM p)
+SELECT page_id, host, path, rule, coalesce(
+    CASE rule WHEN 'net/' THEN 'block' WHEN 'example.com/de/' THEN 'block'
+      WHEN 'example.net/en/' THEN 'allow' WHEN 'org/fr/' THEN 'allow' END,
+    passed.v, 'allow') AS verdict
+FROM own LEFT JOIN passed ON own.key = passed.key
+"""
+
+ORACLE_SQL = {"op1_va_file_top_k": OP1_SQL, "op3_url_filter": OP3_SQL}
