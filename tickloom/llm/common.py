@@ -88,3 +88,34 @@ def text_crc_mod(col: Column, modulus: int) -> Column:
 
 def ceil_div(n: int, size: int) -> int:
     return max(1, -(-n // size))
+
+
+def append_columns(df: DataFrame, text_col: str, fields: str, start) -> DataFrame:
+    """``df`` with columns computed from its whole texts, all other columns
+    passed through.  ``start()`` runs once per task and returns the function
+    from a string array to the new columns' arrays."""
+    from pyspark.sql.types import StructType
+    schema = StructType([*df.schema.fields, *StructType.fromDDL(fields).fields])
+    names = schema.fieldNames()
+    at = df.columns.index(text_col)
+
+    def run(batches):
+        compute = start()
+        for batch in batches:
+            batch = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
+            for part in text_slices(batch, f"c{at}"):
+                yield pa.RecordBatch.from_arrays([*part.columns, *compute(texts_of(part, f"c{at}"))], names=names)
+
+    return df.mapInArrow(run, schema)
+
+
+def labelled_sample(labels: DataFrame, label_col: str, wanted: Column, max_rows: int,
+                    id_col: str = "doc_id") -> DataFrame:
+    """At most ``max_rows`` (doc_id, label) rows among those for which
+    ``wanted`` holds, chosen by a hash of the id, so a larger table changes the
+    choice but not its size.  Labels of one id are averaged; null labels and
+    ids are skipped."""
+    known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("label"))
+    known = known.filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & wanted)
+    one = known.groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
+    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)

@@ -5,8 +5,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, collision_ann, packing, token_files, url_filter, vafile
+from tickloom.llm import (bpe, collision_ann, packing, quality_gam, token_files, toxicity_knn,
+                          url_filter, vafile)
+from tickloom.llm.common import text_crc_mod
 from tickloom.session import scratch_path
 from tickloom.sources.tables import table
 
@@ -37,6 +40,24 @@ def op6_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collision_ann.search(table(spark, sf_dir, "embeddings"), every_twentieth, k=20)
 
 
+def op4_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    part = text_crc_mod(F.col("doc_id"), 3)
+    model = quality_gam.learn(docs, table(spark, sf_dir, "labels"), part != 1)
+    return quality_gam.with_quality(docs, model).select(
+        "doc_id", F.coalesce(part == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    part = text_crc_mod(F.col("doc_id"), 5)
+    model = toxicity_knn.learn(docs, table(spark, sf_dir, "labels"), part != 0)
+    return toxicity_knn.with_toxicity(docs, model).select(
+        "doc_id", F.coalesce(part == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, f"token_files/{uuid.uuid4().hex}")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"),
@@ -57,6 +78,8 @@ QUERIES = {
     "op1_va_file_top_k": op1_va_file_top_k,
     "op3_url_filter": op3_url_filter,
     "op5_token_files": op5_token_files,
+    "op4_quality_gam": op4_quality_gam,
+    "op7_toxicity_knn": op7_toxicity_knn,
     "op6_collision_ann": op6_collision_ann,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_best_fit_packing": op10_best_fit_packing,
