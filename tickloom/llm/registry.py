@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import (bpe, collision_ann, packing, quality_gam, token_files, toxicity_knn,
-                          url_filter, vafile)
+from tickloom.llm import (bpe, collision_ann, packing, quality_gam, substring_dedup, token_files,
+                          toxicity_knn, url_filter, vafile)
 from tickloom.llm.common import text_crc_mod
 from tickloom.session import scratch_path
 from tickloom.sources.tables import table
@@ -32,6 +32,12 @@ def op1_va_file_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(vafile.scaled(table(spark, sf_dir, "embeddings")), every_twentieth, k=20)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -76,6 +82,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_va_file_top_k": op1_va_file_top_k,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_url_filter": op3_url_filter,
     "op5_token_files": op5_token_files,
     "op4_quality_gam": op4_quality_gam,
@@ -98,6 +105,21 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
 """
 
+OP2_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS pos FROM d WHERE len(w) >= 20),
+k AS (SELECT doc_id, pos, md5(array_to_string(w[pos:pos + 19], ' ')) AS key FROM s),
+r AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY key ORDER BY doc_id, pos) AS nth FROM k),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS place FROM r WHERE nth > 1),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM d),
+left_over AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS kept
+  FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_over USING (doc_id)
+"""
+
 OP3_SQL = r"""
 WITH RECURSIVE p AS (
   SELECT page_id, html,
@@ -153,4 +175,4 @@ SELECT page_id, host, path, rule, coalesce(
 FROM own LEFT JOIN passed ON own.key = passed.key
 """
 
-ORACLE_SQL = {"op1_va_file_top_k": OP1_SQL, "op3_url_filter": OP3_SQL}
+ORACLE_SQL = {"op1_va_file_top_k": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op3_url_filter": OP3_SQL}

@@ -7,9 +7,10 @@ with one vector form one entry with its votes.  Entries stand in an inverted
 index in blocks of 64, with the largest weight of each term per block: a query's
 bound for every block is a product with these maxima; blocks are scored in
 bound order until the k-th best similarity exceeds every bound left, so the
-neighbours are exact.  The votes of the k nearest entries, weighted by similarity, give
-the raw score; leave-one-out votes of the examples themselves give the
-monotone calibration.  The neighbours are returned as evidence.
+neighbours are exact.  The score is the toxic share among the k nearest
+entries' examples, weighted by squared similarity and drawn to the overall rate
+where neighbours are few or far, so it reads as a probability.  The neighbours
+are returned as evidence.
 
 Examples: at most ``max_examples`` labelled rows, at most ``max_terms`` terms (documented
 parameters); document frequencies cover all documents and every document is
@@ -43,7 +44,7 @@ MIN_CHI2 = 30.0
 MIN_ODDS = 4.0
 NEIGHBOURS = 15
 BLOCK = 64
-PRIOR_WEIGHT = 1.0
+PRIOR_WEIGHT = 0.25
 
 WORD = re.compile("[0-9a-z\x80-\U0010ffff]+")
 EVIDENCE = "array<struct<doc_id: bigint, similarity: double, toxic_share: double>>"
@@ -97,7 +98,6 @@ class Neighbourhood:
     named: np.ndarray       # smallest document of each entry
     none_rate: float        # toxic share of examples without known terms
     prior: float
-    curve: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
     def build(self) -> None:
         entries, terms = len(self.size), len(self.terms)
@@ -111,7 +111,7 @@ class Neighbourhood:
         np.maximum.at(self.block_max, cell, self.post_weight)
         self.block_max = self.block_max.reshape(terms, self.n_blocks)
 
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, skip: int = -1):
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int):
         """Exact k nearest entries: (entries, similarities), nearest first, ties to
         the smaller entry."""
         bound = weight @ self.block_max[term] if self.n_blocks else np.zeros(0)
@@ -130,46 +130,16 @@ class Neighbourhood:
             e, place = np.unique(self.post_entry[post], return_inverse=True)
             s = np.bincount(place, np.repeat(np.repeat(weight, len(blocks)), n) * self.post_weight[post])
             found_e, found_s = np.concatenate([found_e, e]), np.concatenate([found_s, s])
-            if skip >= 0:
-                keep = found_e != skip
-                found_e, found_s = found_e[keep], found_s[keep]
             best = np.lexsort((found_e, -found_s))[:k]
             found_e, found_s = found_e[best], found_s[best]
         return found_e, found_s
 
-    def vote(self, entries: np.ndarray, similarity: np.ndarray, size=None, votes=None) -> float:
-        size = self.size[entries] if size is None else size
-        votes = self.votes[entries] if votes is None else votes
-        return float(((similarity * votes).sum() + PRIOR_WEIGHT * self.prior)
-                     / ((similarity * size).sum() + PRIOR_WEIGHT))
-
-    def calibrate(self, k: int) -> None:
-        """Monotone fit of the labels on leave-one-out votes of the examples."""
-        raw, toxic, total = [], [], []
-        for e in range(len(self.size)):
-            a, b = self.indptr[e], self.indptr[e + 1]
-            near, sim = self.nearest(self.entry_term[a:b], self.entry_weight[a:b], k)
-            own = (near == e).astype(float)
-            for label, n in ((1, self.votes[e]), (0, self.size[e] - self.votes[e])):
-                if n:
-                    raw.append(self.vote(near, sim, self.size[near] - own, self.votes[near] - own * label))
-                    toxic.append(n * label)
-                    total.append(n)
-        if not raw:
-            return
-        order = np.argsort(raw, kind="stable")
-        blocks: list[list[float]] = []  # [toxic, total, raw * total] with rising toxic shares
-        for i in order:
-            blocks.append([toxic[i], total[i], raw[i] * total[i]])
-            while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
-                last = blocks.pop()
-                blocks[-1] = [p + q for p, q in zip(blocks[-1], last)]
-        b = np.array(blocks)
-        x, y = b[:, 2] / b[:, 1], (b[:, 0] + self.prior) / (b[:, 1] + 1)
-        self.curve = (np.concatenate([[0.0], x, [1.0]]), np.concatenate([[y[0] * 0.5], y, [(1 + y[-1]) / 2]]))
-
-    def score(self, raw: float) -> float:
-        return float(np.interp(raw, *self.curve))
+    def vote(self, entries: np.ndarray, similarity: np.ndarray) -> float:
+        """Toxic share of the neighbours' examples, weighted by squared
+        similarity and drawn to the examples' toxic rate by a small weight."""
+        near = similarity * similarity
+        return float(((near * self.votes[entries]).sum() + PRIOR_WEIGHT * self.prior)
+                     / ((near * self.size[entries]).sum() + PRIOR_WEIGHT))
 
 
 def tied_terms(sample: DataFrame, max_terms: int) -> list[str]:
@@ -225,7 +195,7 @@ def document_frequencies(docs: DataFrame, reader: TermReader, n_terms: int) -> t
 
 
 def learn(docs: DataFrame, labels: DataFrame, wanted: Column, max_examples: int = MAX_EXAMPLES,
-          max_terms: int = MAX_TERMS, k: int = NEIGHBOURS, id_col: str = "doc_id",
+          max_terms: int = MAX_TERMS, id_col: str = "doc_id",
           text_col: str = "text") -> Neighbourhood:
     """The neighbourhood of the labelled documents for which ``wanted`` (over
     doc_id) holds."""
@@ -270,7 +240,6 @@ def learn(docs: DataFrame, labels: DataFrame, wanted: Column, max_examples: int
         np.array([entries[k][2] for k in keys], np.int64), none[0] / (none[1] + 1) if got else 0.0,
         toxic / len(got) if got else 0.0)
     model.build()
-    model.calibrate(k)
     return model
 
 
@@ -293,7 +262,7 @@ def with_toxicity(docs: DataFrame, model: Neighbourhood, text_col: str = "text",
                 told = [{"doc_id": int(model.named[e]), "similarity": float(s),
                          "toxic_share": float(model.votes[e] / model.size[e])}
                         for e, s in zip(near[:shown], sim[:shown])]
-                known[key] = (model.score(model.vote(near, sim)) if len(near) else model.none_rate, told)
+                known[key] = (model.vote(near, sim) if len(near) else model.none_rate, told)
             return known[key]
 
         def compute(texts):

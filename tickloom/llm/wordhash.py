@@ -8,6 +8,7 @@ import numpy as np
 from tickloom.llm.common import cached
 
 U64 = np.uint64
+CHUNK = 1 << 20
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 
@@ -66,9 +67,18 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
     """64-bit polynomial hash of every byte span; ``which`` picks one of two
-    independent hashes."""
+    independent hashes.  Spans are ascending and do not overlap."""
     if not len(starts):
         return np.zeros(0, U64)
+    if len(raw) > CHUNK:  # piece by piece: tables stay as long as a piece
+        cut = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(raw), CHUNK)), len(starts)))
+        return np.concatenate([
+            _piece_hashes(raw[starts[a]: ends[b - 1]], starts[a:b] - starts[a], ends[a:b] - starts[a], which)
+            for a, b in zip(cut[:-1], cut[1:])])
+    return _piece_hashes(raw, starts, ends, which)
+
+
+def _piece_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:
     base = BASES[which]
     letters = cached(("letters", which), lambda: np.random.default_rng(7 + which).integers(
         1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1))
