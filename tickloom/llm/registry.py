@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (bpe, collision_ann, packing, quality_gam, substring_dedup, token_files,
-                          toxicity_knn, url_filter, vafile)
+                          toxicity_knn, url_filter, vafile, weighted_minhash)
 from tickloom.llm.common import text_crc_mod
 from tickloom.session import scratch_path
 from tickloom.sources.tables import table
@@ -71,6 +71,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_crc(token_files.read_tokens(spark, path))
 
 
+def op8_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -88,6 +92,7 @@ QUERIES = {
     "op4_quality_gam": op4_quality_gam,
     "op7_toxicity_knn": op7_toxicity_knn,
     "op6_collision_ann": op6_collision_ann,
+    "op8_weighted_minhash": op8_weighted_minhash,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
