@@ -38,7 +38,7 @@ from tickloom.llm.common import bytes_of, ceil_div, free_name, materialize, ragg
 from tickloom.llm.wordhash import U64, mix, run_hashes, span_hashes, white_space, word_spans
 
 WINDOW = 20
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 SHARD_WINDOWS = 1 << 19
 CELLS_PER_WINDOW = 4
 ROW_SALT = (0x632BE59BD9B4E019, 0xE220A8397B1DCDAF)  # one per sketch row
