@@ -16,12 +16,14 @@ sample with probability equal to their weighted Jaccard similarity.  Samples are
 banded; at the threshold 0.8, 16 bands of 4 miss one pair in 5000.
 
 Documents with one word sequence (128-bit hash) are copies and share all
-decisions; only their smallest document goes on.  Documents that share a band form
-a bucket.  While buckets hold many pairs between different components, one
-pivot per bucket is verified against the members of other components and the
-components are joined, so a large group of near copies costs a few rounds of
-its size, never its square; then all remaining pairs between components are
-verified.  No bucket is capped and no link between components is left out.
+decisions; only their smallest document goes on.  Documents that share a band
+form a bucket; of buckets with the same members one is kept.  All texts of a
+bucket are compared, in pairs of tiles of bounded size, by adding up the weights
+of shared shingles; a tile pair returns links that join its components, never
+all its pairs.  Where members have hundreds of bucket-mates on average, each is
+first compared with its bucket's smallest, and only buckets that are not one
+component then are compared in full.  No bucket is capped and no link between
+components is left out.
 
 Defined cases: null texts and texts without words are each a class of their
 own; texts shorter than a shingle count as one shingle; rows that repeat a
@@ -47,7 +49,11 @@ THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
 DF_BITS = 20
 DF_PARTS = 64
-DENSE = 5  # pairs per member up to which buckets are verified pair by pair
+FEW = 8              # groups up to this size are compared together
+TILE = 256           # texts of a bucket's tile
+TILE_WEIGHT = 4e6    # and their total weight, about 300,000 shingles
+TILE_BYTES = 2 << 20
+PARTNERS = 512       # mean bucket-mates of a member above which pivots go first
 
 SIGNATURES = "doc_id long, copy_a long, copy_b long, weight double, bands array<long>"
 
@@ -199,55 +205,110 @@ def signatures(docs: DataFrame, model, bands: int, rows: int, size: int) -> Data
     return docs.mapInArrow(run, SIGNATURES)
 
 
-def weighted_jaccard(a: pa.Array, b: pa.Array, surprise: np.ndarray, n_docs: int, size: int) -> np.ndarray:
-    """Weighted Jaccard similarity of the texts of two arrays, pair by pair."""
-    sides = [shingles(Words(x), surprise, n_docs, size) for x in (a, b)]
-    row, key, weight = (np.concatenate(x) for x in zip(*sides))
-    order = np.lexsort((key, row))
+def similar_pairs(group: np.ndarray, texts: pa.Array, surprise: np.ndarray, n_docs: int, size: int,
+                  threshold: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Links (text, text) that join all texts of one group whose weighted
+    Jaccard similarity reaches the threshold, groups being numbered from 0 in
+    ascending order.  Similarities come from one pass over the shared shingles, so a
+    pair costs an addition per shared shingle."""
+    row, key, weight = shingles(Words(texts), surprise, n_docs, size)
+    total = np.bincount(row, weight, len(group))
+    order = np.lexsort((row, key, group[row]))
     row, key, weight = row[order], key[order], weight[order]
-    same = np.flatnonzero((row[1:] == row[:-1]) & (key[1:] == key[:-1]))
-    common = np.bincount(row[same], np.minimum(weight[same], weight[same + 1]), len(a))
-    total = np.bincount(row, weight, len(a))
-    return common / np.maximum(total - common, 1e-300)
-
-
-def verified(pairs: DataFrame, texts: DataFrame, model, threshold: float, size: int) -> DataFrame:
-    """Those pairs (a, b) whose similarity reaches the threshold."""
+    home = group[row]
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | (home[1:] != home[:-1])]) if len(key) else np.zeros(0, bool)
+    run = np.cumsum(new) - 1
+    members = np.bincount(group)
+    first = np.cumsum(members) - members
+    few = members[home] <= FEW
+    links = []
+    r, w, k = row[few], weight[few], run[few]
+    codes, shares = [], []
+    for lag in range(1, FEW):
+        hit = np.flatnonzero(k[lag:] == k[:-lag]) if len(k) > lag else np.zeros(0, np.int64)
+        codes.append(r[hit] * len(group) + r[hit + lag])
+        shares.append(np.minimum(w[hit], w[hit + lag]))
+    code, at = np.unique(np.concatenate(codes), return_inverse=True)
+    common = np.bincount(at, np.concatenate(shares), len(code))
+    a, b = code // len(group), code % len(group)
+    good = common >= (threshold - 1e-12) * (total[a] + total[b] - common)
+    links.append((a[good], b[good]))
+    for g in np.flatnonzero(members > FEW):
+        n, base = int(members[g]), int(first[g])
+        lo, hi = np.searchsorted(home, [g, g + 1])
+        shared = np.zeros((n, n))
+        cuts = np.flatnonzero(np.diff(run[lo:hi], prepend=-1))
+        for x, y in zip((lo + cuts).tolist(), [*(lo + cuts[1:]).tolist(), int(hi)]):
+            if y - x > 1:
+                own = row[x:y] - base
+                shared[own[:, None], own] += np.minimum.outer(weight[x:y], weight[x:y])
+        both = total[base: base + n]
+        near = shared >= (threshold - 1e-12) * (both[:, None] + both - shared)
+        label = np.arange(n)
+        while True:  # one link per text is enough: to its component's first
+            least = np.minimum(label, np.where(near, label, n).min(1, initial=n))
+            if (least == label).all():
+                break
+            label = least
+        other = np.flatnonzero(label != np.arange(n))
+        links.append((base + label[other], base + other))
+    return links
+
+
+def tile_links(rows: DataFrame, model, threshold: float, size: int) -> DataFrame:
+    """Links (a, b) of rows (grp, rep, text): all texts of a group compared.
+    Rows of a group come together and in order; a task holds a few groups."""
 
     def run(batches):
         n_docs, surprise = model.value
+
+        def compare(table):
+            grp = table.column("grp").to_numpy()
+            group = np.cumsum(np.concatenate([[0], grp[1:] != grp[:-1]]))
+            reps = table.column("rep").to_numpy()
+            text = texts_of(table.select(["text"]).combine_chunks().to_batches()[0], "text")
+            a, b = (np.concatenate(x) for x in zip(*similar_pairs(group, text, surprise, n_docs, size, threshold)))
+            return pa.RecordBatch.from_arrays([pa.array(reps[a]), pa.array(reps[b])], names=["a", "b"])
+
+        held = None
         for batch in batches:
-            for part in text_slices(batch, "a_text", 1 << 20):
-                s = weighted_jaccard(texts_of(part, "a_text"), texts_of(part, "b_text"), surprise, n_docs, size)
-                link = pa.array(s >= threshold - 1e-12)
-                yield pa.RecordBatch.from_arrays([part.column("a").filter(link), part.column("b").filter(link),
-                                                  pa.array(s).filter(link)], names=["a", "b", "similarity"])
-
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text"))
-    return (pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
-            .mapInArrow(run, "a long, b long, similarity double"))
-
-
-def bucket_pairs(members: DataFrame, threshold: float, turn: int, whole: bool) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components whose weights allow
-    the threshold: all, or those of one pivot per bucket."""
-    m = members.select("bucket", F.col("rep").alias("a"), F.col("component").alias("a_in"), F.col("weight").alias("a_w"))
-    other = members.select("bucket", F.col("rep").alias("b"), F.col("component").alias("b_in"),
-                           F.col("weight").alias("b_w"))
-    if not whole:
-        order = F.struct(F.when(F.lit(turn == 0), F.col("rep")).otherwise(F.xxhash64("rep", F.lit(turn))), "rep")
-        other = members.groupBy("bucket").agg(F.min_by(F.struct(
-            F.col("rep").alias("b"), F.col("component").alias("b_in"), F.col("weight").alias("b_w")), order).alias("p")
-        ).select("bucket", "p.*")
-    apart = (F.col("a_in") < F.col("b_in")) if whole else (F.col("a_in") != F.col("b_in"))
-    near = F.least("a_w", "b_w") >= threshold * F.greatest("a_w", "b_w") * (1 - 1e-9)
-    return (m.join(other, "bucket").filter(apart & near)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            grp = held.column("grp").to_numpy()
+            edges = np.flatnonzero(grp[1:] != grp[:-1]) + 1  # the last group may go on
+            length = np.cumsum(pc.binary_length(held.column("text")).to_numpy())
+            at = 0
+            while at < (edges[-1] if len(edges) else 0):
+                base = length[at - 1] if at else 0
+                fits = edges[(edges > at) & (length[edges - 1] <= base + TILE_BYTES)]
+                stop = int(fits[-1]) if len(fits) else int(edges[edges > at][0])
+                yield compare(held.slice(at, stop - at))
+                at = stop
+            held = held.slice(at)
+        if held is not None and held.num_rows:
+            yield compare(held)
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def tiled(members: DataFrame, buckets: DataFrame, tile: int, tile_weight: float) -> DataFrame:
+    """Members (grp, rep) of every pair of tiles of their bucket; buckets hold
+    bucket, n and total weight."""
+    tiles = F.ceil(F.greatest(F.col("n") / tile, F.col("total") / tile_weight)).cast("int")
+    spread = members.join(buckets.select("bucket", tiles.alias("tiles")), "bucket").withColumn(
+        "mine", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
+    spread = spread.withColumn("with", F.explode(F.expr("sequence(0, tiles - 1)")))
+    # A tile meets itself only where it is the bucket's only one: pairs of two
+    # tiles compare everything in them.
+    spread = spread.filter((F.col("mine") != F.col("with")) | (F.col("tiles") == 1))
+    return spread.select(F.xxhash64("bucket", F.least("mine", "with"), F.greatest("mine", "with")).alias("grp"), "rep")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
-                    size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text",
+                    tile: int = TILE, partners: int = PARTNERS) -> DataFrame:
     """doc_id and class_id (the smallest document of its group) of every
     document, and copy_id, the smallest document with the same words."""
     spark = docs.sparkSession
@@ -261,35 +322,40 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
             "copy_a", "copy_b", F.col("r.doc_id").alias("rep"), "r.weight", "r.bands")
     reps = materialize(reps, "near_reps")
     placed = reps.select("rep", "weight", F.explode("bands").alias("bucket"))
-    shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = materialize(placed.join(shared, "bucket"), "near_members")
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    # Equal ids with several texts count by their smallest.
-    texts = materialize(named.join(wanted, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")), "near_texts")
-    links, labels, turn, stalled = None, None, 0, False
-    while True:
-        here = members.withColumn("component", F.col("rep")) if labels is None else members.join(
-            labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-                "component", F.coalesce("component", "rep"))
-        here = materialize(here, "near_open")
-        per = here.groupBy("bucket", "component").agg(F.count("*").cast("double").alias("n"))
-        open_ = per.groupBy("bucket").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("own"))
-        open_ = open_.filter(F.col("all") * F.col("all") > F.col("own"))
-        cross, rows_ = open_.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2), F.sum("all")).first()
-        if not cross:
-            break
-        whole = stalled or cross <= DENSE * rows_
-        pairs = bucket_pairs(here.join(open_.select("bucket"), "bucket", "left_semi"), threshold, turn, whole)
-        found = materialize(verified(pairs, texts, model, threshold, size), "near_links")
-        links = found if links is None else links.unionByName(found)
-        new = found.limit(1).count() > 0
-        if new:
-            labels = connected_components(links.select("a", "b"))
-        if whole:
-            break
-        stalled, turn = not new, turn + 1
-    if labels is None:
-        labels = spark.createDataFrame([], "node long, component long")
+    # Buckets of one member link nothing; of buckets with the same members one is enough.
+    shared = (placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("low"), F.max("rep").alias("high"),
+                                           F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("set"),
+                                           F.sum("weight").alias("total"))
+              .filter("n > 1").groupBy("n", "low", "high", "set")
+              .agg(F.min("bucket").alias("bucket"), F.max("total").alias("total")))
+    buckets = materialize(shared.select("bucket", "n", "low", "total"), "near_buckets")
+    members = materialize(placed.join(buckets.select("bucket", "low"), "bucket").select("bucket", "rep", "low"),
+                          "near_members")
+    # Equal ids with several texts count by their smallest.  The ids grow with
+    # the input, so they are never broadcast.
+    wanted = members.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
+    texts = named.join(wanted, "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"))
+    texts = materialize(texts.withColumnRenamed("doc_id", "rep"), "near_texts")
+
+    def compared(parts):
+        with_text = parts.join(texts, "rep").repartition("grp").sortWithinPartitions("grp", "rep")
+        return materialize(tile_links(with_text, model, threshold, size), "near_links")
+
+    crowd = buckets.agg(F.sum(F.col("n").cast("double") * F.col("n")), F.sum("n")).first()
+    links = None
+    if crowd[0] and crowd[0] > partners * crowd[1]:
+        # Crowded buckets: first every member against its bucket's smallest, then
+        # only buckets that are not one component yet.
+        pairs = members.filter("rep <> low").select("rep", "low").distinct()
+        sides = pairs.select(F.xxhash64("rep", "low").alias("grp"), F.explode(F.array("rep", "low")).alias("rep"))
+        links = compared(sides)
+        labels = connected_components(links)
+        state = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").groupBy("bucket").agg(
+            F.min(F.coalesce("component", "rep")).alias("x"), F.max(F.coalesce("component", "rep")).alias("y"))
+        buckets = materialize(buckets.join(state.filter("x <> y").select("bucket"), "bucket"), "near_buckets")
+    found = compared(tiled(members.select("bucket", "rep"), buckets, tile, TILE_WEIGHT))
+    labels = connected_components(found if links is None else links.unionByName(found))
     classes = reps.join(labels, reps["rep"] == labels["node"], "left").select(
         "copy_a", "copy_b", F.col("rep").alias("copy_id"), F.coalesce("component", "rep").alias("class_id"))
     of_docs = signed.join(classes, ["copy_a", "copy_b"]).groupBy("doc_id").agg(
@@ -304,7 +370,7 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     that repeat a doc_id the one with the smallest text; rows without one stay."""
     near = near_duplicates(docs, id_col=id_col, text_col=text_col, **settings)
     mark, nth = free_name(docs, "class_of"), free_name(docs, "nth_row")
-    kept = near.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias(mark))
+    kept = near.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias(mark)).hint("merge")
     of_id = Window.partitionBy(F.col(id_col)).orderBy(F.col(text_col))
     rows = docs.join(kept, docs[id_col].cast("long") == kept[mark])
     rows = rows.withColumn(nth, F.row_number().over(of_id)).filter(F.col(nth) == 1).select(*docs.columns)
