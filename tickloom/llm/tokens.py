@@ -9,6 +9,7 @@ numpy.  The ids are those of encoding the whole text.
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ class ChunkStore:
     ``limit`` chunks, so a worker's memory is bounded.
     """
 
-    def __init__(self, keeps_spaces: bool, limit: int = 300_000):
+    def __init__(self, keeps_spaces: bool, limit: int = 800_000):
         self.keeps_spaces, self.limit = keeps_spaces, limit
         self._reset()
 
@@ -45,6 +46,11 @@ class ChunkStore:
         """Flat ids of the chunks and each chunk's number of ids."""
         raise NotImplementedError
 
+    def apart(self, texts: pa.Array) -> pa.Array:
+        """Texts with the same ids whose words repeat more often, where white
+        space is dropped."""
+        return texts
+
     def _add(self, chunks: list[str]) -> int:
         """Append chunks to the store; the index of the first."""
         first = len(self.start)
@@ -76,6 +82,8 @@ class ChunkStore:
             if odd.any():
                 whole = texts.filter(found).to_pylist()
                 texts = pc.if_else(found, "", texts)
+        else:
+            texts = self.apart(texts)
         pieces = pc.split_pattern(texts, " ")
         counts = pc.list_value_length(pieces).to_numpy().astype(np.int64)
         first = np.cumsum(counts) - counts
@@ -102,6 +110,10 @@ class ChunkStore:
         return ids, ends[np.concatenate([[0], np.cumsum(counts)])]
 
 
+# Words that lower-casing and normalisation leave as they are.
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
+
+
 class LibraryEncoder(ChunkStore):
     """Chunks encoded by the ``tokenizers`` library, special strings in the
     text recognised as it does, its truncation and padding off.
@@ -112,19 +124,52 @@ class LibraryEncoder(ChunkStore):
 
     GROUP = 200
 
-    def __init__(self, path: str, separator: str, keeps_spaces: bool, limit: int = 300_000):
+    def __init__(self, path: str, separator: str, keeps_spaces: bool, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.separator, self.separator_id = separator, self.tokenizer.token_to_id(separator)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         super().__init__(keeps_spaces, limit)
 
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def apart(self, texts: pa.Array) -> pa.Array:
+        # ASCII capitals, line ends and a mark behind a word make no difference to
+        # a tokenizer that lower-cases, drops white space and splits words from marks.
+        if pc.any(pc.match_substring(texts, "<|")).as_py():
+            return texts
+        texts = pc.ascii_lower(pc.replace_substring(texts, "\n", " "))
+        return pc.replace_substring_regex(texts, r"([a-z])([.,]) ", r"\1 \2 ")
+
     def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.array([not self.keeps_spaces and _PLAIN(c) is not None for c in chunks], bool)
+        if not plain.any():
+            return self._encode_any(chunks)
+        words = [c for c, p in zip(chunks, plain) if p]
+        out = self._batch([" ".join(words[a: a + self.GROUP]) for a in range(0, len(words), self.GROUP)])
+        flat = np.fromiter((x for ids in out for x in ids), np.uint32)
+        stop = np.flatnonzero(self.ends_word[flat])
+        if len(stop) != len(words) or stop[-1] != len(flat) - 1:
+            return self._encode_any(chunks)  # not a vocabulary that marks word ends
+        lengths = np.zeros(len(chunks), np.int64)
+        lengths[plain] = np.diff(stop, prepend=-1)
+        others, other_lengths = self._encode_any([c for c, p in zip(chunks, plain) if not p])
+        lengths[~plain] = other_lengths
+        start = np.cumsum(lengths) - lengths
+        merged = np.zeros(int(lengths.sum()), np.uint32)
+        merged[ragged(start[plain], lengths[plain])] = flat
+        merged[ragged(start[~plain], other_lengths)] = others
+        return merged, lengths
+
+    def _encode_any(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if not chunks:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         lengths = np.zeros(len(chunks), np.int64)
         # A chunk that may hold a special string, or is long, goes alone.
         alone = [i for i, c in enumerate(chunks) if "<|" in c or len(c) > 1000]
