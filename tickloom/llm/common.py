@@ -31,6 +31,11 @@ def cached(key, make):
     return cache[key]
 
 
+def spare() -> None:
+    """Give memory that Arrow holds for later back to the system."""
+    pa.default_memory_pool().release_unused()
+
+
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     """Cut a record batch so that each slice holds at most ``limit`` bytes of
     ``column`` (one row at least, whatever its size): memory stays bounded by
@@ -105,6 +110,7 @@ def append_columns(df: DataFrame, text_col: str, fields: str, start) -> DataFram
             batch = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
             for part in text_slices(batch, f"c{at}"):
                 yield pa.RecordBatch.from_arrays([*part.columns, *compute(texts_of(part, f"c{at}"))], names=names)
+        spare()
 
     return df.mapInArrow(run, schema)
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import cached, ceil_div, materialize, text_slices, texts_of
-from tickloom.llm.tokens import LibraryEncoder, with_end
+from tickloom.llm.tokens import REMEMBERED, LibraryEncoder, with_end
 
 CAPACITY = 1024
 END_ID = 2
@@ -45,12 +45,14 @@ def cut_points(n_tokens: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, separator: str, end_id: int = END_ID,
-                 capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text",
+                 remembered: int = REMEMBERED) -> DataFrame:
     """Tokenise whole texts, append ``end_id`` and cut what is longer than
     ``capacity``; one row per piece."""
 
     def run(batches):
-        enc = cached(("library", tokenizer_path), lambda: LibraryEncoder(tokenizer_path, separator, True))
+        enc = cached(("library", tokenizer_path, remembered),
+                     lambda: LibraryEncoder(tokenizer_path, separator, True, remembered))
         for batch in batches:
             for part in text_slices(batch, "text"):
                 ids, off = with_end(*enc.encode(texts_of(part, "text")), end_id)
@@ -59,6 +61,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, separator: str, end_id: i
                         for row, (a, n) in enumerate(zip(off[:-1].tolist(), np.diff(off).tolist()))
                         for i, (s, m) in enumerate(cut_points(n, capacity))]
                 row, piece, start, length, crc = map(np.array, zip(*rows))
+                del ids, raw
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").take(pa.array(row)), pa.array(piece, pa.int32()),
                      pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],

@@ -67,7 +67,7 @@ def op7_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, f"token_files/{uuid.uuid4().hex}")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"),
-                             "<|endoftext|>", end_id=2)
+                             "<|endoftext|>", end_id=2, remembered=800_000)
     return token_files.with_crc(token_files.read_tokens(spark, path))
 
 
@@ -81,7 +81,8 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"),
-                                             tokenizer_file("byte_bpe_50k.json"), "<|endoftext|>"))
+                                             tokenizer_file("byte_bpe_50k.json"), "<|endoftext|>",
+                                             remembered=800_000))
 
 
 QUERIES = {

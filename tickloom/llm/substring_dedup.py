@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tickloom.llm.common import bytes_of, ceil_div, free_name, materialize, ragged, text_slices, texts_of
+from tickloom.llm.common import bytes_of, ceil_div, free_name, materialize, ragged, spare, text_slices, texts_of
 from tickloom.llm.wordhash import U64, mix, run_hashes, span_hashes, white_space, word_spans
 
 WINDOW = 20
@@ -239,6 +239,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
                 for x in said or []:
                     by_kind[x["kind"]][x["shard"]] = (x["row_0"], x["row_1"])
                 yield block, opened(payload.as_buffer()), by_kind
+                spare()
 
     def key_cuts(h):
         return np.searchsorted(((h >> U64(32)) * U64(n_shards)) >> U64(32), np.arange(n_shards + 1).astype(U64)).tolist()

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import cached, text_slices, texts_of
-from tickloom.llm.tokens import LibraryEncoder, with_end
+from tickloom.llm.tokens import REMEMBERED, LibraryEncoder, with_end
 
 FILE_SCHEMA = "file int, doc_id long, file_start long, n_tokens long, ids array<int>"
 ROW_GROUP_BYTES = 32 << 20
@@ -49,12 +49,12 @@ WRITER = {
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, separator: str, end_id: int,
                  keeps_spaces: bool = False, id_col: str = "doc_id", text_col: str = "text",
                  row_group_bytes: int = ROW_GROUP_BYTES, page_bytes: int = PAGE_BYTES,
-                 page_rows: int = PAGE_ROWS) -> None:
+                 page_rows: int = PAGE_ROWS, remembered: int = REMEMBERED) -> None:
     """Tokenise whole texts, append ``end_id``, write in ascending id order."""
 
     def run(batches):
-        enc = cached(("library", tokenizer_path),
-                     lambda: LibraryEncoder(tokenizer_path, separator, keeps_spaces))
+        enc = cached(("library", tokenizer_path, remembered),
+                     lambda: LibraryEncoder(tokenizer_path, separator, keeps_spaces, remembered))
         file, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in text_slices(batch, "text"):

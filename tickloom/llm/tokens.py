@@ -22,6 +22,10 @@ _SPACE_AFTER_SPACE = (r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2
                       r"\x{202f}\x{205f}\x{3000}] ")
 
 
+#: Chunks a worker remembers, about 250 bytes each.
+REMEMBERED = 200_000
+
+
 class ChunkStore:
     """Ids of distinct chunks; subclasses say how missing chunks are encoded.
 
@@ -32,7 +36,7 @@ class ChunkStore:
     ``limit`` chunks, so a worker's memory is bounded.
     """
 
-    def __init__(self, keeps_spaces: bool, limit: int = 800_000):
+    def __init__(self, keeps_spaces: bool, limit: int = REMEMBERED):
         self.keeps_spaces, self.limit = keeps_spaces, limit
         self._reset()
 
@@ -124,7 +128,7 @@ class LibraryEncoder(ChunkStore):
 
     GROUP = 200
 
-    def __init__(self, path: str, separator: str, keeps_spaces: bool, limit: int = 800_000):
+    def __init__(self, path: str, separator: str, keeps_spaces: bool, limit: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
