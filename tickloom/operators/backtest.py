@@ -53,13 +53,14 @@ def price_relatives(prices: DataFrame, clip=(0.1, 10.0)) -> DataFrame:
 
 
 def normalize_weights(actions: DataFrame, min_total: float = 1e-8) -> DataFrame:
-    """G1 (sparse): per (portfolio, step) any NaN/inf → equal weights; negatives
+    """G1 (sparse): per (portfolio, step) any NULL/NaN/inf → equal weights; negatives
     → 0; Σ > 1e-8 → raw/Σ, else equal.  Returns only the explicit (positive)
     weights; an absent (portfolio, step) means equal weights."""
     g = Window.partitionBy("portfolio_id", "step")
     raw = F.col("raw")
-    bad = F.max(F.when(F.isnan(raw) | (F.abs(raw) == float("inf")), 1).otherwise(0)).over(g)
-    pos = F.when(F.isnan(raw) | (F.abs(raw) == float("inf")), F.lit(0.0)) \
+    unusable = raw.isNull() | F.isnan(raw) | (F.abs(raw) == float("inf"))
+    bad = F.max(F.when(unusable, 1).otherwise(0)).over(g)
+    pos = F.when(unusable, F.lit(0.0)) \
         .otherwise(F.greatest(raw, F.lit(0.0)))
     total = F.sum(pos).over(g)
     df = actions.select("portfolio_id", "step", "ticker", pos.alias("pos"),

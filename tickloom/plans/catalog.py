@@ -481,7 +481,8 @@ def q_stream_hourly_bars(spark, sf_dir):
     a 10-minute watermark in append mode, drained with ``availableNow`` into
     a fresh folder under the shared checkpoint location."""
     sch = table(spark, sf_dir, "events").schema
-    ev = K.read_ticks_stream(spark, sf_dir, "parquet", sch, glob="events.parquet")
+    # As a pattern the path may be one file or a folder of part files.
+    ev = K.read_ticks_stream(spark, f"{sf_dir.rstrip('/')}/events.parque[t]", "parquet", sch)
     ticks = ev.select(F.col("event_type").alias("ticker"), F.col("ts").cast("timestamp").alias("ts"),
                       F.col("value").alias("price"),
                       F.get_json_object("props", "$.k").cast("double").alias("volume"),

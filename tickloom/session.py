@@ -21,7 +21,7 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tickloom", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
@@ -32,8 +32,13 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("TICKLOOM_DRIVER_MEMORY", "16g"))
+    # A cluster's own shuffle and memory settings stay; only local runs get
+    # small defaults.
+    if master and master.startswith("local"):
+        shuffle_partitions = shuffle_partitions or 8
+        conf["spark.driver.memory"] = os.environ.get("TICKLOOM_DRIVER_MEMORY", "16g")
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -46,8 +51,9 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a private scratch folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session; only when it is unset and
+    the master is local (tests) a private scratch folder is created and
+    registered.  On a cluster an unset folder is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -58,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return conf_dir
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="tickloom-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
@@ -79,4 +87,4 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}/{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

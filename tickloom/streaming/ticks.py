@@ -40,12 +40,14 @@ TICKER_LIST_SCHEMA = T.StructType([
 
 # ---------------------------------------------------------------- K1 sources
 def read_ticks_stream(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
-                      schema: T.StructType | str | None = None, max_files_per_trigger: int = 1,
+                      schema: T.StructType | str | None = None, max_files_per_trigger: int | None = None,
                       kafka_servers: str | None = None, topics=TOPICS[:1],
                       glob: str | None = None) -> DataFrame:
     """A streaming source: Kafka (``startingOffsets=earliest``) when servers
-    are given, else a file directory (``maxFilesPerTrigger`` bounds a
-    micro-batch, the file-source analogue of a bounded drain)."""
+    are given, else a file or a directory of files.  Unbounded by default: a
+    backfill reads all files in one micro-batch, so the watermark of an early file
+    cannot make a later file's rows late.  ``max_files_per_trigger`` is for
+    files that arrive in event-time order."""
     if kafka_servers:
         return (spark.readStream.format("kafka")
                 .option("kafka.bootstrap.servers", kafka_servers)
@@ -53,7 +55,9 @@ def read_ticks_stream(spark: SparkSession, path: str | None = None, fmt: str = "
                 .option("startingOffsets", "earliest").load()
                 .select(F.col("key").cast("string").alias("key"),
                         F.col("value").cast("string").alias("value"), "topic", "timestamp"))
-    r = spark.readStream.format(fmt).option("maxFilesPerTrigger", max_files_per_trigger)
+    r = spark.readStream.format(fmt)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if glob:
         r = r.option("pathGlobFilter", glob)
     if schema is not None:
