@@ -205,7 +205,7 @@ def labelled(spark):
         text = words(60, 1000 + i)
         toxic, good = int(i % 5 == 0), int(i % 4 != 0)
         if toxic:
-            text[rng.integers(0, 60)] = ["idiot.", "Moron"][i % 2]
+            text[rng.integers(0, 60)] = ["idiot.", "Moron"][i // 10 % 2]
         rows.append((i, " ".join(text) if good else " ".join(x.upper() + "!!" for x in text), "score"))
         labels.append((i, good, toxic))
     rows += [(900, None, "s"), (901, "", "s"), (902, "idiot", "s"), (0, rows[0][1], "s")]
