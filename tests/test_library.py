@@ -87,15 +87,70 @@ def test_exact_quantiles_match_numpy(spark):
         assert math.isclose(v, float(np.quantile(vals, q)), rel_tol=1e-12, abs_tol=1e-12)
 
 
-def test_sequence_number_and_next_row(spark):
-    from tickloom.functions.sequence import next_row, sequence_number
-    rows = [("hot", i, i * 10) for i in range(500)] + [("cold", i, i) for i in range(5)]
+def test_exact_quantiles_of_several_keys_with_nulls(spark):
+    from tickloom.functions.quantiles import exact_quantiles
+    rows = [("a", 1.0), ("a", 2.0), ("b", 7.0), ("b", None), ("none", None)]
+    df = spark.createDataFrame(rows, "column string, value double").repartition(3)
+    got = {(r["column"], r.q): r["quantile"] for r in exact_quantiles(df, (0.0, 0.5, 1.0)).collect()}
+    assert got == {("a", 0.0): 1.0, ("a", 0.5): 1.5, ("a", 1.0): 2.0,
+                   ("b", 0.0): 7.0, ("b", 0.5): 7.0, ("b", 1.0): 7.0}
+
+
+def test_sequence_number(spark):
+    from pyspark.sql import functions as F
+    from tickloom.functions.sequence import sequence_number
+    rows = [("hot", i, i * 10) for i in range(500)] + [("cold", i, i) for i in range(5)] \
+        + [(None, 0, None), (None, 1, 3)]
     df = spark.createDataFrame(rows, "k string, id long, t long").repartition(5)
-    s = sequence_number(df, ["k"], ["t", "id"])
+    s = sequence_number(df, ["k"], ["t", "id"], F.floor(F.col("t") / 70))
     assert {(r.k, r.id, r.seq) for r in s.collect()} == \
         {(k, i, i + 1) for k, i, _ in rows}
-    n = {(r.k, r.id): r.next_t for r in next_row(s, ["k"], ["t"]).collect()}
-    assert n[("hot", 3)] == 40 and n[("hot", 499)] is None
+
+
+def test_up_down_equals_next_event_per_target(spark):
+    from tickloom.operators.monitoring import up_down
+    rng = np.random.default_rng(3)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(k, start + dt.timedelta(milliseconds=int(ms)), i) for k in ("a", "b")
+            for i, ms in enumerate(np.cumsum(rng.choice([500, 60_000, 119_999, 120_000, 121_500, 400_000], 300)))]
+    df = spark.createDataFrame(rows + [("a", None, 999)], "endpoint string, ts timestamp, event_id long").repartition(4)
+    expected = {(k, a, b) for (k, a, _), (k2, b, _) in zip(rows, rows[1:])
+                if k == k2 and int(b.timestamp()) - int(a.timestamp()) > 120}
+    assert {(r.endpoint, r.down_from, r.down_until) for r in up_down(df).collect()} == expected and expected
+
+
+def test_dense_panel_keeps_every_date_or_raises(spark):
+    from tickloom.operators.clean import dense_panel
+    days = [dt.date(2024, 1, d) for d in (1, 2, 5, 8)]
+    bars = spark.createDataFrame([("A", d, 1.0) for d in days] + [("B", days[1], 2.0)],
+                                 "ticker string, date date, close double")
+    got = dense_panel(bars).collect()
+    assert {(r.ticker, r.date) for r in got} == {(t, d) for t in "AB" for d in days}
+    assert sum(r.close is not None for r in got) == 5
+    with pytest.raises(ValueError):
+        dense_panel(bars, step="7 days")
+    assert dense_panel(bars.limit(0)).count() == 0
+
+
+def test_unknown_volatility_gets_nothing_and_universe_counts(spark):
+    from tickloom.operators import scoring as I
+    cur = spark.createDataFrame([("p", "A", 0.5), ("p", "B", 0.3), ("p", "C", 0.2)],
+                                "portfolio_id string, ticker string, weight double")
+    vol = spark.createDataFrame([("A", 0.1), ("B", 0.1), ("C", None)], "ticker string, vol double")
+    scored = I.score_portfolios(cur, vol)
+    assert {r.ticker: r.new_weight for r in scored.collect()} == {"A": 0.5, "B": 0.5, "C": 0.0}
+    conf = I.rebalance_decisions(scored, universe=25).first().confidence
+    assert math.isclose(conf, 1 - math.log(2) / math.log(25), abs_tol=1e-6)
+
+
+@pytest.mark.parametrize("files", [1, 4, 16])
+def test_stream_bars_do_not_depend_on_the_file_layout(spark, tmp_path, files):
+    from tickloom.plans.catalog import QUERIES
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(files).write.parquet(
+        str(tmp_path / "events.parquet"))
+    batch = QUERIES["hourly_event_bars"](spark, str(tmp_path))
+    stream = QUERIES["stream_hourly_bars"](spark, str(tmp_path)).select(batch.columns)
+    assert sorted(map(tuple, stream.collect())) == sorted(map(tuple, batch.collect()))
 
 
 def test_store_helpers(spark):

@@ -2,11 +2,11 @@
 
 ``percentile`` (exact) merges every distinct value of a group into one
 buffer; for a global ``describe`` that is the whole column in one task.
-Here the values are globally sorted (range-partitioned by sampled bounds, so
-a hot value range is split across tasks), each row gets its global rank from
-per-partition counts (a table with one row per partition), and only the rows
-at the needed ranks are kept — the interpolation then runs on a handful of
-rows.  Linear interpolation between ranks ⌊q(n−1)⌋ and ⌈q(n−1)⌉ (pandas).
+Here equal values are first counted (map-side), so a value that fills a third
+of a column is one row.  The distinct values are range-partitioned and written
+with their partition number; per-partition counts (one row per partition and
+key) tell which partitions hold the needed ranks, and only those are read again
+and ordered.  Linear interpolation between ranks ⌊q(n−1)⌋ and ⌈q(n−1)⌉ (pandas).
 """
 
 from __future__ import annotations
@@ -14,48 +14,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-LOW_BITS = (1 << 33) - 1
-
-
-def global_rank(df: DataFrame, key: str, value: str, with_counts: bool = False):
-    """Add ``_rank`` (0-based position of ``value`` within its ``key``
-    group in ascending order) using a distributed sort.  With
-    ``with_counts`` also return (key, _n) derived from the same per-partition
-    table (no extra pass over the data)."""
-    from tickloom.session import materialize
-    # Stamped once and written: the counts and the rows must see the same
-    # partition ids, which two separate executions of the sort do not promise.
-    s = materialize(df.select(key, value).filter(F.col(value).isNotNull())
-                    .orderBy(key, value)
-                    .withColumn("_id", F.monotonically_increasing_id())
-                    .withColumn("_pid", F.shiftright("_id", 33))
-                    .withColumn("_pos", F.col("_id").bitwiseAND(F.lit(LOW_BITS))), "rank")
-    # Rows per (partition, key); offsets are the counts of the same key in
-    # earlier partitions.  One row per partition and key: tiny.
-    counts = s.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_c"),
-                                        F.min("_pos").alias("_p0"))
-    w = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", key, "_p0",
-                            F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
-    ranked = s.join(F.broadcast(offsets), ["_pid", key]) \
-        .select(key, value, (F.col("_off") + F.col("_pos") - F.col("_p0")).alias("_rank"))
-    if not with_counts:
-        return ranked
-    return ranked, counts.groupBy(key).agg(F.sum("_c").alias("_n"))
-
 
 def exact_quantiles(long: DataFrame, qs=(0.25, 0.5, 0.75), key: str = "column",
                     value: str = "value") -> DataFrame:
-    """(key, q, quantile) for each group of a long (key, value) table."""
-    ranked, n = global_rank(long, key, value, with_counts=True)
+    """(key, q, quantile) for each group of a long (key, value) table.  NULL
+    values and NULL keys take no part; a group without values has no row."""
+    from tickloom.session import materialize
+    known = long.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
+    # Written once: the counts and the rows must see the same partitions,
+    # which two executions of a sampled range exchange do not promise.
+    counted = materialize(known.groupBy(key, value).agg(F.count(F.lit(1)).alias("_c"))
+                          .repartitionByRange(key, value)
+                          .withColumn("_pid", F.spark_partition_id()), "value_counts")
+    per = counted.groupBy(key, "_pid").agg(F.sum("_c").alias("_c"))
+    w = Window.partitionBy(key).orderBy("_pid")
+    parts = per.select(key, "_pid", (F.sum("_c").over(w) - F.col("_c")).alias("_from"),
+                       F.sum("_c").over(w).alias("_to"))
+    n = per.groupBy(key).agg(F.sum("_c").alias("_n"))
     need = n.select(key, "_n", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
     need = need.select(key, "q", (F.col("q") * (F.col("_n") - 1)).alias("_h"))
-    need = need.select(key, "q", "_h", F.floor("_h").cast("long").alias("_lo"),
-                       F.ceil("_h").cast("long").alias("_hi"))
-    pts = need.select(key, "q", "_h", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_rank"))
-    hit = pts.join(ranked, [key, "_rank"])
+    pts = need.select(key, "q", "_h", F.explode(F.array_distinct(F.array(
+        F.floor("_h").cast("long"), F.ceil("_h").cast("long")))).alias("_rank"))
+    pts = pts.join(parts, key).filter((F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
+    held = counted.join(pts.select(key, "_pid", "_from").distinct(), [key, "_pid"])
+    upto = F.sum("_c").over(Window.partitionBy(key, "_pid").orderBy(value)) + F.col("_from")
+    spans = held.select(key, "_pid", value, (upto - F.col("_c")).alias("_lo"), upto.alias("_hi"))
+    hit = pts.join(spans, [key, "_pid"]).filter(
+        (F.col("_rank") >= F.col("_lo")) & (F.col("_rank") < F.col("_hi")))
     g = hit.groupBy(key, "q", "_h").agg(F.min_by(value, "_rank").alias("_vlo"),
                                         F.max_by(value, "_rank").alias("_vhi"),
-                                        F.min("_rank").alias("_lo"))
-    frac = F.col("_h") - F.col("_lo")
+                                        F.min("_rank").alias("_rlo"))
+    frac = F.col("_h") - F.col("_rlo")
     return g.select(key, "q", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias("quantile"))

@@ -1,46 +1,32 @@
-"""Position of each row inside its key, without a per-key window.
+"""Position of each row inside its key, without a window over a whole key.
 
-``Window.partitionBy(key).orderBy(...)`` sends a whole key to one task; with
-a key holding a third of the rows that task holds a third of the data.  Here
-the rows are globally sorted by (keys, order) — a range exchange whose bounds
-are sampled from the full sort key, so a hot key is spread over many tasks —
-and each row's position is its index inside its sort partition plus the
-number of rows of the same key in earlier partitions (a table with one row
-per partition and key).  The sort key must be unique (add an id column).
+``Window.partitionBy(key).orderBy(...)`` sends a whole key to one task.  Here
+rows are numbered in two levels: inside (key, bucket), where ``bucket`` is a
+coarser form of the order (the hour of a timestamp), and the number of rows of
+the key's earlier buckets is added, from a table with one row per key and bucket.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
-
-LOW_BITS = (1 << 33) - 1
+from functools import reduce
 
-
-def sequence_number(df: DataFrame, keys, order, name: str = "seq") -> DataFrame:
-    """Add ``name`` = 1-based position of the row in its ``keys`` group
-    ordered by ``order`` (a unique tiebreak must be part of ``order``)."""
-    from tickloom.session import materialize
-    keys, order = list(keys), list(order)
-    # The id-stamped sort is read twice (counts and rows).  Two separate
-    # executions may split the range sort differently (AQE coalescing), so
-    # the stamped rows are written once and both uses read the same ids.
-    s = materialize(df.orderBy(*keys, *order)
-                    .withColumn("_id", F.monotonically_increasing_id())
-                    .withColumn("_pid", F.shiftright("_id", 33))
-                    .withColumn("_pos", F.col("_id").bitwiseAND(F.lit(LOW_BITS))), "sequence")
-    per = s.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_p0"))
-    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    off = per.select("_pid", *keys, "_p0", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
-    return s.join(off, ["_pid", *keys]) \
-        .withColumn(name, F.col("_off") + F.col("_pos") - F.col("_p0") + 1) \
-        .drop("_id", "_pid", "_pos", "_p0", "_off")
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 
-def next_row(seq_df: DataFrame, keys, cols, seq: str = "seq", prefix: str = "next_") -> DataFrame:
-    """``lead`` as an equi-join on (keys, seq + 1): every join key is unique,
-    so the exchange is balanced however hot a key is."""
+def sequence_number(df: DataFrame, keys, order, bucket: Column, name: str = "seq") -> DataFrame:
+    """Add ``name`` = 1-based position of the row in its ``keys`` group ordered
+    by ``order`` (a unique tiebreak must be part of it).  ``bucket`` must not
+    fall along that order.  NULL keys form a group; NULL order values come first."""
     keys = list(keys)
-    nxt = seq_df.select(*keys, (F.col(seq) - 1).alias(seq),
-                        *[F.col(c).alias(prefix + c) for c in cols])
-    return seq_df.join(nxt, [*keys, seq], "left")
+    rows = df.withColumn("_b", bucket)
+    per = rows.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_kb"),
+                         F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_off"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    same.append(F.col("_b").eqNullSafe(F.col("_kb")))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order))
+    numbered = rows.withColumn("_in", inside).join(offsets, reduce(Column.__and__, same))
+    return numbered.withColumn(name, F.col("_off") + F.col("_in")).drop(
+        "_b", "_in", "_off", "_kb", *[f"_k{i}" for i in range(len(keys))])

@@ -147,19 +147,23 @@ def latest_window(bars: DataFrame, n: int = 30, key="ticker", order="date") -> D
     return bars.withColumn("_k", F.row_number().over(rev)).filter(F.col("_k") <= n).drop("_k")
 
 
-def dense_panel(bars: DataFrame, key="ticker", order="date", step="1 week",
+def dense_panel(bars: DataFrame, key="ticker", order="date", step="1 day",
                 cols=OHLCV) -> DataFrame:
     """Align every series to the union calendar; absent periods are NULL.
 
     The calendar is generated per series with ``sequence`` between the global
     first and last period (two scalars) and restricted to observed periods by
     a semi-join, so no pairing of tables is needed; the result has exactly
-    |series| × |calendar| rows, the panel itself.
+    |series| × |calendar| rows, the panel itself.  Every date lies on the
+    default lattice; a coarser ``step`` that misses an observed period raises.
     """
     lo, hi = bars.agg(F.min(order), F.max(order)).first()
-    cal = bars.select(order).distinct()
+    cal = bars.select(order).filter(F.col(order).isNotNull()).distinct()
+    lattice = F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr(f"INTERVAL {step}"))).alias(order)
+    if lo is not None and not cal.join(bars.sparkSession.range(1).select(lattice), order, "left_anti").isEmpty():
+        raise ValueError(f"observed periods lie off a lattice of {step} from {lo}")
     grid = bars.select(key).distinct().select(
-        key, F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr(f"INTERVAL {step}"))).alias(order))
+        key, lattice) if lo is not None else bars.select(key, order)
     grid = grid.join(cal, order, "left_semi")
     keep = [c for c in bars.columns if c in cols]
     return grid.join(bars.select(key, order, *keep), [key, order], "left")

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.core import UNB, td
-from tickloom.functions.sequence import next_row, sequence_number
 
 # Histogram bucket upper bounds (seconds / score), in order.
 API_LATENCY_BUCKETS = (0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0)
@@ -194,7 +193,7 @@ def evaluate_alerts(samples: DataFrame, rules: DataFrame, labels=("endpoint",),
     b = b.withColumn("_new", gap).withColumn("island", F.sum("_new").over(w.rowsBetween(UNB, 0)))
     g = b.groupBy(*key, "island").agg(
         F.min("ts").alias("since"), F.max("ts").alias("until"),
-        F.count(F.lit(1)).alias("evaluations"), F.max("value").alias("peak_value"),
+        F.count(F.lit(1)).alias("evaluations"), F.when(F.first("op").isin("<", "<="), F.min("value")).otherwise(F.max("value")).alias("peak_value"),
         F.first("for_seconds").alias("for_seconds"), F.first("severity").alias("severity"))
     held = F.unix_timestamp("until") - F.unix_timestamp("since")
     return g.select(*key, "since", "until", "evaluations", "peak_value", "severity",
@@ -216,11 +215,14 @@ def api_alerts(log: DataFrame, spark) -> DataFrame:
 
 def up_down(log: DataFrame, key: str = "endpoint", max_gap_seconds: int = 120) -> DataFrame:
     """Silences — consecutive events of a target further apart than
-    ``max_gap_seconds`` (target considered down in between).  "Next event"
-    is a sequence-number equi-join, not a window over a target's whole log."""
-    seq = sequence_number(log.select(key, "ts", "event_id"), [key], ["ts", "event_id"])
-    df = next_row(seq, [key], ["ts"])
-    gap = F.unix_timestamp("next_ts") - F.unix_timestamp("ts")
-    return df.filter(gap > max_gap_seconds).select(
-        key, F.col("ts").alias("down_from"), F.col("next_ts").alias("down_until"),
-        gap.alias("gap_seconds"))
+    ``max_gap_seconds`` (target considered down in between).  Two events of one
+    bucket of that many seconds are never further apart, so first and last event
+    per bucket tell all silences; the log is only aggregated, map-side first.
+    Events without a time take no part."""
+    seconds = F.unix_timestamp("ts")
+    buckets = log.filter(F.col("ts").isNotNull()).groupBy(
+        key, F.floor(seconds / max_gap_seconds).alias("_b")).agg(
+        F.min("ts").alias("_first"), F.max("ts").alias("down_from"))
+    df = buckets.withColumn("down_until", F.lead("_first").over(Window.partitionBy(key).orderBy("_b")))
+    gap = F.unix_timestamp("down_until") - F.unix_timestamp("down_from")
+    return df.filter(gap > max_gap_seconds).select(key, "down_from", "down_until", gap.alias("gap_seconds"))

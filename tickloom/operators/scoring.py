@@ -51,7 +51,8 @@ def score_portfolios(current: DataFrame, vol: DataFrame | None = None, policy="i
     """New weights per (portfolio, ticker) for the held assets.
 
     ``policy``: ``equal``, ``hold`` (keep current weights), ``inverse_vol``
-    (∝ 1/σ over held assets; needs ``vol(ticker, vol)``), or a callable
+    (∝ 1/σ over held assets; needs ``vol(ticker, vol)``; an asset whose σ is
+    unknown or zero gets nothing, all such assets equal weights), or a callable
     ``pandas.DataFrame -> pandas.DataFrame`` applied per portfolio, which must
     return ``(portfolio_id, ticker, raw)``."""
     if callable(policy):
@@ -66,7 +67,7 @@ def score_portfolios(current: DataFrame, vol: DataFrame | None = None, policy="i
         if vol is None:
             raise ValueError("inverse_vol needs an asset volatility table")
         raw = current.join(vol, "ticker", "left").withColumn(
-            "raw", F.lit(1.0) / F.greatest(F.coalesce(F.col("vol"), F.lit(0.0)), F.lit(1e-8)))
+            "raw", F.when(F.col("vol") > 1e-8, F.lit(1.0) / F.col("vol")).otherwise(F.lit(0.0)))
     else:
         raise ValueError(f"unknown policy {policy!r}")
     out = postprocess_weights(raw.withColumnRenamed("weight", "current_weight"), key)
@@ -76,17 +77,19 @@ def score_portfolios(current: DataFrame, vol: DataFrame | None = None, policy="i
 
 
 def rebalance_decisions(scored: DataFrame, key: str = "portfolio_id",
-                        threshold: float = 0.05) -> DataFrame:
+                        threshold: float = 0.05, universe: int | None = None) -> DataFrame:
     """I3 + I4: allocation confidence 1 − H(w)/ln N and the rebalance call
-    (max |Δw| > 0.05; the Σ|Δw| variant alongside)."""
+    (max |Δw| > 0.05; the Σ|Δw| variant alongside).  N is ``universe``, the
+    number of assets a portfolio can hold; by default those it holds."""
     w = F.col("new_weight")
+    n = F.col("n_assets") if universe is None else F.lit(universe)
     g = scored.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_assets"),
         F.sum(w * F.log(w + 1e-8)).alias("_plogp"),
         F.max(F.abs("change")).alias("max_change"),
         F.sum(F.abs("change")).alias("total_change"),
         F.sum(w).alias("weight_sum"))
-    conf = 1 - td(-F.col("_plogp"), F.log(F.col("n_assets").cast("double")))
+    conf = 1 - td(-F.col("_plogp"), F.log(n.cast("double")))
     return g.select(key, "n_assets", conf.alias("confidence"), "max_change", "total_change",
                     "weight_sum", (F.col("max_change") > threshold).alias("rebalance_needed"),
                     (F.col("total_change") > threshold).alias("rebalance_needed_total"))

@@ -84,7 +84,7 @@ def retain_latest(reg: DataFrame, k: int = 5, key: str = "model", salts: int = 6
     and every row older than the cut is listed.  Exact: the global top-k is
     contained in the union of the per-salt top-k."""
     o = [F.col("loaded_at").desc(), F.col("version").desc()]
-    salted = reg.withColumn("_s", F.abs(F.xxhash64("version")) % salts)
+    salted = reg.withColumn("_s", F.pmod(F.xxhash64("version"), F.lit(salts)))
     cand = salted.withColumn("_r", F.row_number().over(Window.partitionBy(key, "_s").orderBy(*o))) \
         .filter(F.col("_r") <= k)
     cut = cand.withColumn("_g", F.row_number().over(Window.partitionBy(key).orderBy(*o))) \

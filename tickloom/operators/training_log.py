@@ -16,9 +16,9 @@ from tickloom.functions.sequence import sequence_number
 
 
 def with_steps(log: DataFrame, key: str = "run_id") -> DataFrame:
-    """step = position in the run by (ts, event_id), numbered without a
-    per-run window (a hot run is spread over many tasks)."""
-    return sequence_number(log, [key], ["ts", "event_id"], name="step")
+    """step = position in the run by (ts, event_id), numbered inside (run, hour)
+    and offset by the run's earlier hours (a hot run is spread over many tasks)."""
+    return sequence_number(log, [key], ["ts", "event_id"], F.date_trunc("hour", "ts"), name="step")
 
 
 def training_progress(log: DataFrame, every: int = 1000, n: int = 100,

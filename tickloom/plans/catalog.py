@@ -404,7 +404,8 @@ def q_score_allocations(spark, sf_dir):
 
 
 def q_rebalance_decisions(spark, sf_dir):
-    return I.rebalance_decisions(_scored(spark, sf_dir))
+    universe = M.materialized_brand_bars(spark, sf_dir).select("ticker").distinct().count()
+    return I.rebalance_decisions(_scored(spark, sf_dir), universe=universe)
 
 
 def q_weight_validation(spark, sf_dir):
@@ -478,8 +479,9 @@ from tickloom.streaming import ticks as K  # noqa: E402
 
 def q_stream_hourly_bars(spark, sf_dir):
     """K1→K4→K3: the events table replayed as a file stream, hourly bars with
-    a 10-minute watermark in append mode, drained with ``availableNow`` into
-    a fresh folder under the shared checkpoint location."""
+    a 10-minute watermark, drained with ``availableNow`` into a fresh folder
+    under the shared checkpoint location; the newest state of every window,
+    those still open at the end included."""
     sch = table(spark, sf_dir, "events").schema
     # As a pattern the path may be one file or a folder of part files.
     ev = K.read_ticks_stream(spark, f"{sf_dir.rstrip('/')}/events.parque[t]", "parquet", sch)
@@ -488,8 +490,8 @@ def q_stream_hourly_bars(spark, sf_dir):
                       F.get_json_object("props", "$.k").cast("double").alias("volume"),
                       F.struct(F.col("event_id").alias("k1")).alias("seq"))
     base = scratch_path(spark, f"stream_hourly_bars/{uuid.uuid4().hex}")
-    K.drain(K.bars_stream(ticks, "1 hour", "10 minutes"), base + "/out", base + "/checkpoint")
-    return spark.read.parquet(base + "/out")
+    return K.drain_latest(K.bars_stream(ticks, "1 hour", "10 minutes"), ["ticker", "date", "hour"],
+                          base + "/out", base + "/checkpoint")
 
 
 _RAW.update({"stream_hourly_bars": q_stream_hourly_bars})
@@ -532,9 +534,10 @@ def q_risk_ratios(spark, sf_dir):
     return PERF.risk_ratios(PERF.performance_core(_run_bt(spark, sf_dir)))
 
 
-def q_price_category(spark, sf_dir):
-    feats = IND.feature_stack(daily_bars(spark, sf_dir))
-    return C.project_category(feats, "volume")
+def q_category(category):
+    def query(spark, sf_dir):
+        return C.project_category(IND.feature_stack(daily_bars(spark, sf_dir)), category)
+    return query
 
 
 def q_feature_set_members(spark, sf_dir):
@@ -550,7 +553,7 @@ def q_feature_set_members(spark, sf_dir):
 _RAW.update({
     "observation_windows": q_observation_windows,
     "risk_ratios": q_risk_ratios,
-    "price_category": q_price_category,
+    **{f"{c}_category": q_category(c) for c in ("price", "volume", "technical")},
     "feature_set_members": q_feature_set_members,
 })
 QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}

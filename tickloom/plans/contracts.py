@@ -65,4 +65,4 @@ DIGITS.update({"stream_hourly_bars": dict(BAR_DIG)})
 
 DIGITS.update({"backtest_open_drift": DIGITS["backtest"]})
 
-DIGITS.update({"price_category": DIGITS["feature_stack"]})
+DIGITS.update({f"{c}_category": DIGITS["feature_stack"] for c in ("price", "volume", "technical")})

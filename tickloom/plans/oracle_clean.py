@@ -154,12 +154,7 @@ FROM g"""
 
 
 def q_stream_hourly_bars() -> str:
-    """Append mode emits a window once the watermark (max event time − 10
-    minutes) has reached its end."""
-    inner = f"""WITH {HBARS}
-SELECT * FROM hbars
-WHERE CAST(date AS TIMESTAMP) + (hour + 1) * INTERVAL 1 HOUR
-      <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
+    inner = f"WITH {HBARS} SELECT * FROM hbars"
     return round_sql(inner, HB_COLS, BAR_DBL, digits("stream_hourly_bars"))
 
 

@@ -3,6 +3,8 @@ feature tensor and the full feature stack."""
 
 from __future__ import annotations
 
+from functools import partial
+
 from tickloom.plans.contracts import digits
 from tickloom.plans.oracle import BAR_COLS, BAR_DBL, BARS, TECH_COLS, price_inner, tech_inner, volume_inner
 from tickloom.plans.oracle_market import BRAND, _bt
@@ -126,19 +128,26 @@ FROM core"""
     return round_sql(_bt(body), ["portfolio_id", "sharpe_rf", "calmar_ratio"], {"sharpe_rf", "calmar_ratio"})
 
 
-def q_price_category():
-    from tickloom.operators.clean import CATEGORY_PATTERNS
+# Substrings that select each feature category.
+CATEGORY_NAMES = {
+    "price": ("Open", "High", "Low", "Close", "Return", "MA", "Price"),
+    "volume": ("Volume", "OBV", "CMF"),
+    "technical": ("SMA", "EMA", "MACD", "RSI", "Stoch", "BB", "Volatility"),
+}
+
+
+def q_category(category):
     p_inner, p_new = price_inner()
     v_inner, v_new = volume_inner()
     t_cols = [c for c in TECH_COLS if c != "Volume_Change"]
     allc = t_cols + p_new + v_new
-    pick = [c for c in allc if any(p in c for p in CATEGORY_PATTERNS["volume"])]
+    pick = [c for c in allc if any(p in c for p in CATEGORY_NAMES[category])]
     src = {c: "t" for c in t_cols} | {c: "p" for c in p_new} | {c: "v" for c in v_new}
     sel = ["t.ticker", "t.date"] + [f'{src[c]}."{c}"' for c in pick]
     inner = f"""SELECT {', '.join(sel)} FROM ({tech_inner()}) t
 JOIN ({p_inner}) p ON t.ticker = p.ticker AND t.date = p.date
 JOIN ({v_inner}) v ON t.ticker = v.ticker AND t.date = v.date"""
-    return round_sql(inner, ["ticker", "date"] + pick, set(pick), digits("price_category"))
+    return round_sql(inner, ["ticker", "date"] + pick, set(pick), digits(f"{category}_category"))
 
 
 def q_feature_set_members():
@@ -154,6 +163,6 @@ SELECT md5(name || '_' || version || '_' || '{{"window": ' || w || '}}') AS id,
 ORACLE.update({
     "observation_windows": q_observation_windows,
     "risk_ratios": q_risk_ratios,
-    "price_category": q_price_category,
+    **{f"{c}_category": partial(q_category, c) for c in CATEGORY_NAMES},
     "feature_set_members": q_feature_set_members,
 })

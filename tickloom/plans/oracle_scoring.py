@@ -13,7 +13,7 @@ vol AS (SELECT ticker, stddev_pop(rel - 1) AS vol FROM (
 lastw AS (SELECT portfolio_id, max(step) AS step FROM wpos GROUP BY portfolio_id),
 cur AS (SELECT w.portfolio_id, w.ticker, w.weight FROM wpos w JOIN lastw l ON w.portfolio_id = l.portfolio_id AND w.step = l.step),
 raw AS (SELECT c.portfolio_id, c.ticker, c.weight AS current_weight,
-          1.0 / greatest(coalesce(v.vol, 0.0), 1e-8) AS raw FROM cur c LEFT JOIN vol v ON c.ticker = v.ticker),
+          CASE WHEN v.vol > 1e-8 THEN 1.0 / v.vol ELSE 0.0 END AS raw FROM cur c LEFT JOIN vol v ON c.ticker = v.ticker),
 sc AS (SELECT portfolio_id, ticker, current_weight,
          CASE WHEN sum(greatest(raw, 0.0)) OVER (PARTITION BY portfolio_id) > 1e-8
               THEN greatest(raw, 0.0) / sum(greatest(raw, 0.0)) OVER (PARTITION BY portfolio_id)
@@ -46,9 +46,9 @@ g AS (SELECT portfolio_id, count(*) AS n_assets, sum(new_weight * ln(new_weight
              sum(abs(new_weight - coalesce(current_weight, 0.0))) AS total_change, sum(new_weight) AS weight_sum
       FROM sc GROUP BY portfolio_id)
 SELECT portfolio_id, n_assets,
-  1 - CASE WHEN ln(n_assets) = 0 THEN NULL ELSE -plogp / ln(n_assets) END AS confidence,
+  1 - CASE WHEN u.n = 1 THEN NULL ELSE -plogp / ln(u.n) END AS confidence,
   max_change, total_change, weight_sum, max_change > 0.05 AS rebalance_needed,
-  total_change > 0.05 AS rebalance_needed_total FROM g"""
+  total_change > 0.05 AS rebalance_needed_total FROM g, (SELECT count(DISTINCT ticker) AS n FROM panel) u"""
     cols = ["portfolio_id", "n_assets", "confidence", "max_change", "total_change", "weight_sum",
             "rebalance_needed", "rebalance_needed_total"]
     return round_sql(inner, cols, {"confidence", "max_change", "total_change", "weight_sum"})

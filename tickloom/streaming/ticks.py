@@ -189,6 +189,19 @@ def drain(df: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
     return q
 
 
+def drain_latest(stream: DataFrame, keys, path: str, checkpoint: str) -> DataFrame:
+    """Drain a windowed aggregate in update mode and return the newest state of
+    every key, also of windows that the watermark has not closed.  Each
+    micro-batch overwrites its own folder, so one that is run again leaves no
+    second copy."""
+    drain(stream, path, checkpoint, output_mode="update", foreach_batch=lambda batch, epoch: batch.write.mode(
+        "overwrite").parquet(f"{path.rstrip('/')}/batch_epoch={epoch}"))
+    values = [c for c in stream.columns if c not in keys]
+    newest = stream.sparkSession.read.parquet(path).groupBy(*keys).agg(
+        F.max_by(F.struct(*values), "batch_epoch").alias("_v"))
+    return newest.select(*keys, "_v.*")
+
+
 def write_batch(batch: DataFrame, epoch_id: int, path: str, prefix: str = "batch") -> None:
     """Append one micro-batch under ``path/prefix_epoch=…``; empty
     batches write nothing."""
