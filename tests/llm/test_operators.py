@@ -252,3 +252,16 @@ def test_block_max_index_is_exact():
 def test_text_statistics_of_empty_texts():
     x = quality_gam.text_features(pa.array(["", "a b b\nA!"]))
     assert x.shape == (2, len(quality_gam.FEATURES)) and not x[0].any() and np.isfinite(x).all()
+
+
+def test_library_encoder_gives_the_ids_of_whole_texts():
+    from tickloom.llm.registry import tokenizer_file
+    from tickloom.llm.tokens import LibraryEncoder
+    texts = ["", " ", "a  b", "a\n b", " a", "a ", "it's <|endoftext|> x", "x < y <| z", "é .  x",
+             "x　 y z\n", "\x1c \x1f a", "one two\nthree. four", "w" * 3000 + " " + "b" * 1500 + " c", "one two"]
+    encoder = LibraryEncoder(tokenizer_file("byte_bpe_50k.json"), "<|endoftext|>", True)
+    expected = [e.ids for e in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    for batch in ([[t] for t in texts], [texts], [texts[::-1]]):
+        for some in batch:
+            ids, ends = encoder.encode(pa.array(some, pa.string()))
+            assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [expected[texts.index(t)] for t in some]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -116,6 +117,9 @@ class ChunkStore:
 
 # Words that lower-casing and normalisation leave as they are.
 _PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
+# A space and what follows, with no white space at the end: the split of a
+# byte-level tokenizer cuts before the next chunk's space.
+_LED = re.compile(r" [^ <]{0,998}[^\s<]").fullmatch
 
 
 class LibraryEncoder(ChunkStore):
@@ -138,6 +142,9 @@ class LibraryEncoder(ChunkStore):
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        # A byte-level vocabulary writes the space byte as U+0120.
+        self.starts_chunk = np.zeros(len(self.ends_word), bool)
+        self.starts_chunk[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
         super().__init__(keeps_spaces, limit)
 
     def _batch(self, texts: list[str]) -> list[list[int]]:
@@ -152,17 +159,27 @@ class LibraryEncoder(ChunkStore):
         return pc.replace_substring_regex(texts, r"([a-z])([.,]) ", r"\1 \2 ")
 
     def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = np.array([not self.keeps_spaces and _PLAIN(c) is not None for c in chunks], bool)
+        # Chunks that can stand next to each other and be told apart by their ids.
+        fits = _LED if self.keeps_spaces else _PLAIN
+        plain = np.array([fits(c) is not None for c in chunks], bool)
         if not plain.any():
             return self._encode_any(chunks)
         words = [c for c, p in zip(chunks, plain) if p]
-        out = self._batch([" ".join(words[a: a + self.GROUP]) for a in range(0, len(words), self.GROUP)])
-        flat = np.fromiter((x for ids in out for x in ids), np.uint32)
-        stop = np.flatnonzero(self.ends_word[flat])
-        if len(stop) != len(words) or stop[-1] != len(flat) - 1:
-            return self._encode_any(chunks)  # not a vocabulary that marks word ends
+        between = "" if self.keeps_spaces else " "
+        out = self._batch([between.join(words[a: a + self.GROUP]) for a in range(0, len(words), self.GROUP)])
+        flat = np.fromiter(chain.from_iterable(out), np.uint32)
+        if self.keeps_spaces:
+            first = np.flatnonzero(self.starts_chunk[flat])
+            told = len(first) == len(words) and first[0] == 0
+            sizes = np.diff(first, append=len(flat))
+        else:
+            stop = np.flatnonzero(self.ends_word[flat])
+            told = len(stop) == len(words) and stop[-1] == len(flat) - 1
+            sizes = np.diff(stop, prepend=-1)
+        if not told:
+            return self._encode_any(chunks)  # not a vocabulary that marks word limits
         lengths = np.zeros(len(chunks), np.int64)
-        lengths[plain] = np.diff(stop, prepend=-1)
+        lengths[plain] = sizes
         others, other_lengths = self._encode_any([c for c, p in zip(chunks, plain) if not p])
         lengths[~plain] = other_lengths
         start = np.cumsum(lengths) - lengths
@@ -181,7 +198,7 @@ class LibraryEncoder(ChunkStore):
         joint = [i for i in range(len(chunks)) if i not in apart] if alone else range(len(chunks))
         groups = [[chunks[i] for i in joint[a: a + self.GROUP]] for a in range(0, len(joint), self.GROUP)]
         out = self._batch([self.separator.join(g) + self.separator for g in groups])
-        flat = np.fromiter((x for ids in out for x in ids), np.uint32)
+        flat = np.fromiter(chain.from_iterable(out), np.uint32)
         mark = flat == self.separator_id
         cut = np.flatnonzero(mark)
         lengths[np.asarray(joint, np.int64)] = np.diff(cut, prepend=-1) - 1
