@@ -65,12 +65,13 @@ class SortedProjections:
         """First rank and size of each query's window, per direction."""
         low = np.stack([np.searchsorted(s, q - half) for s, q in zip(self.sorted, shadow)])
         high = np.stack([np.searchsorted(s, q + half, side="right") for s, q in zip(self.sorted, shadow)])
-        return low.astype(np.uint16), (high - low).astype(np.uint32)
+        return low.astype(np.uint16), (high - low).astype(np.uint16)
 
     def collisions(self, low: np.ndarray, size: np.ndarray) -> np.ndarray:
         """How many windows hold each vector."""
         inside = (self.rank - low[:, None]) < size[:, None]  # below the window wraps round to large
-        return np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint16)
+        narrow = np.uint8 if len(inside) < 256 else np.uint16  # the count is at most one per direction
+        return np.add.reduce(inside.view(np.uint8), axis=0, dtype=narrow)
 
 
 def search(embeddings: DataFrame, is_query, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
