@@ -3,9 +3,10 @@
 The log is a fact table; every metric is a grouped aggregate (partial
 aggregation before the shuffle) or a window over a bounded per-label series.
 Histogram buckets are a fixed list, so a histogram is ONE aggregate with one
-conditional count per bound — no explode of the log.  Alert rules are a
-fixed, tiny table (broadcast with a proven size bound) joined to metric
-samples; the ``for`` clause is a gaps-and-islands pass per (rule, labels).
+conditional count per bound — no explode of the log.  Sliding and trailing
+windows run over one-minute aggregates, never over the log.  Alert rules are a
+fixed, tiny table joined to metric samples; the ``for`` clause is a
+gaps-and-islands pass per (rule, labels).
 """
 
 from __future__ import annotations
@@ -63,13 +64,16 @@ def _le_label(b: float) -> str:
     return repr(float(b))
 
 
+def bucket_counts(value: Column, buckets, prefix: str = "le_") -> list[Column]:
+    """Aggregate expressions: cumulative count per bound and +Inf."""
+    cols = [F.sum(F.when(value <= b, 1).otherwise(0)).cast("long").alias(f"{prefix}{i}")
+            for i, b in enumerate(buckets)]
+    return [*cols, F.count(value).alias(f"{prefix}inf")]
+
+
 def histogram_columns(value: Column, buckets) -> list[Column]:
     """Aggregate expressions: cumulative count per bound, +Inf, sum."""
-    cols = [F.sum(F.when(value <= b, 1).otherwise(0)).cast("long").alias(f"le_{i}")
-            for i, b in enumerate(buckets)]
-    cols.append(F.count(value).alias("le_inf"))
-    cols.append(F.sum(value).alias("value_sum"))
-    return cols
+    return [*bucket_counts(value, buckets), F.sum(value).alias("value_sum")]
 
 
 def histogram(log: DataFrame, labels=("endpoint",), value: str = "duration",
@@ -106,15 +110,28 @@ def quantile_from_buckets(q: float, buckets, prefix: str = "le_") -> Column:
 
 
 # ---------------------------------------------------------------- J5 / J7 rates
+def per_minute(log: DataFrame, labels, aggregates, slide: str = "1 minute") -> DataFrame:
+    """The log reduced to one row per (label set, bucket of ``slide``); the
+    bucket's start is ``ts``.  Every aggregate must be a sum or a count, so that
+    wider windows add the buckets up."""
+    g = log.groupBy(F.window("ts", slide).alias("_m"), *labels).agg(*aggregates)
+    return g.select(F.col("_m.start").alias("ts"), *[c for c in g.columns if c != "_m"])
+
+
+def _requests() -> list[Column]:
+    return [F.count(F.lit(1)).alias("requests"),
+            F.sum(F.when(F.col("status") >= 500, 1).otherwise(0)).cast("long").alias("errors")]
+
+
 def sliding_rates(log: DataFrame, width: str = "5 minutes", slide: str = "1 minute",
                   width_seconds: int = 300, labels=("endpoint",),
                   buckets=API_LATENCY_BUCKETS) -> DataFrame:
     """J5/J7 per sliding window: request and error rate per second (Σ/width,
-    no extrapolation), error percentage and p50/p95 latency from buckets."""
-    g = log.groupBy(F.window("ts", width, slide).alias("w"), *labels).agg(
-        F.count(F.lit(1)).alias("requests"),
-        F.sum(F.when(F.col("status") >= 500, 1).otherwise(0)).cast("long").alias("errors"),
-        *histogram_columns(F.col("duration"), buckets))
+    no extrapolation), error percentage and p50/p95 latency from buckets.
+    ``width`` is a multiple of ``slide``."""
+    per = per_minute(log, labels, [*_requests(), *bucket_counts(F.col("duration"), buckets)], slide)
+    g = per.groupBy(F.window("ts", width, slide).alias("w"), *labels).agg(
+        *[F.sum(c).alias(c) for c in per.columns if c not in ("ts", *labels)])
     return g.select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *labels,
         "requests", "errors",
@@ -125,6 +142,28 @@ def sliding_rates(log: DataFrame, width: str = "5 minutes", slide: str = "1 minu
         quantile_from_buckets(0.95, buckets).alias("p95_latency"))
 
 
+# Look-back of the rates, in seconds.
+RATE_WIDTHS = {"1m": 60, "5m": 300, "10m": 600, "30m": 1800, "1h": 3600}
+
+
+def _trailing(labels, seconds: int):
+    """Frame of the minutes that end within the last ``seconds``."""
+    return Window.partitionBy(*labels).orderBy("_s").rangeBetween(60 - seconds, 0)
+
+
+def rate_windows(log: DataFrame, labels=("endpoint",), widths=RATE_WIDTHS) -> DataFrame:
+    """Increase and per-second rate of requests and errors over every
+    look-back, evaluated at the end of every minute that has requests.  All
+    look-backs share one sort of the one-minute aggregates."""
+    per = per_minute(log, labels, _requests()).withColumn("_s", F.unix_timestamp("ts"))
+    out = []
+    for name, seconds in widths.items():
+        n, e = (F.sum(c).over(_trailing(labels, seconds)) for c in ("requests", "errors"))
+        out += [n.alias(f"increase_{name}"), (n / seconds).alias(f"rate_{name}"),
+                (e / seconds).alias(f"error_rate_{name}")]
+    return per.select((F.col("ts") + F.expr("INTERVAL 1 MINUTE")).alias("window_end"), *labels, *out)
+
+
 def error_ratio(log: DataFrame, labels=("endpoint",)) -> DataFrame:
     """Errors ÷ requests · 100 and the 4xx/5xx share per label set."""
     st = F.col("status").cast("string")
@@ -179,7 +218,7 @@ def evaluate_alerts(samples: DataFrame, rules: DataFrame, labels=("endpoint",),
     """Samples (ts, metric, labels…, value) × rules → one row per breach
     island (consecutive evaluations ``step_seconds`` apart) with its held
     duration and state: ``firing`` when held ≥ the rule's ``for``."""
-    j = samples.join(F.broadcast(rules), "metric")
+    j = samples.join(rules, "metric")
     v, t = F.col("value"), F.col("threshold")
     breach = (F.when(F.col("op") == ">", v > t).when(F.col("op") == "<", v < t)
               .when(F.col("op") == ">=", v >= t).when(F.col("op") == "<=", v <= t)
@@ -213,6 +252,78 @@ def api_alerts(log: DataFrame, spark) -> DataFrame:
     return evaluate_alerts(samples, rules_frame(spark, API_RULES))
 
 
+def _long_samples(wide: DataFrame, keys, metrics) -> DataFrame:
+    """One row per (keys, metric) from one column per metric; NULLs are no samples."""
+    entries = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
+    long = wide.select(*keys, F.explode(F.array(*entries)).alias("_s")).select(*keys, "_s.metric", "_s.value")
+    return long.filter(F.col("value").isNotNull())
+
+
+SYSTEM_METRICS = ("model_health", "p95_prediction_latency", "median_confidence", "memory_gb",
+                  "failed_run_ratio", "transaction_cost_increase_1h", "rebalances_per_hour")
+
+
+def system_samples(log: DataFrame, label: str = "model") -> DataFrame:
+    """J9 samples ``(ts, label, metric, value)`` per minute with events: newest
+    health and memory, p95 prediction latency over 10 minutes, median confidence
+    and failed share over 30 minutes, costs and rebalancings over an hour.
+
+    ``log`` has ``ts, event_id, status, duration, confidence, memory_gb, cost,
+    rebalanced`` and the label; its newest event per minute decides gauges."""
+    newest = F.struct("ts", "event_id")
+    g = log.groupBy(F.window("ts", "1 minute").alias("_m"), label).agg(
+        *_requests(), *bucket_counts(F.col("duration"), PREDICTION_LATENCY_BUCKETS, "lat_"),
+        *bucket_counts(F.col("confidence"), CONFIDENCE_BUCKETS, "conf_"),
+        F.sum("cost").alias("cost"), F.sum("rebalanced").alias("rebalanced"),
+        F.max_by("status", newest).alias("status"), F.max_by("memory_gb", newest).alias("memory_gb"))
+    per = g.withColumn("_s", F.unix_timestamp("_m.end"))
+
+    def over(names, seconds):
+        return [F.sum(c).over(_trailing([label], seconds)).alias(c) for c in names]
+
+    lat = [c for c in per.columns if c.startswith("lat_")]
+    conf = [c for c in per.columns if c.startswith("conf_")]
+    t = per.select(F.col("_m.end").alias("ts"), label, "status", "memory_gb", *over(lat, 600),
+                   *over([*conf, "requests", "errors"], 1800), *over(["cost", "rebalanced"], 3600))
+    wide = t.select(
+        "ts", label, "memory_gb", F.when(F.col("status") < 500, 1.0).otherwise(0.0).alias("model_health"),
+        quantile_from_buckets(0.95, PREDICTION_LATENCY_BUCKETS, "lat_").alias("p95_prediction_latency"),
+        quantile_from_buckets(0.5, CONFIDENCE_BUCKETS, "conf_").alias("median_confidence"),
+        td("errors", "requests").alias("failed_run_ratio"),
+        F.col("cost").alias("transaction_cost_increase_1h"), F.col("rebalanced").alias("rebalances_per_hour"))
+    return _long_samples(wide, ["ts", label], SYSTEM_METRICS)
+
+
+def system_alerts(log: DataFrame, spark, label: str = "model") -> DataFrame:
+    """The model, system, run and business rules on ``system_samples``."""
+    return evaluate_alerts(system_samples(log, label), rules_frame(spark, PORTFOLIO_RULES), (label,))
+
+
+def portfolio_gauges(values: DataFrame, initial: float = 10000.0, periods: int = 252) -> DataFrame:
+    """Per (portfolio, step) of a back-test the gauges in percent: return,
+    total return, volatility (annualised, of all returns so far), worst drawdown
+    so far, and the Sharpe ratio (NULL while the volatility is zero)."""
+    w = Window.partitionBy("portfolio_id").orderBy("step").rowsBetween(UNB, 0)
+    sd = F.stddev_pop("ret").over(w) * periods ** 0.5
+    return values.select(
+        "portfolio_id", "step", "value", (F.col("ret") * 100).alias("return_percentage"),
+        ((F.col("value") / initial - 1) * 100).alias("total_return_percentage"),
+        (sd * 100).alias("volatility_percentage"),
+        (F.max("drawdown").over(w) * 100).alias("max_drawdown_percentage"),
+        F.when(sd > 1e-8, F.avg("ret").over(w) * periods / sd).alias("sharpe_ratio"))
+
+
+PORTFOLIO_METRICS = ("max_drawdown_percentage", "volatility_percentage", "sharpe_ratio")
+
+
+def portfolio_alerts(gauges_: DataFrame, calendar: DataFrame, spark, step_seconds: int) -> DataFrame:
+    """The portfolio rules on back-test gauges; ``calendar`` gives every
+    step its ``date``, ``step_seconds`` the spacing of the periods."""
+    dated = gauges_.join(calendar, "step").withColumn("ts", F.col("date").cast("timestamp_ntz"))
+    samples = _long_samples(dated, ["ts", "portfolio_id"], PORTFOLIO_METRICS)
+    return evaluate_alerts(samples, rules_frame(spark, PORTFOLIO_RULES), ("portfolio_id",), step_seconds)
+
+
 def up_down(log: DataFrame, key: str = "endpoint", max_gap_seconds: int = 120) -> DataFrame:
     """Silences — consecutive events of a target further apart than
     ``max_gap_seconds`` (target considered down in between).  Two events of one

@@ -56,7 +56,6 @@ _RAW = {
     "volume_features": q_volume_features,
 }
 
-QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
 
 
 # ---------------------------------------------------------------- brand panel, back-test
@@ -152,7 +151,6 @@ _RAW.update({
     "quick_eval": q_quick_eval,
     "model_gate": q_model_gate,
 })
-QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
 
 
 # ---------------------------------------------------------------- event bars, cleaning, quality
@@ -213,7 +211,6 @@ _RAW.update({
     "validate_dataset": q_validate_dataset,
     "data_quality_gate": q_data_quality_gate,
 })
-QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
 
 
 # ---------------------------------------------------------------- cross-asset
@@ -221,8 +218,8 @@ from tickloom.operators import joins as D  # noqa: E402
 
 
 def q_asof_market(spark, sf_dir):
-    m = M.market_index(spark, sf_dir).withColumnRenamed("close", "m_close")
-    return D.asof_join(M.brand_bars(spark, sf_dir), m, on="date")
+    m = materialize(M.market_index(spark, sf_dir), "market_index").withColumnRenamed("close", "m_close")
+    return D.asof_join(M.materialized_brand_bars(spark, sf_dir), m, on="date")
 
 
 def q_pair_correlations(spark, sf_dir):
@@ -231,7 +228,8 @@ def q_pair_correlations(spark, sf_dir):
 
 
 def q_market_features(spark, sf_dir):
-    return IND.add_market_features(M.brand_bars(spark, sf_dir), M.market_index(spark, sf_dir))
+    return IND.add_market_features(M.materialized_brand_bars(spark, sf_dir),
+                                   materialize(M.market_index(spark, sf_dir), "market_index"))
 
 
 _RAW.update({
@@ -239,7 +237,6 @@ _RAW.update({
     "pair_correlations": q_pair_correlations,
     "market_features": q_market_features,
 })
-QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
 
 
 # ---------------------------------------------------------------- monitoring
@@ -298,7 +295,6 @@ _RAW.update({
     "api_alerts": q_api_alerts,
     "up_down": q_up_down,
 })
-QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
 
 
 # ---------------------------------------------------------------- training log, registry
@@ -380,7 +376,6 @@ _RAW.update({
     "retain_latest": q_retain_latest,
     "feature_ids": q_feature_ids,
 })
-QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
 
 
 # ---------------------------------------------------------------- scoring
@@ -419,7 +414,6 @@ _RAW.update({
     "rebalance_decisions": q_rebalance_decisions,
     "weight_validation": q_weight_validation,
 })
-QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
 
 
 # ---------------------------------------------------------------- statistics, reports, feature sets
@@ -466,14 +460,13 @@ _RAW.update({
     "feature_tensor": q_feature_tensor,
     "feature_stack": q_feature_stack,
 })
-QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
 
 
 # ---------------------------------------------------------------- streaming
 import uuid  # noqa: E402
 
 from tickloom.session import materialize, scratch_path  # noqa: E402
-from tickloom.sources.tables import table  # noqa: E402
+from tickloom.sources.tables import TABLES, table  # noqa: E402
 from tickloom.streaming import ticks as K  # noqa: E402
 
 
@@ -495,7 +488,6 @@ def q_stream_hourly_bars(spark, sf_dir):
 
 
 _RAW.update({"stream_hourly_bars": q_stream_hourly_bars})
-QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
 
 
 # ---------------------------------------------------------------- sources
@@ -508,13 +500,11 @@ def q_normalized_tickers(spark, sf_dir):
 
 
 def q_dataset_inventory(spark, sf_dir):
-    names = ("lineitem", "orders", "part", "events")
-    inv = A.dataset_inventory(spark, [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names])
+    inv = A.dataset_inventory(spark, [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in TABLES])
     return inv.select(F.element_at(F.split("file_path", "/"), -1).alias("file_name"), "n_rows")
 
 
 _RAW.update({"normalized_tickers": q_normalized_tickers, "dataset_inventory": q_dataset_inventory})
-QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
 
 
 def q_backtest_open_drift(spark, sf_dir):
@@ -523,7 +513,6 @@ def q_backtest_open_drift(spark, sf_dir):
 
 
 _RAW.update({"backtest_open_drift": q_backtest_open_drift})
-QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}
 
 
 def q_observation_windows(spark, sf_dir):
@@ -556,4 +545,10 @@ _RAW.update({
     **{f"{c}_category": q_category(c) for c in ("price", "volume", "technical")},
     "feature_set_members": q_feature_set_members,
 })
+
+# ---------------------------------------------------------------- store, messages, alerts
+from tickloom.plans import operations  # noqa: E402
+
+_RAW.update(operations.RAW)
+
 QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}

@@ -66,3 +66,10 @@ DIGITS.update({"stream_hourly_bars": dict(BAR_DIG)})
 DIGITS.update({"backtest_open_drift": DIGITS["backtest"]})
 
 DIGITS.update({f"{c}_category": DIGITS["feature_stack"] for c in ("price", "volume", "technical")})
+
+DIGITS.update({
+    "portfolio_gauges": {"value": 4, "total_return_percentage": 4},
+    "portfolio_alerts": {"peak_value": 4},
+    "runs_with_versions": {"metric": 2},
+    "model_info": {"metric": 2},
+})

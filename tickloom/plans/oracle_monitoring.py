@@ -4,9 +4,11 @@ Prometheus ``histogram_quantile`` definition."""
 
 from __future__ import annotations
 
-from tickloom.operators.monitoring import API_LATENCY_BUCKETS as BK
 from tickloom.plans.rounding import round_sql
 
+# Histogram bucket upper bounds.
+BK = (0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0)
+
 LOG = """log AS (SELECT event_id, ts, event_type AS endpoint,
                 CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status,
                 value / 100.0 AS duration, CAST(user_id AS VARCHAR) AS portfolio_id FROM events)"""

@@ -114,7 +114,9 @@ WHERE p_brand IS NOT NULL AND length(trim(p_brand)) > 0"""
 
 def q_dataset_inventory():
     inner = " UNION ALL ".join(f"SELECT '{n}.parquet' AS file_name, count(*) AS n_rows FROM {n}"
-                               for n in ("lineitem", "orders", "part", "events"))
+                               for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+                                         "events", "documents", "embeddings", "pages", "benchmark", "labels",
+                                         "conversations"))
     return round_sql(inner, ["file_name", "n_rows"], set())
 
 

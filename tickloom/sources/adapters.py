@@ -81,6 +81,19 @@ def api_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def system_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The request log seen as predictions of three models: confidence falls
+    with the event's value, memory grows with it, purchases are rebalancings
+    and cost their value."""
+    log = api_log(spark, sf_dir)
+    bought = F.col("endpoint") == "purchase"
+    return log.select(
+        "event_id", "ts", F.concat(F.lit("m"), (F.col("event_id") % 3).cast("string")).alias("model"),
+        "status", "duration", (F.lit(100.0) / (F.lit(100.0) + F.col("value"))).alias("confidence"),
+        (F.col("value") / 100.0).alias("memory_gb"), F.when(bought, F.col("value")).otherwise(0.0).alias("cost"),
+        F.when(bought, 1).otherwise(0).alias("rebalanced"))
+
+
 # Order status letter -> registry stage.
 STAGE_OF_STATUS = {"F": "Production", "O": "Staging", "P": "None"}
 
