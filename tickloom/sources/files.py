@@ -22,15 +22,19 @@ _NUM = re.compile(r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$")
 
 
 # ---------------------------------------------------------------- A1 / A2
+def _cells(line: str) -> list[str]:
+    return [c.strip() for c in line.split(",")]
+
+
 def read_ohlcv(spark: SparkSession, path: str, layout: str = "auto") -> DataFrame:
     """Read a market CSV.  Two header rows (feature, ticker) are used when
-    the first line repeats feature names or the second line is non-numeric
-    (the reference also accepted a one-row header there and ate the first
-    data row).  Wide columns are
-    named ``Feature__TICKER``; the first column is the date."""
-    lines = spark.read.text(path).limit(2).collect()
-    first = [c.strip() for c in lines[0].value.split(",")]
-    second = [c.strip() for c in lines[1].value.split(",")] if len(lines) > 1 else []
+    the first line repeats feature names or the second line is non-numeric;
+    a third row that only names the index (``Date,,,``) is a header as well.
+    Wide columns are named ``Feature__TICKER``; the first column is the date.
+    A row whose date is empty or no date is kept with a NULL date."""
+    lines = [_cells(r.value) for r in spark.read.text(path).limit(3).collect()]
+    lines += [[]] * (3 - len(lines))
+    first, second, third = lines
     # A two-level (feature, ticker) header repeats each feature name; failing
     # that, a non-numeric second line is a header too.
     repeated = len(set(first[1:])) < len(first[1:])
@@ -38,32 +42,43 @@ def read_ohlcv(spark: SparkSession, path: str, layout: str = "auto") -> DataFram
         repeated or not any(_NUM.match(c) for c in second[1:] if c)))
     if first and first[0].startswith("Unnamed"):
         raise ValueError("level-0 header starts with 'Unnamed'")
+    heads = [first, second] if two_rows else [first]
+    if two_rows and third and third[0] and not third[0][0].isdigit() and not any(third[1:]):
+        heads.append(third)
     raw = spark.read.option("header", False).option("inferSchema", False).csv(path)
     names = ["date"] + ([f"{a}{SEP}{b}" for a, b in zip(first[1:], second[1:])] if two_rows
                         else first[1:])
     df = raw.toDF(*names)
-    # Header lines are recognised by their first cell (never a date).
-    heads = {first[0]} | ({second[0]} if two_rows else set())
-    df = df.filter(~F.coalesce(F.col("date"), F.lit("")).isin(*heads))
-    out = [F.to_date(F.col("date")).alias("date")]
+    # Header rows are recognised by all their cells.
+    row = F.concat_ws(",", *[F.coalesce(F.trim(F.col(f"`{c}`")), F.lit("")) for c in names])
+    df = df.filter(~row.isin(*[",".join(h) for h in heads]))
+    out = [F.col("date").try_cast("date").alias("date")]
     out += [F.col(f"`{c}`").try_cast("double").alias(c) for c in names[1:]]
     return df.select(*out)
 
 
+def _flat_parts(name: str) -> tuple[str, str] | None:
+    """(feature, ticker) of a column ``{ticker}_{feature}``."""
+    ticker, _, feature = name.rpartition("_")
+    known = {f.lower(): f for f in STANDARD_FEATURES} | {"adj_close": "Adj Close", "vol": "Vol"}
+    if ticker.lower().endswith("_adj") and feature.lower() == "close":
+        ticker, feature = ticker[:-4], "adj_close"
+    return (known[feature.lower()], ticker) if ticker and feature.lower() in known else None
+
+
 def detect_layout(df: DataFrame) -> dict:
-    """wide / long / single from column names; tickers of a long frame come
-    from a distinct on the data."""
+    """wide / flat / long / single from column names.  ``tickers`` is a list
+    where names tell it; for a long frame it is a one-column DataFrame."""
     cols = df.columns
-    wide = [c for c in cols if SEP in c]
-    if wide:
-        feats = sorted({c.split(SEP)[0] for c in wide})
-        tickers = sorted({c.split(SEP)[1] for c in wide})
-        return {"layout": "wide", "features": feats, "tickers": tickers, "detected": True}
+    wide = [tuple(c.split(SEP)[:2]) for c in cols if SEP in c]
+    flat = [] if wide else [p for p in map(_flat_parts, cols) if p]
+    if wide or flat:
+        return {"layout": "wide" if wide else "flat", "features": sorted({f for f, _ in wide or flat}),
+                "tickers": sorted({t for _, t in wide or flat}), "detected": True}
     low = {c.lower() for c in cols}
     feats = [f for f in STANDARD_FEATURES if f.lower() in low]
     if "ticker" in low:
-        tick = [r[0] for r in df.select("ticker").distinct().orderBy("ticker").collect()]
-        return {"layout": "long", "features": feats, "tickers": tick, "detected": True}
+        return {"layout": "long", "features": feats, "tickers": df.select("ticker").distinct(), "detected": True}
     return {"layout": "single", "features": feats, "tickers": ["SINGLE_TICKER"],
             "detected": bool(feats)}
 
@@ -81,18 +96,18 @@ def to_bars(df: DataFrame, tickers: list[str] | None = None) -> DataFrame:
     layout, with the column fallbacks: Vol → Volume; Adj Close → Close;
     missing O/H/L → Close, else 100; missing Volume → 1e6.  Defaults apply to
     missing COLUMNS and absent tickers only; NULL cells stay NULL (B1 handles
-    them)."""
+    them).  Columns that match no layout raise."""
     info = detect_layout(df)
-    if info["layout"] == "wide":
-        names = [c for c in df.columns if SEP in c]
-        st = F.explode(F.array(*[F.struct(F.lit(c.split(SEP)[0]).alias("feature"),
-                                          F.lit(c.split(SEP)[1]).alias("ticker"),
-                                          F.col(f"`{c}`").cast("double").alias("value"))
-                                 for c in names])).alias("_s")
-        long = df.select("date", st).select("date", "_s.*")
-        present = sorted({c.split(SEP)[0] for c in names})
-        wide = long.groupBy("ticker", "date").pivot("feature", present).agg(F.first("value"))
-        base = wide
+    if not info["detected"]:
+        raise ValueError(f"no market layout in columns {df.columns}")
+    if info["layout"] in ("wide", "flat"):
+        # One struct per ticker and one explode: no shuffle, no row merged.
+        parts = {c: tuple(c.split(SEP)[:2]) if SEP in c else _flat_parts(c) for c in df.columns if c != "date"}
+        at = {p: c for c, p in parts.items() if p}
+        rows = [F.struct(F.lit(t).alias("ticker"), *[
+            (F.col(f"`{at[f, t]}`") if (f, t) in at else F.lit(None)).cast("double").alias(f)
+            for f in info["features"]]) for t in info["tickers"]]
+        base = df.select("date", F.explode(F.array(*rows)).alias("_s")).select("date", "_s.*")
     elif info["layout"] == "long":
         base = df.select(*[F.col(c).alias(c) for c in df.columns])
         for c in list(base.columns):
@@ -118,25 +133,24 @@ def to_bars(df: DataFrame, tickers: list[str] | None = None) -> DataFrame:
                        price("Low").cast("double").alias("low"),
                        close.cast("double").alias("close"), vol.cast("double").alias("volume"))
     if tickers:
+        # Absent tickers get the default levels 100 + 10·i (i = feature
+        # index) and volume 1e6 on every date of the calendar.
         want = [str(t) for t in tickers]
-        present = {r[0] for r in bars.select("ticker").distinct().collect()}
-        absent = [t for t in want if t not in present]
         bars = bars.filter(F.col("ticker").isin(*want))
-        if absent:
-            # Absent tickers get the default levels 100 + 10·i (i = feature
-            # index) and volume 1e6 on every date of the calendar.
-            fill = bars.select("date").distinct().select(
-                F.explode(F.array(*[F.lit(t) for t in absent])).alias("ticker"), "date")
-            fill = fill.select("ticker", "date", *[F.lit(DEFAULT_PRICE + 10.0 * i).alias(c)
-                                                   for i, c in enumerate(("open", "high", "low", "close"))],
-                               F.lit(DEFAULT_VOLUME).alias("volume"))
-            bars = bars.unionByName(fill)
+        fill = bars.select("date").distinct().select(
+            F.explode(F.array(*[F.lit(t) for t in want])).alias("ticker"), "date")
+        fill = fill.join(bars.select("ticker").distinct(), "ticker", "left_anti")
+        bars = bars.unionByName(fill.select(
+            "ticker", "date", *[F.lit(DEFAULT_PRICE + 10.0 * i).alias(c)
+                                for i, c in enumerate(("open", "high", "low", "close"))],
+            F.lit(DEFAULT_VOLUME).alias("volume")))
     return bars
 
 
 # ---------------------------------------------------------------- A4 / A5
 def normalize_tickers(df: DataFrame, col: str = "ticker") -> DataFrame:
-    """trim + upper; blank or NULL symbols dropped; no dedupe."""
+    """trim + upper; blank or NULL symbols dropped; no dedupe; an empty result
+    is an empty frame (the caller decides whether that is an error)."""
     t = F.upper(F.trim(F.col(col).cast("string")))
     return df.withColumn(col, t).filter(F.col(col).isNotNull() & (F.length(col) > 0))
 
@@ -184,16 +198,22 @@ def latest_snapshot(df: DataFrame, col: str = "snapshot_date") -> DataFrame:
 
 
 def write_snapshot(df: DataFrame, path: str, snapshot: str, metadata: dict | None = None,
-                   catalog_path: str | None = None) -> None:
-    """Write a snapshot partition and append its metadata row (shape,
-    columns, creation time, user metadata) to a catalog table."""
+                   catalog_path: str | None = None, ticker: str = "ticker", date: str = "date") -> None:
+    """Write a snapshot partition and append its metadata row to a catalog
+    table: rows, columns with types, number of tickers and date range (NULL
+    where the frame has no such column), creation time, user metadata.  The
+    facts are counted on the written files, not on a second run of ``df``."""
     df.withColumn("snapshot_date", F.lit(snapshot)).write.mode("append") \
         .partitionBy("snapshot_date").parquet(path)
     if catalog_path:
-        spark = df.sparkSession
-        meta = spark.createDataFrame(
-            [(path, snapshot, json.dumps(metadata or {}, sort_keys=True), len(df.columns))],
-            "path string, snapshot_date string, metadata string, n_cols int") \
-            .withColumn("created_at", F.current_timestamp())
-        meta.write.mode("append").parquet(catalog_path)
-
+        written = df.sparkSession.read.schema(df.schema).parquet(f"{path.rstrip('/')}/snapshot_date={snapshot}")
+        low = F.min(date) if date in df.columns else F.lit(None)
+        high = F.max(date) if date in df.columns else F.lit(None)
+        n_tickers = F.countDistinct(ticker) if ticker in df.columns else F.lit(None).cast("long")
+        written.agg(F.count(F.lit(1)).alias("n_rows"), n_tickers.alias("n_tickers"),
+                    low.cast("string").alias("first_date"), high.cast("string").alias("last_date")).select(
+            F.lit(path).alias("path"), F.lit(snapshot).alias("snapshot_date"),
+            F.lit(json.dumps(metadata or {}, sort_keys=True)).alias("metadata"),
+            F.lit(len(df.columns)).alias("n_cols"), F.lit(json.dumps(dict(df.dtypes))).alias("dtypes"),
+            "n_rows", "n_tickers", "first_date", "last_date",
+            F.current_timestamp().alias("created_at")).write.mode("append").parquet(catalog_path)
