@@ -203,10 +203,48 @@ def test_scoring_policies(spark):
         return out
     m = {r.ticker: r.new_weight for r in I.apply_model(cur, model).collect()}
     assert m == {"A": 0.75, "B": 0.25}
-    req = spark.createDataFrame([(3, 1.0, 2, 2, 100.0, 0.5), (3, 1.1, 2, 2, 100.0, 0.5), (3, 1.0, 2, 2, -1.0, 0.5)],
-                                "n_dims int, weight_sum double, n_weights int, n_stocks int, "
-                                "portfolio_value double, risk_tolerance double")
-    assert [r.valid for r in Q.validate_requests(req).collect()] == [True, False, False]
+    cube = [[[1.0, 2.0, 3.0], [1.0, 1.1, 1.0]]]
+    rows = [("ok", cube, [0.5, 0.5], 100.0, 0.5), ("sum", cube, [0.6, 0.5], 100.0, 0.5),
+            ("length", cube, [1.0], 100.0, 0.5), ("value", cube, [0.5, 0.5], -1.0, 0.5),
+            ("risk", cube, [0.5, 0.5], 100.0, 1.5), ("empty", [], [0.5, 0.5], 100.0, 0.5),
+            ("ragged", [[[1.0, 2.0], [1.0]]], [0.5, 0.5], 100.0, 0.5), ("null", None, None, None, None),
+            ("flat", [[[1.0, 1.0], [2.0, 2.0]]], [0.5, 0.5], 100.0, 0.5)]
+    req = spark.createDataFrame(rows, "portfolio_id string, market_data array<array<array<double>>>, "
+                                      "weights array<double>, portfolio_value double, risk_tolerance double")
+    checked = Q.validate_requests(req)
+    assert {r.portfolio_id: r.reason for r in checked.collect()} == {
+        "ok": "ok", "flat": "ok", "sum": "weights must sum to 1", "length": "weights length mismatch",
+        "value": "portfolio value must be positive", "risk": "risk tolerance outside [0, 1]",
+        "empty": "market data must be 3-D", "ragged": "market data must be 3-D", "null": "market data must be 3-D"}
+    from tickloom.operators import scoring as I
+    got = {}
+    for r in I.score_requests(checked).collect():
+        got.setdefault((r.portfolio_id, r.status), []).append((r.asset, r.new_weight))
+    a, b = 1 / np.std([1.0, 0.5]), 1 / np.std([0.1, 1 / 1.1 - 1])
+    assert [x[0] for x in got["ok", "success"]] == [0, 1]
+    assert [x[1] for x in got["ok", "success"]] == pytest.approx([a / (a + b), b / (a + b)])
+    assert got["flat", "error"] == [(None, None)] and got["ragged", "rejected"] == [(None, None)]
+    assert len(got) == len(rows)
+
+
+def test_alert_state_over_unsorted_frames():
+    """K7: a key's rows may come in several frames in any order; other rules
+    than the two of the request log are known."""
+    import pandas as pd
+    from tickloom.operators.monitoring import PORTFOLIO_RULES
+    from tickloom.streaming import ticks as K
+
+    class State:
+        exists, held = False, None
+
+        def update(self, value):
+            self.held = value
+
+    t0 = pd.Timestamp("2024-01-01 12:00")
+    frames = [pd.DataFrame({"ts": [t0 + pd.Timedelta(minutes=m) for m in part]}) for part in ([3, 1], [2, 0])]
+    fors = {r[0]: r[4] for r in PORTFOLIO_RULES}
+    out = next(K.alert_state_fn(fors)(("CriticalMemoryUsage", "m0"), iter(frames), State()))
+    assert out[["since", "fired_at", "held_seconds"]].values.tolist() == [[t0, t0 + pd.Timedelta(minutes=2), 120]]
 
 
 def test_alert_stream_state(spark, tmp_path):

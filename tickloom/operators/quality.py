@@ -97,15 +97,25 @@ def validate_weights(weights: DataFrame, key="portfolio_id", weight="weight",
     return g.withColumn("valid", F.abs(F.col("weight_sum") - 1) <= tol)
 
 
-def validate_requests(req: DataFrame, n_stocks_col="n_stocks") -> DataFrame:
-    """Split requests into valid / rejected with a reason (no exceptions)."""
-    s = F.col("weight_sum")
-    reason = (F.when(F.col("n_dims") != 3, "market data must be 3-D")
-              .when(F.abs(s - 1) > 0.01, "weights must sum to 1")
-              .when(F.col("n_weights") != F.col(n_stocks_col), "weights length mismatch")
-              .when(F.col("portfolio_value") <= 0, "portfolio value must be positive")
-              .when((F.col("risk_tolerance") < 0) | (F.col("risk_tolerance") > 1),
-                    "risk tolerance outside [0, 1]"))
+def validate_requests(req: DataFrame, data: str = "market_data", weights: str = "weights") -> DataFrame:
+    """Split requests into valid / rejected with a reason (no exceptions).
+    ``data`` is feature × stock × period; ragged, empty or NULL data is not 3-D.
+    ``weights`` holds one weight per stock.  A NULL field fails its own check."""
+    d, w = F.col(data), F.col(weights)
+    stocks = F.size(F.try_element_at(d, F.lit(1)))
+    periods = F.size(F.try_element_at(F.try_element_at(d, F.lit(1)), F.lit(1)))
+    cube = (F.size(d) > 0) & (stocks > 0) & (periods > 0) & F.forall(
+        d, lambda f: (F.size(f) == stocks) & F.forall(f, lambda x: F.size(x) == periods))
+    total = F.aggregate(w, F.lit(0.0), lambda a, x: a + x)
+
+    def fails(ok):
+        return ~F.coalesce(ok, F.lit(False))
+
+    reason = (F.when(fails(cube), "market data must be 3-D")
+              .when(fails(F.abs(total - 1) <= 0.01), "weights must sum to 1")
+              .when(fails(F.size(w) == stocks), "weights length mismatch")
+              .when(fails(F.col("portfolio_value") > 0), "portfolio value must be positive")
+              .when(fails(F.col("risk_tolerance").between(0, 1)), "risk tolerance outside [0, 1]"))
     return req.select("*", reason.isNull().alias("valid"),
                       F.coalesce(reason, F.lit("ok")).alias("reason"))
 

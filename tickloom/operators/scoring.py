@@ -76,6 +76,45 @@ def score_portfolios(current: DataFrame, vol: DataFrame | None = None, policy="i
                       .alias("change"))
 
 
+def score_requests(checked: DataFrame, close: int = 0, key: str = "portfolio_id", data: str = "market_data",
+                   weights: str = "weights") -> DataFrame:
+    """C3 → I1: inverse-volatility weights for the valid rows of
+    ``validate_requests``, one row per (request, asset position from 0) with
+    status ``success``.  A rejected request, or one in which no asset has a
+    volatility (status ``error``), keeps one row with its reason.
+
+    Volatility is the population std of the period returns of feature
+    ``close``.  All arithmetic stays inside a request's arrays, so no request is
+    shuffled."""
+    def std(x):
+        n = F.size(x)
+        mean = F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / n
+        return F.sqrt(F.aggregate(x, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)) / n)
+
+    def returns(x):
+        last = F.size(x) - 1
+        return F.filter(F.zip_with(F.slice(x, 1, last), F.slice(x, 2, last), lambda a, b: F.try_divide(b, a) - 1),
+                        lambda r: r.isNotNull())
+
+    def inverse(x):
+        r = F.when(F.size(x) > 1, returns(x))
+        return F.when(F.size(r) > 0, F.when(std(r) > 1e-8, F.lit(1.0) / std(r)))
+
+    series = F.try_element_at(F.col(data), F.lit(close + 1))
+    df = checked.withColumn("_raw", F.when(F.col("valid"), F.transform(series, inverse)))
+    total = F.aggregate(F.col("_raw"), F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0.0)))
+    df = df.withColumn("_total", total)
+    scored = F.col("valid") & (F.col("_total") > 0)
+    status = F.when(~F.col("valid"), "rejected").when(scored, "success").otherwise("error")
+    reason = F.when(F.col("valid") & ~scored, "no asset has a volatility").otherwise(F.col("reason"))
+    parts = F.when(scored, F.transform(F.col("_raw"), lambda v, i: F.struct(
+        i.alias("asset"), F.get(F.col(weights), i).alias("current_weight"),
+        (F.coalesce(v, F.lit(0.0)) / F.col("_total")).alias("new_weight"))))
+    out = df.select(key, status.alias("status"), reason.alias("reason"), F.explode_outer(parts).alias("_p"))
+    return out.select(key, "status", "reason", "_p.asset", "_p.current_weight", "_p.new_weight",
+                      (F.col("_p.new_weight") - F.col("_p.current_weight")).alias("change"))
+
+
 def rebalance_decisions(scored: DataFrame, key: str = "portfolio_id",
                         threshold: float = 0.05, universe: int | None = None) -> DataFrame:
     """I3 + I4: allocation confidence 1 − H(w)/ln N and the rebalance call

@@ -70,6 +70,8 @@ DIGITS.update({f"{c}_category": DIGITS["feature_stack"] for c in ("price", "volu
 DIGITS.update({
     "portfolio_gauges": {"value": 4, "total_return_percentage": 4},
     "portfolio_alerts": {"peak_value": 4},
+    "backtest_training_progress": {"mean_value": 4},
+    "backtest_training_summary": {"first_value": 4, "final_value": 4, "total_return": 4},
     "runs_with_versions": {"metric": 2},
     "model_info": {"metric": 2},
 })

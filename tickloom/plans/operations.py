@@ -7,13 +7,15 @@ import uuid
 from pyspark.sql import functions as F
 
 from tickloom.operators import backtest as G
+from tickloom.operators import clean as C
 from tickloom.operators import joins as D
 from tickloom.operators import monitoring as J
 from tickloom.operators import quality as Q
+from tickloom.operators import scoring as I
 from tickloom.operators import store as H
 from tickloom.operators import training_log as L
 from tickloom.plans import market as M
-from tickloom.session import scratch_path
+from tickloom.session import materialize, scratch_path
 from tickloom.sources import adapters as AD
 from tickloom.sources import files as A
 from tickloom.sources.tables import table
@@ -53,6 +55,51 @@ def q_portfolio_alerts(spark, sf_dir):
     return J.portfolio_alerts(gauges, panel.select("step", "date").distinct(), spark, WEEK)
 
 
+# ---------------------------------------------------------------- training log, requests
+def _backtest_log(spark, sf_dir):
+    """A back-test as training log: one run per portfolio, steps from 1."""
+    panel, acts, t, n = M.backtest_inputs(spark, sf_dir)
+    bt = materialize(G.backtest(panel, acts, n_steps=t, n_assets=n), "backtest_log")
+    first = G.BacktestParams().window
+    return bt.select(F.col("portfolio_id").alias("run_id"), (F.col("step") - first).alias("step"), "reward", "ret",
+                     "drawdown", "value")
+
+
+def q_backtest_training_progress(spark, sf_dir):
+    return L.training_progress(_backtest_log(spark, sf_dir), 10, 5)
+
+
+def q_backtest_training_summary(spark, sf_dir):
+    log = _backtest_log(spark, sf_dir)
+    return L.training_summary(log, L.training_progress(log, 10, 5))
+
+
+def q_trailing_failure_ratio(spark, sf_dir):
+    return L.failure_ratio(AD.training_log(spark, sf_dir), slide="1 minute")
+
+
+def _requests(spark, sf_dir):
+    """One request per supplier: its newest weights, the last 30 closes of the
+    assets it holds, its account balance and a risk tolerance from its nation."""
+    bb = M.materialized_brand_bars(spark, sf_dir)
+    closes = C.latest_window(M.price_panel(spark, sf_dir, bb).select("ticker", "step", "close"), n=30, order="step")
+    history = closes.groupBy("ticker").agg(F.sort_array(F.collect_list(F.struct("step", "close")))["close"].alias("closes"))
+    held = I.current_weights(G.normalize_weights(M.portfolio_actions(spark, sf_dir, bb))).join(history, "ticker", "left")
+    held = held.groupBy("portfolio_id").agg(F.sort_array(F.collect_list(F.struct("ticker", "weight", "closes"))).alias("_h"))
+    supplier = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("portfolio_id"), F.col("s_acctbal").alias("portfolio_value"),
+        (F.col("s_nationkey") / 20.0).alias("risk_tolerance"))
+    return supplier.join(held, "portfolio_id", "left").select(
+        "portfolio_id", "portfolio_value", "risk_tolerance", F.col("_h.weight").alias("weights"),
+        F.array(F.col("_h.closes")).alias("market_data"))
+
+
+def q_scored_requests(spark, sf_dir):
+    """Requests with a negative balance, a tolerance above 1 or no
+    holdings are rejected with their reason."""
+    return I.score_requests(Q.validate_requests(_requests(spark, sf_dir)))
+
+
 # ---------------------------------------------------------------- joins
 def q_common_dates(spark, sf_dir):
     return D.common_dates(M.brand_bars(spark, sf_dir))
@@ -167,6 +214,10 @@ RAW = {
     "system_alerts": q_system_alerts,
     "portfolio_gauges": q_portfolio_gauges,
     "portfolio_alerts": q_portfolio_alerts,
+    "backtest_training_progress": q_backtest_training_progress,
+    "backtest_training_summary": q_backtest_training_summary,
+    "trailing_failure_ratio": q_trailing_failure_ratio,
+    "scored_requests": q_scored_requests,
     "common_dates": q_common_dates,
     "missing_features": q_missing_features,
     "runs_with_versions": q_runs_with_versions,

@@ -142,6 +142,62 @@ def q_portfolio_alerts():
     return round_sql(_bt(body), _alert_cols("portfolio_id"), {"peak_value"}, digits("portfolio_alerts"))
 
 
+BT_LOG = """tl AS (SELECT portfolio_id AS run_id, step - 30 AS step, reward, ret, drawdown, value FROM res),
+pr AS (SELECT * FROM (SELECT run_id, step, avg(reward) OVER w AS mean_reward, stddev_pop(reward) OVER w AS std_reward,
+    reward AS last_reward, avg(ret * 100) OVER w AS mean_ret_pct, stddev_pop(ret * 100) OVER w AS std_ret_pct,
+    avg(drawdown * 100) OVER w AS mean_drawdown_pct, avg(value) OVER w AS mean_value
+  FROM tl WINDOW w AS (PARTITION BY run_id ORDER BY step ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
+  WHERE step % 10 = 0 AND step > 5)"""
+
+
+def q_backtest_training_progress():
+    cols = ["run_id", "step", "mean_reward", "std_reward", "last_reward", "mean_ret_pct", "std_ret_pct",
+            "mean_drawdown_pct", "mean_value"]
+    return round_sql(_bt(f", {BT_LOG} SELECT * FROM pr"), cols, set(cols[2:]), digits("backtest_training_progress"))
+
+
+def q_backtest_training_summary():
+    cols = ["run_id", "n_steps", "first_reward", "final_reward", "total_reward", "first_value", "final_value",
+            "best_reward", "total_return", "best_mean_reward"]
+    body = f""", {BT_LOG},
+s AS (SELECT run_id, count(*) AS n_steps, arg_min(reward, step) AS first_reward, arg_max(reward, step) AS final_reward,
+        sum(reward) AS total_reward, arg_min(value, step) AS first_value, arg_max(value, step) AS final_value,
+        max(reward) AS best_reward FROM tl GROUP BY run_id),
+m AS (SELECT run_id, max(mean_reward) AS best_mean_reward FROM pr GROUP BY run_id)
+SELECT s.*, (final_value / first_value - 1) * 100 AS total_return, m.best_mean_reward FROM s LEFT JOIN m ON m.run_id = s.run_id"""
+    return round_sql(_bt(body), cols, set(cols[2:]), digits("backtest_training_summary"))
+
+
+def q_trailing_failure_ratio():
+    inner = """WITH sw AS (SELECT event_type, date_trunc('minute', ts) - k.k * INTERVAL 1 MINUTE AS window_start
+  FROM events CROSS JOIN (SELECT range AS k FROM range(0, 30)) k),
+g AS (SELECT window_start, count(*) AS runs, count(*) FILTER (WHERE event_type = 'error') AS failed FROM sw GROUP BY window_start)
+SELECT window_start, runs, failed, failed / runs AS failure_ratio, failed / runs > 0.2 AS alert FROM g"""
+    return round_sql(inner, ["window_start", "runs", "failed", "failure_ratio", "alert"], {"failure_ratio"})
+
+
+def q_scored_requests():
+    inner = f"""WITH {BRAND},
+lastw AS (SELECT portfolio_id, max(step) AS step FROM wpos GROUP BY portfolio_id),
+cur AS (SELECT w.portfolio_id, w.ticker, w.weight FROM wpos w JOIN lastw l ON w.portfolio_id = l.portfolio_id AND w.step = l.step),
+l30 AS (SELECT * FROM (SELECT ticker, step, close, row_number() OVER (PARTITION BY ticker ORDER BY step DESC) AS k FROM panel) WHERE k <= 30),
+rr AS (SELECT ticker, close / nullif(lag(close) OVER (PARTITION BY ticker ORDER BY step), 0) - 1 AS r FROM l30),
+vol AS (SELECT ticker, stddev_pop(r) AS v FROM rr GROUP BY ticker),
+req AS (SELECT CAST(s_suppkey AS VARCHAR) AS portfolio_id, s_acctbal AS bal, s_nationkey / 20.0 AS risk,
+          EXISTS (SELECT 1 FROM cur WHERE cur.portfolio_id = CAST(s_suppkey AS VARCHAR)) AS held FROM supplier),
+chk AS (SELECT portfolio_id, CASE WHEN NOT held THEN 'market data must be 3-D' WHEN NOT bal > 0 THEN 'portfolio value must be positive'
+          WHEN risk > 1 THEN 'risk tolerance outside [0, 1]' ELSE 'ok' END AS reason FROM req),
+p AS (SELECT c.portfolio_id, c.ticker, c.weight, CASE WHEN v.v > 1e-8 THEN 1.0 / v.v ELSE 0.0 END AS raw
+      FROM cur c LEFT JOIN vol v ON v.ticker = c.ticker),
+q AS (SELECT portfolio_id, CAST(row_number() OVER (PARTITION BY portfolio_id ORDER BY ticker) - 1 AS INTEGER) AS asset, weight,
+        raw, sum(raw) OVER (PARTITION BY portfolio_id) AS total FROM p)
+SELECT k.portfolio_id, CASE WHEN k.reason = 'ok' THEN 'success' ELSE 'rejected' END AS status, k.reason, q.asset,
+  q.weight AS current_weight, q.raw / q.total AS new_weight, q.raw / q.total - q.weight AS change
+FROM chk k LEFT JOIN q ON q.portfolio_id = k.portfolio_id AND k.reason = 'ok'"""
+    return round_sql(inner, ["portfolio_id", "status", "reason", "asset", "current_weight", "new_weight", "change"],
+                     {"current_weight", "new_weight", "change"})
+
+
 def q_common_dates():
     return f"""WITH {BRAND} SELECT date FROM bbars GROUP BY date
 HAVING count(DISTINCT ticker) = (SELECT count(DISTINCT ticker) FROM bbars)"""
@@ -236,6 +292,10 @@ ORACLE = {
     "system_alerts": q_system_alerts,
     "portfolio_gauges": q_portfolio_gauges,
     "portfolio_alerts": q_portfolio_alerts,
+    "backtest_training_progress": q_backtest_training_progress,
+    "backtest_training_summary": q_backtest_training_summary,
+    "trailing_failure_ratio": q_trailing_failure_ratio,
+    "scored_requests": q_scored_requests,
     "common_dates": q_common_dates,
     "missing_features": q_missing_features,
     "runs_with_versions": q_runs_with_versions,

@@ -22,7 +22,7 @@ COMPOUNDED = {
     "value", "cost", "avg_cost", "max_value", "final_value", "bench_final_value", "value_ratio", "cumulative_return",
     "total_return", "bench_total_return", "total_return_percentage", "outperformance", "annual_return",
     "bench_annual_return", "rolling_annual_return", "sharpe", "bench_sharpe", "sharpe_rf", "sharpe_ratio", "sortino",
-    "calmar", "calmar_ratio", "peak_value",
+    "calmar", "calmar_ratio", "peak_value", "first_value", "mean_value",
 }
 BIG = 1e4
 SIG = "%.7e"  # eight significant digits

@@ -144,15 +144,16 @@ def alert_state_fn(for_seconds: dict, step_seconds: int = 60) -> Callable:
         alert, endpoint = key
         since, last, fired = state.get if state.exists else (None, None, False)
         rows = []
-        for pdf in pdfs:
-            for t in sorted(pd.to_datetime(pdf["ts"]).astype("int64") // 10**9):
-                if last is None or t - last > step_seconds:
-                    since, fired = t, False
-                last = max(last or t, t)
-                if not fired and last - since >= for_seconds[alert]:
-                    fired = True
-                    rows.append((alert, endpoint, pd.Timestamp(since, unit="s"),
-                                 pd.Timestamp(last, unit="s"), int(last - since)))
+        # A key's rows may come in several frames, which are not in time order.
+        seconds = [pd.to_datetime(pdf["ts"]).astype("datetime64[s]").astype("int64").unique() for pdf in pdfs]
+        for t in sorted({int(t) for part in seconds for t in part}):
+            if last is None or t - last > step_seconds:
+                since, fired = t, False
+            last = max(last or t, t)
+            if not fired and last - since >= for_seconds[alert]:
+                fired = True
+                rows.append((alert, endpoint, pd.Timestamp(since, unit="s"),
+                             pd.Timestamp(last, unit="s"), last - since))
         state.update((since, last, fired))
         yield pd.DataFrame(rows, columns=["alert", "endpoint", "since", "fired_at", "held_seconds"])
 
@@ -162,8 +163,8 @@ def alert_state_fn(for_seconds: dict, step_seconds: int = 60) -> Callable:
 def alerts_stream(breaches: DataFrame, rules=None, delay: str = "10 minutes") -> DataFrame:
     """K7: ``breaches(ts, alert, endpoint)`` → firing events that persist
     across micro-batches (state per rule and label set)."""
-    from tickloom.operators.monitoring import API_RULES
-    rules = rules or API_RULES
+    from tickloom.operators.monitoring import API_RULES, PORTFOLIO_RULES
+    rules = rules or API_RULES + PORTFOLIO_RULES
     fors = {r[0]: r[4] for r in rules}
     return breaches.withWatermark("ts", delay).groupBy("alert", "endpoint").applyInPandasWithState(
         alert_state_fn(fors), ALERT_OUT, ALERT_STATE, "append", "NoTimeout")
