@@ -95,12 +95,14 @@ def ceil_div(n: int, size: int) -> int:
     return max(1, -(-n // size))
 
 
-def append_columns(df: DataFrame, text_col: str, fields: str, start) -> DataFrame:
-    """``df`` with columns computed from its whole texts, all other columns
-    passed through.  ``start()`` runs once per task and returns the function
-    from a string array to the new columns' arrays."""
+def append_columns(df: DataFrame, text_col: str, fields: str, start, keep=None) -> DataFrame:
+    """``df`` with columns computed from its whole texts; the columns ``keep``
+    (all by default) are passed through, others do not travel back.  ``start()``
+    runs once per task and returns the function from a string array to the new
+    columns' arrays."""
     from pyspark.sql.types import StructType
-    schema = StructType([*df.schema.fields, *StructType.fromDDL(fields).fields])
+    kept = [i for i, c in enumerate(df.columns) if keep is None or c in keep]
+    schema = StructType([*[df.schema.fields[i] for i in kept], *StructType.fromDDL(fields).fields])
     names = schema.fieldNames()
     at = df.columns.index(text_col)
 
@@ -109,7 +111,8 @@ def append_columns(df: DataFrame, text_col: str, fields: str, start) -> DataFram
         for batch in batches:
             batch = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
             for part in text_slices(batch, f"c{at}"):
-                yield pa.RecordBatch.from_arrays([*part.columns, *compute(texts_of(part, f"c{at}"))], names=names)
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(i) for i in kept], *compute(texts_of(part, f"c{at}"))], names=names)
         spare()
 
     return df.mapInArrow(run, schema)

@@ -59,7 +59,7 @@ def op7_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     part = text_crc_mod(F.col("doc_id"), 5)
     model = toxicity_knn.learn(docs, table(spark, sf_dir, "labels"), part != 0)
-    return toxicity_knn.with_toxicity(docs, model).select(
+    return toxicity_knn.with_toxicity(docs, model, keep=["doc_id"]).select(
         "doc_id", F.coalesce(part == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 

@@ -215,7 +215,7 @@ def learn(docs: DataFrame, labels: DataFrame, wanted: Column, max_examples: int
             return pair
         return compute
 
-    rows = append_columns(sample, "text", "terms array<int>, counts array<int>", vectors)
+    rows = append_columns(sample, "text", "terms array<int>, counts array<int>", vectors, ["doc_id", "label"])
     got = rows.groupBy("doc_id").agg(F.min(F.struct("terms", "counts", "label")).alias("r")).collect()
     entries: dict[tuple, list] = {}
     none = [0, 0]
@@ -244,8 +244,9 @@ def learn(docs: DataFrame, labels: DataFrame, wanted: Column, max_examples: int
 
 
 def with_toxicity(docs: DataFrame, model: Neighbourhood, text_col: str = "text", score_col: str = "score",
-                  evidence_col: str = "evidence", k: int = NEIGHBOURS, shown: int = 3) -> DataFrame:
-    """``docs`` with a score from 0 to 1 and the nearest labelled examples."""
+                  evidence_col: str = "evidence", k: int = NEIGHBOURS, shown: int = 3, keep=None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with a score from 0 to 1 and the nearest
+    labelled examples."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # max_examples and max_terms bound its size
 
     def start():
@@ -277,4 +278,4 @@ def with_toxicity(docs: DataFrame, model: Neighbourhood, text_col: str = "text",
 
         return compute
 
-    return append_columns(docs, text_col, f"`{score_col}` double, `{evidence_col}` {EVIDENCE}", start)
+    return append_columns(docs, text_col, f"`{score_col}` double, `{evidence_col}` {EVIDENCE}", start, keep)
