@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tickloom.session import materialize  # noqa: F401  (re-used by every operator)
 
 SLICE_BYTES = 4 << 20
+SCORED_BYTES = 1 << 20  # where texts also travel back
 
 
 def worker_cache() -> dict:
@@ -110,7 +111,7 @@ def append_columns(df: DataFrame, text_col: str, fields: str, start, keep=None)
         compute = start()
         for batch in batches:
             batch = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
-            for part in text_slices(batch, f"c{at}"):
+            for part in text_slices(batch, f"c{at}", SCORED_BYTES):
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(i) for i in kept], *compute(texts_of(part, f"c{at}"))], names=names)
         spare()
