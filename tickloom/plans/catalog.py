@@ -516,7 +516,7 @@ _RAW.update({"backtest_open_drift": q_backtest_open_drift})
 
 
 def q_observation_windows(spark, sf_dir):
-    return C.observation_windows(M.price_panel(spark, sf_dir), n=10, features=("close",))
+    return C.observation_windows(M.price_panel(spark, sf_dir), n=10, features=C.OHLCV)
 
 
 def q_risk_ratios(spark, sf_dir):

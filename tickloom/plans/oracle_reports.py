@@ -109,11 +109,12 @@ ORACLE = {
 def q_observation_windows():
     inner = f"""WITH {BRAND},
 lagk AS (SELECT CAST(range AS INTEGER) AS lag FROM range(1, 11)),
-o AS (SELECT p.ticker, p.step, k.lag, coalesce(q.close, 0.0) AS x
-      FROM panel p CROSS JOIN lagk k
-      LEFT JOIN panel q ON q.ticker = p.ticker AND q.step = p.step - 10 + k.lag - 1),
-s AS (SELECT *, avg(x) OVER (PARTITION BY ticker, step) AS m, stddev_pop(x) OVER (PARTITION BY ticker, step) AS sd FROM o)
-SELECT ticker, step, 'close' AS feature, lag, CASE WHEN sd > 1e-8 THEN (x - m) / sd ELSE 0.0 END AS value FROM s"""
+lp AS ({' UNION ALL '.join(f"SELECT ticker, step, '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM panel" for c in ("open", "high", "low", "close", "volume"))}),
+o AS (SELECT p.ticker, p.step, p.feature, k.lag, coalesce(q.x, 0.0) AS x
+      FROM lp p CROSS JOIN lagk k
+      LEFT JOIN lp q ON q.ticker = p.ticker AND q.feature = p.feature AND q.step = p.step - 10 + k.lag - 1),
+s AS (SELECT *, avg(x) OVER (PARTITION BY ticker, step, feature) AS m, stddev_pop(x) OVER (PARTITION BY ticker, step, feature) AS sd FROM o)
+SELECT ticker, step, feature, lag, CASE WHEN sd > 1e-8 THEN (x - m) / sd ELSE 0.0 END AS value FROM s"""
     return round_sql(inner, ["ticker", "step", "feature", "lag", "value"], {"value"})
 
 
