@@ -233,6 +233,32 @@ def test_classifiers_learn_and_survive(spark):
     assert {r.score for r in toxicity_knn.with_toxicity(named, toxicity_knn.learn(docs, none, wanted)).collect()} == {0.0}
 
 
+def test_copies_of_a_toxic_text_count_once(spark):
+    docs, labels, truth = labelled(spark)
+    docs = docs.filter("doc_id < 400").select("doc_id", "text")
+    copied = " ".join([*words(60, 1000), "idiot"])
+    more = [(2000 + 2 * i, copied.upper() if i % 2 else copied + ".") for i in range(200)]  # half as many as the others
+    docs = docs.union(spark.createDataFrame(more, DOC))
+    labels = labels.union(spark.createDataFrame([(i, 0, 1) for i, _ in more], labels.schema))
+    model = toxicity_knn.learn(docs, labels, F.col("doc_id") % 2 == 0)
+    assert set(model.terms) == {"idiot", "moron"}  # no filler word of the copied text
+    assert model.size.sum() <= 41 and model.prior == 41 / 201  # 200 texts, 40 of them toxic, and the copied one
+    bad = {i: t for i, _, t in truth}
+    got = {r.doc_id: r.score >= 0.5 for r in toxicity_knn.with_toxicity(docs, model).collect() if r.doc_id in bad}
+    assert all(got[i] == bad[i] for i in bad)
+
+
+def test_tied_terms_at_every_balance_and_without_a_limit():
+    for pos, neg in ((20, 980), (100, 900), (500, 500), (900, 100)):
+        # a word in a fifth of the toxic texts only, one in a fifth of both, single words
+        toxic = np.array([max(pos // 5, 10), pos // 5, 1, 0])
+        clean = np.array([0, neg // 5, 0, 1])
+        # 5000 terms pass, more than any former limit
+        keep = toxicity_knn.tied(toxic, clean, np.array([5000, 10, 100_000, 100_000]), pos, neg)
+        assert keep.tolist() == [True, False, False, False]
+    assert np.allclose(toxicity_knn.chance(np.array([2, 1, 0]), np.array([2, 2, 1]), 2, 2), [1 / 3, 1, 1])
+
+
 def test_block_max_index_is_exact():
     rng = np.random.default_rng(6)
     dense = rng.random((500, 40)) * (rng.random((500, 40)) < 0.1)

@@ -119,13 +119,18 @@ def append_columns(df: DataFrame, text_col: str, fields: str, start, keep=None)
     return df.mapInArrow(run, schema)
 
 
+def labelled(labels: DataFrame, label_col: str, wanted: Column, id_col: str = "doc_id") -> DataFrame:
+    """A (doc_id, label) row of every labelled id for which ``wanted`` holds.
+    Labels of one id are averaged; null labels and ids are skipped."""
+    known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("label"))
+    known = known.filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & wanted)
+    return known.groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
+
+
 def labelled_sample(labels: DataFrame, label_col: str, wanted: Column, max_rows: int,
                     id_col: str = "doc_id") -> DataFrame:
     """At most ``max_rows`` (doc_id, label) rows among those for which
     ``wanted`` holds, chosen by a hash of the id, so a larger table changes the
-    choice but not its size.  Labels of one id are averaged; null labels and
-    ids are skipped."""
-    known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("label"))
-    known = known.filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & wanted)
-    one = known.groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
+    choice but not its size."""
+    one = labelled(labels, label_col, wanted, id_col)
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)

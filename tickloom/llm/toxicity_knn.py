@@ -1,9 +1,15 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are lower-case alphanumeric words whose presence among the labelled
-examples is tied to the label (chi-squared and odds), weighted by (1 + ln tf)
-times an inverse document frequency counted over all documents.  Labelled examples
-with one vector form one entry with its votes.  Entries stand in an inverted
+Examples are distinct texts: labelled documents with one word sequence count once,
+in the choice of terms, in the label totals and in the votes, with the label of
+most of them.  Terms are all lower-case alphanumeric words of the examples that are
+tied to the label: the odds of the label differ by a factor of four with and
+without the word, and Fisher's exact test holds at a false discovery rate of 5%
+over all words of the examples.  The odds do not depend on the share of toxic
+examples or on their number, nor does the share of words kept by chance; more
+examples show rarer words.  Words without such a tie are no dimensions of the
+cosine.  A term weighs (1 + ln tf) times an inverse document frequency counted
+over all documents.  Examples with one vector form one entry with its votes.  Entries stand in an inverted
 index in blocks of 64, with the largest weight of each term per block: a query's
 bound for every block is a product with these maxima; blocks are scored in
 bound order until the k-th best similarity exceeds every bound left, so the
@@ -12,9 +18,9 @@ entries' examples, weighted by squared similarity and drawn to the overall rate
 where neighbours are few or far, so it reads as a probability.  The neighbours
 are returned as evidence.
 
-Examples: at most ``max_examples`` labelled rows, at most ``max_terms`` terms (documented
-parameters); document frequencies cover all documents and every document is
-scored whole, in one pass without a shuffle.
+Examples: at most ``max_examples`` distinct labelled texts (a documented parameter),
+chosen by their hash; document frequencies cover all documents and every document
+is scored whole, in one pass without a shuffle.
 
 Defined cases: a null text is empty; a text without known terms (an empty one
 too) gets the rate of examples without known terms and no evidence; without
@@ -34,19 +40,18 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import append_columns, bytes_of, labelled_sample, materialize, ragged, text_slices, texts_of
+from tickloom.llm.common import append_columns, bytes_of, labelled, materialize, ragged, text_slices, texts_of
 from tickloom.llm.wordhash import U64, not_alphanumeric, span_hashes, word_spans
 
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 4096
-MIN_EXAMPLES = 3      # a term occurs in so many examples at least
-MIN_CHI2 = 30.0
+FALSE_SHARE = 0.05    # of the terms, expected to be tied to the label by chance
 MIN_ODDS = 4.0
 NEIGHBOURS = 15
 BLOCK = 64
 PRIOR_WEIGHT = 0.25
 
 WORD = re.compile("[0-9a-z\x80-\U0010ffff]+")
+NO_WORD = r"[^0-9a-z\x{80}-\x{10ffff}]+"
 EVIDENCE = "array<struct<doc_id: bigint, similarity: double, toxic_share: double>>"
 
 
@@ -142,8 +147,33 @@ class Neighbourhood:
                      / ((near * self.size[entries]).sum() + PRIOR_WEIGHT))
 
 
-def tied_terms(sample: DataFrame, max_terms: int) -> list[str]:
-    """The terms most tied to the label among the labelled examples."""
+def chance(toxic: np.ndarray, examples: np.ndarray, pos: int, neg: int) -> np.ndarray:
+    """Fisher's exact test (twice the smaller tail): how likely a word of so many
+    examples is in so many toxic ones, or more extremely so, by chance."""
+    fact = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, pos + neg + 1)))])
+    out = np.ones(len(toxic))
+    for i, (a, m) in enumerate(zip(toxic.tolist(), examples.tolist())):
+        more = a * (pos + neg) > m * pos
+        x = np.arange(a, min(m, pos) + 1) if more else np.arange(max(0, m - neg), a + 1)
+        log_p = (fact[pos] - fact[x] - fact[pos - x] + fact[neg] - fact[m - x] - fact[neg - m + x]
+                 - fact[pos + neg] + fact[m] + fact[pos + neg - m])
+        out[i] = min(1.0, 2 * np.exp(log_p).sum())
+    return out
+
+
+def tied(toxic: np.ndarray, clean: np.ndarray, words: np.ndarray, pos: int, neg: int) -> np.ndarray:
+    """Which counts (toxic and clean examples with a word; ``words`` of them have
+    these counts) tie a word to the label (Benjamini and Hochberg)."""
+    p = chance(toxic, toxic + clean, pos, neg)
+    order = np.argsort(p, kind="stable")
+    good = p[order] <= FALSE_SHARE * np.cumsum(words[order]) / words.sum()
+    sure = p <= (p[order][good].max() if good.any() else -1.0)
+    with_it, without = toxic * (neg - clean).astype(float), clean * (pos - toxic).astype(float)
+    return sure & ((with_it >= MIN_ODDS * without) | (without >= MIN_ODDS * with_it))
+
+
+def tied_terms(sample: DataFrame) -> list[str]:
+    """The terms tied to the label among the examples."""
 
     def count(batches):
         seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
@@ -159,19 +189,33 @@ def tied_terms(sample: DataFrame, max_terms: int) -> list[str]:
                  pa.array([seen[0][t] for t in both], pa.int64())], names=["term", "toxic", "clean"])
 
     n = sample.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("*")).first()
-    pos, neg = float(n[0]), float(n[1] - n[0])
+    pos, neg = int(n[0]), int(n[1] - n[0])
     if not pos or not neg:
         return []
     terms = sample.select("text", "label").mapInArrow(count, "term string, toxic long, clean long").groupBy("term").agg(
-        F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    c, d = pos - a, neg - b
-    chi2 = (pos + neg) * (a * d - b * c) * (a * d - b * c) / F.greatest(
-        (a + b) * (c + d) * pos * neg, F.lit(1.0))
-    odds = F.abs(F.ln((a + 0.5) * (d + 0.5) / ((b + 0.5) * (c + 0.5))))
-    tied = (terms.filter((a + b >= MIN_EXAMPLES)).withColumn("chi2", chi2).withColumn("odds", odds)
-            .filter((F.col("chi2") >= MIN_CHI2) & (F.col("odds") >= float(np.log(MIN_ODDS)))))
-    return sorted(r.term for r in tied.orderBy(F.desc("chi2"), "term").limit(max_terms).select("term").collect())
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    terms = materialize(terms, "toxic_terms")
+    counts = terms.groupBy("toxic", "clean").agg(F.count("*").alias("words")).collect()  # far fewer than words
+    if not counts:
+        return []
+    toxic, clean, words = (np.array([r[c] for r in counts], np.int64) for c in ("toxic", "clean", "words"))
+    keep = tied(toxic, clean, words, pos, neg)
+    passed = sample.sparkSession.createDataFrame(
+        list(zip(toxic[keep].tolist(), clean[keep].tolist())), "toxic long, clean long")
+    return sorted(r.term for r in terms.join(F.broadcast(passed), ["toxic", "clean"]).select("term").collect())
+
+
+def distinct_examples(named: DataFrame, labels: DataFrame, wanted: Column, max_examples: int) -> DataFrame:
+    """doc_id, text and label of distinct labelled texts: the smallest document of
+    each word sequence, the label of most of its documents."""
+    said = F.lower(F.coalesce("text", F.lit("")))
+    key = F.sha2(F.trim(F.regexp_replace(said, F.lit(NO_WORD), F.lit(" "))), 256).alias("key")
+    keyed = named.select("doc_id", key).join(labelled(labels, "toxic", wanted), "doc_id")  # ids and hashes only
+    chosen = keyed.groupBy("key").agg(F.min("doc_id").alias("doc_id"), (F.avg("label") >= 0.5).cast("int").alias("label"))
+    chosen = materialize(chosen.orderBy("key").limit(max_examples), "toxic_chosen")
+    again = named.join(F.broadcast(chosen.withColumnRenamed("key", "wanted")), "doc_id")  # max_examples rows of 76 bytes
+    return again.withColumn("key", key).filter(F.col("key") == F.col("wanted")).groupBy("key").agg(
+        F.min("doc_id").alias("doc_id"), F.min("text").alias("text"), F.min("label").alias("label")).drop("key")
 
 
 def document_frequencies(docs: DataFrame, reader: TermReader, n_terms: int) -> tuple[int, np.ndarray]:
@@ -195,14 +239,12 @@ def document_frequencies(docs: DataFrame, reader: TermReader, n_terms: int) -> t
 
 
 def learn(docs: DataFrame, labels: DataFrame, wanted: Column, max_examples: int = MAX_EXAMPLES,
-          max_terms: int = MAX_TERMS, id_col: str = "doc_id",
-          text_col: str = "text") -> Neighbourhood:
+          id_col: str = "doc_id", text_col: str = "text") -> Neighbourhood:
     """The neighbourhood of the labelled documents for which ``wanted`` (over
     doc_id) holds."""
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    chosen = F.broadcast(labelled_sample(labels, "toxic", wanted, max_examples))  # max_examples rows of 12 bytes
-    sample = materialize(named.join(chosen, "doc_id"), "toxic_examples")
-    terms = tied_terms(sample, max_terms)
+    sample = materialize(distinct_examples(named, labels, wanted, max_examples), "toxic_examples")
+    terms = tied_terms(sample)
     reader = TermReader(terms)
     n_docs, df = document_frequencies(named, reader, len(terms))
     idf = np.log((1 + n_docs) / (1 + df)) + 1e-3
@@ -216,23 +258,23 @@ def learn(docs: DataFrame, labels: DataFrame, wanted: Column, max_examples: int
         return compute
 
     rows = append_columns(sample, "text", "terms array<int>, counts array<int>", vectors, ["doc_id", "label"])
-    got = rows.groupBy("doc_id").agg(F.min(F.struct("terms", "counts", "label")).alias("r")).collect()
+    got = rows.collect()
     entries: dict[tuple, list] = {}
     none = [0, 0]
     for r in got:
-        if not r.r.terms:
-            none[0] += r.r.label
+        if not r.terms:
+            none[0] += r.label
             none[1] += 1
             continue
-        e = entries.setdefault((tuple(r.r.terms), tuple(r.r.counts)), [0, 0, r.doc_id])
-        e[0] += r.r.label
+        e = entries.setdefault((tuple(r.terms), tuple(r.counts)), [0, 0, r.doc_id])
+        e[0] += r.label
         e[1] += 1
         e[2] = min(e[2], r.doc_id)
     keys = sorted(entries)  # entries with the same leading terms share blocks
     row = np.repeat(np.arange(len(keys)), [len(t) for t, _ in keys]).astype(np.int64)
     term = np.array([t for ts, _ in keys for t in ts], np.int64)
     count = np.array([c for _, cs in keys for c in cs], np.int64)
-    toxic = sum(r.r.label for r in got)
+    toxic = sum(r.label for r in got)
     model = Neighbourhood(
         terms, idf, np.searchsorted(row, np.arange(len(keys) + 1)), term,
         unit_rows(row, term, count, idf, len(keys)) if len(keys) else np.zeros(0),
@@ -247,7 +289,7 @@ def with_toxicity(docs: DataFrame, model: Neighbourhood, text_col: str = "text",
                   evidence_col: str = "evidence", k: int = NEIGHBOURS, shown: int = 3, keep=None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with a score from 0 to 1 and the nearest
     labelled examples."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # max_examples and max_terms bound its size
+    shipped = docs.sparkSession.sparkContext.broadcast(model)  # the examples bound its size
 
     def start():
         model = shipped.value
