@@ -118,6 +118,29 @@ def test_searches_equal_brute_force(spark):
     assert hits >= 0.9 * 20 * len(exact)
 
 
+@pytest.mark.parametrize("longer, norm", [(1, 3.0), (20, 5.0), (200, 1e4), (1999, 2.0)])
+def test_collision_search_of_mixed_norms(spark, longer, norm):
+    rng = np.random.default_rng(8)
+    v = rng.standard_normal((40, 32))[rng.integers(0, 40, 2000)] + 0.8 * rng.standard_normal((2000, 32))
+    v /= np.sqrt((v * v).sum(1))[:, None]
+    v[7: 7 + longer] *= norm
+    v = v.astype(np.float32)
+    table = vectors(spark, [(i, x.tolist(), "c") for i, x in enumerate(v)])
+    near = collision_ann.search(table, lambda c: c % 20 == 0, 20).collect()
+    score = v.astype(float) @ v.astype(float)[::20].T
+    score[np.arange(0, 2000, 20), np.arange(100)] = -np.inf
+    best = np.argsort(-score, axis=0)[:20]
+    assert len(near) == 2000 and sum(r.vec_id in best[:, r.query_id // 20] for r in near) >= 0.99 * 2000
+
+
+def test_chance_of_a_collision_holds_as_stated():
+    for width in (2, 9):  # over the directions, for one vector
+        half = collision_ann.reach(width, 2, 0.75, 0.9)
+        least = int(np.ceil(0.75 * 2 * width))
+        hits = [(np.abs(collision_ann.directions(width, 2, s)[0]) <= half).sum() >= least for s in range(4000)]
+        assert abs(np.mean(hits) - 0.9) < 0.02
+
+
 def test_searches_of_empty_tables(spark):
     empty = vectors(spark, [])
     assert vafile.top_k(vafile.scaled(empty), lambda c: c % 20 == 0, 20).count() == 0
