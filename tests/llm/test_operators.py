@@ -221,6 +221,17 @@ def test_url_filter(spark):
     assert url_filter.judge(table.limit(0), URL_RULES).count() == 0
 
 
+def test_refresh_urls_are_read_whole(spark):
+    contents = ['content="0; url=http://a.org/p?x=1&amp;y=2"', "content='0;URL=http://a.org/p;v=1?x=1;y=2'",
+                "content=\"0; url='http://a.org/p?x=1&amp;y=2;z=3'\"", "content=0;url=http://a.org/p?x=1&amp;y=2;z=4",
+                'content="0; url = http://a.org/p;w " id="url=/q"', "content=0; url=/p;u"]
+    pages = [(f"http://b.org/{i}", f"<meta http-equiv='refresh' {c}>") for i, c in enumerate(contents)]
+    edges = url_filter.alias_edges(spark.createDataFrame(pages, "url string, html string")).collect()
+    assert {r.a: r.b for r in edges} == {
+        "b.org/0": "a.org/p?x=1&y=2", "b.org/1": "a.org/p;v=1?x=1;y=2", "b.org/2": "a.org/p?x=1&y=2;z=3",
+        "b.org/3": "a.org/p?x=1&y=2;z=4", "b.org/4": "a.org/p;w", "b.org/5": "b.org/p;u"}
+
+
 def labelled(spark):
     rng = np.random.default_rng(4)
     rows, labels = [], []

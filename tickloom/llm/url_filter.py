@@ -32,7 +32,9 @@ TAG = r"(?is)<(?:link|meta)\b[^>]*>"
 LINKED = r"(?is)\brel\s*=\s*[\"']?\s*canonical|\bhttp-equiv\s*=\s*[\"']?\s*refresh"
 CANONICAL = r"(?is)\brel\s*=\s*[\"']?\s*canonical"
 HREF = r"(?is)\bhref\s*=\s*(?:\"\s*([^\"]*?)\s*\"|'\s*([^']*?)\s*'|([^\s\"'>]+))"
-REFRESH = r"(?is)\burl\s*=\s*[\"']?\s*([^\"'>\s;]+)"
+CONTENT = r"(?is)\bcontent\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+REFRESH = r"(?is)\burl\s*=\s*(?:\"\s*([^\"]*?)\s*(?:\"|$)|'\s*([^']*?)\s*(?:'|$)|([^\s\"'].*?)\s*$)"
+BARE_REFRESH = r"(?is)\burl\s*=\s*[\"']?\s*([^\"'>\s]+)"  # of tags without quotes, where spaces end a value
 
 
 def first_match(col: Column, pattern: str, group: int) -> Column:
@@ -84,8 +86,12 @@ def alias_edges(pages: DataFrame, redirects: DataFrame | None = None) -> DataFra
     linked = pages.filter(F.rlike("html", F.lit(LINKED))).select(
         "url", F.explode(F.filter(F.regexp_extract_all("html", F.lit(TAG), F.lit(0)),
                                   lambda t: F.rlike(t, F.lit(LINKED)))).alias("tag"))
-    href = F.concat(*(first_match(F.col("tag"), HREF, g) for g in (1, 2, 3)))
-    link = F.when(F.rlike("tag", F.lit(CANONICAL)), href).otherwise(first_match(F.col("tag"), REFRESH, 1))
+    def value(col, pattern):
+        return F.concat(*(first_match(col, pattern, g) for g in (1, 2, 3)))
+
+    refresh = value(value(F.col("tag"), CONTENT), REFRESH)
+    refresh = F.when(refresh != "", refresh).otherwise(first_match(F.col("tag"), BARE_REFRESH, 1))
+    link = F.when(F.rlike("tag", F.lit(CANONICAL)), value(F.col("tag"), HREF)).otherwise(refresh)
     pairs = linked.select("url", absolute(link, F.col("url")).alias("target"))
     if redirects is not None:
         pairs = pairs.union(redirects.select("from_url", "to_url"))
