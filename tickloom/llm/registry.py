@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import (bpe, collision_ann, packing, quality_gam, substring_dedup, token_files,
-                          toxicity_knn, url_filter, vafile, weighted_minhash)
+from tickloom.llm import (bpe, collision_ann, hard_negatives, packing, periodic_runs, quality_gam, simhash,
+                          substring_dedup, token_files, toxicity_knn, url_filter, vafile, vectors, weighted_minhash)
 from tickloom.llm.common import text_crc_mod
 from tickloom.session import scratch_path
 from tickloom.sources.tables import table
@@ -85,6 +85,44 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              remembered=800_000))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with the query's periodic tails: by crc32 of the
+    doc_id a tenth of the documents repeat p words from word a on."""
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    g = F.floor(F.col("h") / 10)
+    n = F.size("words")
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
+    cut = docs.withColumn("h", h).withColumn("words", words)
+    cut = cut.withColumn("a", F.when(n > 0, g % n)).withColumn("p", F.when(n > 0, 1 + F.floor((n - F.col("a")) / (3 + g % 8))))
+    place = F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
+    tail = F.array_join(F.transform(place, lambda i: F.get("words", F.when(
+        i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))), " ")
+    return cut.select("doc_id", F.when(F.col("p").isNotNull(), tail).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    line = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return periodic_runs.with_runs(docs, keep=["doc_id"]).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "strongest.start", "strongest.length", "strongest.period",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.encode(F.array_join(line, ""), "UTF-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    known = e.filter(vectors.finite(F.col("embedding"))).select(
+        "vec_id", label.alias("label"),
+        F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("vec"))
+    return hard_negatives.mine(known, lambda vec_id: vec_id % 100 == 0)
+
+
+def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_va_file_top_k": op1_va_file_top_k,
     "op2_substring_dedup": op2_substring_dedup,
@@ -96,6 +134,9 @@ QUERIES = {
     "op8_weighted_minhash": op8_weighted_minhash,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_simhash_dedup": op13_simhash_dedup,
 }
 
 OP1_SQL = """
@@ -181,4 +222,25 @@ SELECT page_id, host, path, rule, coalesce(
 FROM own LEFT JOIN passed ON own.key = passed.key
 """
 
-ORACLE_SQL = {"op1_va_file_top_k": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op3_url_filter": OP3_SQL}
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::DOUBLE) FOR x IN embedding] AS vec FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.vec, c.vec)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+  AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+ORACLE_SQL = {"op1_va_file_top_k": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op3_url_filter": OP3_SQL,
+              "op12_hard_negatives": OP12_SQL}
