@@ -60,7 +60,9 @@ def test_constant_series(spark):
     p = IND.add_price_features(df, backfill=False).orderBy("date").collect()
     assert p[4]["Std_5d"] == 0.0 and p[3]["Std_5d"] is None
     two = df.unionByName(bars_of(spark, [3.0] * 20, ticker="U"))
-    corr = IND.add_correlation_features(two, windows=(10,), backfill=False)
+    partners = spark.createDataFrame([("T", "U")], "ticker string, other string")
+    corr = IND.add_correlation_features(two, partners, windows=(10,), backfill=False)
+    assert corr.count() == 20
     assert all(r.Corr_10d is None for r in corr.collect())
 
 

@@ -127,8 +127,8 @@ def test_dense_panel_keeps_every_date_or_raises(spark):
     got = dense_panel(bars).collect()
     assert {(r.ticker, r.date) for r in got} == {(t, d) for t in "AB" for d in days}
     assert sum(r.close is not None for r in got) == 5
-    with pytest.raises(ValueError):
-        dense_panel(bars, step="7 days")
+    with pytest.raises(Exception, match="lattice"):
+        dense_panel(bars, step="7 days").collect()
     assert dense_panel(bars.limit(0)).count() == 0
 
 
@@ -195,7 +195,7 @@ def test_scoring_policies(spark):
     eq = {r.ticker: r.new_weight for r in I.score_portfolios(cur, policy="equal").collect()}
     assert eq == {"A": 0.5, "B": 0.5}
     dec = I.rebalance_decisions(I.score_portfolios(cur, policy="equal")).first()
-    assert dec.rebalance_needed and math.isclose(dec.confidence, I.entropy_confidence([0.5, 0.5]))
+    assert dec.rebalance_needed and abs(dec.confidence) < 1e-6
 
     def model(pdf):
         out = pdf[["portfolio_id", "ticker"]].copy()

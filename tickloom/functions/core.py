@@ -65,17 +65,6 @@ def backfill_all(df, cols, key="ticker", order="date"):
                        else F.col(c) for c in df.columns])
 
 
-def rounded(df, digits: int = 6, exclude=()):
-    """Round every double column (for oracle comparison and stable reports)."""
-    out = []
-    for f in df.schema.fields:
-        if f.dataType.typeName() in ("double", "float") and f.name not in exclude:
-            out.append(F.round(F.col(f.name), digits).alias(f.name))
-        else:
-            out.append(F.col(f.name))
-    return df.select(*out)
-
-
 class Rolling:
     """Trailing-frame aggregates computed once per (function, column, n).
 

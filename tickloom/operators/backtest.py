@@ -129,7 +129,7 @@ def backtest(prices: DataFrame, actions: DataFrame, params: BacktestParams = Bac
         "portfolio_id", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("step"))
     g = (grid.join(turn, ["portfolio_id", "step"], "left")
          .join(m_sp, ["portfolio_id", "step"], "left")
-         .join(F.broadcast(m_eq), "step", "left"))
+         .join(m_eq, "step", "left"))
     market = F.when(kp > 0, F.col("m_sp")).otherwise(F.col("m_eq"))
     g = g.select("portfolio_id", "step", turnover.alias("turnover"),
                  (market - p.cost * turnover).alias("growth"))
@@ -245,8 +245,8 @@ def backtest_open_drift(prices: DataFrame, actions: DataFrame,
         "portfolio_id", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("step"))
     g = (grid.join(turn, ["portfolio_id", "step"], "left")
          .join(m_sp, ["portfolio_id", "step"], "left")
-         .join(F.broadcast(m_eq), "step", "left")
-         .join(F.broadcast(eq_turn), "step", "left"))
+         .join(m_eq, "step", "left")
+         .join(eq_turn, "step", "left"))
     kc, kd = F.coalesce(F.col("kc"), F.lit(0)), F.coalesce(F.col("kd"), F.lit(0))
     at_start = F.col("step") == first
     turnover = (F.when((kc > 0) & (kd > 0), F.col("s_ad"))

@@ -93,6 +93,26 @@ def normalize_bars(bars: DataFrame, key="ticker", order="date") -> DataFrame:
     return scale_volume(rebase_prices(bars, key=key, order=order), key=key)
 
 
+def fit_normalizer(bars: DataFrame, cols=OHLC, volume="volume", key="ticker", order="date") -> DataFrame:
+    """B4/B5 as a fitted table: per series the first valid (> 0) value of each
+    price column and the largest volume of ``bars``, which are the training rows.
+    One aggregate that combines before the shuffle; store it beside its split."""
+    refs = [F.min_by(F.col(c), F.when(F.col(c) > 0, F.struct(*[F.col(o) for o in ([order] if isinstance(order, str) else order)])))
+            .alias(f"ref_{c}") for c in cols]
+    return bars.groupBy(key).agg(*refs, F.max(volume).alias(f"ref_{volume}"))
+
+
+def apply_normalizer(bars: DataFrame, fitted: DataFrame, cols=OHLC, volume="volume", key="ticker") -> DataFrame:
+    """Prices over their fitted first value, volume over its fitted maximum; as
+    B4/B5 where the training rows hold none: price 1.0, volume 0.1.  A series
+    without training rows counts as one without valid values."""
+    joined = bars.join(fitted, key, "left")
+    scaled = {c: F.when(F.col(f"ref_{c}").isNull(), F.lit(1.0)).otherwise(F.col(c) / F.col(f"ref_{c}")) for c in cols}
+    top = F.col(f"ref_{volume}")
+    scaled[volume] = F.when(top > 0, F.col(volume) / top).otherwise(F.lit(0.1))
+    return joined.select(*[scaled[c].alias(c) if c in scaled else F.col(c) for c in bars.columns])
+
+
 def chrono_split(bars: DataFrame, ratio: float = 0.7, clamp: bool = True,
                  order: str = "date") -> DataFrame:
     """Label each row ``train``/``test`` by its date's rank in the distinct
@@ -159,11 +179,15 @@ def dense_panel(bars: DataFrame, key="ticker", order="date", step="1 day",
     """
     lo, hi = bars.agg(F.min(order), F.max(order)).first()
     cal = bars.select(order).filter(F.col(order).isNotNull()).distinct()
-    lattice = F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr(f"INTERVAL {step}"))).alias(order)
-    if lo is not None and not cal.join(bars.sparkSession.range(1).select(lattice), order, "left_anti").isEmpty():
-        raise ValueError(f"observed periods lie off a lattice of {step} from {lo}")
-    grid = bars.select(key).distinct().select(
-        key, lattice) if lo is not None else bars.select(key, order)
+    if lo is None:
+        grid = bars.select(key, order)
+    else:
+        lattice = F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr(f"INTERVAL {step}"))).alias(order)
+        # Checked inside the plan: no job runs while the query is built.
+        points = bars.sparkSession.range(1).select(lattice).withColumn("_on", F.lit(True))
+        off = F.raise_error(F.lit(f"observed periods lie off a lattice of {step} from {lo}")).cast("boolean")
+        cal = cal.join(points, order, "left").filter(F.coalesce(F.col("_on"), off)).select(order)
+        grid = bars.select(key).distinct().select(key, lattice)
     grid = grid.join(cal, order, "left_semi")
     keep = [c for c in bars.columns if c in cols]
     return grid.join(bars.select(key, order, *keep), [key, order], "left")
@@ -187,28 +211,47 @@ def feature_tensor(features: DataFrame, names, lookback: int = 30, key="ticker",
         F.col("_f.feature").alias("feature"), key, order, F.col("_f.value").alias("value"))
 
 
+def _observed(panel: DataFrame, n: int, features, key, order) -> DataFrame:
+    """(key, order, _z0, _z1, …): each feature's observation as an array."""
+    fwd, _, _ = _windows(key, order)
+    frame = fwd.rowsBetween(-n, -1)
+    df = panel.select(key, order, *[F.collect_list(F.col(f).cast("double")).over(frame)
+                                    .alias(f"_h{i}") for i, f in enumerate(features)])
+    x = [F.concat(F.array_repeat(F.lit(0.0), F.lit(n) - F.size(f"_h{i}")), F.col(f"_h{i}")).alias(f"_x{i}")
+         for i in range(len(features))]
+    df = df.select(key, order, *x)
+    df = df.select("*", *[(F.aggregate(f"_x{i}", F.lit(0.0), lambda a, v: a + v) / n).alias(f"_m{i}")
+                          for i in range(len(features))])
+
+    def spread(i):
+        mean = F.col(f"_m{i}")
+        return F.sqrt(F.aggregate(f"_x{i}", F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)) / n).alias(f"_s{i}")
+
+    def scaled(i):
+        mean, sd = F.col(f"_m{i}"), F.col(f"_s{i}")
+        return F.transform(f"_x{i}", lambda v: F.when(sd > 1e-8, (v - mean) / sd).otherwise(F.lit(0.0))).alias(f"_z{i}")
+
+    places = range(len(features))
+    return df.select("*", *[spread(i) for i in places]).select(key, order, *[scaled(i) for i in places])
+
+
+def observation_tensors(panel: DataFrame, n: int = 30, features=("close",), key="ticker", order="step") -> DataFrame:
+    """B12 as one array a row: (key, order, tensor), feature after feature, the
+    oldest lag first; n * features values, whatever the table's size."""
+    z = _observed(panel, n, features, key, order)
+    return z.select(key, order, F.concat(*[F.col(f"_z{i}") for i in range(len(features))]).alias("tensor"))
+
+
 def observation_windows(panel: DataFrame, n: int = 30, features=("close",), key="ticker",
                         order="step") -> DataFrame:
     """The simulator's observation at step s — rows s−n … s−1 (the
     current row EXCLUDED), left zero-padded when short, then z-scored per
     feature with the population std of the padded window (std ≤ 1e-8 → 0).
     Long form ``(ticker, step, feature, lag, value)``; lag 1 is the oldest."""
-    fwd, _, _ = _windows(key, order)
-    frame = fwd.rowsBetween(-n, -1)
-    hist = panel.select(key, order, *[F.collect_list(F.col(f).cast("double")).over(frame)
-                                      .alias(f"_h{i}") for i, f in enumerate(features)])
-    st = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"_h{i}").alias("h"))
-                             for i, f in enumerate(features)])).alias("_f")
-    df = hist.select(key, order, st).select(key, order, "_f.feature", "_f.h")
-    padded = F.concat(F.array_repeat(F.lit(0.0), F.lit(n) - F.size("h")), F.col("h"))
-    df = df.select(key, order, "feature", padded.alias("x"))
-    mean = F.aggregate("x", F.lit(0.0), lambda a, v: a + v) / n
-    df = df.select("*", mean.alias("_m"))
-    var = F.aggregate("x", F.lit(0.0), lambda a, v: a + (v - F.col("_m")) * (v - F.col("_m"))) / n
-    df = df.select("*", F.sqrt(var).alias("_s"))
-    z = F.transform("x", lambda v: F.when(F.col("_s") > 1e-8, (v - F.col("_m")) / F.col("_s"))
-                    .otherwise(F.lit(0.0)))
-    return df.select(key, order, "feature", F.posexplode(z).alias("lag", "value")) \
+    z = _observed(panel, n, features, key, order)
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"_z{i}").alias("z"))
+                               for i, f in enumerate(features)])).alias("_f")
+    return z.select(key, order, each).select(key, order, "_f.feature", F.posexplode("_f.z").alias("lag", "value")) \
         .select(key, order, "feature", (F.col("lag") + 1).alias("lag"), "value")
 
 

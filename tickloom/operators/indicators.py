@@ -149,29 +149,25 @@ def _pair_moments(x, y, w, n):
     return F.when(ok, cov), F.when(ok, td(cov, den))
 
 
-def add_correlation_features(panel: DataFrame, windows=(10, 20, 60), backfill: bool = True,
-                             value: str = "close", others: DataFrame | None = None) -> DataFrame:
-    """rolling correlation of price LEVELS for every ordered pair, long
-    form (ticker, other, date, Corr_{n}d).  Computed once per unordered pair
-    and mirrored (correlation is symmetric)."""
-    from tickloom.operators.joins import mirror_pairs, pair_align
-    a = panel.select("ticker", "date", F.col(value).alias("x"))
-    if others is None:
-        b = panel.select(F.col("ticker").alias("other"), "date", F.col(value).alias("y"))
-        pairs = a.join(b, "date").filter(F.col("ticker") < F.col("other"))
-    else:
-        pairs = pair_align(panel, value, others=others)
-    w = series_window(["ticker", "other"], "date")
-    cols = ["ticker", "other", "date"]
-    out = [F.col(c) for c in cols]
-    names = []
-    for n in windows:
-        out.append(_pair_moments(F.col("x"), F.col("y"), w, n)[1].alias(f"Corr_{n}d"))
-        names.append(f"Corr_{n}d")
-    res = pairs.select(*out)
-    if backfill:
-        res = backfill_all(res, names, ["ticker", "other"], "date")
-    return res if others is not None else mirror_pairs(res)
+def add_correlation_features(panel: DataFrame, partners: DataFrame, windows=(10, 20, 60),
+                             backfill: bool = True, value: str = "close") -> DataFrame:
+    """rolling correlation of price LEVELS for the pairs of
+    ``partners(ticker, other)``, long form (ticker, other, date, Corr_{n}d)."""
+    from tickloom.operators.correlation import pair_correlations
+    return pair_correlations(panel, partners, windows, backfill, value)
+
+
+def partner_columns(bars: DataFrame, partners: DataFrame, ranks: int = 1, windows=(10, 20, 60)) -> DataFrame:
+    """F28 wide: ``bars`` with Corr_{rank}_{n}d, the correlation with the
+    ticker's partner of that rank (``partners(ticker, other, rank)``, rank from 1);
+    NULL on dates the partner has no bar."""
+    from tickloom.operators.correlation import pair_correlations
+    few = partners.filter(F.col("rank") <= ranks)
+    long = pair_correlations(bars, few, windows, backfill=False).join(few, ["ticker", "other"])
+    names = [(r, n) for r in range(1, ranks + 1) for n in windows]
+    wide = long.groupBy("ticker", "date").agg(*[
+        F.max(F.when(F.col("rank") == r, F.col(f"Corr_{n}d"))).alias(f"Corr_{r}_{n}d") for r, n in names])
+    return bars.join(wide, ["ticker", "date"], "left")
 
 
 # ---------------------------------------------------------------- F-M market
@@ -208,17 +204,23 @@ def add_market_features(bars: DataFrame, market: DataFrame, windows=(5, 10, 20,
 
 
 # ---------------------------------------------------------------- F33
-def feature_stack(bars: DataFrame, backfill: bool = True) -> DataFrame:
-    """technical → price → volume stages on one bar table (the
-    cross-asset stage is long-form and joins on (ticker, date) on request)."""
+def feature_stack(bars: DataFrame, backfill: bool = True, partners: DataFrame | None = None,
+                  ranks: int = 1, ema: bool = True) -> DataFrame:
+    """technical, price, volume and correlation stages on one bar table.
+    Correlations are those with the partners that ``partners(ticker, other,
+    rank)`` names (none without it); they join the narrow bars first, so the wide
+    table is windowed without another exchange.  ``ema=False`` leaves the
+    recurrence pass out for callers that need none of its columns."""
     base = list(bars.columns)
-    e = ema_columns(bars)
+    e = bars if partners is None else partner_columns(bars, partners, ranks)
+    corr = [c for c in e.columns if c not in base]
+    e = ema_columns(e) if ema else e
     p = add_price_features(e, backfill=False)
     v = add_volume_features(p, backfill=False)
     t = technical_windows(v)
     new = [c for c in t.columns if c not in base]
-    out = t.select(*base, *[c for c in TECH_COLS if c != "Volume_Change"],
-                   *[c for c in new if c not in TECH_COLS], "Volume_Change")
+    tech = [c for c in TECH_COLS if c != "Volume_Change" and c in t.columns]
+    out = t.select(*base, *tech, *[c for c in new if c not in TECH_COLS and c not in corr], "Volume_Change", *corr)
     return backfill_all(out, new) if backfill else out
 
 

@@ -9,8 +9,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.core import UNB, full, series_window, td
 
@@ -122,7 +126,7 @@ def benchmark_compare(model: DataFrame, bench: DataFrame, key: str = "portfolio_
         ((F.pow(1 + F.avg("ret").over(whole), 252) - 1) * 100).alias("bench_annual_return"),
         (F.stddev_pop("ret").over(whole) * SQRT252 * 100).alias("bench_volatility"),
         F.max_by("value", "step").over(whole).alias("bench_final_value"))
-    j = model.join(F.broadcast(b), "step", "left")
+    j = model.join(b, "step", "left")
     g = j.groupBy(key).agg(
         ((F.max_by("value", "step") / v0 - 1) * 100).alias("total_return"),
         F.max_by("value", "step").alias("final_value"),
@@ -151,36 +155,45 @@ def quick_eval(bt: DataFrame, key: str = "portfolio_id", max_steps: int = 100) -
         (F.avg("ret") / F.greatest(sd, F.lit(1e-6))).alias("sharpe_ratio"))
 
 
+def trailing_moments(x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and sample std of every ``n`` consecutive values (NaN before the
+    n-th and where one is missing); the std of equal values is exactly zero."""
+    mean, std = np.full(len(x), np.nan), np.full(len(x), np.nan)
+    if 0 < n <= len(x):
+        frames = sliding_window_view(x, n)
+        mean[n - 1:] = frames.mean(1)
+        if n > 1:
+            centred = frames - mean[n - 1:, None]
+            spread = np.sqrt((centred * centred).sum(1) / (n - 1))
+            std[n - 1:] = np.where(frames.max(1) == frames.min(1), 0.0, spread)
+    return mean, std
+
+
 def rolling_report(bt: DataFrame, key: str = "portfolio_id", order: str = "step") -> DataFrame:
     """rolling annualised return (n = min(252, N//2), only when
     N > n) and rolling volatility (n = min(30, N//4)), N = series length.
 
-    The frame length depends on the series, so each row carries its last 252
-    returns (a bounded frame) and the statistic is taken over the trailing
-    n of them."""
-    w = Window.partitionBy(key).orderBy(order)
-    whole = Window.partitionBy(key)
-    df = bt.select(key, order, "ret",
-                   F.count(F.lit(1)).over(whole).alias("n_total"),
-                   F.row_number().over(w).alias("_rn"),
-                   F.collect_list("ret").over(w.rowsBetween(-251, 0)).alias("_h"))
-    na = F.least(F.lit(252), F.floor(F.col("n_total") / 2).cast("int"))
-    nv = F.least(F.lit(30), F.floor(F.col("n_total") / 4).cast("int"))
-
-    def tail(n):
-        return F.slice("_h", -n, n)
-
-    def mean_of(a, n):
-        return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x) / n
-
-    a_ok = (F.col("n_total") > na) & (na > 0) & (F.col("_rn") >= na)
-    v_ok = (nv > 1) & (F.col("_rn") >= nv)
-    ta, tv = tail(na), tail(nv)
-    mv = mean_of(tv, nv)
-    var = F.aggregate(tv, F.lit(0.0), lambda acc, x: acc + (x - mv) * (x - mv)) / (nv - 1)
-    return df.select(key, order, "ret", na.alias("annual_window"), nv.alias("vol_window"),
-                     F.when(a_ok, mean_of(ta, na) * 252 * 100).alias("rolling_annual_return"),
-                     F.when(v_ok, F.sqrt(var) * SQRT252 * 100).alias("rolling_volatility"))
+    Frame lengths depend on the series, which no window frame can say, so a series
+    (one calendar long) is one Arrow group: its key, order and return go in, and
+    frames are views of the one array."""
+    fields = [bt.schema[key], bt.schema[order], T.StructField("ret", T.DoubleType()),
+              T.StructField("annual_window", T.IntegerType()), T.StructField("vol_window", T.IntegerType()),
+              T.StructField("rolling_annual_return", T.DoubleType()), T.StructField("rolling_volatility", T.DoubleType())]
+
+    def report(table: pa.Table) -> pa.Table:
+        table = table.sort_by(order)
+        ret = table.column("ret").to_numpy().astype(np.float64)
+        total = len(ret)
+        na, nv = min(252, total // 2), min(30, total // 4)
+        annual = trailing_moments(ret, na)[0] if total > na else np.full(total, np.nan)
+        vol = trailing_moments(ret, nv)[1]
+        return pa.table({
+            key: table.column(key), order: table.column(order), "ret": table.column("ret"),
+            "annual_window": pa.array(np.full(total, na, np.int32)), "vol_window": pa.array(np.full(total, nv, np.int32)),
+            "rolling_annual_return": pa.array(annual * 252 * 100, from_pandas=True),
+            "rolling_volatility": pa.array(vol * SQRT252 * 100, from_pandas=True)})
+
+    return bt.select(key, order, F.col("ret").cast("double").alias("ret")).groupBy(key).applyInArrow(report, T.StructType(fields))
 
 
 def return_histogram(bt: DataFrame, bins: int = 50, lo: float | None = None,

@@ -7,7 +7,9 @@ is one portfolio's asset rows (bounded by the universe size).
 
 from __future__ import annotations
 
-import math
+import sys
+import types
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
@@ -134,15 +136,6 @@ def rebalance_decisions(scored: DataFrame, key: str = "portfolio_id",
                     (F.col("total_change") > threshold).alias("rebalance_needed_total"))
 
 
-def entropy_confidence(weights: list[float]) -> float | None:
-    """Scalar helper for tests: the same confidence on a Python list."""
-    n = len(weights)
-    if n <= 1:
-        return None
-    h = -sum(x * math.log(x + 1e-8) for x in weights)
-    return 1 - h / math.log(n)
-
-
 def current_weights(actions_norm: DataFrame, key: str = "portfolio_id") -> DataFrame:
     """Each portfolio's newest explicit weights (its last action step)."""
     last = actions_norm.groupBy(key).agg(F.max("step").alias("step"))
@@ -153,3 +146,27 @@ def current_weights(actions_norm: DataFrame, key: str = "portfolio_id") -> DataF
 def apply_model(current: DataFrame, model: Callable, key: str = "portfolio_id") -> DataFrame:
     """A pluggable ``predict(pdf) -> pdf`` model, run per portfolio."""
     return score_portfolios(current, policy=model, key=key)
+
+
+def score_windows(tensors: DataFrame, load: Callable, key="ticker", order="step") -> DataFrame:
+    """A model's score of every observation tensor (``observation_tensors``).
+
+    ``load()`` returns an object with ``predict(matrix) -> vector`` and runs once
+    per Python worker, however many tasks and batches that worker gets; rows
+    cross in Arrow batches and only (key, order, score) come back."""
+    token = f"model_{uuid.uuid4().hex}"
+    kept = [tensors.schema[c] for c in (key, order)]
+
+    def run(frames):
+        import numpy as np
+        import pandas as pd
+        models = sys.modules.setdefault("_tickloom_models", types.ModuleType("_tickloom_models")).__dict__
+        if token not in models:
+            models[token] = load()
+        for pdf in frames:
+            if len(pdf):
+                scores = np.asarray(models[token].predict(np.stack(pdf["tensor"].to_numpy())), dtype="float64")
+                yield pd.DataFrame({key: pdf[key], order: pdf[order], "score": scores})
+
+    from pyspark.sql import types as T
+    return tensors.select(key, order, "tensor").mapInPandas(run, T.StructType([*kept, T.StructField("score", T.DoubleType())]))

@@ -105,15 +105,16 @@ def model_info(reg: DataFrame, name: str, key: str = "model") -> DataFrame:
 
 def upsert_portfolio_weights(current: DataFrame, updates: DataFrame, tol: float = 0.01,
                              key: str = "portfolio_id") -> DataFrame:
-    """H7: validate updates (|Σw − 1| ≤ tol, C4) and keep the newest snapshot
-    per portfolio by ``updated_at``; rows are (portfolio_id, ticker, weight,
-    updated_at)."""
+    """H7: validate updates (|Σw − 1| ≤ tol, C4) and keep one snapshot per
+    portfolio, the newest by ``updated_at``; of a stored and an incoming one of
+    the same time the incoming counts, so running an update again changes nothing.
+    Rows are (portfolio_id, ticker, weight, updated_at)."""
     sums = updates.groupBy(key, "updated_at").agg(F.sum("weight").alias("_s"))
     ok = sums.filter(F.abs(F.col("_s") - 1) <= tol).select(key, "updated_at")
     valid = updates.join(ok, [key, "updated_at"], "left_semi")
-    both = current.unionByName(valid)
-    newest = both.groupBy(key).agg(F.max("updated_at").alias("updated_at"))
-    return both.join(newest, [key, "updated_at"], "left_semi")
+    both = current.withColumn("_new", F.lit(0)).unionByName(valid.withColumn("_new", F.lit(1)))
+    newest = both.groupBy(key).agg(F.max(F.struct("updated_at", "_new")).alias("_n")).select(key, "_n.*")
+    return both.join(newest, [key, "updated_at", "_new"], "left_semi").select(*current.columns)
 
 
 def get_or_compute(requested: DataFrame, catalog: DataFrame, key: str = "ticker") -> DataFrame:

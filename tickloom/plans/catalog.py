@@ -175,7 +175,8 @@ def q_normalized_event_bars(spark, sf_dir):
 
 
 def q_chrono_split(spark, sf_dir):
-    return C.chrono_split(daily_bars(spark, sf_dir), ratio=0.7)
+    # Written once: the calendar and the rows read the bars, not the line items.
+    return C.chrono_split(materialize(daily_bars(spark, sf_dir), "daily_bars"), ratio=0.7)
 
 
 def q_interpolated_panel(spark, sf_dir):
@@ -223,8 +224,8 @@ def q_asof_market(spark, sf_dir):
 
 
 def q_pair_correlations(spark, sf_dir):
-    panel = C.dense_panel(M.materialized_brand_bars(spark, sf_dir), step="7 days")
-    return IND.add_correlation_features(panel)
+    bars = M.materialized_brand_bars(spark, sf_dir)
+    return IND.add_correlation_features(C.dense_panel(bars, step="7 days"), D.all_pairs(bars))
 
 
 def q_market_features(spark, sf_dir):
@@ -448,8 +449,22 @@ def q_feature_tensor(spark, sf_dir):
     return C.feature_tensor(named, TENSOR_FEATURES, lookback=30)
 
 
+def nation_partners(spark, sf_dir):
+    """(ticker, other, rank): every supplier with the smallest other supplier of
+    its nation."""
+    s = table(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey")
+    first = s.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("first"))
+    both = s.join(first, "s_nationkey")
+    second = both.filter(F.col("s_suppkey") > F.col("first")).groupBy("s_nationkey").agg(F.min("s_suppkey").alias("second"))
+    other = F.when(F.col("s_suppkey") == F.col("first"), F.col("second")).otherwise(F.col("first"))
+    pairs = both.join(second, "s_nationkey", "left").select(
+        F.col("s_suppkey").cast("string").alias("ticker"), other.cast("string").alias("other"), F.lit(1).alias("rank"))
+    return pairs.filter(F.col("other").isNotNull())
+
+
 def q_feature_stack(spark, sf_dir):
-    return IND.feature_stack(daily_bars(spark, sf_dir))
+    bars = materialize(daily_bars(spark, sf_dir), "daily_bars")
+    return IND.feature_stack(bars, partners=nation_partners(spark, sf_dir))
 
 
 _RAW.update({
@@ -525,7 +540,8 @@ def q_risk_ratios(spark, sf_dir):
 
 def q_category(category):
     def query(spark, sf_dir):
-        return C.project_category(IND.feature_stack(daily_bars(spark, sf_dir)), category)
+        # No volume column comes from the recurrences.
+        return C.project_category(IND.feature_stack(daily_bars(spark, sf_dir), ema=category != "volume"), category)
     return query
 
 
@@ -547,8 +563,9 @@ _RAW.update({
 })
 
 # ---------------------------------------------------------------- store, messages, alerts
-from tickloom.plans import operations  # noqa: E402
+from tickloom.plans import features, operations  # noqa: E402
 
 _RAW.update(operations.RAW)
+_RAW.update(features.RAW)
 
 QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}

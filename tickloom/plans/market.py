@@ -1,6 +1,6 @@
 """Shared sub-plans: brand series, the dense price panel, portfolio actions.
 
-``brand_ticks`` (lineitem ⋈ part) is re-keyed to brands at a weekly grain;
+Line items are re-keyed to brands at a weekly grain;
 the panel is aligned to the union calendar and repaired (B1 → B2); actions
 are each supplier's weekly quantity per brand.
 """

@@ -141,12 +141,13 @@ def q_merged_snapshots(spark, sf_dir):
 
 # ---------------------------------------------------------------- store
 def q_upserted_weights(spark, sf_dir):
-    """H7: every step's weights arrive cut to eighths, so that some no longer
-    sum to 1 and are refused; the exact weights of the first 100 steps are stored."""
+    """H7: the exact weights of every step are stored, and arrive again cut to
+    eighths, so that some no longer sum to 1 and are refused; where they do, the
+    incoming snapshot of a time replaces the stored one."""
     w = G.normalize_weights(M.portfolio_actions(spark, sf_dir)).withColumnRenamed("step", "updated_at")
     w = w.select("portfolio_id", "ticker", "weight", "updated_at")
     updates = w.withColumn("weight", F.floor(F.col("weight") * 8) / 8)
-    return H.upsert_portfolio_weights(w.filter(F.col("updated_at") < 100), updates)
+    return H.upsert_portfolio_weights(w, updates)
 
 
 def q_model_info(spark, sf_dir):

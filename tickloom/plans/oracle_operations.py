@@ -238,10 +238,11 @@ def q_upserted_weights():
     inner = f"""WITH {BRAND},
 u AS (SELECT portfolio_id, ticker, floor(weight * 8) / 8 AS weight, step FROM wpos),
 ok AS (SELECT portfolio_id, step FROM u GROUP BY portfolio_id, step HAVING abs(sum(weight) - 1) <= 0.01),
-a AS (SELECT portfolio_id, ticker, weight, step FROM wpos WHERE step < 100
-      UNION ALL SELECT u.* FROM u JOIN ok ON u.portfolio_id = ok.portfolio_id AND u.step = ok.step)
-SELECT portfolio_id, ticker, weight, step AS updated_at FROM a
-WHERE step = (SELECT max(step) FROM a n WHERE n.portfolio_id = a.portfolio_id)"""
+newest AS (SELECT portfolio_id, max(step) AS step FROM wpos GROUP BY portfolio_id)
+SELECT w.portfolio_id, w.ticker, CASE WHEN ok.step IS NULL THEN w.weight ELSE u.weight END AS weight, w.step AS updated_at
+FROM wpos w JOIN newest n ON w.portfolio_id = n.portfolio_id AND w.step = n.step
+LEFT JOIN ok ON ok.portfolio_id = w.portfolio_id AND ok.step = w.step
+LEFT JOIN u ON u.portfolio_id = w.portfolio_id AND u.step = w.step AND u.ticker = w.ticker"""
     return round_sql(inner, ["portfolio_id", "ticker", "weight", "updated_at"], {"weight"})
 
 

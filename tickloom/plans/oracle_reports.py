@@ -6,7 +6,8 @@ from __future__ import annotations
 from functools import partial
 
 from tickloom.plans.contracts import digits
-from tickloom.plans.oracle import BAR_COLS, BAR_DBL, BARS, TECH_COLS, price_inner, tech_inner, volume_inner
+from tickloom.plans.oracle import (BAR_COLS, BAR_DBL, BARS, TECH_COLS, bfill, div, price_inner, tech_inner,
+                                   volume_inner)
 from tickloom.plans.oracle_market import BRAND, _bt
 from tickloom.plans.rounding import round_sql
 
@@ -83,17 +84,38 @@ k AS (SELECT * FROM f WHERE date IN (SELECT date FROM top))
     return round_sql(inner, ["feature", "ticker", "date", "value"], {"value"}, digits("feature_tensor"))
 
 
+CORR_COLS = ["Corr_1_10d", "Corr_1_20d", "Corr_1_60d"]
+
+
+def corr_inner():
+    """Correlations with the smallest other supplier of the nation, on common dates."""
+    def fr(n):
+        return f"OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    cs = [f"CASE WHEN count(xb) {fr(n)} = {n} THEN "
+          f"{div(f'covar_samp(xb, yb) {fr(n)}', f'stddev_samp(xb) {fr(n)} * stddev_samp(yb) {fr(n)}')} END AS {c}"
+          for n, c in zip((10, 20, 60), CORR_COLS)]
+    return f"""WITH {BARS},
+sp AS (SELECT CAST(s_suppkey AS VARCHAR) AS ticker, CAST((SELECT min(o.s_suppkey) FROM supplier o
+         WHERE o.s_nationkey = s.s_nationkey AND o.s_suppkey <> s.s_suppkey) AS VARCHAR) AS other FROM supplier s),
+pr AS (SELECT sp.ticker, a.date, CASE WHEN b.close IS NOT NULL THEN a.close END AS xb, CASE WHEN a.close IS NOT NULL THEN b.close END AS yb
+       FROM sp JOIN bars a ON a.ticker = sp.ticker JOIN bars b ON b.ticker = sp.other AND b.date = a.date),
+cc AS (SELECT ticker, date, {', '.join(cs)} FROM pr),
+al AS (SELECT bars.ticker, bars.date, {', '.join(CORR_COLS)} FROM bars LEFT JOIN cc ON bars.ticker = cc.ticker AND bars.date = cc.date)
+SELECT ticker, date, {', '.join(f'{bfill(c)} AS {c}' for c in CORR_COLS)} FROM al"""
+
+
 def q_feature_stack():
     p_inner, p_new = price_inner()
     v_inner, v_new = volume_inner()
     t_cols = [c for c in TECH_COLS if c != "Volume_Change"]
     sel = (["t." + c for c in BAR_COLS] + [f't."{c}"' for c in t_cols] + [f'p."{c}"' for c in p_new]
-           + [f'v."{c}"' for c in v_new])
+           + [f'v."{c}"' for c in v_new] + [f"c.{c}" for c in CORR_COLS])
     inner = f"""SELECT {', '.join(sel)} FROM ({tech_inner()}) t
+JOIN ({corr_inner()}) c ON t.ticker = c.ticker AND t.date = c.date
 JOIN ({p_inner}) p ON t.ticker = p.ticker AND t.date = p.date
 JOIN ({v_inner}) v ON t.ticker = v.ticker AND t.date = v.date"""
-    cols = BAR_COLS + t_cols + p_new + v_new
-    return round_sql(inner, cols, BAR_DBL | set(t_cols) | set(p_new) | set(v_new), digits("feature_stack"))
+    cols = BAR_COLS + t_cols + p_new + v_new + CORR_COLS
+    return round_sql(inner, cols, BAR_DBL | set(t_cols) | set(p_new) | set(v_new) | set(CORR_COLS), digits("feature_stack"))
 
 
 ORACLE = {

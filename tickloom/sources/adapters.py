@@ -4,7 +4,6 @@ Every adapter is a projection (plus, for the brand series, one join and one
 grouping) so the work grows with the input tables.
 
 * ``ticks``      lineitem  -> ticker = supplier, one tick per line item
-* ``brand_ticks``lineitem ⋈ part -> ticker = brand, weekly grain
 * ``tick_stream``events    -> ticker = event type, price = value, volume = props.k
 * ``api_log``    events    -> request log
 * ``registry``   orders    -> model registry rows
@@ -38,23 +37,6 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def brand_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items re-keyed by part brand, bucketed to ISO weeks (Monday)."""
-    li = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    j = li.join(part, li.l_partkey == part.p_partkey)
-    return j.select(
-        F.col("p_brand").alias("ticker"),
-        F.col("l_shipdate").alias("ts"),
-        F.to_date(F.date_trunc("week", "l_shipdate")).alias("date"),
-        td("l_extendedprice", "l_quantity").alias("price"),
-        F.col("l_quantity").alias("volume"),
-        F.struct(F.col("l_orderkey").alias("k1"), F.col("l_linenumber").alias("k2"),
-                 F.col("l_partkey").alias("k3")).alias("seq"),
-        F.col("l_suppkey").alias("supplier"),
-    )
-
-
 def tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events seen as ticks: ticker = event_type, price = value, volume = props.k."""
     ev = table(spark, sf_dir, "events")
