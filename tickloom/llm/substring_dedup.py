@@ -12,9 +12,11 @@ Method.  Documents are written once in blocks of bounded size.
      sent: whether the merged count is two or more.  Counts only ever
      overestimate, so no repeat is lost.
   2. A block keeps the windows whose cells say "repeated" in every row (or
-     that it holds twice itself) and sends their 96-bit hashes and documents to
-     the shards, which group them exactly, find each window's earliest document
-     and answer one bit per window.
+     that it holds twice itself) and sends their hashes, the 128-bit BLAKE2b
+     digests of their words and their documents to the shards, which group them,
+     find each window's earliest document and answer one bit per window.  Windows
+     are one key only if the digests of their words agree, so the grouping is exact
+     up to a collision of a cryptographic hash.
   3. A block removes the covered words.
 Sketch width, shards and blocks grow with the input; a task holds one shard or
 one block.  A window in a third of all documents is one entry per block.
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickloom.llm.common import bytes_of, ceil_div, free_name, materialize, ragged, spare, text_slices, texts_of
-from tickloom.llm.wordhash import U64, mix, run_hashes, span_hashes, white_space, word_spans
+from tickloom.llm.wordhash import U64, digests, mix, run_hashes, span_hashes, white_space, word_spans
 
 WINDOW = 20
 BLOCK_BYTES = 4 << 20
@@ -172,20 +174,23 @@ class BlockWindows:
         return out
 
     def exact(self, suspected: np.ndarray):
-        """Of the suspected windows' occurrences, exactly grouped: order in
-        which keys are sent, (shard cuts, first hash, second hash, document) of
-        each distinct key, and each occurrence's key and whether it is its
-        key's first here."""
+        """The suspected windows' occurrences, grouped by hash and digest: their
+        places, which is its key's first here, each one's key, and the hash, digest
+        and document of every distinct key."""
         n = np.diff(self.fresh, append=len(self.h))
         rows = ragged(self.fresh[suspected], n[suspected])
-        second = run_hashes(span_hashes(self.raw, self.starts, self.ends, 1), self.window, 1)
-        other = (second[self.at[rows]] >> U64(32)).astype(np.uint32)
-        order = np.lexsort((np.arange(len(rows)), other, self.h[rows]))
-        rows, other = rows[order], other[order]
+        size = self.ends - self.starts + 1
+        stop = np.cumsum(size)
+        joined = np.append(self.raw, np.uint8(32))[ragged(self.starts, size)]
+        joined[stop - 1] = 32  # words joined by one space
+        a, b = digests(joined.tobytes(), (stop - size)[self.at[rows]], stop[self.at[rows] + self.window - 1])
+        order = np.lexsort((np.arange(len(rows)), b, a, self.h[rows]))
+        rows, a, b = rows[order], a[order], b[order]
         h = self.h[rows]
-        new = np.concatenate([[True], (h[1:] != h[:-1]) | (other[1:] != other[:-1])]) if len(rows) else np.zeros(0, bool)
+        new = np.concatenate([[True], (h[1:] != h[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(rows) \
+            else np.zeros(0, bool)
         head = np.flatnonzero(new)
-        return rows, new, np.cumsum(new) - 1, h[head], other[head], self.owner_id[rows[head]]
+        return rows, new, np.cumsum(new) - 1, h[head], a[head], b[head], self.owner_id[rows[head]]
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
@@ -194,6 +199,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     """``docs`` with the kept words joined by one space, the number of words
     and how many of them were removed."""
     id_at, text_at = docs.columns.index(id_col), docs.columns.index(text_col)
+    clash = {c.lower() for c in docs.columns} & {c.lower() for c in (kept_col, words_col, removed_col)}
+    if clash:
+        raise ValueError(f"columns {sorted(clash)} exist already: name the new ones otherwise")
     blocks = materialize(cut_blocks(docs, text_col, window, block_bytes), "dedup_blocks")
     total = blocks.agg(F.coalesce(F.sum("n_windows"), F.lit(0))).first()[0]
     n_shards = ceil_div(total, shard_windows)
@@ -246,12 +254,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
 
     def send(batches):
         for block, w, (estimates, _) in rows_of(batches):
-            _, _, _, h, other, doc = w.exact(w.suspected(estimates))
+            _, _, _, h, x, y, doc = w.exact(w.suspected(estimates))
             out = [[], [], []]
             cut = key_cuts(h)
             for s, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
                 if b > a:
-                    for column, value in zip(out, (s, block, squeeze([deltas(h[a:b]), other[a:b], doc[a:b]]))):
+                    for column, value in zip(out, (s, block, squeeze([deltas(h[a:b]), x[a:b], y[a:b], doc[a:b]]))):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())],
@@ -259,13 +267,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
 
     def group(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
-        parts = [unsqueeze(x, [np.uint64, np.uint32, np.int64]) for x in table.column("keys").to_pylist()]
+        parts = [unsqueeze(x, [np.uint64, np.uint64, np.uint64, np.int64]) for x in table.column("keys").to_pylist()]
         h = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
-        other, doc = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
-        order = np.lexsort((doc, other, h))  # stable: equal documents in block order
-        a, b = h[order], other[order]
+        x, y, doc = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+        order = np.lexsort((doc, y, x, h))  # stable: equal documents in block order
         earlier = np.zeros(len(order), bool)
-        earlier[order[1:]] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+        earlier[order[1:]] = (np.diff(h[order]) == 0) & (np.diff(x[order]) == 0) & (np.diff(y[order]) == 0)
         ends = np.cumsum([len(p[0]) for p in parts])
         said = [bits(earlier[e - len(p[0]): e]) for e, p in zip(ends, parts)]
         n = table.num_rows
@@ -280,7 +287,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
 
     def remove(batches):
         for _, w, (estimates, answers) in rows_of(batches):
-            rows, new, key, h, _, _ = w.exact(w.suspected(estimates))
+            rows, new, key, h, _, _, _ = w.exact(w.suspected(estimates))
             earlier = np.zeros(len(h), bool)
             cut = key_cuts(h)
             for s, (a, b) in enumerate(zip(cut[:-1], cut[1:])):

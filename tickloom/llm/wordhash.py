@@ -3,12 +3,13 @@ object per word."""
 
 from __future__ import annotations
 
-import numpy as np
+import hashlib
 
-from tickloom.llm.common import cached
+import numpy as np
 
 U64 = np.uint64
-CHUNK = 1 << 20
+LONG = 256  # bytes of a span from which on it is digested
+MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], U64)
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 
@@ -53,41 +54,40 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray, separator: np.ndarray):
     return starts, np.flatnonzero(end) + 1, np.searchsorted(starts, offsets)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64."""
-    size = 1 << max(16, int(n - 1).bit_length())
-
-    def make():
-        p = np.full(size, U64(base))
-        p[0] = 1
-        return np.multiply.accumulate(p)
-
-    return cached(("powers", base, size), make)[:n]
-
-
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """64-bit polynomial hash of every byte span; ``which`` picks one of two
-    independent hashes.  Spans are ascending and do not overlap."""
-    if not len(starts):
+    """64-bit hash of every byte span; ``which`` picks one of two hashes.  Spans
+    are mixed eight bytes at a time, every step a bijection of the state, so spans
+    of one length up to eight bytes never collide; long spans are digested
+    (BLAKE2b).  No bytes outside the spans are read."""
+    n = len(starts)
+    if not n:
         return np.zeros(0, U64)
-    if len(raw) > CHUNK:  # piece by piece: tables stay as long as a piece
-        cut = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(raw), CHUNK)), len(starts)))
-        return np.concatenate([
-            _piece_hashes(raw[starts[a]: ends[b - 1]], starts[a:b] - starts[a], ends[a:b] - starts[a], which)
-            for a, b in zip(cut[:-1], cut[1:])])
-    return _piece_hashes(raw, starts, ends, which)
-
-
-def _piece_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:
-    base = BASES[which]
-    letters = cached(("letters", which), lambda: np.random.default_rng(7 + which).integers(
-        1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1))
-    sums = np.empty(len(raw) + 1, U64)
-    sums[0] = 0
-    np.cumsum(letters[raw] * _powers(base, len(raw)), out=sums[1:])
-    inverse = _powers(pow(base, -1, 1 << 64), len(raw))
-    length = (ends - starts).astype(U64)
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + length * U64(0x2545F4914F6CDD1D))
+    length = ends - starts
+    out = mix(length.astype(U64) * U64(BASES[1 - which]) + U64(BASES[which]))
+    long = np.flatnonzero(length > LONG)
+    left = np.flatnonzero(length <= LONG)
+    # Eight bytes from any place on, as one unaligned little-endian integer.
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))
+    at = 0
+    while len(left):
+        rest = length[left] - at
+        part = eight[starts[left] + at] & MASKS[np.minimum(rest, 8)]
+        out[left] = mix(out[left] ^ part) + U64(BASES[which])
+        left = left[rest > 8]
+        at += 8
+    for i in long.tolist():
+        said = hashlib.blake2b(raw[starts[i]: ends[i]].tobytes(), digest_size=8, salt=bytes([which])).digest()
+        out[i] = int.from_bytes(said, "little")
+    return out
+
+
+def digests(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit BLAKE2b digest of every byte span as two 64-bit columns."""
+    blake = hashlib.blake2b
+    said = b"".join([blake(data[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist())])
+    both = np.frombuffer(said, "<u8").reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
 
 
 def run_hashes(words: np.ndarray, size: int, which: int = 0) -> np.ndarray:
