@@ -26,10 +26,10 @@ component then are compared in full.  No bucket is capped and no link between
 components is left out.
 
 Defined cases: null texts and texts without words are each a class of their
-own; texts shorter than a shingle count as one shingle; rows that repeat a
-doc_id count as one document, whose smallest text stays; rows without a
-doc_id are kept apart, each a class of its own (null class); an empty table gives no
-rows; other columns are not read.
+own; texts shorter than a shingle count as one shingle; every row is a document
+of its own, also where it repeats a doc_id or has none, so unlike texts under one id
+are never merged; a group whose rows all lack an id has a null class; an empty
+table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import bytes_of, cached, free_name, materialize, text_slices, texts_of
+from tickloom.llm.common import bytes_of, cached, free_name, materialize, spare, text_slices, texts_of
 from tickloom.llm.components import connected_components
 from tickloom.llm.wordhash import U64, mix, not_alphanumeric, run_hashes, span_hashes, word_spans
 
@@ -55,7 +55,10 @@ TILE_WEIGHT = 4e6    # and their total weight, about 300,000 shingles
 TILE_BYTES = 2 << 20
 PARTNERS = 512       # mean bucket-mates of a member above which pivots go first
 
-SIGNATURES = "doc_id long, copy_a long, copy_b long, weight double, bands array<long>"
+SIGNATURES = "doc_id long, text_key long, copy_a long, copy_b long, weight double, bands array<long>"
+
+
+NAMES = ["doc_id", "text_key", "copy_a", "copy_b", "weight", "bands"]
 
 
 class Words:
@@ -72,6 +75,25 @@ class Words:
         return (self.hash >> U64(64 - DF_BITS)).astype(np.int64)
 
 
+def copy_hashes(texts: pa.Array) -> list[pa.Array]:
+    """128-bit hash of every text's word sequence, as two columns."""
+    w = Words(texts)
+    return [pa.array(c.view(np.int64)) for c in sequence_hashes(w)]
+
+
+def sequence_hashes(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of every text's words in order; zero for texts without words."""
+    place = (np.arange(len(w.hash)) - w.first[w.owner]).astype(U64)
+    some = np.flatnonzero(w.count)
+    out = []
+    for odd, odd2 in ((3, 0x9E3779B97F4A7C15), (5, 0xD1342543DE82EF95)):
+        h = np.zeros(len(w.count), U64)
+        if len(some):
+            h[some] = np.add.reduceat(mix(mix(w.hash * U64(odd)) + mix(place * U64(odd2))), w.first[some])
+        out.append(h)
+    return out[0], out[1]
+
+
 def word_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
     """Number of documents, and of those with a word of each hash cell, over all
     documents; each task sends its counts in compressed parts."""
@@ -173,7 +195,8 @@ def samples(key: np.ndarray, weight: np.ndarray, starts: np.ndarray, n_hashes: i
 
 
 def signatures(docs: DataFrame, model, bands: int, rows: int, size: int) -> DataFrame:
-    """Band keys, copy hash and total weight of every document with words."""
+    """Band keys, copy hash and total weight of every row; null for rows without
+    words."""
 
     def run(batches):
         n_docs, surprise = model.value
@@ -181,7 +204,13 @@ def signatures(docs: DataFrame, model, bands: int, rows: int, size: int) -> Data
             for part in text_slices(batch, "text", 2 << 20):
                 w = Words(texts_of(part, "text"))
                 text, key, weight = shingles(w, surprise, n_docs, size)
-                some = np.flatnonzero(w.count)
+                some, bare = np.flatnonzero(w.count), np.flatnonzero(w.count == 0)
+                if len(bare):
+                    at = pa.array(bare)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("doc_id").take(at), part.column("text_key").take(at),
+                         *(pa.nulls(len(bare), t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64())))],
+                        names=NAMES)
                 if not len(some):
                     continue
                 starts = np.searchsorted(text, some)
@@ -192,15 +221,14 @@ def signatures(docs: DataFrame, model, bands: int, rows: int, size: int) -> Data
                     for k in range(b * rows, (b + 1) * rows):
                         band = mix(band * U64(0x9E3779B97F4A7C15) + drawn[:, k])
                     band_keys[:, b] = band
-                place = (np.arange(len(w.hash)) - w.first[w.owner]).astype(U64)
-                copies = [np.add.reduceat(mix(w.hash * U64(odd) + place * U64(odd2)), w.first[some])
-                          for odd, odd2 in ((3, 0x9E3779B97F4A7C15), (5, 0xD1342543DE82EF95))]
+                copies = [c[some] for c in sequence_hashes(w)]
                 flat = pa.array(band_keys.view(np.int64).ravel())
                 cut = pa.array(np.arange(len(some) + 1) * bands, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(some)), *(pa.array(c.view(np.int64)) for c in copies),
-                     pa.array(np.add.reduceat(weight, starts)), pa.ListArray.from_arrays(cut, flat)],
-                    names=["doc_id", "copy_a", "copy_b", "weight", "bands"])
+                    [part.column("doc_id").take(pa.array(some)), part.column("text_key").take(pa.array(some)),
+                     *(pa.array(c.view(np.int64)) for c in copies),
+                     pa.array(np.add.reduceat(weight, starts)), pa.ListArray.from_arrays(cut, flat)], names=NAMES)
+            spare()
 
     return docs.mapInArrow(run, SIGNATURES)
 
@@ -306,20 +334,24 @@ def tiled(members: DataFrame, buckets: DataFrame, tile: int, tile_weight: float)
     return spread.select(F.xxhash64("bucket", F.least("mine", "with"), F.greatest("mine", "with")).alias("grp"), "rep")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
-                    size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text",
-                    tile: int = TILE, partners: int = PARTNERS) -> DataFrame:
-    """doc_id and class_id (the smallest document of its group) of every
-    document, and copy_id, the smallest document with the same words."""
+def _classes(docs: DataFrame, threshold: float, bands: int, rows: int, size: int, id_col: str, text_col: str,
+             tile: int, partners: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, copies, classes): every row with doc_id, text_key and the hash of
+    its words (null without words); every distinct word sequence with its
+    smallest document and its class; every class with its smallest document."""
     spark = docs.sparkSession
-    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                        F.xxhash64(text_col).alias("text_key"))
     n_docs, df = word_frequencies(named)
     model = spark.sparkContext.broadcast((n_docs, word_surprise(n_docs, df)))  # 4 MB whatever the input
-    signed = materialize(signatures(named.filter(F.col("doc_id").isNotNull()), model, bands, rows, size),
-                         "near_signatures")
-    reps = signed.groupBy("copy_a", "copy_b").agg(
-        F.min_by(F.struct("doc_id", "weight", "bands"), "doc_id").alias("r")).select(
-            "copy_a", "copy_b", F.col("r.doc_id").alias("rep"), "r.weight", "r.bands")
+    signed = materialize(signatures(named, model, bands, rows, size), "near_signatures")
+    # A word sequence gets a number of its own, so neither missing nor repeated
+    # ids confuse rows; the table is written, so the numbers stay.
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+    reps = signed.filter(F.col("copy_a").isNotNull()).groupBy("copy_a", "copy_b").agg(
+        F.min(first).alias("f"), F.min_by(F.struct("weight", "bands"), first).alias("r")).select(
+            "copy_a", "copy_b", "f.unnamed", "f.doc_id", "f.text_key", "r.weight", "r.bands",
+            F.monotonically_increasing_id().alias("rep"))
     reps = materialize(reps, "near_reps")
     placed = reps.select("rep", "weight", F.explode("bands").alias("bucket"))
     # Buckets of one member link nothing; of buckets with the same members one is enough.
@@ -331,12 +363,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     buckets = materialize(shared.select("bucket", "n", "low", "total"), "near_buckets")
     members = materialize(placed.join(buckets.select("bucket", "low"), "bucket").select("bucket", "rep", "low"),
                           "near_members")
-    # Equal ids with several texts count by their smallest.  The ids grow with
-    # the input, so they are never broadcast.
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
-    texts = named.join(wanted, "doc_id").groupBy("doc_id").agg(
-        F.min("text").alias("text"))
-    texts = materialize(texts.withColumnRenamed("doc_id", "rep"), "near_texts")
+    # A representative's text is the row with its id and text hash.  The ids grow
+    # with the input, so they are never broadcast.
+    wanted = reps.join(members.select("rep").distinct(), "rep", "left_semi").select("rep", "doc_id", "text_key")
+    wanted = wanted.select("rep", F.col("doc_id").alias("want"), F.col("text_key").alias("want_key")).hint("merge")
+    texts = named.join(wanted, (F.col("text_key") == F.col("want_key")) & F.col("doc_id").eqNullSafe(F.col("want")))
+    texts = materialize(texts.groupBy("rep").agg(F.min("text").alias("text")), "near_texts")
 
     def compared(parts):
         with_text = parts.join(texts, "rep").repartition("grp").sortWithinPartitions("grp", "rep")
@@ -355,23 +387,50 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
             F.min(F.coalesce("component", "rep")).alias("x"), F.max(F.coalesce("component", "rep")).alias("y"))
         buckets = materialize(buckets.join(state.filter("x <> y").select("bucket"), "bucket"), "near_buckets")
     found = compared(tiled(members.select("bucket", "rep"), buckets, tile, TILE_WEIGHT))
+    model.destroy()  # all that used it is written
     labels = connected_components(found if links is None else links.unionByName(found))
-    classes = reps.join(labels, reps["rep"] == labels["node"], "left").select(
-        "copy_a", "copy_b", F.col("rep").alias("copy_id"), F.coalesce("component", "rep").alias("class_id"))
-    of_docs = signed.join(classes, ["copy_a", "copy_b"]).groupBy("doc_id").agg(
-        F.min(F.struct("class_id", "copy_id")).alias("c")).select("doc_id", "c.class_id", "c.copy_id")
-    return named.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct().join(
-        of_docs, "doc_id", "left").select(
-            "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_id", "doc_id").alias("copy_id"))
-
-
-def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """``docs`` (same columns) with the smallest document of each group; of rows
-    that repeat a doc_id the one with the smallest text; rows without one stay."""
-    near = near_duplicates(docs, id_col=id_col, text_col=text_col, **settings)
-    mark, nth = free_name(docs, "class_of"), free_name(docs, "nth_row")
-    kept = near.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias(mark)).hint("merge")
-    of_id = Window.partitionBy(F.col(id_col)).orderBy(F.col(text_col))
-    rows = docs.join(kept, docs[id_col].cast("long") == kept[mark])
-    rows = rows.withColumn(nth, F.row_number().over(of_id)).filter(F.col(nth) == 1).select(*docs.columns)
-    return rows.unionByName(docs.filter(F.col(id_col).isNull()))
+    copies = materialize(reps.join(labels, reps["rep"] == labels["node"], "left").select(
+        "copy_a", "copy_b", "unnamed", F.col("doc_id").alias("copy_id"), "text_key",
+        F.coalesce("component", "rep").alias("class")), "near_copies")
+    classes = copies.groupBy("class").agg(F.min(F.struct("unnamed", "copy_id", "text_key")).alias("f")).select(
+        "class", F.col("f.copy_id").alias("class_id"), F.col("f.text_key").alias("class_key"))
+    return signed.select("doc_id", "text_key", "copy_a", "copy_b"), copies, classes
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
+                    size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text",
+                    tile: int = TILE, partners: int = PARTNERS) -> DataFrame:
+    """doc_id and class_id (the smallest document of its group) of every row, and
+    copy_id, the smallest document with the same words."""
+    signed, copies, classes = _classes(docs, threshold, bands, rows, size, id_col, text_col, tile, partners)
+    named = copies.join(classes, "class").select("copy_a", "copy_b", "copy_id", "class_id", F.lit(True).alias("grouped"))
+    return signed.join(named, ["copy_a", "copy_b"], "left").select(
+        "doc_id", F.when(F.col("grouped"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(F.col("grouped"), F.col("copy_id")).otherwise(F.col("doc_id")).alias("copy_id"))
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+                      bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE, tile: int = TILE,
+                      partners: int = PARTNERS) -> DataFrame:
+    """``docs`` (same columns) with one row of each group: that of the smallest
+    document (rows without an id come last).  Rows without words all stay; of rows
+    equal in id and text one stays, the smallest by its other columns."""
+    signed, copies, classes = _classes(docs, threshold, bands, rows, size, id_col, text_col, tile, partners)
+    winner = classes.select(F.col("class_id").alias("_id"), F.col("class_key").alias("_key"))
+    bare = signed.filter(F.col("copy_a").isNull()).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    mark, place = free_name(docs, "row_of"), free_name(docs, "text_of")
+    keyed = docs.withColumn(mark, F.col(id_col).cast("long")).withColumn(place, F.xxhash64(text_col))
+
+    def chosen(which):
+        # One number for both columns: the rows are shuffled once, by it.
+        return F.xxhash64(F.coalesce(which[0], F.lit(0)), which[0].isNull(), which[1])
+
+    spot = free_name(docs, "spot")
+    rows_ = keyed.withColumn(spot, chosen((F.col(mark), F.col(place))))
+    kept = winner.select(chosen((F.col("_id"), F.col("_key"))).alias(spot), "_id", "_key").hint("merge")
+    same = (rows_[mark].eqNullSafe(kept["_id"])) & (rows_[place] == kept["_key"])
+    hit = rows_.join(kept, spot).filter(same)
+    one = hit.groupBy(spot, "_id", "_key").agg(F.min(F.struct(*[F.col(c) for c in docs.columns])).alias(mark)).select(f"{mark}.*")
+    without = bare.select("_key").distinct()
+    stays = keyed.join(without, keyed[place] == without["_key"], "left_semi").select(*docs.columns)
+    return one.unionByName(stays)
