@@ -105,6 +105,9 @@ def append_columns(df: DataFrame, text_col: str, fields: str, start, keep=None)
     kept = [i for i, c in enumerate(df.columns) if keep is None or c in keep]
     schema = StructType([*[df.schema.fields[i] for i in kept], *StructType.fromDDL(fields).fields])
     names = schema.fieldNames()
+    clash = {c for c in names if [x.lower() for x in names].count(c.lower()) > 1}
+    if clash:
+        raise ValueError(f"columns {sorted(clash)} exist already: name the new ones otherwise or keep fewer")
     at = df.columns.index(text_col)
 
     def run(batches):

@@ -1,38 +1,40 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Examples are distinct texts: labelled documents with one word sequence count once,
-in the choice of terms, in the label totals and in the votes, with the label of
-most of them.  Terms are all lower-case alphanumeric words of the examples that are
-tied to the label: the odds of the label differ by a factor of four with and
-without the word, and Fisher's exact test holds at a false discovery rate of 5%
-over all words of the examples.  The odds do not depend on the share of toxic
-examples or on their number, nor does the share of words kept by chance; more
-examples show rarer words.  Words without such a tie are no dimensions of the
-cosine.  A term weighs (1 + ln tf) times an inverse document frequency counted
-over all documents.  Examples with one vector form one entry with its votes.  Entries stand in an inverted
-index in blocks of 64, with the largest weight of each term per block: a query's
-bound for every block is a product with these maxima; blocks are scored in
+with the label of most of them.  Every lower-case alphanumeric word of the
+examples is a dimension.  A term weighs (1 + ln tf) * idf * rf: the inverse document
+frequency is counted over all documents, and rf = log2(2 + a / max(1, c)) is the
+relevance frequency of supervised term weighting (a toxic and c clean examples
+hold the word).  Without it neighbours share topics, not tone; with it no word
+is dropped.
+
+Entries stand in blocks of an inverted index that keeps frequent terms' largest
+weight in every block.  A query's bound for a block is what its best entry has of
+the rare terms plus the frequent terms' maxima; blocks are scored exactly in
 bound order until the k-th best similarity exceeds every bound left, so the
-neighbours are exact.  The score is the toxic share among the k nearest
-entries' examples, weighted by squared similarity and drawn to the overall rate
-where neighbours are few or far, so it reads as a probability.  The neighbours
-are returned as evidence.
+neighbours are exact.  The raw score is
+the toxic share of the k nearest examples, weighted by squared similarity and drawn
+to the overall rate where neighbours are few or far.  It is calibrated on the
+examples themselves, each judged by the others: the cut with the best F1 becomes
+one half, linear below and above it.  The neighbours are returned as evidence.
 
 Examples: at most ``max_examples`` distinct labelled texts (a documented parameter),
-chosen by their hash; document frequencies cover all documents and every document
-is scored whole, in one pass without a shuffle.
+chosen by their hash, which bounds the index.  Document frequencies cover all
+documents, a group of copies counting about once (tables of 2^18 cells of text
+hashes and 2^20 of word hashes, 9 MB whatever the input), and every document is
+scored whole, in one pass without a shuffle.  What is sent to workers are plain
+arrays, so they need no copy of this package.
 
 Defined cases: a null text is empty; a text without known terms (an empty one
-too) gets the rate of examples without known terms and no evidence; without
-usable labels every score is the prior 0.0; repeated rows are scored alike; other columns
-pass through.
+too) gets the rate of examples without any word, calibrated alike, and no evidence;
+without usable labels every score is 0.0; repeated rows are scored alike; other
+columns pass through, and clashing output names need another ``score_col`` or
+``evidence_col`` (an error says so).
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -40,252 +42,273 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import append_columns, bytes_of, labelled, materialize, ragged, text_slices, texts_of
+from tickloom.llm.common import append_columns, bytes_of, labelled, materialize, ragged, spare, text_slices, texts_of
+from tickloom.llm.weighted_minhash import DF_BITS, DF_PARTS, copy_hashes
 from tickloom.llm.wordhash import U64, not_alphanumeric, span_hashes, word_spans
 
-MAX_EXAMPLES = 20_000
-FALSE_SHARE = 0.05    # of the terms, expected to be tied to the label by chance
-MIN_ODDS = 4.0
+MAX_EXAMPLES = 4096
 NEIGHBOURS = 15
-BLOCK = 64
+BLOCK = 8
+COPY_BITS = 18
+FREQUENT = 32        # terms at most whose lists are matrix columns
 PRIOR_WEIGHT = 0.25
+REMEMBERED = 20_000  # texts whose judgement a task keeps, for copies
 
-WORD = re.compile("[0-9a-z\x80-\U0010ffff]+")
-NO_WORD = r"[^0-9a-z\x{80}-\x{10ffff}]+"
 EVIDENCE = "array<struct<doc_id: bigint, similarity: double, toxic_share: double>>"
 
 
-class TermReader:
-    """Known terms of texts, found by word hash."""
-
-    def __init__(self, terms: list[str]):
-        raw = "".join(terms).encode()
-        size = np.array([len(t.encode()) for t in terms], np.int64)
-        ends = np.cumsum(size)
-        hashes = span_hashes(np.frombuffer(raw, np.uint8), ends - size, ends)
-        self.order = np.argsort(hashes)
-        self.hashes = hashes[self.order]
-        self.maybe = np.zeros(1 << 16, bool)
-        self.maybe[(hashes & U64(0xFFFF)).astype(np.int64)] = True
-
-    def counts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, term, occurrences), sorted by text and term."""
-        raw, off = bytes_of(pc.utf8_lower(texts))
-        starts, ends, first = word_spans(raw, off, not_alphanumeric())
-        h = span_hashes(raw, starts, ends)
-        hit = np.flatnonzero(self.maybe[(h & U64(0xFFFF)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.hashes, h[hit]), max(len(self.hashes) - 1, 0))
-        same = self.hashes[at] == h[hit] if len(self.hashes) else np.zeros(0, bool)
-        hit, at = hit[same], at[same]
-        text = np.searchsorted(first, hit, side="right") - 1
-        key, n = np.unique(text * max(len(self.order), 1) + self.order[at], return_counts=True)
-        return key // max(len(self.order), 1), key % max(len(self.order), 1), n
-
-
-def unit_rows(row: np.ndarray, term: np.ndarray, n: np.ndarray, idf: np.ndarray, n_rows: int) -> np.ndarray:
-    """TF-IDF weights scaled so that every row has length one."""
-    w = (1 + np.log(n)) * idf[term]
-    length = np.sqrt(np.bincount(row, w * w, n_rows))
-    return w / length[row]
-
-
-@dataclass
-class Neighbourhood:
-    """The block-max inverted index and the votes of its entries."""
-
-    terms: list[str]
-    idf: np.ndarray
-    indptr: np.ndarray      # entries as rows of (term, weight)
-    entry_term: np.ndarray
-    entry_weight: np.ndarray
-    votes: np.ndarray       # toxic examples of each entry
-    size: np.ndarray        # examples of each entry
-    named: np.ndarray       # smallest document of each entry
-    none_rate: float        # toxic share of examples without known terms
-    prior: float
-
-    def build(self) -> None:
-        entries, terms = len(self.size), len(self.terms)
-        self.n_blocks = -(-entries // BLOCK) if entries else 0
-        entry = np.repeat(np.arange(entries), np.diff(self.indptr))
-        order = np.lexsort((entry, self.entry_term))
-        self.post_entry, self.post_weight = entry[order], self.entry_weight[order]
-        cell = self.entry_term[order] * self.n_blocks + self.post_entry // BLOCK
-        self.cut = np.searchsorted(cell, np.arange(terms * self.n_blocks + 1))
-        self.block_max = np.zeros(terms * self.n_blocks)
-        np.maximum.at(self.block_max, cell, self.post_weight)
-        self.block_max = self.block_max.reshape(terms, self.n_blocks)
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int):
-        """Exact k nearest entries: (entries, similarities), nearest first, ties to
-        the smaller entry."""
-        bound = weight @ self.block_max[term] if self.n_blocks else np.zeros(0)
+def word_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, word hash, occurrences) of all texts, sorted by text and hash."""
+    raw, off = bytes_of(pc.utf8_lower(texts))
+    starts, ends, first = word_spans(raw, off, not_alphanumeric())
+    h = span_hashes(raw, starts, ends)
+    text = np.repeat(np.arange(len(texts)), np.diff(first))
+    order = np.lexsort((h, text))
+    text, h = text[order], h[order]
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])]) if len(h) else np.zeros(0, bool)
+    head = np.flatnonzero(new)
+    return text[head], h[head], np.diff(head, append=len(h))
+
+
+def term_weights(n_docs: float, df: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
+    """idf * rf of every term from its document frequency over all documents and
+    the toxic and clean examples that hold it."""
+    return (np.log((1 + n_docs) / (1 + df)) + 1e-3) * np.log2(2 + toxic / np.maximum(1, clean))
+
+
+class Index:
+    """The block-max inverted index; every argument is a plain array.
+
+    ``hashes`` (sorted) and ``weights`` name the terms; entry i holds the terms
+    ``entry_term[indptr[i]: indptr[i + 1]]`` with unit-length weights.  Lists of
+    frequent terms, which hold most entries, are stored as columns of one matrix
+    with a maximum per block; all other lists as postings."""
+
+    def __init__(self, hashes, weights, indptr, entry_term, entry_weight):
+        self.hashes, self.weights = hashes, weights
+        n = len(indptr) - 1
+        self.n_entries, self.n_blocks = n, -(-n // BLOCK)
+        entry = np.repeat(np.arange(n), np.diff(indptr))
+        df = np.bincount(entry_term, minlength=len(hashes))
+        frequent = np.argsort(-df, kind="stable")[:FREQUENT]
+        frequent = frequent[df[frequent] > max(BLOCK, n // 32)]
+        self.column = np.full(len(hashes), -1, np.int64)
+        self.column[frequent] = np.arange(len(frequent))
+        wide = self.column[entry_term] >= 0
+        self.dense = np.zeros((self.n_blocks * BLOCK, len(frequent)))
+        self.dense[entry[wide], self.column[entry_term[wide]]] = entry_weight[wide]
+        self.dense = self.dense.reshape(self.n_blocks, BLOCK, len(frequent))
+        self.most = np.ascontiguousarray(self.dense.max(1).T)  # one row a term: its maximum in every block
+        order = np.flatnonzero(~wide)[np.argsort(entry_term[~wide], kind="stable")]
+        self.post_entry, self.post_weight = entry[order], entry_weight[order]
+        self.lists = np.searchsorted(entry_term[order], np.arange(len(hashes) + 1))
+
+    def terms(self, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Known terms among word hashes, and their unit-length weights."""
+        at = np.minimum(np.searchsorted(self.hashes, h), max(len(self.hashes) - 1, 0))
+        known = self.hashes[at] == h if len(self.hashes) else np.zeros(len(h), bool)
+        w = (1 + np.log(n[known])) * self.weights[at[known]]
+        return at[known], w / max(np.sqrt((w * w).sum()), 1e-300)
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, without: int = -1):
+        """Exact k nearest entries other than ``without``: (entries, similarities),
+        nearest first, ties to the smaller entry.  Postings give every entry's
+        share of the rare terms; with the frequent terms' block maxima that bounds
+        each block, and blocks are completed in bound order until no bound left
+        reaches the k-th similarity."""
+        size = self.lists[term + 1] - self.lists[term]
+        rows = ragged(self.lists[term], size)
+        rare = np.bincount(self.post_entry[rows], np.repeat(weight, size) * self.post_weight[rows], self.n_blocks * BLOCK)
+        rare = rare.reshape(self.n_blocks, BLOCK)
+        column = self.column[term]
+        wide = column >= 0
+        query = np.zeros(self.dense.shape[2])
+        query[column[wide]] = weight[wide]
+        bound = rare.max(1, initial=0.0) + weight[wide] @ self.most[column[wide]]
         todo = np.argsort(-bound, kind="stable")
         todo = todo[bound[todo] > 0]
         found_e, found_s = np.zeros(0, np.int64), np.zeros(0)
-        at, width = 0, 4
+        at, width = 0, 2 + 2 * k // BLOCK
         while at < len(todo):
-            if len(found_s) >= k and bound[todo[at]] < found_s[k - 1] - 1e-12:
-                break
+            if len(found_s) >= k:  # only blocks that can still hold a neighbour
+                todo = todo[: at + np.searchsorted(-bound[todo[at:]], -(found_s[k - 1] - 1e-12), side="right")]
+                if at >= len(todo):
+                    break
             blocks = todo[at: at + width]
+            s = (rare[blocks] + self.dense[blocks] @ query).ravel()
+            e = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
             at, width = at + width, 2 * width
-            cells = (term[:, None] * self.n_blocks + blocks[None, :]).ravel()
-            n = self.cut[cells + 1] - self.cut[cells]
-            post = ragged(self.cut[cells], n)
-            e, place = np.unique(self.post_entry[post], return_inverse=True)
-            s = np.bincount(place, np.repeat(np.repeat(weight, len(blocks)), n) * self.post_weight[post])
-            found_e, found_s = np.concatenate([found_e, e]), np.concatenate([found_s, s])
+            use = (s > 0) & (e != without)
+            if len(found_s) >= k:
+                use &= s >= found_s[k - 1]
+            found_e, found_s = np.concatenate([found_e, e[use]]), np.concatenate([found_s, s[use]])
             best = np.lexsort((found_e, -found_s))[:k]
             found_e, found_s = found_e[best], found_s[best]
         return found_e, found_s
 
-    def vote(self, entries: np.ndarray, similarity: np.ndarray) -> float:
-        """Toxic share of the neighbours' examples, weighted by squared
-        similarity and drawn to the examples' toxic rate by a small weight."""
-        near = similarity * similarity
-        return float(((near * self.votes[entries]).sum() + PRIOR_WEIGHT * self.prior)
-                     / ((near * self.size[entries]).sum() + PRIOR_WEIGHT))
-
-
-def chance(toxic: np.ndarray, examples: np.ndarray, pos: int, neg: int) -> np.ndarray:
-    """Fisher's exact test (twice the smaller tail): how likely a word of so many
-    examples is in so many toxic ones, or more extremely so, by chance."""
-    fact = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, pos + neg + 1)))])
-    out = np.ones(len(toxic))
-    for i, (a, m) in enumerate(zip(toxic.tolist(), examples.tolist())):
-        more = a * (pos + neg) > m * pos
-        x = np.arange(a, min(m, pos) + 1) if more else np.arange(max(0, m - neg), a + 1)
-        log_p = (fact[pos] - fact[x] - fact[pos - x] + fact[neg] - fact[m - x] - fact[neg - m + x]
-                 - fact[pos + neg] + fact[m] + fact[pos + neg - m])
-        out[i] = min(1.0, 2 * np.exp(log_p).sum())
-    return out
 
+def vote(similarity: np.ndarray, label: np.ndarray, prior: float) -> float:
+    """Toxic share of the neighbours, weighted by squared similarity and drawn to
+    the examples' toxic rate by a small weight."""
+    near = similarity * similarity
+    return float(((near * label).sum() + PRIOR_WEIGHT * near.mean() * prior) / (near.sum() + PRIOR_WEIGHT * near.mean()))
 
-def tied(toxic: np.ndarray, clean: np.ndarray, words: np.ndarray, pos: int, neg: int) -> np.ndarray:
-    """Which counts (toxic and clean examples with a word; ``words`` of them have
-    these counts) tie a word to the label (Benjamini and Hochberg)."""
-    p = chance(toxic, toxic + clean, pos, neg)
-    order = np.argsort(p, kind="stable")
-    good = p[order] <= FALSE_SHARE * np.cumsum(words[order]) / words.sum()
-    sure = p <= (p[order][good].max() if good.any() else -1.0)
-    with_it, without = toxic * (neg - clean).astype(float), clean * (pos - toxic).astype(float)
-    return sure & ((with_it >= MIN_ODDS * without) | (without >= MIN_ODDS * with_it))
 
+def best_cut(raw: np.ndarray, label: np.ndarray) -> float:
+    """The raw score from which on calling texts toxic has the best F1, halfway to
+    the next lower score."""
+    order = np.argsort(-raw, kind="stable")
+    raw, label = raw[order], label[order]
+    f1 = 2 * np.cumsum(label) / (np.arange(1, len(raw) + 1) + max(label.sum(), 1))
+    last = np.append(raw[1:] < raw[:-1], True)  # equal scores go together
+    at = int(np.argmax(np.where(last, f1, -1)))
+    below = raw[at + 1] if at + 1 < len(raw) else 0.0
+    return float(np.clip((raw[at] + below) / 2, 1e-6, 1 - 1e-6))
 
-def tied_terms(sample: DataFrame) -> list[str]:
-    """The terms tied to the label among the examples."""
 
-    def count(batches):
-        seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                labels = part.column("label").to_pylist()
-                for y, text in zip(labels, pc.utf8_lower(texts_of(part, "text")).to_pylist()):
-                    seen[y].update(set(WORD.findall(text)))
-        both = list(seen[0] | seen[1])
-        if both:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(both, pa.string()), pa.array([seen[1][t] for t in both], pa.int64()),
-                 pa.array([seen[0][t] for t in both], pa.int64())], names=["term", "toxic", "clean"])
-
-    n = sample.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("*")).first()
-    pos, neg = int(n[0]), int(n[1] - n[0])
-    if not pos or not neg:
-        return []
-    terms = sample.select("text", "label").mapInArrow(count, "term string, toxic long, clean long").groupBy("term").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    terms = materialize(terms, "toxic_terms")
-    counts = terms.groupBy("toxic", "clean").agg(F.count("*").alias("words")).collect()  # far fewer than words
-    if not counts:
-        return []
-    toxic, clean, words = (np.array([r[c] for r in counts], np.int64) for c in ("toxic", "clean", "words"))
-    keep = tied(toxic, clean, words, pos, neg)
-    passed = sample.sparkSession.createDataFrame(
-        list(zip(toxic[keep].tolist(), clean[keep].tolist())), "toxic long, clean long")
-    return sorted(r.term for r in terms.join(F.broadcast(passed), ["toxic", "clean"]).select("term").collect())
-
-
-def distinct_examples(named: DataFrame, labels: DataFrame, wanted: Column, max_examples: int) -> DataFrame:
-    """doc_id, text and label of distinct labelled texts: the smallest document of
-    each word sequence, the label of most of its documents."""
-    said = F.lower(F.coalesce("text", F.lit("")))
-    key = F.sha2(F.trim(F.regexp_replace(said, F.lit(NO_WORD), F.lit(" "))), 256).alias("key")
-    keyed = named.select("doc_id", key).join(labelled(labels, "toxic", wanted), "doc_id")  # ids and hashes only
-    chosen = keyed.groupBy("key").agg(F.min("doc_id").alias("doc_id"), (F.avg("label") >= 0.5).cast("int").alias("label"))
-    chosen = materialize(chosen.orderBy("key").limit(max_examples), "toxic_chosen")
-    again = named.join(F.broadcast(chosen.withColumnRenamed("key", "wanted")), "doc_id")  # max_examples rows of 76 bytes
-    return again.withColumn("key", key).filter(F.col("key") == F.col("wanted")).groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.min("text").alias("text"), F.min("label").alias("label")).drop("key")
+def calibrated(raw: float, cut: float) -> float:
+    return 0.5 * raw / cut if raw < cut else 0.5 + 0.5 * (raw - cut) / (1 - cut)
+
+
+def keys(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` with the 128-bit hash of every text's word sequence."""
+    return append_columns(rows, "text", "key_a long, key_b long", lambda: copy_hashes, keep)
+
+
+def copy_weights(keyed: DataFrame) -> np.ndarray:
+    """1 / number of documents whose word sequence falls into each of 2^18 cells:
+    what a document counts for, so that a group of copies counts about once
+    however large it is.  Texts that share a cell by chance count for less, all
+    alike, which leaves shares of documents as they are."""
+    cell = F.shiftrightunsigned("key_a", 64 - COPY_BITS).alias("cell")
+    rows = keyed.groupBy(cell).agg(F.count("*").alias("n")).toArrow()  # 2^18 rows at most
+    out = np.ones(1 << COPY_BITS, np.float32)
+    out[rows.column("cell").to_numpy()] = 1 / rows.column("n").to_numpy()
+    return out
 
 
-def document_frequencies(docs: DataFrame, reader: TermReader, n_terms: int) -> tuple[int, np.ndarray]:
-    """Number of documents, and of those with each term, over all documents;
-    each task sends one count per term."""
+def word_frequencies(named: DataFrame, weights: np.ndarray) -> tuple[float, np.ndarray]:
+    """Weight of all documents, and of those with a word of each of 2^20 hash cells,
+    over all documents; each task sends its sums in compressed parts."""
+    size = (1 << DF_BITS) // DF_PARTS
+    shipped = named.sparkSession.sparkContext.broadcast(weights)  # 1 MB whatever the input
 
     def count(batches):
-        n, df = 0, np.zeros(n_terms, np.int64)
+        n, df = 0.0, np.zeros(1 << DF_BITS)
         for batch in batches:
-            n += batch.num_rows
             for part in text_slices(batch, "text"):
-                df += np.bincount(reader.counts(texts_of(part, "text"))[1], minlength=n_terms)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n_terms + 1)), pa.array(np.append(df, n))],
-                                         names=["term", "n"])
-
-    rows = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(n_terms + 1, np.int64)
+                texts = texts_of(part, "text")
+                own = shipped.value[(copy_hashes(texts)[0].to_numpy().view(U64) >> U64(64 - COPY_BITS)).astype(np.int64)]
+                row, h, _ = word_counts(texts)
+                cell = np.unique((row << DF_BITS) | (h >> U64(64 - DF_BITS)).astype(np.int64))
+                df += np.bincount(cell & ((1 << DF_BITS) - 1), own[cell >> DF_BITS], len(df))
+                n += float(own.sum())
+        if n:
+            rows = [pa.compress(x.astype("<f8").tobytes(), "zstd", asbytes=True) for x in df.reshape(DF_PARTS, -1)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(-1, DF_PARTS)), pa.array([n] + [0.0] * DF_PARTS), pa.array([b"", *rows], pa.binary())],
+                names=["part", "n", "sums"])
+        spare()
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(size)
+        for x in table.column("sums"):
+            if len(x.as_buffer()):
+                total += np.frombuffer(pa.decompress(x.as_buffer(), 8 * size, "zstd", asbytes=True), "<f8")
+        return pa.table({"part": table.column("part")[:1], "n": pa.array([pc.sum(table.column("n")).as_py()]),
+                         "sums": pa.array([total.tobytes()], pa.binary())})
+
+    kind = "part long, n double, sums binary"
+    rows = named.select("text").mapInArrow(count, kind).groupBy("part").applyInArrow(add, kind).collect()
+    df, n = np.zeros(1 << DF_BITS), 0.0
     for r in rows:
-        out[r.term] = r.n
-    return int(out[-1]), out[:-1]
+        if r.part < 0:
+            n = r.n
+        else:
+            df[r.part * size: (r.part + 1) * size] = np.frombuffer(r.sums, "<f8")
+    shipped.destroy()
+    return n, df
+
+
+def distinct_examples(named: DataFrame, all_keys: DataFrame, labels: DataFrame, wanted: Column,
+                      max_examples: int) -> DataFrame:
+    """doc_id, text and label of distinct labelled texts: the smallest document of
+    each word sequence, the label of most of its documents."""
+    known = labelled(labels, "toxic", wanted)
+    keyed = all_keys.join(known, "doc_id")  # ids and hashes only
+    chosen = keyed.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("doc_id"),
+                                                 (F.avg("label") >= 0.5).cast("int").alias("label"))
+    chosen = materialize(chosen.orderBy("key_a", "key_b").limit(max_examples), "toxic_chosen")
+    picked = chosen.select("doc_id", "label", F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+    again = named.join(F.broadcast(picked), "doc_id")  # max_examples rows of 28 bytes
+    same = keys(again, again.columns).filter((F.col("key_a") == F.col("a")) & (F.col("key_b") == F.col("b")))
+    return same.groupBy("a", "b").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"),
+                                      F.min("label").alias("label")).select("doc_id", "text", "label")
 
 
 def learn(docs: DataFrame, labels: DataFrame, wanted: Column, max_examples: int = MAX_EXAMPLES,
-          id_col: str = "doc_id", text_col: str = "text") -> Neighbourhood:
+          id_col: str = "doc_id", text_col: str = "text", k: int = NEIGHBOURS) -> dict:
     """The neighbourhood of the labelled documents for which ``wanted`` (over
-    doc_id) holds."""
+    doc_id) holds: plain arrays, bounded by ``max_examples``."""
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sample = materialize(distinct_examples(named, labels, wanted, max_examples), "toxic_examples")
-    terms = tied_terms(sample)
-    reader = TermReader(terms)
-    n_docs, df = document_frequencies(named, reader, len(terms))
-    idf = np.log((1 + n_docs) / (1 + df)) + 1e-3
+    all_keys = materialize(keys(named, ["doc_id"]), "toxic_keys")
+    sample = materialize(distinct_examples(named, all_keys, labels, wanted, max_examples), "toxic_examples")
 
     def vectors():
         def compute(texts):
-            row, term, n = reader.counts(texts)
+            row, h, n = word_counts(texts)
             off = np.searchsorted(row, np.arange(len(texts) + 1)).astype(np.int32)
-            pair = [pa.ListArray.from_arrays(off, pa.array(v, pa.int32())) for v in (term, n)]
-            return pair
+            return [pa.ListArray.from_arrays(off, pa.array(v)) for v in (h.view(np.int64), n.astype(np.int32))]
         return compute
 
-    rows = append_columns(sample, "text", "terms array<int>, counts array<int>", vectors, ["doc_id", "label"])
-    got = rows.collect()
-    entries: dict[tuple, list] = {}
-    none = [0, 0]
-    for r in got:
-        if not r.terms:
-            none[0] += r.label
-            none[1] += 1
-            continue
-        e = entries.setdefault((tuple(r.terms), tuple(r.counts)), [0, 0, r.doc_id])
-        e[0] += r.label
-        e[1] += 1
-        e[2] = min(e[2], r.doc_id)
-    keys = sorted(entries)  # entries with the same leading terms share blocks
-    row = np.repeat(np.arange(len(keys)), [len(t) for t, _ in keys]).astype(np.int64)
-    term = np.array([t for ts, _ in keys for t in ts], np.int64)
-    count = np.array([c for _, cs in keys for c in cs], np.int64)
-    toxic = sum(r.label for r in got)
-    model = Neighbourhood(
-        terms, idf, np.searchsorted(row, np.arange(len(keys) + 1)), term,
-        unit_rows(row, term, count, idf, len(keys)) if len(keys) else np.zeros(0),
-        np.array([entries[k][0] for k in keys], float), np.array([entries[k][1] for k in keys], float),
-        np.array([entries[k][2] for k in keys], np.int64), none[0] / (none[1] + 1) if got else 0.0,
-        toxic / len(got) if got else 0.0)
-    model.build()
+    got = append_columns(sample, "text", "hashes array<long>, counts array<int>", vectors, ["doc_id", "label"]).toArrow()
+    ids = got.column("doc_id").to_numpy().astype(np.int64)
+    label = got.column("label").to_numpy().astype(np.float64)
+    if not len(ids):
+        return {"empty": True}
+    lists = [got.column(c).combine_chunks() for c in ("hashes", "counts")]
+    size = pc.list_value_length(lists[0]).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = [x.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for x in lists]
+    n_docs, cells = word_frequencies(named, copy_weights(all_keys))
+    hashes, term = np.unique(flat[0].view(U64), return_inverse=True)
+    owner = np.repeat(np.arange(len(ids)), size)
+    toxic = np.bincount(term, label[owner], len(hashes))
+    clean = np.bincount(term, minlength=len(hashes)) - toxic
+    weights = term_weights(n_docs, cells[(hashes >> U64(64 - DF_BITS)).astype(np.int64)], toxic, clean)
+    w = (1 + np.log(flat[1])) * weights[term]
+    length = np.sqrt(np.bincount(owner, w * w, len(ids)))
+    # Entries with the same strongest word share blocks, which keeps bounds tight.
+    strongest = np.full(len(ids), -1, np.int64)
+    order = np.lexsort((w, owner))
+    last = np.flatnonzero(np.diff(owner[order], append=-1))
+    strongest[owner[order[last]]] = term[order[last]]
+    entries = np.lexsort((ids, strongest, label))
+    entries = entries[size[entries] > 0]
+    begin = np.cumsum(size) - size
+    rows = ragged(begin[entries], size[entries])
+    indptr = np.concatenate([[0], np.cumsum(size[entries])])
+    prior = float(label.mean())
+    empty = size == 0
+    model = {"hashes": hashes, "weights": weights, "indptr": indptr, "entry_term": term[rows],
+             "entry_weight": w[rows] / length[owner[rows]], "label": label[entries], "ids": ids[entries], "prior": prior,
+             "none": float((label[empty].sum() + prior) / (empty.sum() + 1)), "cut": 0.5, "empty": False}
+    index = index_of(model)
+    raw = np.full(len(entries), model["none"])
+    for i in range(len(entries)):  # every example judged by the others
+        part = slice(indptr[i], indptr[i + 1])
+        near, sim = index.nearest(model["entry_term"][part], model["entry_weight"][part], k, i)
+        if len(near):
+            raw[i] = vote(sim, model["label"][near], prior)
+    if len(entries):
+        model["cut"] = best_cut(raw, model["label"])
     return model
 
 
-def with_toxicity(docs: DataFrame, model: Neighbourhood, text_col: str = "text", score_col: str = "score",
+def index_of(model: dict) -> Index:
+    return Index(*(model[c] for c in ("hashes", "weights", "indptr", "entry_term", "entry_weight")))
+
+
+def with_toxicity(docs: DataFrame, model: dict, text_col: str = "text", score_col: str = "score",
                   evidence_col: str = "evidence", k: int = NEIGHBOURS, shown: int = 3, keep=None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with a score from 0 to 1 and the nearest
     labelled examples."""
@@ -293,27 +316,29 @@ def with_toxicity(docs: DataFrame, model: Neighbourhood, text_col: str = "text",
 
     def start():
         model = shipped.value
-        reader, known = TermReader(model.terms), {}
-
-        def judge(term, n):
-            key = (term.tobytes(), n.tobytes())
-            if key not in known:
-                if len(known) > 50_000:
-                    known.clear()
-                w = unit_rows(np.zeros(len(term), np.int64), term, n, model.idf, 1)
-                near, sim = model.nearest(term, w, k)
-                told = [{"doc_id": int(model.named[e]), "similarity": float(s),
-                         "toxic_share": float(model.votes[e] / model.size[e])}
-                        for e, s in zip(near[:shown], sim[:shown])]
-                known[key] = (model.vote(near, sim) if len(near) else model.none_rate, told)
-            return known[key]
+        index, known = None if model["empty"] else index_of(model), {}
+        base = 0.0 if model["empty"] else calibrated(model["none"], model["cut"])
+
+        def judge(h, n):
+            key = blake2b(h.tobytes() + n.tobytes(), digest_size=16).digest()
+            if key in known:
+                return known[key]
+            near, sim = index.nearest(*index.terms(h, n), k)
+            told = [{"doc_id": int(model["ids"][e]), "similarity": float(s), "toxic_share": float(model["label"][e])}
+                    for e, s in zip(near[:shown], sim[:shown])]
+            out = (calibrated(vote(sim, model["label"][near], model["prior"]), model["cut"]) if len(near) else base, told)
+            if len(known) >= REMEMBERED:
+                known.clear()
+            known[key] = out
+            return out
 
         def compute(texts):
-            row, term, n = reader.counts(texts)
-            score, told = np.full(len(texts), model.none_rate), [[] for _ in range(len(texts))]
-            cut = np.flatnonzero(np.diff(row, prepend=-1))
-            for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(row)]):
-                score[row[a]], told[row[a]] = judge(term[a:b], n[a:b])
+            score, told = np.full(len(texts), base), [[] for _ in range(len(texts))]
+            if index is not None:
+                row, h, n = word_counts(texts)
+                cut = np.flatnonzero(np.diff(row, prepend=-1))
+                for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(row)]):
+                    score[row[a]], told[row[a]] = judge(h[a:b], n[a:b])
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()),
                                        ("toxic_share", pa.float64())]))
             return [pa.array(score), pa.array(told, kind)]
