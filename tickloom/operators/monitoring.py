@@ -43,6 +43,16 @@ PORTFOLIO_RULES = (
     ("FrequentRebalancing", "rebalances_per_hour", ">", 10.0, 300, "warning"),
 )
 
+# Rules on targets that report nothing, or zero
+# (alert, for_seconds, severity).
+UP_RULES = (
+    ("APIDown", 60, "critical"),
+    ("SystemDown", 60, "critical"),
+    ("MLflowDown", 120, "warning"),
+)
+# Bands of the mean confidence.
+CONFIDENCE_BANDS = ((0.8, "green"), (0.6, "yellow"))
+
 RULE_SCHEMA = "alert string, metric string, op string, threshold double, for_seconds long, severity string"
 
 
@@ -59,6 +69,25 @@ def counters(log: DataFrame, labels=("endpoint", "status")) -> DataFrame:
         F.sum("duration").alias("duration_sum"))
 
 
+def system_counters(log: DataFrame, model: str = "model", kind: str = "prediction_type",
+                    portfolio: str = "portfolio_id", trigger: str = "trigger") -> DataFrame:
+    """Predictions per (model, type), rebalancings per (portfolio, trigger) and
+    transaction costs per portfolio, in one pass over the log: (metric, label,
+    detail, total).  ``log`` has the four label columns, ``rebalanced`` and ``cost``."""
+    one = F.lit(1.0)
+    sets = log.groupingSets([[F.col(model), F.col(kind)], [F.col(portfolio), F.col(trigger)], [F.col(portfolio)]],
+                            model, kind, portfolio, trigger)
+    g = sets.agg(F.grouping_id().alias("_set"), F.sum(one).alias("n"), F.sum("rebalanced").cast("double").alias("rebalanced"),
+                 F.sum("cost").alias("cost"))
+    # grouping_id sets a bit for every label that is summed over.
+    metric = F.when(F.col("_set") == 3, "predictions").when(F.col("_set") == 12, "rebalancing_events").otherwise("transaction_costs")
+    total = F.when(F.col("_set") == 3, F.col("n")).when(F.col("_set") == 12, F.col("rebalanced")).otherwise(F.col("cost"))
+    first = F.when(F.col("_set") == 3, F.col(model)).otherwise(F.col(portfolio))
+    second = F.when(F.col("_set") == 3, F.col(kind)).when(F.col("_set") == 12, F.col(trigger))
+    out = g.select(metric.alias("metric"), first.alias("label"), second.alias("detail"), total.alias("total"))
+    return out.filter((F.col("metric") != "rebalancing_events") | (F.col("total") > 0))
+
+
 # ---------------------------------------------------------------- J2 / J6 histograms
 def _le_label(b: float) -> str:
     return repr(float(b))
@@ -192,7 +221,48 @@ def model_health(log: DataFrame, key: str = "endpoint") -> DataFrame:
         .withColumn("health", F.when(F.col("last_status") < 500, 1.0).otherwise(0.0))
 
 
+def health_states(log: DataFrame, key: str = "model", stale_seconds: int = 3600, window_seconds: int = 3600,
+                  degraded_share: float = 0.1) -> DataFrame:
+    """J4 with all four states, as of the log's newest event: unknown when a model
+    was silent for longer than ``stale_seconds``, unhealthy when its newest event
+    failed, degraded when at least ``degraded_share`` of its events in the last
+    ``window_seconds`` did, else healthy."""
+    now = F.unix_timestamp(F.lit(log.agg(F.max("ts")).first()[0]))
+    order = F.struct(F.col("ts"), F.col("event_id"))
+    age = now - F.unix_timestamp("ts")
+    recent = age < window_seconds
+    g = log.groupBy(key).agg(
+        F.max_by("status", order).alias("last_status"), F.max("ts").alias("last_ts"),
+        F.count_if(recent).alias("recent"), F.count_if(recent & (F.col("status") >= 500)).alias("recent_errors"))
+    share = td("recent_errors", "recent")
+    state = (F.when(now - F.unix_timestamp("last_ts") > stale_seconds, "unknown")
+             .when(F.col("last_status") >= 500, "unhealthy")
+             .when(share >= degraded_share, "degraded").otherwise("healthy"))
+    return g.select(key, "last_status", "last_ts", "recent", "recent_errors", state.alias("state"))
+
+
+def down_alerts(log: DataFrame, spark, key: str = "endpoint", max_gap_seconds: int = 60, rules=UP_RULES,
+                value: str | None = None) -> DataFrame:
+    """J9 on J10: every rule on every silence of a target; it fires once the
+    silence outlasts the rule's time."""
+    table = spark.createDataFrame(list(rules), "alert string, for_seconds long, severity string")
+    s = up_down(log, key, max_gap_seconds, value).withColumn("_k", F.lit(1))
+    j = s.join(table.withColumn("_k", F.lit(1)), "_k")  # a fixed handful of rules
+    return j.select("alert", key, F.col("down_from").alias("since"), F.col("down_until").alias("until"), "severity",
+                    F.col("gap_seconds").alias("held_seconds"),
+                    F.when(F.col("gap_seconds") >= F.col("for_seconds"), "firing").otherwise("pending").alias("state"))
+
+
 # ---------------------------------------------------------------- J8 / J11
+def confidence_gauge(log: DataFrame, key: str = "model", value: str = "confidence", bands=CONFIDENCE_BANDS) -> DataFrame:
+    """Mean confidence per model with its band, red below the lowest."""
+    g = log.groupBy(key).agg(F.avg(value).alias("avg_confidence"))
+    band = F.lit("red")
+    for low, name in sorted(bands):
+        band = F.when(F.col("avg_confidence") >= low, name).otherwise(band)
+    return g.withColumn("band", band)
+
+
 def average_gauge(log: DataFrame, key: str = "endpoint", value: str = "duration",
                   warn: float = 0.1, crit: float = 0.5) -> DataFrame:
     """Mean with dashboard bands (fixed values: 0.1 s yellow, 0.5 s red)."""
@@ -324,12 +394,15 @@ def portfolio_alerts(gauges_: DataFrame, calendar: DataFrame, spark, step_second
     return evaluate_alerts(samples, rules_frame(spark, PORTFOLIO_RULES), ("portfolio_id",), step_seconds)
 
 
-def up_down(log: DataFrame, key: str = "endpoint", max_gap_seconds: int = 120) -> DataFrame:
+def up_down(log: DataFrame, key: str = "endpoint", max_gap_seconds: int = 120, value: str | None = None) -> DataFrame:
     """Silences — consecutive events of a target further apart than
     ``max_gap_seconds`` (target considered down in between).  Two events of one
     bucket of that many seconds are never further apart, so first and last event
     per bucket tell all silences; the log is only aggregated, map-side first.
-    Events without a time take no part."""
+    Events without a time take no part, nor, with ``value``, samples of zero
+    (``up == 0``)."""
+    if value is not None:
+        log = log.filter(F.col(value) != 0)
     seconds = F.unix_timestamp("ts")
     buckets = log.filter(F.col("ts").isNotNull()).groupBy(
         key, F.floor(seconds / max_gap_seconds).alias("_b")).agg(

@@ -563,9 +563,10 @@ _RAW.update({
 })
 
 # ---------------------------------------------------------------- store, messages, alerts
-from tickloom.plans import features, operations  # noqa: E402
+from tickloom.plans import features, operations, states  # noqa: E402
 
 _RAW.update(operations.RAW)
 _RAW.update(features.RAW)
+_RAW.update(states.RAW)
 
 QUERIES = {k: _rounded(k, f) for k, f in _RAW.items()}

@@ -201,8 +201,10 @@ ORACLE = {
 
 def oracle_sql() -> dict[str, str]:
     from tickloom.plans import (oracle_clean, oracle_cross, oracle_features, oracle_market, oracle_monitoring,
-                                oracle_operations, oracle_ops, oracle_reports, oracle_scoring)
+                                oracle_operations, oracle_ops, oracle_reports, oracle_scoring,
+                                oracle_states)
     allq = {**ORACLE, **oracle_market.ORACLE, **oracle_clean.ORACLE, **oracle_cross.ORACLE,
             **oracle_monitoring.ORACLE, **oracle_ops.ORACLE, **oracle_scoring.ORACLE,
-            **oracle_reports.ORACLE, **oracle_operations.ORACLE, **oracle_features.ORACLE}
+            **oracle_reports.ORACLE, **oracle_operations.ORACLE, **oracle_features.ORACLE,
+            **oracle_states.ORACLE}
     return {k: f() for k, f in allq.items()}

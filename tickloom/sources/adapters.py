@@ -73,7 +73,8 @@ def system_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "ts", F.concat(F.lit("m"), (F.col("event_id") % 3).cast("string")).alias("model"),
         "status", "duration", (F.lit(100.0) / (F.lit(100.0) + F.col("value"))).alias("confidence"),
         (F.col("value") / 100.0).alias("memory_gb"), F.when(bought, F.col("value")).otherwise(0.0).alias("cost"),
-        F.when(bought, 1).otherwise(0).alias("rebalanced"))
+        F.when(bought, 1).otherwise(0).alias("rebalanced"), F.col("endpoint").alias("prediction_type"), "portfolio_id",
+        F.when(F.col("value") >= 50, "threshold").otherwise("schedule").alias("trigger"))
 
 
 # Order status letter -> registry stage.

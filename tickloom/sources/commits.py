@@ -39,6 +39,9 @@ class CommitLog:
         names = [s.getPath().getName() for s in files.listStatus(folder)]
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
+    def has(self, number: int) -> bool:
+        return self._files().exists(self._path(f"{number:012d}.json"))
+
     def read(self, number: int) -> dict:
         stream = self._files().open(self._path(f"{number:012d}.json"))
         try:

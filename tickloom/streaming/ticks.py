@@ -9,6 +9,7 @@ checkpoint location, so a restarted query resumes exactly once.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.sources.commits import CommitLog
+
 # Topic names of the message bus.
 TOPICS = ("real_time_stock_data", "stock_tickers", "model_evaluation_metrics",
           "stock_data_metadata", "processed_data_metadata")
@@ -204,8 +207,26 @@ def drain_latest(stream: DataFrame, keys, path: str, checkpoint: str) -> DataFra
 
 
 def write_batch(batch: DataFrame, epoch_id: int, path: str, prefix: str = "batch") -> None:
-    """Append one micro-batch under ``path/prefix_epoch=…``; empty
-    batches write nothing."""
-    if batch.isEmpty():
+    """One micro-batch under ``path/prefix_epoch=…``, exactly once.  A retried
+    epoch overwrites its own folder, and its commit is published last; an epoch
+    that is committed already is left alone.  Empty batches write no data."""
+    log = CommitLog(batch.sparkSession, f"{path.rstrip('/')}/_commits")
+    if log.has(epoch_id):
         return
-    batch.write.mode("append").parquet(f"{path.rstrip('/')}/{prefix}_epoch={epoch_id}")
+    folder = f"{prefix}_epoch={epoch_id}"
+    empty = batch.isEmpty()
+    if not empty:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{folder}")
+    log.publish(epoch_id, {"epoch": epoch_id, "folder": None if empty else folder, "schema": batch.schema.json()})
+
+
+def read_committed(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of committed epochs only; a folder whose epoch was never committed
+    is not seen.  A sink without commits raises."""
+    log = CommitLog(spark, f"{path.rstrip('/')}/_commits")
+    commits = [log.read(n) for n in log.numbers()]
+    if not commits:
+        raise FileNotFoundError(f"{path} has no committed epoch")
+    schema = T.StructType.fromJson(json.loads(commits[-1]["schema"]))
+    folders = [f"{path.rstrip('/')}/{c['folder']}" for c in commits if c["folder"]]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
