@@ -281,3 +281,21 @@ def test_parse_enrich_splits_malformed(spark):
     assert g.ticker == "A" and g.source_topic == "real_time_stock_data" and bad.count() == 1
     msgs = K.to_messages(good.select("ticker", "close"))
     assert msgs.first().key == "A" and '"close":2.0' in msgs.first().value
+
+
+def test_tickers_that_are_required(spark):
+    from tickloom.sources.files import normalize_tickers
+    df = spark.createDataFrame([(" aa ", 1), ("", 2), (None, 3)], "ticker string, n int")
+    assert [tuple(r) for r in normalize_tickers(df, required=True).collect()] == [("AA", 1)]
+    bad = df.filter("n > 1")
+    assert normalize_tickers(bad).count() == 0
+    with pytest.raises(Exception, match="no usable ticker"):
+        normalize_tickers(bad, required=True).collect()
+
+
+def test_equal_weights_over_the_universe(spark):
+    from tickloom.operators import scoring as I
+    cur = spark.createDataFrame([("p", "A", 0.7), ("p", "B", 0.3)], "portfolio_id string, ticker string, weight double")
+    every = spark.createDataFrame([("A",), ("B",), ("C",), ("D",)], "ticker string")
+    got = {r.ticker: (r.current_weight, r.new_weight) for r in I.score_portfolios(cur, policy="equal", universe=every).collect()}
+    assert got == {"A": (0.7, 0.25), "B": (0.3, 0.25), "C": (None, 0.25), "D": (None, 0.25)}

@@ -3,6 +3,7 @@ set operations and report rows."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tickloom.plans.catalog import daily_bars
@@ -20,6 +21,10 @@ def test_snapshots_latest_and_inventory(spark, tmp_path):
     latest = A.latest_snapshot(snaps)
     assert latest.count() == bars.count()
     assert spark.read.parquet(cat).count() == 2
+    newest = A.read_latest_snapshot(spark, path)
+    assert newest.count() == bars.count() and len(newest.inputFiles()) < len(snaps.inputFiles())
+    with pytest.raises(FileNotFoundError):
+        A.read_latest_snapshot(spark, str(tmp_path))
     merged = A.merge_snapshots(snaps.drop("n_ticks"))
     assert merged.count() == bars.count()
     assert A.date_range(bars, "1996-01-01", "1996-12-31").filter(F.year("date") != 1996).count() == 0

@@ -32,6 +32,15 @@ def window_stats(panel: DataFrame, n: int = 30, features=("open", "high", "low",
         F.max_by("x", order).alias("last"))
 
 
+def allocation_features(stats: DataFrame, current: DataFrame, key: str = "portfolio_id") -> DataFrame:
+    """E4 as a model sees it: a portfolio's assets with their window statistics, one
+    column per (feature, statistic), beside the current weight."""
+    features = ("open", "high", "low", "close", "volume")
+    wide = stats.groupBy("ticker").agg(*[
+        F.max(F.when(F.col("feature") == f, F.col(s))).alias(f"{f}_{s}") for f in features for s in ("mean", "std", "last")])
+    return current.select(key, "ticker", F.col("weight").alias("current_weight")).join(wide, "ticker", "left")
+
+
 def asset_volatility(rel: DataFrame, n: int = 30, key: str = "ticker") -> DataFrame:
     """Population std of the last ``n`` price relatives per asset."""
     w = Window.partitionBy(key).orderBy(F.col("step").desc())
@@ -49,8 +58,11 @@ def postprocess_weights(w: DataFrame, key: str = "portfolio_id", col: str = "raw
 
 
 def score_portfolios(current: DataFrame, vol: DataFrame | None = None, policy="inverse_vol",
-                     key: str = "portfolio_id", schema: str | None = None) -> DataFrame:
-    """New weights per (portfolio, ticker) for the held assets.
+                     key: str = "portfolio_id", schema: str | None = None,
+                     universe: DataFrame | None = None) -> DataFrame:
+    """New weights per (portfolio, ticker) for the held assets; with
+    ``universe(ticker)``, a bounded list of assets, ``equal`` spreads over all of
+    them, held or not.
 
     ``policy``: ``equal``, ``hold`` (keep current weights), ``inverse_vol``
     (∝ 1/σ over held assets; needs ``vol(ticker, vol)``; an asset whose σ is
@@ -61,6 +73,11 @@ def score_portfolios(current: DataFrame, vol: DataFrame | None = None, policy="i
         raw = current.groupBy(key).applyInPandas(
             policy, schema or f"{key} string, ticker string, raw double")
         raw = raw.join(current, [key, "ticker"], "left")
+    elif policy == "equal" and universe is not None:
+        assets = universe.agg(F.collect_set("ticker").alias("_all"))
+        every = current.select(key).distinct().withColumn("_k", F.lit(1)).join(assets.withColumn("_k", F.lit(1)), "_k")
+        raw = every.select(key, F.explode("_all").alias("ticker")).join(current, [key, "ticker"], "left") \
+            .withColumn("raw", F.lit(1.0))
     elif policy == "equal":
         raw = current.withColumn("raw", F.lit(1.0))
     elif policy == "hold":

@@ -75,3 +75,6 @@ DIGITS.update({
     "runs_with_versions": {"metric": 2},
     "model_info": {"metric": 2},
 })
+
+DIGITS.update({"allocation_features": {f"{f}_{s}": 4 for f in ("open", "high", "low", "close", "volume")
+                                       for s in ("mean", "std", "last")}})

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.operators import backtest as G
 from tickloom.operators import bars as B
 from tickloom.operators import clean as C
 from tickloom.operators import indicators as IND
@@ -149,7 +150,24 @@ def q_model_scores(spark, sf_dir):
     return I.score_windows(tensors, lambda: LinearModel(features, n))
 
 
+# ---------------------------------------------------------------- allocation
+def q_allocation_features(spark, sf_dir):
+    """Window statistics beside every portfolio's current weights."""
+    bb = M.materialized_brand_bars(spark, sf_dir)
+    current = I.current_weights(G.normalize_weights(M.portfolio_actions(spark, sf_dir, bb)))
+    return I.allocation_features(I.window_stats(M.price_panel(spark, sf_dir, bb), n=30), current)
+
+
+def q_equal_allocations(spark, sf_dir):
+    """Equal weights over every brand, held or not."""
+    bb = M.materialized_brand_bars(spark, sf_dir)
+    current = I.current_weights(G.normalize_weights(M.portfolio_actions(spark, sf_dir, bb)))
+    return I.score_portfolios(current, policy="equal", universe=bb.select("ticker").distinct())
+
+
 RAW = {
+    "allocation_features": q_allocation_features,
+    "equal_allocations": q_equal_allocations,
     "asof_events": q_asof_events,
     "asof_account_events": q_asof_account_events,
     "tick_indicators": q_tick_indicators,

@@ -111,7 +111,34 @@ SELECT ticker, step, sum(CASE WHEN sd > 1e-8 THEN (x - m) / sd ELSE 0.0 END * w
     return round_sql(inner, ["ticker", "step", "score"], {"score"})
 
 
+CURRENT = """cw AS (SELECT w.portfolio_id, w.ticker, w.weight FROM wpos w
+  JOIN (SELECT portfolio_id, max(step) AS step FROM wpos GROUP BY portfolio_id) n ON w.portfolio_id = n.portfolio_id AND w.step = n.step)"""
+
+
+def q_allocation_features():
+    features = ("open", "high", "low", "close", "volume")
+    stats = ", ".join(f"avg({f}) AS {f}_mean, stddev_pop({f}) AS {f}_std, arg_max(CAST({f} AS DOUBLE), step) AS {f}_last" for f in features)
+    names = [f"{f}_{s}" for f in features for s in ("mean", "std", "last")]
+    inner = f"""WITH {BRAND}, {CURRENT},
+st AS (SELECT ticker, {stats} FROM panel WHERE step > (SELECT max(step) - 30 FROM cal) GROUP BY ticker)
+SELECT cw.portfolio_id, cw.ticker, cw.weight AS current_weight, {', '.join(names)} FROM cw LEFT JOIN st ON cw.ticker = st.ticker"""
+    return round_sql(inner, ["portfolio_id", "ticker", "current_weight", *names], {"current_weight", *names},
+                     {n: 4 for n in names})
+
+
+def q_equal_allocations():
+    inner = f"""WITH {BRAND}, {CURRENT},
+b AS (SELECT DISTINCT ticker FROM bbars), p AS (SELECT DISTINCT portfolio_id FROM cw)
+SELECT p.portfolio_id, b.ticker, cw.weight AS current_weight, 1.0 / (SELECT count(*) FROM b) AS new_weight,
+  1.0 / (SELECT count(*) FROM b) - coalesce(cw.weight, 0.0) AS change
+FROM p CROSS JOIN b LEFT JOIN cw ON cw.portfolio_id = p.portfolio_id AND cw.ticker = b.ticker"""
+    return round_sql(inner, ["portfolio_id", "ticker", "current_weight", "new_weight", "change"],
+                     {"current_weight", "new_weight", "change"})
+
+
 ORACLE = {
+    "allocation_features": q_allocation_features,
+    "equal_allocations": q_equal_allocations,
     "asof_events": q_asof_events,
     "asof_account_events": q_asof_account_events,
     "tick_indicators": q_tick_indicators,

@@ -108,7 +108,7 @@ SELECT ticker, category, name, version, md5(name || '_' || version || '_' || '{{
 
 def q_normalized_tickers():
     inner = """SELECT p_partkey, upper(trim(p_brand)) AS ticker FROM part
-WHERE p_brand IS NOT NULL AND length(trim(p_brand)) > 0"""
+WHERE p_brand IS NOT NULL AND length(trim(p_brand)) > 0 AND p_partkey % 5 NOT IN (1, 2)"""
     return round_sql(inner, ["p_partkey", "ticker"], set())
 
 

@@ -148,11 +148,18 @@ def to_bars(df: DataFrame, tickers: list[str] | None = None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- A4 / A5
-def normalize_tickers(df: DataFrame, col: str = "ticker") -> DataFrame:
-    """trim + upper; blank or NULL symbols dropped; no dedupe; an empty result
-    is an empty frame (the caller decides whether that is an error)."""
+def normalize_tickers(df: DataFrame, col: str = "ticker", required: bool = False) -> DataFrame:
+    """trim + upper; blank or NULL symbols dropped; no dedupe.  Nothing left is an
+    empty frame, or with ``required`` an error when the frame is read: the check
+    is one counted row of the same plan, no job of its own."""
     t = F.upper(F.trim(F.col(col).cast("string")))
-    return df.withColumn(col, t).filter(F.col(col).isNotNull() & (F.length(col) > 0))
+    good = F.col(col).isNotNull() & (F.length(col) > 0)
+    kept = df.withColumn(col, t).filter(good)
+    if not required:
+        return kept
+    none = F.raise_error(F.lit(f"no usable {col} is left")).cast("boolean")
+    check = df.select(t.alias(col)).agg(F.count_if(good).alias("_n")).filter(F.when(F.col("_n") == 0, none).otherwise(F.lit(False)))
+    return kept.unionByName(check.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in kept.schema.fields]))
 
 
 def date_range(df: DataFrame, start=None, end=None, col: str = "date") -> DataFrame:
@@ -197,6 +204,19 @@ def latest_snapshot(df: DataFrame, col: str = "snapshot_date") -> DataFrame:
     return df.join(newest, col, "left_semi")
 
 
+def read_latest_snapshot(spark: SparkSession, path: str, prefix: str = "snapshot_date=") -> DataFrame:
+    """A7 by name: the newest partition folder of a snapshot table, found from
+    folder names alone, so no data of older ones is read.  No folder raises."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()] if files.exists(folder) else []
+    names = sorted(n for n in names if n.startswith(prefix))
+    if not names:
+        raise FileNotFoundError(f"{path} holds no folder {prefix}…")
+    return spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/{names[-1]}")
+
+
 def write_snapshot(df: DataFrame, path: str, snapshot: str, metadata: dict | None = None,
                    catalog_path: str | None = None, ticker: str = "ticker", date: str = "date") -> None:
     """Write a snapshot partition and append its metadata row to a catalog
