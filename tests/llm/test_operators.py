@@ -298,6 +298,45 @@ def test_refresh_urls_are_read_whole(spark):
         "b.org/3": "a.org/p?x=1&y=2;z=4", "b.org/4": "a.org/p;w", "b.org/5": "b.org/p;u"}
 
 
+TAGS = [
+    ('<link rel="canonical" data-href="/wrong" href="/right">', "b.org/right"),      # whole attribute names
+    ('<link data-href="/wrong" rel=canonical href=/right>', "b.org/right"),
+    ('<link rel="alternate canonical" href="/p">', "b.org/p"),                       # a list of words
+    ('<link title="a > b" rel="canonical" href="/p">', "b.org/p"),                   # ">" inside quotes
+    ('<base href="http://c.org/d/"><link rel=canonical href=e>', "c.org/d/e"),       # a base moves relative links
+    ('<base href="/d/x"><link rel=canonical href="e?f=1&#38;g=2">', "b.org/d/e?f=1&g=2"),
+    ('<link rel="canonicalish" href="/p">', None),
+    ('<!-- <link rel="canonical" href="/p"> -->', None),
+    ('<script>"<link rel=canonical href=/p>"</script>', None),
+    ('<link href="/p?x=1&#x26;y=2&amp;z=3" rel="CANONICAL">', "b.org/p?x=1&y=2&z=3"),
+    ("<LINK REL='canonical' HREF=' http://C.org/p '>", "c.org/p"),
+    ('<a rel="canonical" href="/p">', None),
+    ('<link rel=canonical href="">', None),
+    ('<meta http-equiv=" Refresh " content="5">', None),
+    ('<meta name="refresh" content="0; url=/p">', None),
+    ('<meta http-equiv="refresh" content="0; url=//c.org/p"/>', "c.org/p"),
+    ('<link rel=canonical href=//net/x>', "net/x"),
+    (None, None), ("", None), ("<link rel=canonical href=/p", None)]
+
+
+def test_links_are_read_attribute_by_attribute(spark, tmp_path):
+    import duckdb
+    from tickloom.llm.registry import OP3_SQL
+    pages = [(i, f"http://b.org/{i}", html) for i, (html, _) in enumerate(TAGS)]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    edges = {r.a: r.b for r in url_filter.alias_edges(table.select("url", "html")).collect()}
+    assert edges == {f"b.org/{i}": to for i, (_, to) in enumerate(TAGS) if to is not None}
+    more = [(100 + i, f"http://{h}", f'<link rel="x canonical" href="//{to}">') for i, (h, to) in enumerate(
+        [("c.org/p", "example.com/de/z"), ("c.org/d/e", "f.org/fr/1"), ("b.org/p", "x.net/1"), ("b.org/right", "c.org/p")])]
+    both = spark.createDataFrame(pages + more, "page_id long, url string, html string")
+    both.write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = sorted(con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({OP3_SQL})").fetchall())
+    got = sorted(tuple(r) for r in url_filter.judge(both, URL_RULES).collect())
+    assert got == want and {r[4] for r in got} == {"allow", "block"}
+
+
 def labelled(spark):
     rng = np.random.default_rng(4)
     rows, labels = [], []

@@ -175,21 +175,51 @@ WITH RECURSIVE p AS (
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*[^?#]*(\??[^#]*)', 1), '') AS query
   FROM pages),
-tags AS (
-  SELECT host, path, query, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM p WHERE host <> ''),
+shown AS (
+  SELECT host, path, query, regexp_extract_all(regexp_replace(html, '(?is)<!--.*?(?:-->|$)|<script\b.*?(?:</script|$)', '', 'g'),
+    '(?is)<(?:link|meta|base)\b(?:[^>"'']|"[^"]*"|''[^'']*'')*>') AS tags FROM p WHERE host <> ''),
+tagged AS (
+  SELECT host, path, query, tags, unnest(tags) AS tag,
+    [t FOR t IN tags IF regexp_matches(t, '(?i)^<base\b.*\bhref')][1] AS base FROM shown),
+parts AS (
+  SELECT host, path, query, tag, base, [lower(x) FOR x IN regexp_extract_all(body, att, 1)] AS names,
+    regexp_extract_all(body, att, 2) AS v2, regexp_extract_all(body, att, 3) AS v3, regexp_extract_all(body, att, 4) AS v4,
+    [lower(x) FOR x IN regexp_extract_all(base_body, att, 1)] AS b_names,
+    regexp_extract_all(base_body, att, 2) AS b2, regexp_extract_all(base_body, att, 3) AS b3, regexp_extract_all(base_body, att, 4) AS b4
+  FROM (SELECT *, regexp_replace(tag, '(?i)^<[a-z]+', '') AS body, regexp_replace(base, '(?i)^<[a-z]+', '') AS base_body,
+    '(?s)([^\s"''<>/=]+)(?:\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>][^\s>]*)))?' AS att FROM tagged)),
+valued AS (
+  SELECT host, path, query, tag, names,
+    [concat(v2[i], v3[i], v4[i]) FOR i IN range(1, len(names) + 1)] AS vals,
+    concat(b2[list_position(b_names, 'href')], b3[list_position(b_names, 'href')], b4[list_position(b_names, 'href')]) AS base
+  FROM parts),
+said AS (
+  SELECT host, path, query, base, lower(coalesce(vals[list_position(names, 'rel')], '')) AS rel,
+    trim(lower(coalesce(vals[list_position(names, 'http-equiv')], ''))) AS equiv, coalesce(vals[list_position(names, 'href')], '') AS href,
+    coalesce(vals[list_position(names, 'content')], '') AS content, coalesce(vals[list_position(names, 'url')], '') AS bare,
+    regexp_matches(tag, '(?i)^<link') AS is_link, regexp_matches(tag, '(?i)^<meta') AS is_meta FROM valued),
 links AS (
-  SELECT host, path, host || path || query AS a, replace(CASE
-    WHEN regexp_matches(tag, '(?is)\brel\s*=\s*["'']?\s*canonical')
-      THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?\s*([^"''>\s]*)', 1)
-    ELSE regexp_extract(tag, '(?is)\burl\s*=\s*["'']?\s*([^"''>\s;]+)', 1) END, '&amp;', '&') AS link
-  FROM tags WHERE regexp_matches(tag, '(?is)\brel\s*=\s*["'']?\s*canonical|\bhttp-equiv\s*=\s*["'']?\s*refresh')),
+  SELECT host, path, query, host || path || query AS a, base,
+    trim(regexp_replace(CASE
+      WHEN is_link AND list_contains(regexp_split_to_array(rel, '\s+'), 'canonical') THEN href
+      WHEN is_meta AND equiv = 'refresh' THEN coalesce(nullif(concat(regexp_extract(content, re, 1), regexp_extract(content, re, 2),
+        regexp_extract(content, re, 3)), ''), bare) END, '(?i)&(?:amp|#0*38|#x0*26);', '&', 'g')) AS link,
+    trim(regexp_replace(base, '(?i)&(?:amp|#0*38|#x0*26);', '&', 'g')) AS base_link
+  FROM (SELECT *, '(?is)\burl\s*=\s*(?:"\s*([^"]*?)\s*(?:"|$)|''\s*([^'']*?)\s*(?:''|$)|([^\s"''].*?)\s*$)' AS re FROM said)),
+based AS (
+  SELECT a, link, host, path, CASE WHEN base_link = '' THEN 'http://' || host || path WHEN contains(base_link, '://') THEN base_link
+    WHEN starts_with(base_link, '//') THEN 'http:' || base_link WHEN starts_with(base_link, '/') THEN 'http://' || host || base_link
+    ELSE 'http://' || host || coalesce(nullif(regexp_replace(path, '[^/]*$', ''), ''), '/') || base_link END AS seen FROM links WHERE link <> ''),
+origins AS (
+  SELECT a, link, translate(regexp_extract(seen, '(?s)^.*?://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(seen, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM based),
 targets AS (
   SELECT a, CASE WHEN contains(link, '://') THEN link
     WHEN starts_with(link, '//') THEN 'http:' || link
     WHEN starts_with(link, '/') THEN 'http://' || host || link
-    ELSE 'http://' || host || CASE WHEN regexp_replace(path, '[^/]*$', '') = '' THEN '/'
-      ELSE regexp_replace(path, '[^/]*$', '') END || link END AS t
-  FROM links WHERE link <> ''),
+    ELSE 'http://' || host || coalesce(nullif(regexp_replace(path, '[^/]*$', ''), ''), '/') || link END AS t
+  FROM origins),
 edges AS (
   SELECT a, translate(regexp_extract(t, '(?s)^.*?://([^/?#]*)', 1),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')

@@ -8,7 +8,10 @@ an explicitly allowed member allows, otherwise one with a blocked member blocks,
 otherwise its pages are allowed.  Allow thus takes precedence over a block that
 is only passed on, and a rule on the page itself over both.
 
-Only DataFrame functions are used.  The page text is read once, for the edges;
+Links are read attribute by attribute from link, meta and base tags outside
+comments and scripts: rel is a list of words, quoted values may hold ">", the
+first attribute of a name counts, "&amp;" and its numeric forms are decoded, and
+a base tag moves relative links.  Only DataFrame functions are used.  The page text is read once, for the edges;
 what is shuffled is the edges and the pages' short keys.
 
 Defined cases: a null url or one without ``://`` has an empty host and path, fits
@@ -28,13 +31,13 @@ from tickloom.llm.components import connected_components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(\??[^#]*)"
-TAG = r"(?is)<(?:link|meta)\b[^>]*>"
-LINKED = r"(?is)\brel\s*=\s*[\"']?\s*canonical|\bhttp-equiv\s*=\s*[\"']?\s*refresh"
-CANONICAL = r"(?is)\brel\s*=\s*[\"']?\s*canonical"
-HREF = r"(?is)\bhref\s*=\s*(?:\"\s*([^\"]*?)\s*\"|'\s*([^']*?)\s*'|([^\s\"'>]+))"
-CONTENT = r"(?is)\bcontent\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+MENTIONED = r"(?i)canonical|refresh"  # pages without either word have no links
+HIDDEN = r"(?is)<!--.*?(?:-->|$)|<script\b.*?(?:</script|$)"
+TAG = r"(?is)<(?:link|meta|base)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+TAG_NAME = r"(?i)^<[a-z]+"
+ATTRIBUTE = r"(?s)([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?"
 REFRESH = r"(?is)\burl\s*=\s*(?:\"\s*([^\"]*?)\s*(?:\"|$)|'\s*([^']*?)\s*(?:'|$)|([^\s\"'].*?)\s*$)"
-BARE_REFRESH = r"(?is)\burl\s*=\s*[\"']?\s*([^\"'>\s]+)"  # of tags without quotes, where spaces end a value
+AMPERSAND = r"(?i)&(?:amp|#0*38|#x0*26);"
 
 
 def first_match(col: Column, pattern: str, group: int) -> Column:
@@ -71,8 +74,8 @@ def verdict_of(rule: Column, rules: list[tuple[str, str, str]]) -> Column:
 
 
 def absolute(link: Column, url: Column) -> Column:
-    """A link as seen from its page."""
-    link = F.replace(link, F.lit("&amp;"), F.lit("&"))
+    """A link as seen from its page or base; empty links give null."""
+    link = F.trim(F.regexp_replace(link, AMPERSAND, "&"))
     origin = F.concat(F.lit("http://"), host_of(url))
     folder = F.regexp_replace(path_of(url), r"[^/]*$", "")
     return (F.when(F.contains(link, F.lit("://")), link)
@@ -81,18 +84,41 @@ def absolute(link: Column, url: Column) -> Column:
             .when(link != "", F.concat(origin, F.when(folder == "", "/").otherwise(folder), link)))
 
 
+def attributes(tag: Column) -> tuple[Column, Column]:
+    """Lower-case attribute names of a tag, and their values (empty without one)."""
+    body = F.regexp_replace(tag, TAG_NAME, "")
+    names, *values = (F.regexp_extract_all(body, F.lit(ATTRIBUTE), F.lit(g)) for g in (1, 2, 3, 4))
+    joined = F.zip_with(values[0], F.zip_with(values[1], values[2], lambda x, y: F.concat(x, y)), lambda x, y: F.concat(x, y))
+    return F.transform(names, F.lower), joined
+
+
+def attribute(names: Column, values: Column, name: str) -> Column:
+    """The value of the first attribute of that name, empty without one."""
+    at = F.array_position(names, name)
+    return F.coalesce(F.when(at > 0, F.get(values, (at - 1).cast("int"))), F.lit(""))
+
+
 def alias_edges(pages: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
     """Distinct (a, b) page keys joined by a canonical link or a redirect."""
-    linked = pages.filter(F.rlike("html", F.lit(LINKED))).select(
-        "url", F.explode(F.filter(F.regexp_extract_all("html", F.lit(TAG), F.lit(0)),
-                                  lambda t: F.rlike(t, F.lit(LINKED)))).alias("tag"))
-    def value(col, pattern):
-        return F.concat(*(first_match(col, pattern, g) for g in (1, 2, 3)))
-
-    refresh = value(value(F.col("tag"), CONTENT), REFRESH)
-    refresh = F.when(refresh != "", refresh).otherwise(first_match(F.col("tag"), BARE_REFRESH, 1))
-    link = F.when(F.rlike("tag", F.lit(CANONICAL)), value(F.col("tag"), HREF)).otherwise(refresh)
-    pairs = linked.select("url", absolute(link, F.col("url")).alias("target"))
+    shown = pages.filter(F.rlike("html", F.lit(MENTIONED))).select(
+        "url", F.regexp_extract_all(F.regexp_replace("html", HIDDEN, ""), F.lit(TAG), F.lit(0)).alias("tags"))
+    base = F.get(F.filter("tags", lambda t: F.rlike(t, F.lit(r"(?i)^<base\b.*\bhref"))), F.lit(0))
+    tags = shown.select("url", base.alias("base"), F.explode("tags").alias("tag"))
+    names, values = attributes(F.col("tag"))
+    base_names, base_values = attributes(F.col("base"))
+    tags = tags.select("url", F.rlike("tag", F.lit(r"(?i)^<link")).alias("is_link"), F.rlike("tag", F.lit(r"(?i)^<meta")).alias("is_meta"),
+                       names.alias("names"), values.alias("values"), attribute(base_names, base_values, "href").alias("base"))
+
+    def of(name):
+        return attribute(F.col("names"), F.col("values"), name)
+
+    canonical = F.col("is_link") & F.array_contains(F.split(F.lower(of("rel")), r"\s+"), "canonical")
+    refresh = F.col("is_meta") & (F.trim(F.lower(of("http-equiv"))) == "refresh")
+    said = F.concat(*(first_match(of("content"), REFRESH, g) for g in (1, 2, 3)))
+    # Without quotes a space ends the content, and its url stands as an attribute.
+    link = F.when(canonical, of("href")).when(refresh, F.when(said != "", said).otherwise(of("url")))
+    seen_from = F.coalesce(absolute(F.col("base"), F.col("url")), F.col("url"))
+    pairs = tags.select("url", absolute(link, seen_from).alias("target"))
     if redirects is not None:
         pairs = pairs.union(redirects.select("from_url", "to_url"))
     keys = pairs.select(page_key(F.col("url")).alias("a"), page_key(F.col("target")).alias("b"))
