@@ -26,7 +26,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from tickloom.plans.catalog import QUERIES
-    from tickloom.session import get_session
+    from tickloom.session import get_session, release_tables
 
     spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus))
     # Warm-up, not timed, on the smallest scale: every headline query (default;
@@ -40,6 +40,7 @@ def main() -> None:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+        release_tables(spark)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus,

@@ -299,3 +299,13 @@ def test_equal_weights_over_the_universe(spark):
     every = spark.createDataFrame([("A",), ("B",), ("C",), ("D",)], "ticker string")
     got = {r.ticker: (r.current_weight, r.new_weight) for r in I.score_portfolios(cur, policy="equal", universe=every).collect()}
     assert got == {"A": (0.7, 0.25), "B": (0.3, 0.25), "C": (None, 0.25), "D": (None, 0.25)}
+
+
+def test_materialised_tables_are_released(spark):
+    from tickloom import session
+    session.release_tables(spark)
+    df = session.materialize(spark.range(5), "released")
+    path = df.inputFiles()[0].removeprefix("file://")
+    import os
+    assert df.count() == 5 and os.path.exists(path)
+    assert session.release_tables(spark) == 1 and not os.path.exists(path) and session.release_tables(spark) == 0

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.functions.wide import next_valid
 from tickloom.operators.joins import mirror_pairs
 
 BLOCK = 32  # tickers of a block
@@ -39,13 +40,6 @@ def rolling_correlation(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def next_valid(x: np.ndarray) -> np.ndarray:
-    """NaN replaced by the next value; trailing NaN stay."""
-    at = np.where(np.isnan(x), len(x), np.arange(len(x)))
-    at = np.minimum.accumulate(at[::-1])[::-1]
-    return np.append(x, np.nan)[at]
-
-
 def pair_correlations(panel: DataFrame, partners: DataFrame, windows=(10, 20, 60), backfill: bool = True,
                       value: str = "close", order: str = "date", block: int = BLOCK) -> DataFrame:
     """(ticker, other, date, Corr_{n}d) for the ordered pairs of

@@ -14,11 +14,16 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.core import UNB, Rolling, backfill_all, drop_temp, full, series_window, td
 from tickloom.functions.recurrence import ema_columns
+from tickloom.functions.wide import feature_names, next_valid, wide_features
 
 SQRT252 = math.sqrt(252.0)
 
@@ -208,20 +213,28 @@ def feature_stack(bars: DataFrame, backfill: bool = True, partners: DataFrame |
                   ranks: int = 1, ema: bool = True) -> DataFrame:
     """technical, price, volume and correlation stages on one bar table.
     Correlations are those with the partners that ``partners(ticker, other,
-    rank)`` names (none without it); they join the narrow bars first, so the wide
-    table is windowed without another exchange.  ``ema=False`` leaves the
-    recurrence pass out for callers that need none of its columns."""
+    rank)`` names (none without it); they join the narrow bars first.  A series, one
+    calendar of bars, is one Arrow group (``functions.wide``): one exchange of
+    narrow bars and one pass.  ``ema=False`` leaves the recurrences out."""
     base = list(bars.columns)
     e = bars if partners is None else partner_columns(bars, partners, ranks)
     corr = [c for c in e.columns if c not in base]
-    e = ema_columns(e) if ema else e
-    p = add_price_features(e, backfill=False)
-    v = add_volume_features(p, backfill=False)
-    t = technical_windows(v)
-    new = [c for c in t.columns if c not in base]
-    tech = [c for c in TECH_COLS if c != "Volume_Change" and c in t.columns]
-    out = t.select(*base, *tech, *[c for c in new if c not in TECH_COLS and c not in corr], "Volume_Change", *corr)
-    return backfill_all(out, new) if backfill else out
+    names = feature_names(ema)
+    kept = [c for c in base if c not in names]
+    schema = T.StructType([*[e.schema[c] for c in kept], *[T.StructField(c, T.DoubleType()) for c in [*names, *corr]]])
+
+    def series(table: pa.Table) -> pa.Table:
+        table = table.sort_by("date")
+        x = {c: table.column(c).to_numpy().astype(np.float64) for c in ("high", "low", "close", "volume", *corr)}
+        new = wide_features(x, ema=ema) | {c: x[c] for c in corr}
+        columns = {c: pa.array(next_valid(v) if backfill else v, from_pandas=True) for c, v in new.items()}
+        return pa.table({**{c: table.column(c) for c in kept}, **{c: finite_or_null(columns[c]) for c in [*names, *corr]}})
+
+    return e.groupBy("ticker").applyInArrow(series, schema)
+
+
+def finite_or_null(x: pa.Array) -> pa.Array:
+    return pc.if_else(pc.is_finite(x), x, pa.scalar(None, x.type))
 
 
 # Named indicator stages, applied with ``df.transform`` — user stages

@@ -7,14 +7,32 @@ in ``oracle.py`` (same keys, same column names).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tickloom.operators import backtest as G
 from tickloom.operators import bars as B
+from tickloom.operators import clean as C
+from tickloom.operators import describe as E
 from tickloom.operators import indicators as IND
+from tickloom.operators import joins as D
+from tickloom.operators import monitoring as J
 from tickloom.operators import performance as PERF
+from tickloom.operators import quality as Q
+from tickloom.operators import scoring as I
+from tickloom.operators import store as H
+from tickloom.operators import training_log as L
+from tickloom.plans import features, operations, states
+from tickloom.plans import market as M
 from tickloom.plans.contracts import digits
 from tickloom.plans.rounding import round_df
+from tickloom.session import materialize, scratch_path
 from tickloom.sources import adapters as AD
+from tickloom.sources import files as A
+from tickloom.sources.tables import TABLES, table
+from tickloom.streaming import ticks as K
 
 
 def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,12 +75,7 @@ _RAW = {
 }
 
 
-
 # ---------------------------------------------------------------- brand panel, back-test
-from tickloom.operators import backtest as G  # noqa: E402
-from tickloom.operators import clean as C  # noqa: E402
-from tickloom.operators import quality as Q  # noqa: E402
-from tickloom.plans import market as M  # noqa: E402
 
 
 class _Inputs(tuple):
@@ -135,8 +148,6 @@ def q_model_gate(spark, sf_dir):
     return Q.quality_gate_model(m)
 
 
-from pyspark.sql import functions as F  # noqa: E402
-
 _RAW.update({
     "brand_weekly_bars": q_brand_weekly_bars,
     "price_panel": q_price_panel,
@@ -215,7 +226,6 @@ _RAW.update({
 
 
 # ---------------------------------------------------------------- cross-asset
-from tickloom.operators import joins as D  # noqa: E402
 
 
 def q_asof_market(spark, sf_dir):
@@ -241,7 +251,6 @@ _RAW.update({
 
 
 # ---------------------------------------------------------------- monitoring
-from tickloom.operators import monitoring as J  # noqa: E402
 
 
 def q_api_counters(spark, sf_dir):
@@ -299,8 +308,6 @@ _RAW.update({
 
 
 # ---------------------------------------------------------------- training log, registry
-from tickloom.operators import store as H  # noqa: E402
-from tickloom.operators import training_log as L  # noqa: E402
 
 # Check cadence scaled to the size of the per-user traces in the test data.
 TL = {"every": 10, "n": 5, "patience": 2, "min_step": 20}
@@ -353,7 +360,7 @@ def q_retain_latest(spark, sf_dir):
 
 def q_feature_ids(spark, sf_dir):
     """H1 over the feature catalog of every brand: one id per (brand, stage)."""
-    brands = M.brand_bars(spark, sf_dir).select("ticker").distinct()
+    brands = M.traded_brands(spark, sf_dir)
     stages = F.array(*[F.struct(F.lit(s).alias("category"), F.lit(w).alias("window"))
                        for s, w in (("technical", "14"), ("price", "20"), ("volume", "20"),
                                     ("correlation", "60"))])
@@ -380,7 +387,6 @@ _RAW.update({
 
 
 # ---------------------------------------------------------------- scoring
-from tickloom.operators import scoring as I  # noqa: E402
 
 
 def _scored(spark, sf_dir):
@@ -418,7 +424,6 @@ _RAW.update({
 
 
 # ---------------------------------------------------------------- statistics, reports, feature sets
-from tickloom.operators import describe as E  # noqa: E402
 
 TENSOR_FEATURES = ("Open", "High", "Low", "Close", "Volume", "SMA", "EMA", "RSI", "BB_Width",
                    "Volatility", "Volume_Change", "Daily_Return")
@@ -478,11 +483,6 @@ _RAW.update({
 
 
 # ---------------------------------------------------------------- streaming
-import uuid  # noqa: E402
-
-from tickloom.session import materialize, scratch_path  # noqa: E402
-from tickloom.sources.tables import TABLES, table  # noqa: E402
-from tickloom.streaming import ticks as K  # noqa: E402
 
 
 def q_stream_hourly_bars(spark, sf_dir):
@@ -506,7 +506,6 @@ _RAW.update({"stream_hourly_bars": q_stream_hourly_bars})
 
 
 # ---------------------------------------------------------------- sources
-from tickloom.sources import files as A  # noqa: E402
 
 
 def q_normalized_tickers(spark, sf_dir):
@@ -565,7 +564,6 @@ _RAW.update({
 })
 
 # ---------------------------------------------------------------- store, messages, alerts
-from tickloom.plans import features, operations, states  # noqa: E402
 
 _RAW.update(operations.RAW)
 _RAW.update(features.RAW)

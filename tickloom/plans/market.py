@@ -41,6 +41,15 @@ def brand_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("volume").alias("volume"), F.sum("n_ticks").alias("n_ticks"))
 
 
+def traded_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ticker): every brand with a line item.  Of the line items only the part
+    key is read, and it meets ``part`` as a semi-join."""
+    from tickloom.sources.tables import table
+    sold = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"))
+    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("ticker"))
+    return part.join(sold, "p_partkey", "left_semi").select("ticker").distinct()
+
+
 def calendar_steps(bars: DataFrame, order: str = "date") -> DataFrame:
     """(date, step): rank of each period in the distinct calendar (one
     ordered pass over the calendar, bounded by the number of periods)."""

@@ -82,9 +82,27 @@ def materialize(df, name: str):
     """Write ``df`` once as parquet under the shared checkpoint folder and
     read it back: one computation (``checkpoint()`` without a cache computes
     its input twice), lineage cut, and the files survive executor loss.
-    Each call takes a fresh folder; nothing is overwritten."""
+    Each call takes a fresh folder; nothing is overwritten.  ``release_tables``
+    removes them once the results that read them are done."""
     import uuid
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}/{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Folders that ``materialize`` wrote in this process and nobody released yet.
+_WRITTEN: list[str] = []
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Delete the intermediates this process has materialised so far and return
+    their number.  Call it between queries, when no DataFrame that reads them is
+    used any more; results that were written elsewhere are not touched."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    n = len(_WRITTEN)
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
