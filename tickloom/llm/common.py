@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 
@@ -33,8 +34,12 @@ def cached(key, make):
 
 
 def spare() -> None:
-    """Give memory that Arrow holds for later back to the system."""
+    """Give memory that Arrow and the C library hold for later back to the system:
+    a worker lives on through all stages, and so would what it holds."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # glibc
+        trim(0)
 
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):

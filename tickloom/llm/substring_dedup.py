@@ -119,6 +119,8 @@ def cut_blocks(docs: DataFrame, text_col: str, window: int, block_bytes: int) ->
                 windows += int(np.maximum(np.diff(first) - window + 1, 0).sum())
         if held:
             yield block()
+        held = None
+        spare()
 
     return docs.mapInArrow(run, BLOCKS)
 
@@ -219,6 +221,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
                     for column, value in zip(out, (s, block, *(squeeze([deltas(np.sort(w.cells(a, b, r)))])
                                                                for r in (0, 1)))):
                         column.append(value)
+                del w  # one block at a time
+                spare()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()),
                      pa.array(out[3], pa.binary())], names=["shard", "block", "row_0", "row_1"])
@@ -264,6 +268,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())],
                 names=["shard", "block", "keys"])
+            del w, h, x, y, doc
 
     def group(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
@@ -316,6 +321,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
                  pa.array((n_words - n_kept).astype(np.int64))], names=names)
             for at in range(0, result.num_rows, 2000):
                 yield result.slice(at, 2000)
+            del w, rows, new, key, h, gone, edge, covered, keep, padded, text, raw, texts, batch, result
 
     return with_answers(estimated.unionByName(repeated)).mapInArrow(remove, out_schema)
 
