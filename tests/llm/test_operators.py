@@ -474,3 +474,39 @@ def test_library_encoder_gives_the_ids_of_whole_texts():
         for some in batch:
             ids, ends = encoder.encode(pa.array(some, pa.string()))
             assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [expected[texts.index(t)] for t in some]
+
+
+def test_token_files_are_read_without_moving_ids(spark, tmp_path, capsys):
+    out = str(tmp_path / "tokens")
+    token_files.write_tokens(odd_docs(spark), out, tokenizer_file("word_bpe_49k.json"), "<|endoftext|>", end_id=2)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large files
+    try:
+        rows = token_files.read_tokens(spark, out)
+        rows.explain()
+        plan = capsys.readouterr().out
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert [r.n_tokens for r in rows.orderBy("doc_id").collect()][:2] == [1, 1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_a_full_chunk_store_keeps_what_was_met_again():
+    from tickloom.llm.tokens import LibraryEncoder
+    for name, keeps_spaces in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        encoder = LibraryEncoder(tokenizer_file(name), "<|endoftext|>", keeps_spaces, 400)
+        for i in range(8):
+            texts = ["one two three", " ".join(words(150, i)), "a\n b", "one two three " + " ".join(words(150, i))]
+            ids, ends = encoder.encode(pa.array(texts))
+            expected = [e.ids for e in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == expected
+            assert len(encoder.start) <= 800
+            if i:
+                assert encoder.again[encoder.index["one"]]  # an emptied store has not met it again
+
+
+def test_capitals_before_combining_marks_are_encoded_as_the_library_does():
+    from tickloom.llm.tokens import LibraryEncoder
+    encoder = LibraryEncoder(tokenizer_file("word_bpe_49k.json"), "<|endoftext|>", False)
+    for text in ("J̌ x", "ab T̈ c", "H̱́", "É J", "Ẉ̊ Y̊", "A, B́. c"):
+        assert encoder.encode(pa.array([text]))[0].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids

@@ -10,7 +10,7 @@ metadata columns, skips the rest (``read_tokens``).
 Documents are range-partitioned by id, so the files in name order hold ids in
 ascending document order.  A document's position in the whole is its position
 in its file plus the sum of the files before it; that sum comes from one row per
-file.
+file, which is broadcast, so ids are read in place and a file can be many tasks.
 
 Defined cases: a null text is an empty document (the end id alone); a null
 doc_id sorts first; repeated rows are documents of their own, in text order; an
@@ -86,7 +86,7 @@ def read_tokens(spark: SparkSession, path: str, first: int | None = None, last:
         files = files.filter(F.col("doc_id") >= first)
     if last is not None:
         files = files.filter(F.col("doc_id") <= last)
-    rows = files.join(sums, files["file"] == sums["in_file"])
+    rows = files.join(F.broadcast(sums), files["file"] == sums["in_file"])  # one row a file: ids stay where they are
     return rows.select("doc_id", (F.col("base") + F.col("file_start")).alias("start"), "n_tokens",
                        *(["ids"] if with_ids else []))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,8 @@ class ChunkStore:
     ``keeps_spaces``: the tokenizer glues a space to the word behind it
     (byte-level BPE) instead of dropping white space.  Then a chunk is a space
     and what follows up to the next space, and a text with a space after other
-    white space is one chunk as a whole.  The store is emptied when it holds
-    ``limit`` chunks, so a worker's memory is bounded.
+    white space is one chunk as a whole.  When the store holds ``limit`` chunks
+    it drops those met in one call only, so a worker's memory is bounded.
     """
 
     def __init__(self, keeps_spaces: bool, limit: int = REMEMBERED):
@@ -46,6 +46,21 @@ class ChunkStore:
         self.ids = np.zeros(0, np.uint32)
         self.start = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
+        self.again = np.zeros(0, bool)  # met by a later call too
+
+    def _forget(self):
+        """Keep the chunks met again since they came or were last kept; none,
+        if they fill half the store."""
+        chunks = [c for c, i in self.index.items() if self.again[i]]
+        at = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+        length = self.length[at]
+        if 2 * len(at) > self.limit or length.sum() > 8 * self.limit:
+            self._reset()
+            return
+        self.ids = self.ids[ragged(self.start[at], length)]
+        self.start, self.length = np.cumsum(length) - length, length
+        self.index = dict(zip(chunks, range(len(chunks))))
+        self.again = np.zeros(len(chunks), bool)
 
     def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the chunks and each chunk's number of ids."""
@@ -63,19 +78,24 @@ class ChunkStore:
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(lengths) - lengths])
         self.length = np.concatenate([self.length, lengths])
         self.ids = np.concatenate([self.ids, flat.astype(np.uint32)])
+        self.again = np.concatenate([self.again, np.zeros(len(lengths), bool)])
         return first
 
     def _find(self, chunks: list[str]) -> np.ndarray:
-        missing = [c for c in chunks if c not in self.index]
+        place = np.fromiter(map(self.index.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = place < 0
+        self.again[place[~new]] = True
+        missing = list(compress(chunks, new.tolist()))
         if missing:
             first = self._add(missing)
+            place[new] = np.arange(first, first + len(missing))
             self.index.update(zip(missing, range(first, first + len(missing))))
-        return np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+        return place
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (no nulls), one after the other, and n + 1 offsets."""
         if len(self.start) > self.limit or len(self.ids) > 16 * self.limit:
-            self._reset()
+            self._forget()
         n = len(texts)
         if not n:
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
@@ -94,7 +114,7 @@ class ChunkStore:
         first = np.cumsum(counts) - counts
         coded = pieces.flatten().dictionary_encode()
         key = coded.indices.to_numpy().astype(np.int64)
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if self.keeps_spaces:
             key = 2 * key + 1
             key[first] -= 1
@@ -153,7 +173,8 @@ class LibraryEncoder(ChunkStore):
     def apart(self, texts: pa.Array) -> pa.Array:
         # ASCII capitals, line ends and a mark behind a word make no difference to
         # a tokenizer that lower-cases, drops white space and splits words from marks.
-        if pc.any(pc.match_substring(texts, "<|")).as_py():
+        # Before a combining mark a capital does: it may compose with the small letter only.
+        if pc.any(pc.match_substring_regex(texts, r"<\||[A-Z]\p{M}")).as_py():
             return texts
         texts = pc.ascii_lower(pc.replace_substring(texts, "\n", " "))
         return pc.replace_substring_regex(texts, r"([a-z])([.,]) ", r"\1 \2 ")
