@@ -20,9 +20,9 @@ one half, linear below and above it.  The neighbours are returned as evidence.
 
 Examples: at most ``max_examples`` distinct labelled texts (a documented parameter),
 chosen by their hash, which bounds the index.  Document frequencies cover all
-documents, a group of copies counting about once (tables of 2^18 cells of text
-hashes and 2^20 of word hashes, 9 MB whatever the input), and every document is
-scored whole, in one pass without a shuffle.  What is sent to workers are plain
+documents, a group of copies counting about once (a table of 2^18 cells of text
+hashes, 1 MB whatever the input, and one sum per word of the examples), and every
+document is scored whole, in one pass without a shuffle.  What is sent to workers are plain
 arrays, so they need no copy of this package.
 
 Defined cases: a null text is empty; a text without known terms (an empty one
@@ -42,8 +42,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import append_columns, bytes_of, labelled, materialize, ragged, spare, text_slices, texts_of
-from tickloom.llm.weighted_minhash import DF_BITS, DF_PARTS, copy_hashes
+from tickloom.llm.common import (append_columns, bytes_of, ceil_div, labelled, materialize, ragged, spare, text_slices,
+                                 texts_of)
+from tickloom.llm.weighted_minhash import DF_PARTS, copy_hashes
 from tickloom.llm.wordhash import U64, not_alphanumeric, span_hashes, word_spans
 
 MAX_EXAMPLES = 4096
@@ -187,21 +188,24 @@ def copy_weights(keyed: DataFrame) -> np.ndarray:
     return out
 
 
-def word_frequencies(named: DataFrame, weights: np.ndarray) -> tuple[float, np.ndarray]:
-    """Weight of all documents, and of those with a word of each of 2^20 hash cells,
-    over all documents; each task sends its sums in compressed parts."""
-    size = (1 << DF_BITS) // DF_PARTS
-    shipped = named.sparkSession.sparkContext.broadcast(weights)  # 1 MB whatever the input
+def word_frequencies(named: DataFrame, weights: np.ndarray, hashes: np.ndarray) -> tuple[float, np.ndarray]:
+    """Weight of all documents, and of those with each of the words ``hashes``
+    (sorted), over all documents; each task sends its sums in compressed parts."""
+    size = ceil_div(len(hashes), DF_PARTS)
+    shipped = named.sparkSession.sparkContext.broadcast((weights, hashes))  # the examples bound its size
 
     def count(batches):
-        n, df = 0.0, np.zeros(1 << DF_BITS)
+        weights, hashes = shipped.value
+        n, df = 0.0, np.zeros(size * DF_PARTS)
         for batch in batches:
             for part in text_slices(batch, "text"):
                 texts = texts_of(part, "text")
-                own = shipped.value[(copy_hashes(texts)[0].to_numpy().view(U64) >> U64(64 - COPY_BITS)).astype(np.int64)]
+                own = weights[(copy_hashes(texts)[0].to_numpy().view(U64) >> U64(64 - COPY_BITS)).astype(np.int64)]
                 row, h, _ = word_counts(texts)
-                cell = np.unique((row << DF_BITS) | (h >> U64(64 - DF_BITS)).astype(np.int64))
-                df += np.bincount(cell & ((1 << DF_BITS) - 1), own[cell >> DF_BITS], len(df))
+                if len(hashes):
+                    at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+                    known = hashes[at] == h
+                    df += np.bincount(at[known], own[row[known]], len(df))
                 n += float(own.sum())
         if n:
             rows = [pa.compress(x.astype("<f8").tobytes(), "zstd", asbytes=True) for x in df.reshape(DF_PARTS, -1)]
@@ -220,14 +224,14 @@ def word_frequencies(named: DataFrame, weights: np.ndarray) -> tuple[float, np.n
 
     kind = "part long, n double, sums binary"
     rows = named.select("text").mapInArrow(count, kind).groupBy("part").applyInArrow(add, kind).collect()
-    df, n = np.zeros(1 << DF_BITS), 0.0
+    df, n = np.zeros(size * DF_PARTS), 0.0
     for r in rows:
         if r.part < 0:
             n = r.n
         else:
             df[r.part * size: (r.part + 1) * size] = np.frombuffer(r.sums, "<f8")
     shipped.destroy()
-    return n, df
+    return n, df[:len(hashes)]
 
 
 def distinct_examples(named: DataFrame, all_keys: DataFrame, labels: DataFrame, wanted: Column,
@@ -269,12 +273,12 @@ def learn(docs: DataFrame, labels: DataFrame, wanted: Column, max_examples: int
     lists = [got.column(c).combine_chunks() for c in ("hashes", "counts")]
     size = pc.list_value_length(lists[0]).to_numpy(zero_copy_only=False).astype(np.int64)
     flat = [x.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for x in lists]
-    n_docs, cells = word_frequencies(named, copy_weights(all_keys))
     hashes, term = np.unique(flat[0].view(U64), return_inverse=True)
+    n_docs, df = word_frequencies(named, copy_weights(all_keys), hashes)
     owner = np.repeat(np.arange(len(ids)), size)
     toxic = np.bincount(term, label[owner], len(hashes))
     clean = np.bincount(term, minlength=len(hashes)) - toxic
-    weights = term_weights(n_docs, cells[(hashes >> U64(64 - DF_BITS)).astype(np.int64)], toxic, clean)
+    weights = term_weights(n_docs, df, toxic, clean)
     w = (1 + np.log(flat[1])) * weights[term]
     length = np.sqrt(np.bincount(owner, w * w, len(ids)))
     # Entries with the same strongest word share blocks, which keeps bounds tight.
